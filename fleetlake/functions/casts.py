@@ -58,7 +58,7 @@ def format_timestamp(col, fmt: str = "M/d/yyyy H:mm") -> Column:
 
 def parse_date(col, fmt: str = "M/d/yyyy", strict: bool = False) -> Column:
     c = F.trim(_c(col))
-    parsed = F.try_to_date(c, F.lit(fmt)) if hasattr(F, "try_to_date") else F.to_date(c, fmt)
+    parsed = F.try_to_date(c, fmt)
     if not strict:
         return parsed
     return F.when(c.isNotNull() & parsed.isNull(),

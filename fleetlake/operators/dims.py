@@ -34,13 +34,24 @@ def dim_plant(assets: DataFrame, compat: bool = False, method: str = "distribute
 def dim_reactor(assets: DataFrame, plants: DataFrame, compat: bool = False,
                 method: str = "distributed", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     reactors = keep_one_per_key(assets.select("reactor", "plant", "grid_connection"), ["reactor"])
-    joined = lookup_join(reactors, plants.select("plant", "plant_id"), "plant",
-                         null_safe=not compat, max_broadcast_rows=max_broadcast_rows)
-    keyed = surrogate_key(joined.select("reactor", "plant_id", "grid_connection"),
-                          ["reactor", "plant_id", "grid_connection"], "reactor_id", method)
-    if compat:
-        # the reference de-duplicated by reactor after numbering: gaps remain (F1)
-        keyed = keep_one_per_key(keyed, ["reactor"], ["reactor_id"])
+    if not compat:
+        joined = lookup_join(reactors, plants.select("plant", "plant_id"), "plant",
+                             null_safe=True, max_broadcast_rows=max_broadcast_rows)
+        keyed = surrogate_key(joined.select("reactor", "plant_id", "grid_connection"),
+                              ["reactor", "plant_id", "grid_connection"], "reactor_id", method)
+        return keyed.select("reactor_id", "reactor", "plant_id", "grid_connection")
+    # Reference shape (F1): joining on plant alone gives a reactor one row per
+    # coordinate row of its plant; rows were numbered, then one per reactor
+    # kept.  The survivor is the reactor's first row (smallest plant_id) and its
+    # id counts all fanned rows before it — a weighted position, computed from
+    # per-plant counts without materialising the fan-out.
+    per_plant = plants.groupBy("plant").agg(F.min("plant_id").alias("plant_id"),
+                                            F.count(F.lit(1)).alias("_rows"))
+    joined = lookup_join(reactors, per_plant, "plant", max_broadcast_rows=max_broadcast_rows)
+    weighted = joined.select("reactor", "plant_id", "grid_connection",
+                             F.coalesce(F.col("_rows"), F.lit(1)).alias("_rows"))
+    keyed = surrogate_key(weighted, ["reactor", "plant_id", "grid_connection"], "reactor_id", method,
+                          weight="_rows")
     return keyed.select("reactor_id", "reactor", "plant_id", "grid_connection")
 
 
@@ -64,17 +75,38 @@ def dim_datetime(readings: DataFrame, column: str = "date_time") -> DataFrame:
 
 
 def bridge(assets: DataFrame, reactors: DataFrame, models: DataFrame, coolings: DataFrame,
-           compat: bool = False, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """reactor_id → model_id, cooling_id (README's many-to-many resolver)."""
-    if compat:
-        per_reactor = keep_one_per_key(assets.select("reactor", "model", "cooling"), ["reactor"])
-        model_on, cooling_on = ["model"], ["cooling"]
-    else:
-        per_reactor = keep_one_per_key(
-            assets.select("reactor", "model", "rated_power", "cooling", "cooling_source"), ["reactor"])
-        model_on, cooling_on = ["model", "rated_power"], ["cooling", "cooling_source"]
-    kw = dict(null_safe=not compat, max_broadcast_rows=max_broadcast_rows)
+           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """reactor_id → model_id, cooling_id (README's many-to-many resolver).
+
+    Joins on the full natural keys (D1), so each reactor has exactly one row."""
+    per_reactor = keep_one_per_key(
+        assets.select("reactor", "model", "rated_power", "cooling", "cooling_source"), ["reactor"])
+    kw = dict(null_safe=True, max_broadcast_rows=max_broadcast_rows)
     out = lookup_join(per_reactor, reactors.select("reactor_id", "reactor"), "reactor", **kw)
-    out = lookup_join(out, models.select("model_id", *model_on), model_on, **kw)
-    out = lookup_join(out, coolings.select("cooling_id", *cooling_on), cooling_on, **kw)
+    out = lookup_join(out, models.select("model_id", "model", "rated_power"), ["model", "rated_power"], **kw)
+    out = lookup_join(out, coolings.select("cooling_id", "cooling", "cooling_source"),
+                      ["cooling", "cooling_source"], **kw)
     return out.select("reactor_id", "model_id", "cooling_id")
+
+
+def bridge_fanout(assets: DataFrame, reactors: DataFrame,
+                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """How many rows the reference's partial-key bridge gives each reactor (F2).
+
+    The reference joined model and cooling on one attribute each, so a reactor
+    got one bridge row per (rated_power of its model) × (source of its
+    cooling).  The product itself grows quadratically, so it is reported as
+    counts from per-attribute aggregates instead of being emitted."""
+    per_reactor = keep_one_per_key(assets.select("reactor", "model", "cooling"), ["reactor"])
+    model_rows = distinct_rows(assets, ["model", "rated_power"]).groupBy("model") \
+        .agg(F.count(F.lit(1)).alias("model_rows"))
+    cooling_rows = distinct_rows(assets, ["cooling", "cooling_source"]).groupBy("cooling") \
+        .agg(F.count(F.lit(1)).alias("cooling_rows"))
+    kw = dict(max_broadcast_rows=max_broadcast_rows)
+    out = lookup_join(per_reactor, reactors.select("reactor_id", "reactor"), "reactor", **kw)
+    out = lookup_join(out, model_rows, "model", **kw)
+    out = lookup_join(out, cooling_rows, "cooling", **kw)
+    m = F.coalesce(F.col("model_rows"), F.lit(1))
+    c = F.coalesce(F.col("cooling_rows"), F.lit(1))
+    return out.select("reactor_id", m.alias("model_rows"), c.alias("cooling_rows"),
+                      (m * c).alias("bridge_rows"))

@@ -56,12 +56,20 @@ def keep_one_per_key(df: DataFrame, keys, order=None) -> DataFrame:
 
 
 def surrogate_key(df: DataFrame, order, name: str, method: str = "distributed",
-                  num_partitions: int | None = None) -> DataFrame:
-    """Append ``name`` = dense 1..n int over the total order (D3)."""
+                  num_partitions: int | None = None, weight: str | None = None) -> DataFrame:
+    """Append ``name`` = dense 1..n int over the total order (D3).
+
+    With ``weight`` the key is 1 + the sum of the weights of all earlier rows:
+    the position a row would have if it were repeated ``weight`` times, which
+    is how the reference's fanned-out numbering is reproduced without
+    materialising the fan-out (compat ``dim_reactor``)."""
     cols = total_order(df, order)
     if method == "window":
         w = Window.orderBy(*sort_exprs(cols))
-        return df.withColumn(name, F.row_number().over(w).cast("int"))
+        if weight is None:
+            return df.withColumn(name, F.row_number().over(w).cast("int"))
+        earlier = F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        return df.withColumn(name, (F.coalesce(earlier, F.lit(0)) + 1).cast("int"))
     if method != "distributed":
         raise ValueError(method)
     spark = df.sparkSession
@@ -73,9 +81,15 @@ def surrogate_key(df: DataFrame, order, name: str, method: str = "distributed",
                 .select("*", F.spark_partition_id().alias("_pid"),
                         F.monotonically_increasing_id().alias("_mid"))
                 .checkpoint(eager=True))
+    size = F.lit(1) if weight is None else F.col(weight)
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = (staged.groupBy("_pid").agg(F.sum(size).alias("_n"))
                      .select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
-    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _RECORD_BITS)
+    if weight is None:
+        local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _RECORD_BITS)
+    else:
+        # running weight inside one range partition (bounded by the partition count we chose)
+        inside = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
+        local = F.coalesce(F.sum(size).over(inside), F.lit(0))
     return (staged.join(F.broadcast(offsets), "_pid")
                   .select(*df.columns, (F.col("_off") + local + 1).cast("int").alias(name)))

@@ -17,9 +17,10 @@ from fleetlake.functions import casts
 from fleetlake.functions.calendar import floor_minutes
 from fleetlake.functions.text import REFERENCE_PAIRS, nfkc, repair_string_columns
 from fleetlake.operators import analytics, dims, facts, keys, pivot, quality
-from fleetlake.plans import oracle as O
+from fleetlake.plans import layers, oracle as O
 from fleetlake.plans.star import Star
 from fleetlake.schemas import FACT_COLUMNS
+from fleetlake.settings import Settings
 from fleetlake.session import scratch_path
 from fleetlake.sinks.tables import create_database, overwrite_partitioned
 from fleetlake.sources import fixtures
@@ -143,11 +144,13 @@ def q_bridge(spark, sf):
     return Star(spark, sf).bridge
 
 
-@register("bridge_compat", O.sql([O.ASSETS, O.DIM_PLANT, O.DIM_REACTOR, O.DIM_MODEL, O.DIM_COOLING,
-                                  O.BRIDGE_COMPAT], "SELECT reactor_id, model_id, cooling_id FROM bridge"))
-def q_bridge_compat(spark, sf):
+@register("bridge_fanout", O.sql([O.ASSETS, O.DIM_PLANT, O.DIM_REACTOR, O.DIM_MODEL, O.DIM_COOLING,
+                                  O.BRIDGE_COMPAT], """SELECT reactor_id,
+  GREATEST(count(DISTINCT model_id), 1) AS model_rows, GREATEST(count(DISTINCT cooling_id), 1) AS cooling_rows,
+  count(*) AS bridge_rows FROM bridge GROUP BY reactor_id"""))
+def q_bridge_fanout(spark, sf):
     s = Star(spark, sf)
-    return dims.bridge(s.assets, s.reactors, s.models, s.coolings, compat=True)
+    return dims.bridge_fanout(s.assets, s.reactors)
 
 
 SEGMENT_RANK = """SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
@@ -256,8 +259,7 @@ def q_lenient_cast(spark, sf):
   lower(trim(parameter)) AS parameter, NULLIF(trim(value), '') AS value,
   TRY_CAST(NULLIF(trim(value), '') AS DOUBLE) AS value_num, seq FROM readings"""))
 def q_silver_readings(spark, sf):
-    from fleetlake.plans.layers import silver_readings
-    return silver_readings(fixtures.readings(spark, sf))
+    return layers.silver_readings(fixtures.readings(spark, sf))
 
 
 @register("csv_round_trip", """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
@@ -279,6 +281,20 @@ def q_table_round_trip(spark, sf):
     return spark.table(name).select(*FACT_COLUMNS)
 
 
+@register("gold_pipeline", O.sql(O.STAR, f"SELECT {O.FACT_COLUMNS} FROM fact"))
+def q_gold_pipeline(spark, sf):
+    """CSV sources → bronze → silver → gold tables, then the gold fact read back."""
+    root = scratch_path(spark, "pipeline")
+    tag = root.rsplit("-", 1)[-1]
+    settings = Settings(bronze_db=f"bronze_{tag}", silver_db=f"silver_{tag}", gold_db=f"gold_{tag}",
+                        warehouse=f"{root}/tables")
+    asset_csv, readings_csv = f"{root}/src/assets", f"{root}/src/readings"
+    write_csv(fixtures.assets(spark, sf), asset_csv)
+    write_csv(fixtures.readings(spark, sf), readings_csv)
+    tables = layers.run_pipeline(spark, asset_csv, readings_csv, settings)
+    return spark.table(tables["fact_availability"]).select(*FACT_COLUMNS)
+
+
 @register("file_inventory")
 def q_file_inventory(spark, sf):
     return file_inventory(fixtures.table(spark, sf, "events"))

@@ -101,8 +101,7 @@ def build_gold(spark: SparkSession, settings: Settings = Settings()) -> dict[str
 
     # consumers read the written keys back (D3)
     reactors, models, coolings = (spark.table(g(n)) for n in ("dim_reactor", "dim_model", "dim_cooling"))
-    overwrite_table(dims.bridge(assets, reactors, models, coolings, compat=settings.compat,
-                                max_broadcast_rows=bcast),
+    overwrite_table(dims.bridge(assets, reactors, models, coolings, max_broadcast_rows=bcast),
                     g("bridge_reactor_model_cooling"), settings)
 
     wide = pivot.long_to_wide(readings)

@@ -27,12 +27,19 @@ class Settings:
     # dimension lookups are hinted for broadcast only below this many rows,
     # after a bounded count proves it (see operators.joins)
     broadcast_max_rows: int = 2_000_000
+    # root folder for table data (external tables); None = the session warehouse
+    warehouse: str | None = None
     # fact table partition columns (Gold:155)
     fact_partitions: tuple[str, ...] = field(default=("year", "reactor_id"))
 
     def with_(self, **kw) -> "Settings":
         return replace(self, **kw)
 
+    def location(self, qualified: str) -> str | None:
+        if not self.warehouse:
+            return None
+        return f"{self.warehouse.rstrip('/')}/{qualified.replace('.', '/')}"
+
     def table(self, layer: str, name: str) -> str:
         db = {"bronze": self.bronze_db, "silver": self.silver_db, "gold": self.gold_db}[layer]
         return f"{db}.{name}"

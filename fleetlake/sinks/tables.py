@@ -30,6 +30,7 @@ def drop_tables(spark: SparkSession, names) -> None:
 def overwrite_table(df: DataFrame, name: str, settings: Settings = Settings(),
                     path: str | None = None) -> None:
     w = df.write.format(settings.table_format).mode("overwrite")
+    path = path or settings.location(name)
     if path:
         w = w.option("path", path)
     w.saveAsTable(name)
@@ -40,6 +41,7 @@ def overwrite_partitioned(df: DataFrame, name: str, partition_cols, settings: Se
     cols = list(partition_cols)
     balanced = df.hint("rebalance", *cols)
     w = balanced.write.format(settings.table_format).mode("overwrite").partitionBy(*cols)
+    path = path or settings.location(name)
     if path:
         w = w.option("path", path)
     w.saveAsTable(name)
