@@ -35,6 +35,23 @@ def reactor_capacity(reactors: DataFrame, bridge: DataFrame, models: DataFrame,
     return out.select("reactor_id", "rated_power", "plant_id", "plant", "lat", "lon")
 
 
+def capacity_from_assets(assets: DataFrame, reactors: DataFrame, plants: DataFrame,
+                         max_broadcast_rows: int = _BCAST) -> DataFrame:
+    """Same result as ``reactor_capacity`` in default mode, without the bridge.
+
+    The default bridge keeps, per reactor, the smallest (model, rated_power,
+    cooling, cooling_source) row and joins on the full keys, so the rated power
+    it leads to is that row's; taking it straight from the same survivor row
+    skips two keyed dimensions and four lookups."""
+    from fleetlake.operators.keys import keep_one_per_key
+    rated = keep_one_per_key(assets.select("reactor", "model", "rated_power", "cooling", "cooling_source"),
+                             ["reactor"]).select("reactor", "rated_power")
+    kw = dict(max_broadcast_rows=max_broadcast_rows)
+    out = lookup_join(reactors.select("reactor_id", "reactor", "plant_id"), rated, "reactor", **kw)
+    out = lookup_join(out, plants.select("plant_id", "plant", "lat", "lon"), "plant_id", **kw)
+    return out.select("reactor_id", "rated_power", "plant_id", "plant", "lat", "lon")
+
+
 def with_capacity(fact: DataFrame, capacity: DataFrame, max_broadcast_rows: int = _BCAST) -> DataFrame:
     out = lookup_join(fact, capacity, "reactor_id", max_broadcast_rows=max_broadcast_rows)
     return out.withColumn("downtime_mw", downtime_mw())

@@ -10,8 +10,9 @@
   rows into one partition: range-partition by the order, number rows inside
   each partition, checkpoint (so the partition assignment is fixed even if an
   executor is lost and a stage re-runs), then add the running row count of all
-  earlier partitions.  The offsets table has one row per partition, a bound we
-  choose, so broadcasting it is safe.  ``method="window"`` keeps the
+  earlier partitions.  Those counts are one number per partition — a bound we
+  choose, not a function of the data — so they are collected once and inlined
+  as constants (the same scheme as ``RDD.zipWithIndex``).  ``method="window"`` keeps the
   reference's single-partition ``row_number() over (order by …)`` for small
   inputs and for cross-checks.
 """
@@ -82,14 +83,17 @@ def surrogate_key(df: DataFrame, order, name: str, method: str = "distributed",
                         F.monotonically_increasing_id().alias("_mid"))
                 .checkpoint(eager=True))
     size = F.lit(1) if weight is None else F.col(weight)
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (staged.groupBy("_pid").agg(F.sum(size).alias("_n"))
-                     .select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
+    # one row per partition (a bound we chose): collected once, inlined as constants
+    totals = dict(staged.groupBy("_pid").agg(F.sum(size).alias("_n")).collect())
+    offsets, running = [], 0
+    for pid in range(n):
+        offsets.append(running)
+        running += int(totals.get(pid) or 0)
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_pid") + 1)
     if weight is None:
         local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _RECORD_BITS)
     else:
         # running weight inside one range partition (bounded by the partition count we chose)
         inside = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
         local = F.coalesce(F.sum(size).over(inside), F.lit(0))
-    return (staged.join(F.broadcast(offsets), "_pid")
-                  .select(*df.columns, (F.col("_off") + local + 1).cast("int").alias(name)))
+    return staged.select(*df.columns, (offset + local + 1).cast("int").alias(name))

@@ -22,7 +22,7 @@ from fleetlake.plans.star import Star
 from fleetlake.schemas import FACT_COLUMNS
 from fleetlake.settings import Settings
 from fleetlake.session import scratch_path
-from fleetlake.sinks.tables import create_database, overwrite_partitioned
+from fleetlake.sinks.tables import create_database, write_fact
 from fleetlake.sources import fixtures
 from fleetlake.sources.csv import read_csv, write_csv
 from fleetlake.sources.tables import file_inventory
@@ -277,7 +277,7 @@ def q_table_round_trip(spark, sf):
     create_database(spark, "fleetlake_scratch")
     path = scratch_path(spark, "fact")
     name = "fleetlake_scratch.fact_" + path.rsplit("-", 1)[-1]
-    overwrite_partitioned(fact, name, ("year", "reactor_id"), path=path)
+    write_fact(fact, name, path=path)
     return spark.table(name).select(*FACT_COLUMNS)
 
 

@@ -63,8 +63,8 @@ class Star:
 
     @cached_property
     def capacity(self) -> DataFrame:
-        return analytics.reactor_capacity(self.reactors, self.bridge, self.models, self.plants,
-                                          self.settings.broadcast_max_rows)
+        return analytics.capacity_from_assets(self.assets, self.reactors, self.plants,
+                                              self.settings.broadcast_max_rows)
 
     @cached_property
     def fact_capacity(self) -> DataFrame:

@@ -7,6 +7,12 @@
   holds a large share of the rows over several tasks, so one hot reactor does
   not become one straggler task or one huge file, while each task still
   writes few partition folders.
+* ``overwrite_clustered``: partition folders only on low-cardinality columns
+  (``year``), rows range-partitioned and sorted by the cluster columns
+  (``reactor_id, date_time``) inside each folder.  File count follows data
+  volume (AQE sizes the range partitions), not key cardinality; readers
+  filtering one reactor skip files and row groups by their min/max
+  statistics; a hot reactor is split across tasks by ``date_time``.
 * DDL only touches names it is given; dropping is an explicit reset step,
   never part of a build (F14).
 """
@@ -45,3 +51,25 @@ def overwrite_partitioned(df: DataFrame, name: str, partition_cols, settings: Se
     if path:
         w = w.option("path", path)
     w.saveAsTable(name)
+
+
+def overwrite_clustered(df: DataFrame, name: str, partition_cols=("year",),
+                        cluster_cols=("reactor_id", "date_time"), settings: Settings = Settings(),
+                        path: str | None = None) -> None:
+    keys = [*partition_cols, *cluster_cols]
+    laid_out = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    w = laid_out.write.format(settings.table_format).mode("overwrite")
+    if partition_cols:
+        w = w.partitionBy(*partition_cols)
+    path = path or settings.location(name)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
+
+
+def write_fact(df: DataFrame, name: str, settings: Settings = Settings(), path: str | None = None) -> None:
+    """Write the fact in the configured layout (clustered by default, D9)."""
+    if settings.fact_cluster_by:
+        overwrite_clustered(df, name, settings.fact_partitions, settings.fact_cluster_by, settings, path)
+    else:
+        overwrite_partitioned(df, name, settings.fact_partitions, settings, path)
