@@ -1,9 +1,11 @@
 """Dimension lookups (J1) with a proven broadcast bound.
 
-A dimension side is hinted for broadcast only after a bounded count shows it
-has at most ``max_rows`` rows (``limit(max_rows + 1).count()`` never scans
-more than that many rows past the filters).  Beyond the bound the join is left
-to Catalyst/AQE: a shuffle join, re-planned at runtime from measured sizes.
+A dimension side is hinted for broadcast only after an exact count shows it
+has at most ``max_rows`` rows.  The count is a map-side-combined aggregate over
+the (small, usually checkpointed) dimension; a ``limit(n).count()`` would
+instead gather up to n rows per partition into a single task.  Beyond the
+bound the join is left to Catalyst/AQE: a shuffle join (skew-split at runtime
+by AQE), never a forced broadcast.
 """
 
 from __future__ import annotations
@@ -14,7 +16,8 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def bounded_count(df: DataFrame, max_rows: int) -> int | None:
-    n = df.limit(max_rows + 1).count()
+    """The row count if it is at most ``max_rows``, else None."""
+    n = df.count()
     return n if n <= max_rows else None
 
 

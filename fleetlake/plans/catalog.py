@@ -295,6 +295,25 @@ def q_gold_pipeline(spark, sf):
     return spark.table(tables["fact_availability"]).select(*FACT_COLUMNS)
 
 
+@register("bronze_stream_ingest", O.sql([O.READINGS], """SELECT date_time, reactor_name, parameter, value, seq
+FROM readings"""))
+def q_bronze_stream_ingest(spark, sf):
+    """Readings land as damaged CSV; the available-now stream parses and repairs them."""
+    from fleetlake import schemas
+    from fleetlake.functions.casts import format_timestamp
+    from fleetlake.functions.text import induce_mojibake
+    from fleetlake.streaming.ingest import ingest_available
+
+    root = scratch_path(spark, "stream")
+    landed = fixtures.readings(spark, sf).select(
+        format_timestamp("date_time").alias("date_time"), "reactor_name", "parameter",
+        induce_mojibake("value").alias("value"), "seq")
+    write_csv(landed, f"{root}/landing")
+    ingest_available(spark, f"{root}/landing", schemas.READINGS_CSV, f"{root}/bronze", f"{root}/checkpoint",
+                     timestamp_cols=("date_time",))
+    return spark.read.parquet(f"{root}/bronze")
+
+
 @register("file_inventory")
 def q_file_inventory(spark, sf):
     return file_inventory(fixtures.table(spark, sf, "events"))

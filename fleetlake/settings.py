@@ -26,7 +26,7 @@ class Settings:
     nfkc: bool = False
     # dimension lookups are hinted for broadcast only below this many rows,
     # after a bounded count proves it (see operators.joins)
-    broadcast_max_rows: int = 2_000_000
+    broadcast_max_rows: int = 1_000_000
     # root folder for table data (external tables); None = the session warehouse
     warehouse: str | None = None
     # fact layout: partition folders + clustering inside them.  The reference
