@@ -15,7 +15,7 @@ def _c(col) -> Column:
 
 
 def date_key(col) -> Column:
-    """Smart key ``yyyyMMddHHmm`` as bigint (Gold:102; minute precision, F11)."""
+    """Smart key ``yyyyMMddHHmm`` as bigint (minute precision, F11)."""
     return F.date_format(_c(col), "yyyyMMddHHmm").cast("bigint")
 
 
@@ -46,7 +46,7 @@ def floor_to(col, grain: str) -> Column:
 
 
 def calendar_columns(col) -> dict[str, Column]:
-    """Attributes of ``dim_datetime`` (Gold:100-107)."""
+    """Attributes of ``dim_datetime`` (SF2-SF4)."""
     c = _c(col)
     return {
         "date_key": date_key(c),

@@ -32,7 +32,7 @@ from pyspark.sql.types import StringType
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference): its ordered replacement pairs,
-# applied in exactly this order after NFKC (Bronze UDF body).
+# applied in exactly this order after NFKC.
 REFERENCE_PAIRS: tuple[tuple[str, str], ...] = (
     ("Ã©", "é"),
     ("Ã¨", "è"),

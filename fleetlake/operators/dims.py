@@ -1,4 +1,4 @@
-"""Star-schema dimensions and the bridge (Gold steps 4-9; findings F1-F3; D1-D3).
+"""Star-schema dimensions and the bridge (findings F1-F3; decisions D1-D3).
 
 Default mode (D1): a dimension's natural key is every attribute used to tell
 its rows apart, and every lookup joins on all of them (null-safely, so an

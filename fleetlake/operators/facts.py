@@ -1,4 +1,4 @@
-"""The availability fact (Gold step 10; PF10-PF14, J1, SF5; findings F7-F10, F15).
+"""The availability fact (PF10-PF14, J1, SF5; findings F7-F10, F15).
 
 Wide cells → typed readings (lenient int casts, D5) → derating default 0 →
 calendar attributes → reactor key lookup → outage flags.
@@ -29,7 +29,7 @@ def typed_cells(wide: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def fill_defaults(df: DataFrame, defaults: dict | None = None) -> DataFrame:
-    """NULL → default per named column (PF14; Gold fills ``derating`` only)."""
+    """NULL → default per named column (PF14; the reference fills ``derating`` only)."""
     return df.fillna(defaults or {"derating": 0})
 
 

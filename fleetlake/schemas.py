@@ -61,11 +61,11 @@ FACT = T.StructType([
 
 FACT_COLUMNS = [f.name for f in FACT.fields]
 
-# closed tag domain of ``parameter`` (Gold:122-130) — fixed values
+# closed tag domain of ``parameter`` — fixed values
 PARAMETERS = ("power_available", "derating", "unavailability_type",
               "unavailability_cause", "additional_info")
 NUMERIC_PARAMETERS = ("power_available", "derating")
 
-# outage types (README:37) — fixed values
+# outage types (planned, forced) — fixed values
 PLANNED = "planifiée"
 FORCED = "fortuite"

@@ -30,7 +30,7 @@ class Settings:
     # root folder for table data (external tables); None = the session warehouse
     warehouse: str | None = None
     # fact layout: partition folders + clustering inside them.  The reference
-    # partitioned by (year, reactor_id) (Gold:155) — right for 58 reactors, but
+    # partitioned by (year, reactor_id) — right for 58 reactors, but
     # one folder per reactor grows with the fleet; set fact_cluster_by=() and
     # fact_partitions=("year", "reactor_id") to reproduce it.
     fact_partitions: tuple[str, ...] = field(default=("year",))

@@ -47,7 +47,7 @@ def test_compat_mode_reproduces_fanout_gaps(spark):
     assert len(reactors) == 58
     ids = [reactors[f"fessenheim_{n}"].reactor_id for n in (1, 2)] + \
           [reactors[f"flamanville_{n}"].reactor_id for n in (1, 2)]
-    assert ids == [31, 33, 35, 37]                  # the saved table's gaps (Gold output)
+    assert ids == [31, 33, 35, 37]                  # the gaps of the saved listing
     assert reactors["golfech_1"].reactor_id == 39
     assert max(r.reactor_id for r in reactors.values()) == 62
     assert max(r.plant_id for r in reactors.values()) == 21
