@@ -75,9 +75,11 @@ def surrogate_key(df: DataFrame, order, name: str, method: str = "distributed",
         raise ValueError(method)
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     exprs = sort_exprs(cols)
-    staged = (df.repartitionByRange(n, *exprs)
+    # without an explicit count AQE sizes the range partitions from measured
+    # bytes; coalescing merges neighbours only, so partition order = key order
+    ranged = df.repartitionByRange(num_partitions, *exprs) if num_partitions else df.repartitionByRange(*exprs)
+    staged = (ranged
                 .sortWithinPartitions(*exprs)
                 .select("*", F.spark_partition_id().alias("_pid"),
                         F.monotonically_increasing_id().alias("_mid"))
@@ -86,10 +88,11 @@ def surrogate_key(df: DataFrame, order, name: str, method: str = "distributed",
     # one row per partition (a bound we chose): collected once, inlined as constants
     totals = dict(staged.groupBy("_pid").agg(F.sum(size).alias("_n")).collect())
     offsets, running = [], 0
-    for pid in range(n):
+    for pid in range(max(totals, default=-1) + 1):
         offsets.append(running)
         running += int(totals.get(pid) or 0)
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_pid") + 1)
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets] or [F.lit(0).cast("long")]),
+                          F.col("_pid") + 1)
     if weight is None:
         local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _RECORD_BITS)
     else:

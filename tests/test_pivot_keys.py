@@ -71,3 +71,23 @@ def test_weighted_key(spark):
     for method in ("distributed", "window"):
         got = {r.k: r.id for r in surrogate_key(df, ["k"], "id", method, num_partitions=3, weight="w").collect()}
         assert got == {"a": 1, "b": 3, "c": 4, "d": 7}
+
+
+def test_distributed_key_with_aqe_coalescing(spark):
+    rnd = random.Random(11)
+    rows = [(rnd.randint(0, 400), rnd.random()) for _ in range(5000)]
+    df = spark.createDataFrame(rows, "n int, r double")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+    try:
+        a = surrogate_key(df, ["n"], "id")
+        n_parts = a.select(F.spark_partition_id().alias("p")).distinct().count()
+        b = surrogate_key(df, ["n"], "id", "window")
+        assert a.exceptAll(b).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    assert 1 < n_parts < 50
