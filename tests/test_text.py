@@ -17,7 +17,14 @@ def latin1_damage(s):
 
 
 def cp1252_damage(s):
-    return s.encode("utf-8").decode("cp1252", errors="ignore")
+    # Windows-1252 reading; its five unassigned bytes pass through as C1 controls
+    raw = s.encode("utf-8")
+    return "".join(raw[i:i + 1].decode("cp1252", errors="ignore") or chr(raw[i]) for i in range(len(raw)))
+
+
+def test_orphan_quote_rule(spark):
+    # a damaged closing quote whose last byte was lost: the reference's orphan rule
+    assert run(spark, ["“citation" + "â€"], repair_text) == ['“citation"']
 
 
 def run(spark, values, expr):
