@@ -14,8 +14,9 @@ Default repair, per value, all JVM-side:
    readings such as "â€™"), an ordered chain of ``replace`` calls whose table
    is generated from a rule: the damaged spelling of each character of the
    French alphabet and its punctuation under both code pages.  Longer damaged
-   sequences go first.  The chain runs only on values that contain one of the
-   damaged lead characters.
+   sequences go first.  The chain runs only on values where a one-pass regex
+   finds a lead character followed by a possible continuation, so correct
+   French text ("bâtiment") skips it.
 
 ``compat=True`` applies the reference's ten ordered replacements instead
 (including the lossy lone-"Ã" rule, F5).  NFKC (U3) is an optional final step
@@ -105,14 +106,31 @@ def round_trip(col) -> Column:
                          F.decode(F.encode(c, "ISO-8859-1"), "UTF-8")))
 
 
+def _regex_char(ch: str) -> str:
+    return f"\\x{{{ord(ch):X}}}"
+
+
+def damage_gate_regex(pairs) -> str:
+    """One-pass test for 'some damaged sequence may be present': each lead
+    character followed by one of the characters that can follow it in the
+    table.  Correct text such as "bâtiment" does not match."""
+    follow: dict[str, set[str]] = {}
+    for bad, _ in pairs:
+        follow.setdefault(bad[0], set()).add(bad[1])
+    return "|".join(f"{_regex_char(lead)}[{''.join(_regex_char(c) for c in sorted(nxt))}]"
+                    for lead, nxt in sorted(follow.items()))
+
+
+_DEFAULT_PAIRS = damaged_spellings() + [("â€", '"')]
+_DEFAULT_GATE = damage_gate_regex(_DEFAULT_PAIRS)
+
+
 def repair_text(col, compat: bool = False) -> Column:
     """Repair one string column (NULL stays NULL)."""
     c = _c(col)
     if compat:
         return _replace_chain(c, REFERENCE_PAIRS)
-    pairs = damaged_spellings() + [("â€", '"')]
-    leads = "".join(sorted({bad[0] for bad, _ in pairs}))
-    chain = F.when(c.rlike(f"[{leads}]"), _replace_chain(c, pairs)).otherwise(c)
+    chain = F.when(c.rlike(_DEFAULT_GATE), _replace_chain(c, _DEFAULT_PAIRS)).otherwise(c)
     return F.coalesce(round_trip(c), chain)
 
 

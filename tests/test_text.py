@@ -124,3 +124,9 @@ def test_round_trip_property(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = [r[0] for r in df.orderBy("i").select(repair_text(induce_mojibake("t"))).collect()]
     assert got == texts
+
+
+def test_gate_skips_correct_french(spark):
+    from fleetlake.functions.text import _DEFAULT_GATE
+    vals = ["bâtiment", "âge", "l’été", latin1_damage("â"), cp1252_damage("’")]
+    assert run(spark, vals, lambda c: c.rlike(_DEFAULT_GATE)) == [False, False, False, True, True]
