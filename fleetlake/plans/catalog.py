@@ -199,6 +199,14 @@ def q_text_nfkc(spark, sf):
     return d.select("doc_id", nfkc("text").alias("text"))
 
 
+@register("text_repair_reference_order")
+def q_text_repair_reference_order(spark, sf):
+    """The reference's exact order: NFKC, then the ten pairs (F4); NFKC → rows-only."""
+    from fleetlake.functions.text import repair_reference_order
+    d = fixtures.damaged_documents(spark, sf)
+    return d.select("doc_id", repair_reference_order("text").alias("text"))
+
+
 def _residual_sql(source: str) -> str:
     flag = {c: f"COALESCE(regexp_matches({c}, '{O.RESIDUAL_REGEX}'), FALSE)" for c in ("text", "lang", "source")}
     return (f"SELECT count(*) AS n_rows, count(*) FILTER (WHERE {' OR '.join(flag.values())}) AS n_bad_rows, "

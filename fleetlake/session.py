@@ -24,6 +24,30 @@ LOCAL_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executors_cores: int, advisory_mb: int = 256) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input (documentation
+    helper; a cluster's launcher owns its session).
+
+    AQE sizes shuffle partitions from measured bytes, so only the initial
+    partition count scales with the input; skew joins are split at runtime;
+    scan splits stay at 256 MB so one task's input fits executor memory."""
+    advisory = advisory_mb * 1024 * 1024
+    initial = max(executors_cores * 2, -(-input_bytes // advisory))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
+    }
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   driver_memory: str = "16g", extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName("fleetlake")
