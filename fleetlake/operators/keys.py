@@ -10,9 +10,11 @@
   rows into one partition: range-partition by the order, number rows inside
   each partition, checkpoint (so the partition assignment is fixed even if an
   executor is lost and a stage re-runs), then add the running row count of all
-  earlier partitions.  Those counts are one number per partition — a bound we
-  choose, not a function of the data — so they are collected once and inlined
-  as constants (the same scheme as ``RDD.zipWithIndex``).  ``method="window"`` keeps the
+  earlier partitions.  Those counts are one number per range partition (AQE
+  sizes the partitions from measured bytes and only merges neighbours, so
+  partition order stays key order) — thousands at most, not one per row — so
+  they are collected once and inlined as constants (the scheme of
+  ``RDD.zipWithIndex``).  ``method="window"`` keeps the
   reference's single-partition ``row_number() over (order by …)`` for small
   inputs and for cross-checks.
 """
