@@ -21,7 +21,7 @@ from fleetlake.functions.calendar import floor_to
 from fleetlake.functions.flags import downtime_mw
 from fleetlake.operators.joins import lookup_join
 
-_BCAST = 2_000_000
+_BCAST = 1_000_000
 
 
 def reactor_capacity(reactors: DataFrame, bridge: DataFrame, models: DataFrame, plants: DataFrame,
@@ -48,7 +48,7 @@ def capacity_from_assets(assets: DataFrame, reactors: DataFrame, plants: DataFra
                              ["reactor"]).select("reactor", "rated_power")
     kw = dict(max_broadcast_rows=max_broadcast_rows)
     out = lookup_join(reactors.select("reactor_id", "reactor", "plant_id"), rated, "reactor", **kw)
-    out = lookup_join(out, plants.select("plant_id", "plant", "lat", "lon"), "plant_id", **kw)
+    out = lookup_join(out, plants.select("plant_id", "plant", "lat", "lon"), "plant_id", max_broadcast_rows=None)
     return out.select("reactor_id", "rated_power", "plant_id", "plant", "lat", "lon")
 
 

@@ -21,14 +21,16 @@ from fleetlake.functions.calendar import calendar_columns
 from fleetlake.operators.joins import lookup_join
 from fleetlake.operators.keys import distinct_rows, keep_one_per_key, surrogate_key
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def dim_plant(assets: DataFrame, compat: bool = False, method: str = "distributed") -> DataFrame:
+def dim_plant(assets: DataFrame, compat: bool = False, method: str = "distributed",
+              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     cols = ["plant", "lat", "lon"]
     base = (distinct_rows(assets, cols) if compat
             else keep_one_per_key(assets.select(*cols), ["plant"], ["lat", "lon"]))
-    return surrogate_key(base, cols, "plant_id", method).select(*cols, "plant_id")
+    return surrogate_key(base, cols, "plant_id", method, broadcast_max_rows=max_broadcast_rows) \
+        .select(*cols, "plant_id")
 
 
 def dim_reactor(assets: DataFrame, plants: DataFrame, compat: bool = False,
@@ -36,9 +38,10 @@ def dim_reactor(assets: DataFrame, plants: DataFrame, compat: bool = False,
     reactors = keep_one_per_key(assets.select("reactor", "plant", "grid_connection"), ["reactor"])
     if not compat:
         joined = lookup_join(reactors, plants.select("plant", "plant_id"), "plant",
-                             null_safe=True, max_broadcast_rows=max_broadcast_rows)
+                             null_safe=True, max_broadcast_rows=None)
         keyed = surrogate_key(joined.select("reactor", "plant_id", "grid_connection"),
-                              ["reactor", "plant_id", "grid_connection"], "reactor_id", method)
+                              ["reactor", "plant_id", "grid_connection"], "reactor_id", method,
+                              broadcast_max_rows=max_broadcast_rows)
         return keyed.select("reactor_id", "reactor", "plant_id", "grid_connection")
     # Reference shape (F1): joining on plant alone gives a reactor one row per
     # coordinate row of its plant; rows were numbered, then one per reactor
@@ -51,19 +54,23 @@ def dim_reactor(assets: DataFrame, plants: DataFrame, compat: bool = False,
     weighted = joined.select("reactor", "plant_id", "grid_connection",
                              F.coalesce(F.col("_rows"), F.lit(1)).alias("_rows"))
     keyed = surrogate_key(weighted, ["reactor", "plant_id", "grid_connection"], "reactor_id", method,
-                          weight="_rows")
+                          weight="_rows", broadcast_max_rows=max_broadcast_rows)
     return keyed.select("reactor_id", "reactor", "plant_id", "grid_connection")
 
 
-def dim_model(assets: DataFrame, method: str = "distributed") -> DataFrame:
+def dim_model(assets: DataFrame, method: str = "distributed",
+              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     base = distinct_rows(assets, ["model", "rated_power"])
-    return surrogate_key(base, ["model", "rated_power"], "model_id", method) \
+    return surrogate_key(base, ["model", "rated_power"], "model_id", method,
+                         broadcast_max_rows=max_broadcast_rows) \
         .select("model_id", "model", "rated_power")
 
 
-def dim_cooling(assets: DataFrame, method: str = "distributed") -> DataFrame:
+def dim_cooling(assets: DataFrame, method: str = "distributed",
+                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     base = distinct_rows(assets, ["cooling", "cooling_source"])
-    return surrogate_key(base, ["cooling", "cooling_source"], "cooling_id", method) \
+    return surrogate_key(base, ["cooling", "cooling_source"], "cooling_id", method,
+                         broadcast_max_rows=max_broadcast_rows) \
         .select("cooling_id", "cooling", "cooling_source")
 
 
@@ -81,7 +88,7 @@ def bridge(assets: DataFrame, reactors: DataFrame, models: DataFrame, coolings:
     Joins on the full natural keys (D1), so each reactor has exactly one row."""
     per_reactor = keep_one_per_key(
         assets.select("reactor", "model", "rated_power", "cooling", "cooling_source"), ["reactor"])
-    kw = dict(null_safe=True, max_broadcast_rows=max_broadcast_rows)
+    kw = dict(null_safe=True, max_broadcast_rows=None)  # keyed dimensions carry their own decision
     out = lookup_join(per_reactor, reactors.select("reactor_id", "reactor"), "reactor", **kw)
     out = lookup_join(out, models.select("model_id", "model", "rated_power"), ["model", "rated_power"], **kw)
     out = lookup_join(out, coolings.select("cooling_id", "cooling", "cooling_source"),
@@ -103,7 +110,7 @@ def bridge_fanout(assets: DataFrame, reactors: DataFrame,
     cooling_rows = distinct_rows(assets, ["cooling", "cooling_source"]).groupBy("cooling") \
         .agg(F.count(F.lit(1)).alias("cooling_rows"))
     kw = dict(max_broadcast_rows=max_broadcast_rows)
-    out = lookup_join(per_reactor, reactors.select("reactor_id", "reactor"), "reactor", **kw)
+    out = lookup_join(per_reactor, reactors.select("reactor_id", "reactor"), "reactor", max_broadcast_rows=None)
     out = lookup_join(out, model_rows, "model", **kw)
     out = lookup_join(out, cooling_rows, "cooling", **kw)
     m = F.coalesce(F.col("model_rows"), F.lit(1))

@@ -43,7 +43,9 @@ def fact_availability(wide: DataFrame, reactors: DataFrame, strict: bool = False
     else:
         fact = fact.withColumns({"date_key": date_key("date_time"),
                                  "year": F.year("date_time").cast("int")})
+    # the reactor dimension decides its own broadcast (keyed: proven hint;
+    # read back from a table: file statistics)
     fact = lookup_join(fact, reactors.select("reactor_id", F.col("reactor").alias("reactor_name")),
-                       "reactor_name", null_safe=null_safe, max_broadcast_rows=max_broadcast_rows)
+                       "reactor_name", null_safe=null_safe, max_broadcast_rows=None)
     fact = fact.withColumns({"is_unavailable": is_unavailable(), "is_derated": is_derated()})
     return fact.select(*FACT_COLUMNS)

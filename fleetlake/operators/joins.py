@@ -28,9 +28,13 @@ def maybe_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
 
 
 def lookup_join(left: DataFrame, dim: DataFrame, on, how: str = "left",
-                null_safe: bool = False, max_broadcast_rows: int | None = 2_000_000) -> DataFrame:
+                null_safe: bool = False, max_broadcast_rows: int | None = 1_000_000) -> DataFrame:
     """``left ⟕ dim`` on the ``on`` columns (same names on both sides).
 
+    ``max_broadcast_rows=None`` skips the check: the dimension's own plan
+    decides (a keyed dimension already carries a proven broadcast hint; a
+    table read back has file statistics for Catalyst's size-based choice).
+
     ``null_safe`` matches NULL keys to each other (``<=>``), which the default
     star-schema build uses so that an unknown member gets its own key (D1).
     """

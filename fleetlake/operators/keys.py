@@ -59,13 +59,18 @@ def keep_one_per_key(df: DataFrame, keys, order=None) -> DataFrame:
 
 
 def surrogate_key(df: DataFrame, order, name: str, method: str = "distributed",
-                  num_partitions: int | None = None, weight: str | None = None) -> DataFrame:
+                  num_partitions: int | None = None, weight: str | None = None,
+                  broadcast_max_rows: int | None = None) -> DataFrame:
     """Append ``name`` = dense 1..n int over the total order (D3).
 
     With ``weight`` the key is 1 + the sum of the weights of all earlier rows:
     the position a row would have if it were repeated ``weight`` times, which
     is how the reference's fanned-out numbering is reproduced without
-    materialising the fan-out (compat ``dim_reactor``)."""
+    materialising the fan-out (compat ``dim_reactor``).
+
+    The distributed form learns the exact row count for free (the sum of the
+    per-partition counts); when it is at most ``broadcast_max_rows`` the result
+    carries a broadcast hint, so later lookups need no separate size check."""
     cols = total_order(df, order)
     if method == "window":
         w = Window.orderBy(*sort_exprs(cols))
@@ -101,4 +106,7 @@ def surrogate_key(df: DataFrame, order, name: str, method: str = "distributed",
         # running weight inside one range partition (bounded by the partition count we chose)
         inside = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
         local = F.coalesce(F.sum(size).over(inside), F.lit(0))
-    return staged.select(*df.columns, (offset + local + 1).cast("int").alias(name))
+    out = staged.select(*df.columns, (offset + local + 1).cast("int").alias(name))
+    if broadcast_max_rows is not None and sum(int(v or 0) for v in totals.values()) <= broadcast_max_rows:
+        out = F.broadcast(out)
+    return out
