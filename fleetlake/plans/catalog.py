@@ -15,17 +15,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetlake.functions import casts
 from fleetlake.functions.calendar import floor_minutes
-from fleetlake.functions.text import REFERENCE_PAIRS, nfkc, repair_string_columns
+from fleetlake.functions.text import (REFERENCE_PAIRS, induce_mojibake, nfkc, repair_reference_order,
+                                      repair_string_columns)
 from fleetlake.operators import analytics, dims, facts, keys, pivot, quality
 from fleetlake.plans import layers, oracle as O
 from fleetlake.plans.star import Star
-from fleetlake.schemas import FACT_COLUMNS
+from fleetlake.schemas import FACT_COLUMNS, READINGS_CSV
 from fleetlake.settings import Settings
 from fleetlake.session import scratch_path
 from fleetlake.sinks.tables import create_database, write_fact
 from fleetlake.sources import fixtures
 from fleetlake.sources.csv import read_csv, write_csv
 from fleetlake.sources.tables import file_inventory
+from fleetlake.streaming.ingest import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -202,7 +204,6 @@ def q_text_nfkc(spark, sf):
 @register("text_repair_reference_order")
 def q_text_repair_reference_order(spark, sf):
     """The reference's exact order: NFKC, then the ten pairs (F4); NFKC → rows-only."""
-    from fleetlake.functions.text import repair_reference_order
     d = fixtures.damaged_documents(spark, sf)
     return d.select("doc_id", repair_reference_order("text").alias("text"))
 
@@ -291,14 +292,14 @@ def q_table_round_trip(spark, sf):
 
 @register("gold_pipeline", O.sql(O.STAR, f"SELECT {O.FACT_COLUMNS} FROM fact"))
 def q_gold_pipeline(spark, sf):
-    """CSV sources → bronze → silver → gold tables, then the gold fact read back."""
+    """Damaged CSV sources → bronze (repair) → silver → gold tables, then the gold fact read back."""
     root = scratch_path(spark, "pipeline")
     tag = root.rsplit("-", 1)[-1]
     settings = Settings(bronze_db=f"bronze_{tag}", silver_db=f"silver_{tag}", gold_db=f"gold_{tag}",
                         warehouse=f"{root}/tables")
     asset_csv, readings_csv = f"{root}/src/assets", f"{root}/src/readings"
     write_csv(fixtures.assets(spark, sf), asset_csv)
-    write_csv(fixtures.readings(spark, sf), readings_csv)
+    write_csv(fixtures.readings(spark, sf).withColumn("value", induce_mojibake("value")), readings_csv)
     tables = layers.run_pipeline(spark, asset_csv, readings_csv, settings)
     return spark.table(tables["fact_availability"]).select(*FACT_COLUMNS)
 
@@ -307,17 +308,12 @@ def q_gold_pipeline(spark, sf):
 FROM readings"""))
 def q_bronze_stream_ingest(spark, sf):
     """Readings land as damaged CSV; the available-now stream parses and repairs them."""
-    from fleetlake import schemas
-    from fleetlake.functions.casts import format_timestamp
-    from fleetlake.functions.text import induce_mojibake
-    from fleetlake.streaming.ingest import ingest_available
-
     root = scratch_path(spark, "stream")
     landed = fixtures.readings(spark, sf).select(
-        format_timestamp("date_time").alias("date_time"), "reactor_name", "parameter",
+        casts.format_timestamp("date_time").alias("date_time"), "reactor_name", "parameter",
         induce_mojibake("value").alias("value"), "seq")
     write_csv(landed, f"{root}/landing")
-    ingest_available(spark, f"{root}/landing", schemas.READINGS_CSV, f"{root}/bronze", f"{root}/checkpoint",
+    ingest_available(spark, f"{root}/landing", READINGS_CSV, f"{root}/bronze", f"{root}/checkpoint",
                      timestamp_cols=("date_time",))
     return spark.read.parquet(f"{root}/bronze")
 

@@ -28,6 +28,11 @@ def create_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
+def use_database(spark: SparkSession, name: str) -> None:
+    """Make ``name`` the current database (unqualified names resolve there)."""
+    spark.catalog.setCurrentDatabase(name)
+
+
 def drop_tables(spark: SparkSession, names) -> None:
     for name in names:
         spark.sql(f"DROP TABLE IF EXISTS {name}")

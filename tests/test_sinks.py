@@ -5,7 +5,7 @@ import os
 import tempfile
 
 from fleetlake.settings import Settings
-from fleetlake.sinks.tables import create_database, overwrite_partitioned, write_fact
+from fleetlake.sinks.tables import create_database, drop_tables, overwrite_partitioned, use_database, write_fact
 
 
 def sample(spark):
@@ -38,3 +38,17 @@ def test_clustered_layout_round_trip(spark):
     # one reactor's rows are read with a pushed-down filter
     plan = back.filter("reactor_id = 3")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "reactor_id" in plan
+
+
+def test_use_and_drop(spark):
+    root = tempfile.mkdtemp(prefix="fleetlake-sink-")
+    create_database(spark, "t_use")
+    write_fact(sample(spark), "t_use.f", Settings(), path=f"{root}/f")
+    current = spark.catalog.currentDatabase()
+    try:
+        use_database(spark, "t_use")
+        assert spark.sql("SELECT * FROM f").count() == 100      # bare name resolves
+        drop_tables(spark, ["t_use.f", "t_use.missing"])           # IF EXISTS semantics
+        assert not spark.catalog.tableExists("t_use.f")
+    finally:
+        use_database(spark, current)
