@@ -290,17 +290,17 @@ def q_table_round_trip(spark, sf):
     return spark.table(name).select(*FACT_COLUMNS)
 
 
-@register("gold_pipeline", O.sql(O.STAR, f"SELECT {O.FACT_COLUMNS} FROM fact"))
-def q_gold_pipeline(spark, sf):
+@register("gold_from_csv", O.sql(O.STAR, f"SELECT {O.FACT_COLUMNS} FROM fact"))
+def q_gold_from_csv(spark, sf):
     """Damaged CSV sources → bronze (repair) → silver → gold tables, then the gold fact read back."""
-    root = scratch_path(spark, "pipeline")
+    root = scratch_path(spark, "layers")
     tag = root.rsplit("-", 1)[-1]
     settings = Settings(bronze_db=f"bronze_{tag}", silver_db=f"silver_{tag}", gold_db=f"gold_{tag}",
                         warehouse=f"{root}/tables")
     asset_csv, readings_csv = f"{root}/src/assets", f"{root}/src/readings"
     write_csv(fixtures.assets(spark, sf), asset_csv)
     write_csv(fixtures.readings(spark, sf).withColumn("value", induce_mojibake("value")), readings_csv)
-    tables = layers.run_pipeline(spark, asset_csv, readings_csv, settings)
+    tables = layers.run_layers(spark, asset_csv, readings_csv, settings)
     return spark.table(tables["fact_availability"]).select(*FACT_COLUMNS)
 
 

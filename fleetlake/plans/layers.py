@@ -112,7 +112,7 @@ def build_gold(spark: SparkSession, settings: Settings = Settings()) -> dict[str
     return {name: g(name) for name in GOLD_TABLES}
 
 
-def run_pipeline(spark: SparkSession, asset_csv: str, readings_csv: str,
+def run_layers(spark: SparkSession, asset_csv: str, readings_csv: str,
                  settings: Settings = Settings()) -> dict[str, str]:
     report = build_bronze(spark, asset_csv, readings_csv, settings)
     report.first()  # validation result is computed before silver is built

@@ -1,7 +1,7 @@
 """Assemble the gold star schema from the fixture views, in memory.
 
 Used by the query catalog and the bench; the persisted version (write, read
-back, D3) is ``plans.pipeline``.  Each dimension's keys are computed once
+back, D3) is ``plans.layers``.  Each dimension's keys are computed once
 (checkpointed inside ``surrogate_key``) so every consumer sees the same ids.
 """
 

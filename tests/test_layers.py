@@ -18,8 +18,8 @@ def snapshot(spark, tables):
     return out
 
 
-def test_pipeline_is_deterministic_and_idempotent(spark):
-    root = tempfile.mkdtemp(prefix="fleetlake-pipeline-")
+def test_layers_are_deterministic_and_idempotent(spark):
+    root = tempfile.mkdtemp(prefix="fleetlake-layers-")
     settings = Settings(bronze_db="t_bronze", silver_db="t_silver", gold_db="t_gold", warehouse=f"{root}/tables")
     a_csv, r_csv = f"{root}/src/assets", f"{root}/src/readings"
     # damage the readings' text on the way in; bronze must repair it
@@ -28,9 +28,9 @@ def test_pipeline_is_deterministic_and_idempotent(spark):
     write_csv(fixtures.assets(spark, SF_SMALL), a_csv)
     write_csv(readings.withColumn("value", induce_mojibake("value")), r_csv)
 
-    first = layers.run_pipeline(spark, a_csv, r_csv, settings)
+    first = layers.run_layers(spark, a_csv, r_csv, settings)
     snap1 = snapshot(spark, first)
-    second = layers.run_pipeline(spark, a_csv, r_csv, settings)
+    second = layers.run_layers(spark, a_csv, r_csv, settings)
     assert snapshot(spark, second) == snap1
 
     report = layers.quality.residual_report(spark.table(settings.table("bronze", "readings"))).collect()[0]
