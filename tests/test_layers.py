@@ -40,3 +40,23 @@ def test_layers_are_deterministic_and_idempotent(spark):
     assert fact.filter("unavailability_type = 'planifiée'").count() > 0  # repaired accent
     assert fact.count() == fixtures.readings(spark, SF_SMALL).filter("parameter = 'power_available'") \
         .select("date_time", "reactor_name").distinct().count()
+
+
+def test_gate_runs_before_any_gold_write(spark):
+    import pytest
+    from test_dims import golden_assets
+
+    root = tempfile.mkdtemp(prefix="fleetlake-gate-")
+    a_csv, r_csv = f"{root}/src/assets", f"{root}/src/readings"
+    write_csv(golden_assets(spark).filter("cooling_source = 'river'"), a_csv)
+    write_csv(fixtures.readings(spark, SF_SMALL), r_csv)
+    bad = Settings(bronze_db="g_bronze", silver_db="g_silver", gold_db="g_gold_bad",
+                   warehouse=f"{root}/tables", compat=True, expected_reactors=57)
+    with pytest.raises(ValueError, match="row-count gate"):
+        layers.run_layers(spark, a_csv, r_csv, bad)
+    assert not spark.catalog.databaseExists("g_gold_bad")     # nothing written (F14)
+
+    ok = bad.with_(gold_db="g_gold_ok", expected_reactors=58)
+    tables = layers.run_layers(spark, a_csv, r_csv, ok)
+    ids = sorted(r.reactor_id for r in spark.table(tables["dim_reactor"]).collect())
+    assert len(ids) == 58 and ids[-1] == 62                  # compat keeps the fan-out gaps
