@@ -33,24 +33,47 @@ GOLD_TABLES = ("dim_plant", "dim_reactor", "dim_model", "dim_cooling", "dim_date
 # --- bronze -------------------------------------------------------------------------
 
 
+def _wall_clock(df: DataFrame, name: str, settings: Settings):
+    kind = dict(df.dtypes)[name]
+    if kind == "string":
+        return parse_timestamp(name, settings.timestamp_format, settings.strict)
+    return F.col(name).cast("timestamp_ntz")   # inferred timestamp: keep the wall time
+
+
+def _calendar_date(df: DataFrame, name: str, settings: Settings):
+    if dict(df.dtypes)[name] == "string":
+        return parse_date(name, settings.date_format, settings.strict)
+    return F.col(name).cast("date")
+
+
 def bronze_frame(raw: DataFrame, settings: Settings, timestamp_cols=(), date_cols=()) -> DataFrame:
     """Parse wall-clock columns, then repair every remaining string column."""
-    parsed = raw.withColumns({c: parse_timestamp(c, settings.timestamp_format, settings.strict)
-                              for c in timestamp_cols})
-    parsed = parsed.withColumns({c: parse_date(c, settings.date_format, settings.strict) for c in date_cols})
+    present = set(raw.columns)
+    parsed = raw.withColumns({c: _wall_clock(raw, c, settings) for c in timestamp_cols if c in present})
+    parsed = parsed.withColumns({c: _calendar_date(raw, c, settings) for c in date_cols if c in present})
     return repair_string_columns(parsed, compat=settings.compat, normalize=settings.nfkc)
 
 
+def ingest_csv(spark: SparkSession, path: str, table: str, settings: Settings = Settings(),
+               schema=None, timestamp_cols=("date_time",), date_cols=()) -> None:
+    """One CSV source → bronze table; ``schema=None`` infers column types."""
+    overwrite_table(bronze_frame(read_csv(spark, path, schema, settings.timestamp_format, settings.date_format),
+                                 settings, timestamp_cols, date_cols), table, settings)
+
+
 def build_bronze(spark: SparkSession, asset_csv: str, readings_csv: str,
-                 settings: Settings = Settings()) -> DataFrame:
-    """Ingest both CSV sources; returns the residual report of the readings."""
+                 settings: Settings = Settings(), extra_sources: dict[str, str] | None = None) -> DataFrame:
+    """Ingest the CSV sources; returns the residual report of the readings.
+
+    ``extra_sources`` (name → path) are ingested with inferred schemas, their
+    ``date_time`` parsed and strings repaired, like the reference's third
+    source, which nothing downstream reads (F13)."""
     create_database(spark, settings.bronze_db)
-    assets = bronze_frame(read_csv(spark, asset_csv, schemas.ASSET_LIST_CSV), settings,
-                          date_cols=("grid_connection",))
-    overwrite_table(assets, settings.table("bronze", ASSETS), settings)
-    readings = bronze_frame(read_csv(spark, readings_csv, schemas.READINGS_CSV), settings,
-                            timestamp_cols=("date_time",))
-    overwrite_table(readings, settings.table("bronze", READINGS), settings)
+    ingest_csv(spark, asset_csv, settings.table("bronze", ASSETS), settings, schemas.ASSET_LIST_CSV,
+               timestamp_cols=(), date_cols=("grid_connection",))
+    ingest_csv(spark, readings_csv, settings.table("bronze", READINGS), settings, schemas.READINGS_CSV)
+    for name, path in (extra_sources or {}).items():
+        ingest_csv(spark, path, settings.table("bronze", name), settings)
     return quality.residual_report(spark.table(settings.table("bronze", READINGS)), compat=settings.compat)
 
 

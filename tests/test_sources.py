@@ -41,3 +41,19 @@ def test_explicit_schema(spark):
     df = read_csv(spark, write(READINGS_CSV), schemas.READINGS_CSV)
     assert [f.dataType.simpleString() for f in df.schema.fields] == ["string", "string", "string", "string", "bigint"]
     assert df.count() == 2
+
+
+def test_bronze_ingest_of_unknown_schema(spark):
+    from fleetlake.plans.layers import ingest_csv
+    from fleetlake.settings import Settings
+    from fleetlake.sinks.tables import create_database
+
+    damaged = "1/1/2015 0:30,Ã©tÃ©,3\n1/1/2015 1:00,ok,\n"
+    path = write("date_time,note,n\n" + damaged)
+    root = tempfile.mkdtemp(prefix="fleetlake-bronze-")
+    create_database(spark, "t_bronze_x")
+    ingest_csv(spark, path, "t_bronze_x.availability", Settings(warehouse=root))
+    df = spark.table("t_bronze_x.availability")
+    assert dict(df.dtypes)["date_time"] == "timestamp_ntz"
+    rows = sorted(df.collect(), key=lambda r: r.date_time)
+    assert rows[0].date_time == dt.datetime(2015, 1, 1, 0, 30) and rows[0].note == "été" and rows[0].n == 3

@@ -130,3 +130,9 @@ def test_gate_skips_correct_french(spark):
     from fleetlake.functions.text import _DEFAULT_GATE
     vals = ["bâtiment", "âge", "l’été", latin1_damage("â"), cp1252_damage("’")]
     assert run(spark, vals, lambda c: c.rlike(_DEFAULT_GATE)) == [False, False, False, True, True]
+
+
+def test_optional_nfkc_runs_after_repair(spark):
+    df = spark.createDataFrame([(latin1_damage("ê ½ ﬁ"),)], "t string")
+    assert repair_string_columns(df, normalize=True).first().t == "ê 1⁄2 fi"
+    assert repair_string_columns(df).first().t == "ê ½ ﬁ"
