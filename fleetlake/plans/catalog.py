@@ -287,7 +287,7 @@ def q_table_round_trip(spark, sf):
     path = scratch_path(spark, "fact")
     name = "fleetlake_scratch.fact_" + path.rsplit("-", 1)[-1]
     write_fact(fact, name, path=path)
-    return spark.table(name).select(*FACT_COLUMNS)
+    return spark.sql(f"SELECT {', '.join(FACT_COLUMNS)} FROM {name}")   # SQL text over the catalog
 
 
 @register("gold_from_csv", O.sql(O.STAR, f"SELECT {O.FACT_COLUMNS} FROM fact"))
