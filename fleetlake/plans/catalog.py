@@ -283,8 +283,8 @@ def q_csv_round_trip(spark, sf):
 @register("table_round_trip", O.sql(O.STAR, f"SELECT {O.FACT_COLUMNS} FROM fact"))
 def q_table_round_trip(spark, sf):
     fact = Star(spark, sf).fact
-    create_database(spark, "fleetlake_scratch")
     path = scratch_path(spark, "fact")
+    create_database(spark, "fleetlake_scratch", path.rsplit("/", 1)[0] + "/fleetlake_scratch.db")
     name = "fleetlake_scratch.fact_" + path.rsplit("-", 1)[-1]
     write_fact(fact, name, path=path)
     return spark.sql(f"SELECT {', '.join(FACT_COLUMNS)} FROM {name}")   # SQL text over the catalog

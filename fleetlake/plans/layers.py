@@ -68,7 +68,7 @@ def build_bronze(spark: SparkSession, asset_csv: str, readings_csv: str,
     ``extra_sources`` (name → path) are ingested with inferred schemas, their
     ``date_time`` parsed and strings repaired, like the reference's third
     source, which nothing downstream reads (F13)."""
-    create_database(spark, settings.bronze_db)
+    create_database(spark, settings.bronze_db, settings.location(settings.bronze_db))
     ingest_csv(spark, asset_csv, settings.table("bronze", ASSETS), settings, schemas.ASSET_LIST_CSV,
                timestamp_cols=(), date_cols=("grid_connection",))
     ingest_csv(spark, readings_csv, settings.table("bronze", READINGS), settings, schemas.READINGS_CSV)
@@ -94,7 +94,7 @@ def silver_readings(bronze: DataFrame) -> DataFrame:
 
 
 def build_silver(spark: SparkSession, settings: Settings = Settings()) -> None:
-    create_database(spark, settings.silver_db)
+    create_database(spark, settings.silver_db, settings.location(settings.silver_db))
     overwrite_table(silver_assets(spark.table(settings.table("bronze", ASSETS))),
                     settings.table("silver", ASSETS), settings)
     overwrite_table(silver_readings(spark.table(settings.table("bronze", READINGS))),
@@ -116,7 +116,7 @@ def build_gold(spark: SparkSession, settings: Settings = Settings()) -> dict[str
     if settings.expected_reactors is not None or not settings.compat:
         quality.enforce_row_count(reactors, "reactor", settings.expected_reactors)
 
-    create_database(spark, settings.gold_db)
+    create_database(spark, settings.gold_db, settings.location(settings.gold_db))
     overwrite_table(plants, g("dim_plant"), settings)
     overwrite_table(reactors, g("dim_reactor"), settings)
     overwrite_table(dims.dim_model(assets), g("dim_model"), settings)

@@ -24,8 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from fleetlake.settings import Settings
 
 
-def create_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{where}")
 
 
 def use_database(spark: SparkSession, name: str) -> None:
