@@ -14,9 +14,11 @@
   sizes the partitions from measured bytes and only merges neighbours, so
   partition order stays key order) — thousands at most, not one per row — so
   they are collected once and inlined as constants (the scheme of
-  ``RDD.zipWithIndex``).  ``method="window"`` keeps the
-  reference's single-partition ``row_number() over (order by …)`` for small
-  inputs and for cross-checks.
+  ``RDD.zipWithIndex``).
+* ``method="window"`` keeps the reference's single-partition
+  ``row_number() over (order by …)``, but only for inputs an exact count
+  proves small (``window_max_rows``); larger inputs take the distributed form,
+  which yields the same ids.
 """
 
 from __future__ import annotations
@@ -58,9 +60,13 @@ def keep_one_per_key(df: DataFrame, keys, order=None) -> DataFrame:
                .select(*df.columns)
 
 
+WINDOW_MAX_ROWS = 1_000_000
+
+
 def surrogate_key(df: DataFrame, order, name: str, method: str = "distributed",
                   num_partitions: int | None = None, weight: str | None = None,
-                  broadcast_max_rows: int | None = None) -> DataFrame:
+                  broadcast_max_rows: int | None = None,
+                  window_max_rows: int = WINDOW_MAX_ROWS) -> DataFrame:
     """Append ``name`` = dense 1..n int over the total order (D3).
 
     With ``weight`` the key is 1 + the sum of the weights of all earlier rows:
@@ -72,6 +78,8 @@ def surrogate_key(df: DataFrame, order, name: str, method: str = "distributed",
     per-partition counts); when it is at most ``broadcast_max_rows`` the result
     carries a broadcast hint, so later lookups need no separate size check."""
     cols = total_order(df, order)
+    if method == "window" and df.count() > window_max_rows:
+        method = "distributed"   # one task may only hold a proven-small input
     if method == "window":
         w = Window.orderBy(*sort_exprs(cols))
         if weight is None:

@@ -91,3 +91,12 @@ def test_distributed_key_with_aqe_coalescing(spark):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
     assert 1 < n_parts < 50
+
+
+def test_window_form_only_for_proven_small_inputs(spark):
+    df = spark.createDataFrame([(i % 7, i) for i in range(500)], "g int, n int")
+    small = surrogate_key(df, ["g", "n"], "id", "window")
+    guarded = surrogate_key(df, ["g", "n"], "id", "window", window_max_rows=100)
+    assert "Window" in small._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in guarded._jdf.queryExecution().executedPlan().toString()
+    assert small.exceptAll(guarded).count() == 0
