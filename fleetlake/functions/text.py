@@ -63,7 +63,7 @@ FRENCH_CHARACTERS = (
 RESIDUAL_REGEX = r"\x{C3}[\x{80}-\x{BF}]|\x{E2}\x{20AC}|\x{FFFD}"
 COMPAT_RESIDUAL_REGEX = "|".join(REFERENCE_RESIDUAL_MARKERS)
 
-_LATIN1_ONLY = r"^[\x{00}-\x{FF}]*$"
+_BEYOND_LATIN1 = r"[^\x{00}-\x{FF}]"
 _UTF8_PAIR = r"[\x{C2}-\x{F4}][\x{80}-\x{BF}]"
 
 
@@ -100,7 +100,7 @@ def induce_mojibake(col) -> Column:
 def round_trip(col) -> Column:
     """Undo whole-value damage; NULL where the value does not qualify."""
     c = _c(col)
-    qualifies = c.rlike(_UTF8_PAIR) & c.rlike(_LATIN1_ONLY)
+    qualifies = c.rlike(_UTF8_PAIR) & ~c.rlike(_BEYOND_LATIN1)   # both scans stop at the first hit
     return F.when(qualifies,
                   F.when(F.is_valid_utf8(F.encode(c, "ISO-8859-1")),
                          F.decode(F.encode(c, "ISO-8859-1"), "UTF-8")))
