@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetlake.operators import analytics, dims, facts, pivot
+from fleetlake.session import checkpoint_dir
 from fleetlake.settings import Settings
 from fleetlake.sources import fixtures
 
@@ -25,7 +26,11 @@ class Star:
 
     @cached_property
     def assets(self) -> DataFrame:
-        return fixtures.assets(self.spark, self.sf_dir)
+        # read by three consumers (plants, reactors, capacity): materialise the
+        # three-way join once in the shared checkpoint folder instead of
+        # recomputing it for each
+        checkpoint_dir(self.spark)
+        return fixtures.assets(self.spark, self.sf_dir).checkpoint(eager=True)
 
     @cached_property
     def readings(self) -> DataFrame:
