@@ -100,3 +100,11 @@ def test_window_form_only_for_proven_small_inputs(spark):
     assert "Window" in small._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in guarded._jdf.queryExecution().executedPlan().toString()
     assert small.exceptAll(guarded).count() == 0
+
+
+def test_empty_inputs(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert long_to_wide(empty).count() == 0
+    assert keep_one_per_key(empty, ["reactor_name"]).count() == 0
+    keyed = surrogate_key(empty.select("reactor_name", "seq"), ["reactor_name"], "id")
+    assert keyed.count() == 0 and "id" in keyed.columns
