@@ -413,8 +413,11 @@ def q_yoy_change(spark, sf):
   SELECT reactor_id FROM fc WHERE reactor_id IS NOT NULL GROUP BY reactor_id
   ORDER BY sum(downtime_mw) DESC, reactor_id ASC LIMIT 1)"""))
 def q_asset_slice(spark, sf):
-    s = Star(spark, sf)
-    return analytics.worst_asset_slice(s.fact_capacity, s.fact)
+    # both the ranking and the slice read the fact: materialise it once rather
+    # than running the pivot twice (the two branches prune differently, so
+    # Spark cannot reuse the exchange)
+    fc = Star(spark, sf).fact_capacity.checkpoint(eager=True)
+    return analytics.worst_asset_slice(fc, fc.select(*FACT_COLUMNS))
 
 
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
