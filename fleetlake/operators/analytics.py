@@ -143,6 +143,12 @@ def downtime_by_year_type_log(log: DataFrame) -> DataFrame:
                     F.count(F.lit(1)).alias("n_outages")))
 
 
+def mw_over_time(log: DataFrame, grain: str = "month") -> DataFrame:
+    """BI3 over the outage log: lost MW per period at any grain."""
+    return (log.groupBy(floor_to("date_time", grain).alias("period"))
+               .agg(F.sum("mw").cast("double").alias("total_mw"), F.count(F.lit(1)).alias("n_outages")))
+
+
 def seasonality(log: DataFrame) -> DataFrame:
     """BI9: month-of-year profile of lost MW."""
     return (log.groupBy(F.month("date_time").cast("int").alias("month"))

@@ -394,6 +394,12 @@ def q_plant_map(spark, sf):
     return analytics.plant_map(Star(spark, sf).fact_capacity)
 
 
+@register("mw_over_time_month", O.sql([O.OUTAGE_LOG], """SELECT date_trunc('month', date_time) AS period,
+  CAST(sum(mw) AS DOUBLE) AS total_mw, count(*) AS n_outages FROM log GROUP BY 1"""))
+def q_mw_over_time_month(spark, sf):
+    return analytics.mw_over_time(fixtures.outage_log(spark, sf), "month")
+
+
 @register("seasonality", O.sql([O.OUTAGE_LOG], """SELECT month, n_outages, CAST(s AS DOUBLE) AS total_mw,
   CAST(s AS DOUBLE) / n_outages AS avg_mw
 FROM (SELECT CAST(month(date_time) AS INTEGER) AS month, sum(mw) AS s, count(*) AS n_outages FROM log GROUP BY 1)"""))
