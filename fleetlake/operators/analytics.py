@@ -25,7 +25,7 @@ _BCAST = 1_000_000
 
 
 def reactor_capacity(reactors: DataFrame, bridge: DataFrame, models: DataFrame, plants: DataFrame,
-                     max_broadcast_rows: int = _BCAST) -> DataFrame:
+                     max_broadcast_rows: int | None = _BCAST) -> DataFrame:
     """reactor_id → rated_power and plant attributes, through the bridge (default mode)."""
     kw = dict(max_broadcast_rows=max_broadcast_rows)
     out = lookup_join(reactors.select("reactor_id", "plant_id"), bridge.select("reactor_id", "model_id"),
