@@ -125,13 +125,27 @@ _DEFAULT_PAIRS = damaged_spellings() + [("â€", '"')]
 _DEFAULT_GATE = damage_gate_regex(_DEFAULT_PAIRS)
 
 
+def suspect_regex(pairs) -> str:
+    """Any sign of damage, as one two-class pattern: a UTF-8 lead byte read as
+    Latin-1 (U+00C2-U+00F4, which also covers every lead of the table) followed
+    by a continuation byte or by any second character of the table.  A slight
+    superset of the exact conditions checked next; clean values leave after
+    this single scan."""
+    second = {bad[1] for bad, _ in pairs if ord(bad[1]) > 0xBF or ord(bad[1]) < 0x80}
+    extra = "".join(_regex_char(ch) for ch in sorted(second))
+    return f"[\\x{{C2}}-\\x{{F4}}][\\x{{80}}-\\x{{BF}}{extra}]"
+
+
+_SUSPECT = suspect_regex(_DEFAULT_PAIRS)
+
+
 def repair_text(col, compat: bool = False) -> Column:
     """Repair one string column (NULL stays NULL)."""
     c = _c(col)
     if compat:
         return _replace_chain(c, REFERENCE_PAIRS)
     chain = F.when(c.rlike(_DEFAULT_GATE), _replace_chain(c, _DEFAULT_PAIRS)).otherwise(c)
-    return F.coalesce(round_trip(c), chain)
+    return F.when(c.rlike(_SUSPECT), F.coalesce(round_trip(c), chain)).otherwise(c)
 
 
 @F.pandas_udf(StringType())

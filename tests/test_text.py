@@ -136,3 +136,12 @@ def test_optional_nfkc_runs_after_repair(spark):
     df = spark.createDataFrame([(latin1_damage("ê ½ ﬁ"),)], "t string")
     assert repair_string_columns(df, normalize=True).first().t == "ê 1⁄2 fi"
     assert repair_string_columns(df).first().t == "ê ½ ﬁ"
+
+
+def test_suspect_gate_is_a_superset(spark):
+    # every damaged spelling in the table and every Latin-1 reading of UTF-8
+    # text trips the one-pass gate; plain and correct French text does not
+    from fleetlake.functions.text import _DEFAULT_PAIRS, _SUSPECT
+    damaged = [bad for bad, _ in _DEFAULT_PAIRS] + [latin1_damage(w) for w in ("привет", "日本", "ß")]
+    assert all(run(spark, damaged, lambda c: c.rlike(_SUSPECT)))
+    assert not any(run(spark, ["bâtiment", "été", "plain", "naïve"], lambda c: c.rlike(_SUSPECT)))
