@@ -143,7 +143,9 @@ def repair_text(col, compat: bool = False) -> Column:
     """Repair one string column (NULL stays NULL)."""
     c = _c(col)
     if compat:
-        return _replace_chain(c, REFERENCE_PAIRS)
+        # replacing an absent sequence is a no-op: skip values without any lead
+        leads = "".join(sorted({_regex_char(bad[0]) for bad, _ in REFERENCE_PAIRS}))
+        return F.when(c.rlike(f"[{leads}]"), _replace_chain(c, REFERENCE_PAIRS)).otherwise(c)
     chain = F.when(c.rlike(_DEFAULT_GATE), _replace_chain(c, _DEFAULT_PAIRS)).otherwise(c)
     return F.when(c.rlike(_SUSPECT), F.coalesce(round_trip(c), chain)).otherwise(c)
 
