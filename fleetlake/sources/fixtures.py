@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetlake.functions.calendar import floor_day
 from fleetlake.functions.text import induce_mojibake, string_columns
-from fleetlake.operators.joins import lookup_join, maybe_broadcast
+from fleetlake.operators.joins import lookup_join
 from fleetlake.schemas import FORCED, PLANNED
 
 # event type → parameter of the long series (fixture definition)
@@ -51,7 +51,8 @@ def assets(spark: SparkSession, sf_dir: str, coordinate_variants: bool = False)
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("c_custkey"),
                                             "p_brand", "p_size", "p_type")
-    joined = c.join(maybe_broadcast(n, 100_000), c.c_nationkey == n.n_nationkey)
+    # nation is a plain file scan: Catalyst's file-size check broadcasts it
+    joined = c.join(n, c.c_nationkey == n.n_nationkey)
     joined = joined.join(p, "c_custkey", "left")
     lat: Column = (F.col("n_regionkey") * 10.0).cast("double")
     if coordinate_variants:
