@@ -68,7 +68,7 @@ def q_fact_availability(spark, sf):
 @register("fact_availability_calendar_join", O.sql(O.STAR, f"SELECT {O.FACT_COLUMNS} FROM fact"))
 def q_fact_calendar_join(spark, sf):
     s = Star(spark, sf)
-    return facts.fact_availability(s.wide, s.reactors, calendar=dims.dim_datetime(s.readings))
+    return facts.fact_availability(s.wide, s.reactors, calendar=dims.dim_datetime(s.readings), null_safe=True)
 
 
 @register("outage_flags", O.sql(O.STAR, """SELECT is_unavailable, is_derated, count(*) AS n_readings

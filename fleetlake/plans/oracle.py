@@ -180,7 +180,7 @@ FACT = """fact AS (
          CASE WHEN t.power_available = 0 AND t.unavailability_type IS NULL THEN TRUE
               WHEN t.power_available > 0 AND COALESCE(t.derating_parsed, 0) > 0 THEN TRUE
               ELSE FALSE END AS is_derated
-  FROM typed t LEFT JOIN dim_reactor d ON d.reactor = t.reactor_name)"""
+  FROM typed t LEFT JOIN dim_reactor d ON d.reactor IS NOT DISTINCT FROM t.reactor_name)"""
 
 FACT_CAPACITY = """capacity AS (
   SELECT r.reactor_id, m.rated_power, p.plant_id, p.plant, p.lat, p.lon

@@ -64,6 +64,7 @@ class Star:
     @cached_property
     def fact(self) -> DataFrame:
         return facts.fact_availability(self.wide, self.reactors, strict=self.settings.strict,
+                                       null_safe=not self.settings.compat,
                                        max_broadcast_rows=self.settings.broadcast_max_rows)
 
     @cached_property

@@ -64,7 +64,6 @@ FACT_COLUMNS = [f.name for f in FACT.fields]
 # closed tag domain of ``parameter`` — fixed values
 PARAMETERS = ("power_available", "derating", "unavailability_type",
               "unavailability_cause", "additional_info")
-NUMERIC_PARAMETERS = ("power_available", "derating")
 
 # outage types (planned, forced) — fixed values
 PLANNED = "planifiée"
