@@ -56,9 +56,14 @@ def bronze_frame(raw: DataFrame, settings: Settings, timestamp_cols=(), date_col
 
 def ingest_csv(spark: SparkSession, path: str, table: str, settings: Settings = Settings(),
                schema=None, timestamp_cols=("date_time",), date_cols=()) -> None:
-    """One CSV source → bronze table; ``schema=None`` infers column types."""
-    overwrite_table(bronze_frame(read_csv(spark, path, schema, settings.timestamp_format, settings.date_format),
-                                 settings, timestamp_cols, date_cols), table, settings)
+    """One CSV source → bronze table; ``schema=None`` infers column types.
+
+    With ``settings.ingest_rebalance`` the scanned rows are rebalanced before
+    the (CPU-heavy) repair, so one large unsplittable file is not one task."""
+    raw = read_csv(spark, path, schema, settings.timestamp_format, settings.date_format)
+    if settings.ingest_rebalance:
+        raw = raw.hint("rebalance")
+    overwrite_table(bronze_frame(raw, settings, timestamp_cols, date_cols), table, settings)
 
 
 def build_bronze(spark: SparkSession, asset_csv: str, readings_csv: str,

@@ -27,6 +27,9 @@ class Settings:
     # dimension lookups are hinted for broadcast only below this many rows,
     # after a bounded count proves it (see operators.joins)
     broadcast_max_rows: int = 1_000_000
+    # rebalance rows right after a CSV scan (AQE REBALANCE): for unsplittable
+    # sources (gzip, multi-line) where one file would otherwise be one task
+    ingest_rebalance: bool = False
     # root folder for table data (external tables); None = the session warehouse
     warehouse: str | None = None
     # fact layout: partition folders + clustering inside them.  The reference

@@ -57,3 +57,21 @@ def test_bronze_ingest_of_unknown_schema(spark):
     assert dict(df.dtypes)["date_time"] == "timestamp_ntz"
     rows = sorted(df.collect(), key=lambda r: r.date_time)
     assert rows[0].date_time == dt.datetime(2015, 1, 1, 0, 30) and rows[0].note == "été" and rows[0].n == 3
+
+
+def test_rebalanced_ingest_of_gzip_source(spark):
+    import gzip
+    from fleetlake.plans.layers import ingest_csv
+    from fleetlake.settings import Settings
+    from fleetlake.sinks.tables import create_database
+
+    d = tempfile.mkdtemp(prefix="fleetlake-gz-")
+    body = "date_time,reactor_name,parameter,value,seq\n" + "".join(
+        f"1/{1 + i % 28}/2015 0:30,r{i % 5},power_available,{i},{i}\n" for i in range(2000))
+    with gzip.open(os.path.join(d, "part.csv.gz"), "wt", encoding="utf-8") as f:
+        f.write(body)
+    create_database(spark, "t_bronze_gz")
+    settings = Settings(warehouse=tempfile.mkdtemp(prefix="fleetlake-gzw-"), ingest_rebalance=True)
+    ingest_csv(spark, d, "t_bronze_gz.readings", settings, schemas.READINGS_CSV)
+    df = spark.table("t_bronze_gz.readings")
+    assert df.count() == 2000 and dict(df.dtypes)["date_time"] == "timestamp_ntz"
