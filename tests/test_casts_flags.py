@@ -54,3 +54,35 @@ def test_flag_truth_table(spark):
         want = expected_flags(r.power_available, r.derating, r.unavailability_type)
         assert (r.u, r.d) == want, r
         assert not (r.u and r.d)
+
+
+from hypothesis import given, settings as hsettings, strategies as st  # noqa: E402
+
+_NUMBERS = st.one_of(
+    st.integers(min_value=-10**12, max_value=10**12).map(str),
+    st.floats(allow_nan=False, allow_infinity=False, width=64).map(repr),
+    st.tuples(st.integers(-999, 999), st.integers(0, 99999)).map(lambda t: f"{t[0]}.{t[1]}"),
+    st.sampled_from(["", " ", "abc", "1e3", "-1E-2", " 42 ", "+7", "12.", ".5", "-", "1e400"]),
+)
+
+
+def python_rule(text):
+    """Lenient rule (D5): trim, blank → NULL, parse as double, truncate, NULL outside int."""
+    t = text.strip()
+    if not t:
+        return None
+    try:
+        v = float(t)
+    except ValueError:
+        return None
+    if v != v or v in (float("inf"), float("-inf")):
+        return None
+    i = int(v)
+    return i if -2**31 <= i <= 2**31 - 1 else None
+
+
+@hsettings(max_examples=40, deadline=None)
+@given(st.lists(_NUMBERS, min_size=1, max_size=30))
+def test_lenient_int_matches_rule(spark, values):
+    got = col_values(spark, values, to_int)
+    assert got == [python_rule(v) for v in values]
