@@ -100,8 +100,10 @@ def surrogate_key(df: DataFrame, order, name: str, method: str = "distributed",
                         F.monotonically_increasing_id().alias("_mid"))
                 .checkpoint(eager=True))
     size = F.lit(1) if weight is None else F.col(weight)
-    # one row per partition (a bound we chose): collected once, inlined as constants
-    totals = dict(staged.groupBy("_pid").agg(F.sum(size).alias("_n")).collect())
+    # one row per range partition, collected once and inlined as constants
+    per_partition = staged.groupBy("_pid").agg(F.sum(size).alias("_n"), F.count(F.lit(1)).alias("_rows")).collect()
+    totals = {r["_pid"]: r["_n"] for r in per_partition}
+    n_rows = sum(r["_rows"] for r in per_partition)
     offsets, running = [], 0
     for pid in range(max(totals, default=-1) + 1):
         offsets.append(running)
@@ -111,10 +113,10 @@ def surrogate_key(df: DataFrame, order, name: str, method: str = "distributed",
     if weight is None:
         local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _RECORD_BITS)
     else:
-        # running weight inside one range partition (bounded by the partition count we chose)
+        # running weight inside one range partition (AQE-sized, never a whole table)
         inside = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
         local = F.coalesce(F.sum(size).over(inside), F.lit(0))
     out = staged.select(*df.columns, (offset + local + 1).cast("int").alias(name))
-    if broadcast_max_rows is not None and sum(int(v or 0) for v in totals.values()) <= broadcast_max_rows:
+    if broadcast_max_rows is not None and n_rows <= broadcast_max_rows:
         out = F.broadcast(out)
     return out
