@@ -8,7 +8,10 @@ combine map-side, so a hot key does not pile up in one task.  The base-row rule
 of the join form is kept: only keys with a ``power_available`` row survive.
 
 ``long_to_wide_join_form`` is the reference's shape (filter per parameter,
-left joins on both keys) over de-duplicated cells, kept as a cross-check.
+left joins on both keys) over de-duplicated cells, kept as a cross-check.  Its
+input is hash-partitioned once on the two keys, which the cell aggregation and
+every join reuse, so it too shuffles once (the reference's form shuffled per
+branch).
 """
 
 from __future__ import annotations
@@ -51,7 +54,9 @@ def long_to_wide(readings: DataFrame, parameters=PARAMETERS, base: str | None =
 def long_to_wide_join_form(readings: DataFrame, parameters=PARAMETERS, keys=KEYS,
                            parameter: str = "parameter", value: str = "value",
                            seq: str | None = "seq") -> DataFrame:
-    cells = latest_per_cell(readings, keys, parameter, value, seq)
+    # one hash partitioning on the two join keys serves the per-cell
+    # aggregation (its keys are a superset) and all four joins: one exchange
+    cells = latest_per_cell(readings.repartition(*keys), keys, parameter, value, seq)
     branch = {name: cells.filter(F.col(parameter) == name).select(*keys, F.col(value).alias(name))
               for name in parameters}
     base, *rest = parameters

@@ -57,3 +57,19 @@ def test_fact_dimension_lookups_are_broadcast_and_scans_pruned(spark):
     assert "SortMergeJoin" not in tree
     assert tree.count("BroadcastHashJoin") >= 2
     assert "ReadSchema: struct<c_custkey:bigint,c_name:string>" in plan   # customer: 2 of 5 columns
+
+
+def test_join_form_reuses_one_partitioning(spark):
+    from fleetlake.operators.pivot import long_to_wide_join_form
+    df = long_to_wide_join_form(skewed_readings(spark))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")   # static plan, no runtime re-planning
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    exchanges = [line for line in plan.splitlines() if "Exchange " in line]
+    # every exchange is the one explicit repartition (identical per branch, reused at
+    # runtime); neither the cell aggregation nor the joins add a shuffle of their own
+    assert exchanges and all("REPARTITION_BY_COL" in e for e in exchanges)
+    assert "ENSURE_REQUIREMENTS" not in plan
+    assert plan.count("SortMergeJoin") == 4                  # joins on co-partitioned inputs
