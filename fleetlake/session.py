@@ -64,7 +64,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder of this session (set one only when unset)."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — Spark Connect: no driver context, the server's conf rules
+        return spark.conf.get("spark.checkpoint.dir")
     current = sc.getCheckpointDir()
     if current:
         return current
