@@ -152,13 +152,30 @@ def repair_text(col, compat: bool = False) -> Column:
 
 @F.pandas_udf(StringType())
 def nfkc(s: pd.Series) -> pd.Series:
-    """Unicode NFKC normalisation, one Arrow batch at a time."""
+    """Unicode NFKC normalisation, one Arrow batch at a time.
+
+    Python's ``unicodedata`` (what the reference used) does the work.  The
+    Arrow-native ``pyarrow.compute.utf8_normalize`` is not a substitute: in the
+    installed version its "NFKC" leaves precomposed letters decomposed (À →
+    A + U+0300) for ~12k code points."""
     return s.str.normalize("NFKC")
 
 
+@F.pandas_udf(StringType())
+def _nfkc_then_reference_pairs(s: pd.Series) -> pd.Series:
+    out = s.str.normalize("NFKC")
+    for bad, good in REFERENCE_PAIRS:
+        out = out.str.replace(bad, good, regex=False)
+    return out
+
+
 def repair_reference_order(col) -> Column:
-    """The reference's literal order: NFKC first, then the ten pairs."""
-    return _replace_chain(nfkc(_c(col)), REFERENCE_PAIRS)
+    """The reference's literal order: NFKC first, then the ten pairs.
+
+    NFKC needs Python anyway, so the ten replacements run in the same Arrow
+    batch (measured at sf0.1: 1.2 s vs 2.9 s for NFKC followed by the JVM
+    ``replace`` chain, whose per-pass cost on long texts is the larger part)."""
+    return _nfkc_then_reference_pairs(_c(col))
 
 
 def string_columns(df: DataFrame) -> list[str]:
