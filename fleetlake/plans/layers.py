@@ -115,7 +115,7 @@ def build_gold(spark: SparkSession, settings: Settings = Settings()) -> dict[str
     assets = spark.table(settings.table("silver", ASSETS))
     readings = spark.table(settings.table("silver", READINGS))
 
-    plants = dims.dim_plant(assets, compat=settings.compat)
+    plants = dims.dim_plant(assets, compat=settings.compat, max_broadcast_rows=bcast)
     reactors = dims.dim_reactor(assets, plants, compat=settings.compat, max_broadcast_rows=bcast)
     # gate before the first gold write (F14); keys are already materialised
     if settings.expected_reactors is not None or not settings.compat:
@@ -124,8 +124,8 @@ def build_gold(spark: SparkSession, settings: Settings = Settings()) -> dict[str
     create_database(spark, settings.gold_db, settings.location(settings.gold_db))
     overwrite_table(plants, g("dim_plant"), settings)
     overwrite_table(reactors, g("dim_reactor"), settings)
-    overwrite_table(dims.dim_model(assets), g("dim_model"), settings)
-    overwrite_table(dims.dim_cooling(assets), g("dim_cooling"), settings)
+    overwrite_table(dims.dim_model(assets, max_broadcast_rows=bcast), g("dim_model"), settings)
+    overwrite_table(dims.dim_cooling(assets, max_broadcast_rows=bcast), g("dim_cooling"), settings)
     overwrite_table(dims.dim_datetime(readings), g("dim_datetime"), settings)
 
     # consumers read the written keys back (D3)

@@ -38,7 +38,7 @@ class Star:
 
     @cached_property
     def plants(self) -> DataFrame:
-        return dims.dim_plant(self.assets)
+        return dims.dim_plant(self.assets, max_broadcast_rows=self.settings.broadcast_max_rows)
 
     @cached_property
     def reactors(self) -> DataFrame:
@@ -46,11 +46,11 @@ class Star:
 
     @cached_property
     def models(self) -> DataFrame:
-        return dims.dim_model(self.assets)
+        return dims.dim_model(self.assets, max_broadcast_rows=self.settings.broadcast_max_rows)
 
     @cached_property
     def coolings(self) -> DataFrame:
-        return dims.dim_cooling(self.assets)
+        return dims.dim_cooling(self.assets, max_broadcast_rows=self.settings.broadcast_max_rows)
 
     @cached_property
     def bridge(self) -> DataFrame:
