@@ -1,4 +1,4 @@
-"""Dashboard measures over the gold star schema (README's report; BI1-BI11).
+"""Dashboard measures over the gold star schema (the reference's dashboard; BI1-BI11).
 
 The dashboard's measure definitions are not in the reference tree; the ones
 adopted here (SURVEY §2.8) are:
