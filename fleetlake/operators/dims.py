@@ -83,7 +83,7 @@ def dim_datetime(readings: DataFrame, column: str = "date_time") -> DataFrame:
 
 def bridge(assets: DataFrame, reactors: DataFrame, models: DataFrame, coolings: DataFrame,
            max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """reactor_id → model_id, cooling_id (README's many-to-many resolver).
+    """reactor_id → model_id, cooling_id (the many-to-many resolver).
 
     Joins on the full natural keys (D1), so each reactor has exactly one row."""
     per_reactor = keep_one_per_key(

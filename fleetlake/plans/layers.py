@@ -2,7 +2,7 @@
 
 * bronze: CSV → parsed timestamps → text repair of every string column in one
   projection → overwrite table; then the residual-damage report.
-* silver (reconstructed from the README): trimmed keys, lower-case closed tag
+* silver (reconstructed from the reference's prose): trimmed keys, lower-case closed tag
   domain, blank → NULL, typed numeric value beside the string value.
 * gold: dimensions with deterministic keys, written and **read back** before
   any consumer uses them (D3); the row-count gate runs before any gold write
