@@ -323,6 +323,12 @@ def q_file_inventory(spark, sf):
     return file_inventory(fixtures.table(spark, sf, "events"))
 
 
+@register("file_row_counts", "SELECT 'events.parquet' AS name, count(*) AS n_rows FROM events")
+def q_file_row_counts(spark, sf):
+    """The checkable part of the inventory: rows per source file (IO13)."""
+    return file_inventory(fixtures.table(spark, sf, "events")).select("name", "n_rows")
+
+
 # --- dashboard measures ----------------------------------------------------------
 
 
