@@ -73,7 +73,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
-        # local runs and tests only: a cluster names its shared folder in the conf
+        # one machine's folder serves local runs only: other executors cannot see it
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="fleetlake-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
