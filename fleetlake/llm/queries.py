@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlake.llm.bpe import bpe_digest
 from fleetlake.llm.common import read_table, ready
 from fleetlake.llm.line_dedup import line_dedup
 from fleetlake.llm.sharding import minimax_shards
+from fleetlake.llm.simhash import simhash_classes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,6 +22,14 @@ def _query(fn):
     return fn
 
 
+@_query
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of 3-word shingles; classes of fingerprints within two bits."""
+    docs = read_table(ready(spark), sf_dir, "documents").select("doc_id", "text")
+    return simhash_classes(docs, shingle=3, max_bits=2).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @_query
 def op5_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near equal bytes; equal texts stay together."""
@@ -29,6 +39,20 @@ def op5_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """Place of a vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@_query
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded with the 49k word BPE and decoded again."""
+    docs = read_table(ready(spark), sf_dir, "documents").select("doc_id", "text")
+    return bpe_digest(docs, vocabulary())
+
+
 @_query
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines repeated in two documents or more stay in the smallest one only."""
