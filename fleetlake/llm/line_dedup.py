@@ -7,7 +7,8 @@ position.  DataFrame functions only.
 Skew: the count goes through (hash, document) first, so a line that a third of
 all documents hold is combined on the map side and spread over partitions; the
 join that brings the verdict back carries 40-byte rows and no text, and AQE can
-split it.  Text is shuffled once, for the reassembly.
+split it.  The hashed lines are written once to the shared folder, as both read
+them.  Text is shuffled once, for the reassembly.
 
 Defined cases: a null or empty text is one empty line; rows with equal ids are
 one document when documents are counted, each row is reassembled from its own
@@ -17,18 +18,27 @@ an empty result; columns of any name pass through inside ``doc``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import ASCII_SPACE
+from fleetlake.llm.common import ASCII_SPACE, stored
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LAST = 2**63 - 1
 
 
 def line_key(line: Column) -> Column:
-    """The line without ASCII white space at both ends, A-Z in lower case."""
-    return F.translate(F.trim(line, F.lit(ASCII_SPACE)), _UPPER, _UPPER.lower())
+    """The line without ASCII white space at both ends, A-Z in lower case.
+
+    ``trim`` with a set and ``translate`` go through a line character by
+    character, so they run only on lines that need them."""
+    at_an_end = reduce(lambda a, b: a | b, [
+        test(line, F.lit(c)) for c in ASCII_SPACE for test in (F.startswith, F.endswith)])
+    bare = F.when(at_an_end, F.trim(line, F.lit(ASCII_SPACE))).otherwise(line)
+    ascii_only = F.octet_length(line) == F.char_length(line)
+    return F.when(ascii_only, F.lower(bare)).otherwise(F.translate(bare, _UPPER, _UPPER.lower()))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -47,8 +57,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.xxhash64(text).alias("text_hash"),
         F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"),
     ).select("id", "text_hash", "pos", line_key(F.col("line")).alias("key"))
-    lines = lines.filter(F.length("key") >= min_chars).select(
-        "id", "text_hash", "pos", F.unhex(F.md5("key")).alias("key"))
+    lines = stored(lines.filter(F.length("key") >= min_chars).select(
+        "id", "text_hash", "pos", F.unhex(F.md5("key")).alias("key")), "lines")
 
     holders = lines.groupBy("key", "id").agg(F.lit(1).alias("one"))
     repeated = (holders.groupBy("key").agg(F.count("*").alias("n_docs"), F.min("id").alias("first_id"))
