@@ -61,8 +61,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "id", "text_hash", "pos", F.unhex(F.md5("key")).alias("key")), "lines")
 
     holders = lines.groupBy("key", "id").agg(F.lit(1).alias("one"))
-    repeated = (holders.groupBy("key").agg(F.count("*").alias("n_docs"), F.min("id").alias("first_id"))
-                .filter(F.col("n_docs") >= min_docs).select("key", "first_id"))
+    # written before it is joined: AQE splits a hot key only between two plain exchanges
+    repeated = stored(holders.groupBy("key").agg(F.count("*").alias("n_docs"), F.min("id").alias("first_id"))
+                      .filter(F.col("n_docs") >= min_docs).select("key", "first_id"), "repeated")
     dropped = (lines.join(repeated, "key").filter(F.col("id") != F.col("first_id"))
                .groupBy("id", "text_hash").agg(F.collect_set("pos").alias("gone")))
 

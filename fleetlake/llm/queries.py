@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.llm.bpe import bpe_digest
-from fleetlake.llm.common import read_table, ready
+from fleetlake.llm.common import crc_bucket, read_table, ready
+from fleetlake.llm.decontaminate import benchmark_matches
 from fleetlake.llm.line_dedup import line_dedup
 from fleetlake.llm.sharding import minimax_shards
 from fleetlake.llm.simhash import simhash_classes
+from fleetlake.llm.toxicity import THRESHOLD, toxicity_scores, train
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,6 +41,25 @@ def op5_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@_query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels with crc32 remainder 2 are held out."""
+    docs = read_table(ready(spark), sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = train(docs, labels, crc_bucket("doc_id", 4) != 2)
+    return toxicity_scores(docs, model).select(
+        "doc_id", F.coalesce(crc_bucket("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+@_query
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) in which the item occurs within its error budget."""
+    docs = read_table(ready(spark), sf_dir, "documents").select("doc_id", "text")
+    items = read_table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return benchmark_matches(docs, items)
+
+
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
     """Place of a vocabulary file of the installed public tokenizers."""
     import public_tokenizers
