@@ -61,14 +61,16 @@ def fingerprint(text: str, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` of every row's whole text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    """``doc_id, text_hash, fp`` of every row's whole text."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64())])
 
     def run(batches):
-        for ids, texts in slices(batches):
-            yield record_batch(schema, ids, [fingerprint(t, shingle) for t in texts])
+        for ids, hashes, texts in slices(batches, ("doc_id", "text_hash", "text")):
+            yield record_batch(schema, ids, hashes, [fingerprint(t, shingle) for t in texts])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    rows = id_and_text(docs, id_col, text_col)
+    return rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        run, "doc_id long, text_hash long, fp long")
 
 
 def _couple(i: int) -> Column:
@@ -84,8 +86,8 @@ def _rest_flips(couples: tuple[int, int]) -> list[int]:
 def links(fps: DataFrame, max_bits: int = 2, list_bound: int = 32) -> DataFrame:
     """``a, b``: linked pairs of different fingerprints; together they connect
     every two fingerprints that differ in at most ``max_bits`` bits."""
-    if not 0 <= max_bits <= 2:
-        raise ValueError("the index guarantees a shared list for up to two differing bits")
+    if max_bits != 2:
+        raise ValueError("the index and the neighbours of long lists are made for two differing bits")
     lists = F.array(*[
         F.struct(F.lit(k).alias("c"), F.shiftleft(_couple(i), 16).bitwiseOR(_couple(j)).alias("bytes"))
         for k, (i, j) in enumerate(_COUPLES)])
@@ -102,8 +104,6 @@ def links(fps: DataFrame, max_bits: int = 2, list_bound: int = 32) -> DataFrame:
              .filter((F.col("a") < F.col("b")) & (shared >= 8 - max_bits) & (F.bit_count(differ) <= max_bits))
              .select("a", "b"))
 
-    if max_bits < 2:  # a neighbour shared by both would allow two bits
-        raise ValueError("long lists are linked for a distance of two bits")
     flips = F.lit(None)
     for k, couples in enumerate(_COUPLES):
         flips = F.when(F.col("c") == k, F.array(*[F.lit(m).cast("long") for m in _rest_flips(couples)])).otherwise(flips)
@@ -118,8 +118,8 @@ def links(fps: DataFrame, max_bits: int = 2, list_bound: int = 32) -> DataFrame:
 
 def simhash_classes(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """``doc_id, fp, root, component_id`` of every row: ``root`` is the smallest
-    fingerprint of its class, ``component_id`` the smallest id."""
+    """``doc_id, text_hash, fp, root, component_id`` of every row: ``root`` is the
+    smallest fingerprint of its class, ``component_id`` the smallest id."""
     marked = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     fps = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     roots = components(links(fps, max_bits)).select(F.col("node").alias("fp"), "root")
@@ -127,7 +127,25 @@ def simhash_classes(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col
         "fp", "first_id", F.coalesce("root", "fp").alias("root")), "rooted")
     first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = rooted.join(first, "root").select("fp", "root", "component_id")
-    return marked.join(classes, "fp").select("doc_id", "fp", "root", "component_id")
-
-
-__all__ = ["fingerprint", "fingerprints", "links", "simhash_classes"]
+    return marked.join(classes, "fp").select(
+        "doc_id", "text_hash", "fp", "root", "component_id")
+
+
+def one_of_each_class(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with the smallest id of each class (ids that aren't null
+    first, equal ids by text hash, a repeated row once), with all their columns."""
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    stay = (simhash_classes(docs, shingle, max_bits, id_col, text_col)
+            .groupBy("root").agg(F.min(rank).alias("r"))
+            .select(F.col("r.doc_id").alias("id"), F.col("r.text_hash").alias("h")))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"),
+                       docs[id_col].cast("long").alias("id"),
+                       F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))).alias("h"))
+    stay = stay.alias("s")
+    found = rows.alias("d").join(
+        stay, F.col("d.id").eqNullSafe(F.col("s.id")) & (F.col("d.h") == F.col("s.h")), "left_semi")
+    return found.groupBy("id", "h").agg(F.first("doc").alias("doc")).select("doc.*")
+
+
+__all__ = ["fingerprint", "fingerprints", "links", "one_of_each_class", "simhash_classes"]
