@@ -11,6 +11,7 @@ from fleetlake.llm.bpe import bpe_digest
 from fleetlake.llm.common import crc_bucket, read_table, ready
 from fleetlake.llm.decontaminate import benchmark_matches
 from fleetlake.llm.line_dedup import line_dedup
+from fleetlake.llm.piecewise import piecewise_fingerprints
 from fleetlake.llm.sharding import minimax_shards
 from fleetlake.llm.simhash import simhash_classes
 from fleetlake.llm.toxicity import THRESHOLD, toxicity_scores, train
@@ -24,6 +25,13 @@ def _query(fn):
     return fn
 
 
+@_query
+def op3_piecewise_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piecewise fingerprints of every document and of its edited text, and their likeness."""
+    docs = read_table(ready(spark), sf_dir, "documents").select("doc_id", "text")
+    return piecewise_fingerprints(docs)
+
+
 @_query
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of 3-word shingles; classes of fingerprints within two bits."""
