@@ -14,6 +14,7 @@ from fleetlake.llm.line_dedup import line_dedup
 from fleetlake.llm.piecewise import piecewise_fingerprints
 from fleetlake.llm.sharding import minimax_shards
 from fleetlake.llm.simhash import simhash_classes
+from fleetlake.llm.substring_dedup import remove_repeats
 from fleetlake.llm.toxicity import THRESHOLD, toxicity_scores, train
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +26,14 @@ def _query(fn):
     return fn
 
 
+@_query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words covered by a 13-word window that a smaller doc_id holds as well go."""
+    docs = read_table(ready(spark), sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs, window=13).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @_query
 def op3_piecewise_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piecewise fingerprints of every document and of its edited text, and their likeness."""
