@@ -84,21 +84,21 @@ class _Summary:
         return [x for x in found if x < len(self.items)]
 
     def in_question(self, low: int, high: int, shards: int) -> list[tuple[str, str]]:
-        """Prefix ranges (first, last) that hold a cut for some capacity from
-        ``low`` to ``high`` and are not yet single groups."""
-        spans, left = [], 0
+        """At most ``shards`` prefix ranges (first, last) in which a cut lies for some
+        capacity from ``low`` to ``high`` and which are not yet all single groups."""
+        spans: list[list[int]] = []
+        left = 0
         for shard in range(1, shards):
             left = max(left, bisect_right(self.ends, self.ends[left] + low) - 1)
             right = min(bisect_right(self.ends, shard * high), len(self.items))
-            spans.append((left, right))
-        wanted = sorted({i for a, b in spans for i in range(a, b) if not self.items[i][2]})
-        runs: list[list[int]] = []
-        for i in wanted:
-            if runs and i == runs[-1][1] + 1:
-                runs[-1][1] = i
+            if left >= right:
+                continue
+            if spans and left <= spans[-1][1]:
+                spans[-1][1] = max(spans[-1][1], right)
             else:
-                runs.append([i, i])
-        return [(self.items[a][0], self.items[b][0]) for a, b in runs]
+                spans.append([left, right])
+        return [(self.items[a][0], self.items[b - 1][0]) for a, b in spans
+                if not all(single for _, _, single in self.items[a:b])]
 
 
 def _within(sha: Column, spans: list[tuple[str, str]]) -> Column:
@@ -127,10 +127,7 @@ def minimax_cuts(groups: DataFrame, shards: int, total: int, largest: int) -> tu
             return high, [summary.items[i][0] for i in summary.balanced(high, shards)]
         digits += _FINER
         finer = _summed(groups.filter(_within(F.col("sha"), spans)), digits)
-        items = [x for x in items
-                 if x[2] or not any(a <= x[0] <= b for a, b in spans)]
-        have = {x[0] for x in items}
-        items += [x for x in finer if x[0] not in have]
+        items = [x for x in items if not any(a <= x[0] <= b for a, b in spans)] + finer
 
 
 def minimax_shards(docs: DataFrame, n_shards: int, overhead: int = 16, id_col: str = "doc_id",
