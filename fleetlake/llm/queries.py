@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fleetlake.llm.bpe import bpe_digest
 from fleetlake.llm.common import crc_bucket, read_table, ready
 from fleetlake.llm.decontaminate import benchmark_matches
+from fleetlake.llm import kneser_ney, language_id
 from fleetlake.llm.line_dedup import line_dedup
 from fleetlake.llm.piecewise import piecewise_fingerprints
 from fleetlake.llm.sharding import minimax_shards
@@ -26,6 +27,15 @@ def _query(fn):
     return fn
 
 
+@_query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; ids with crc32 remainder 0 are held out."""
+    docs = read_table(ready(spark), sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(crc_bucket("doc_id", 5) == 0, F.lit(False))
+    model = language_id.train(docs, ~held_out)
+    return language_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @_query
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words covered by a 13-word window that a smaller doc_id holds as well go."""
@@ -77,6 +87,17 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return benchmark_matches(docs, items)
 
 
+@_query
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under a Kneser-Ney model and an add-half
+    unigram base; ids with crc32 remainder 1 are held out."""
+    docs = read_table(ready(spark), sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(crc_bucket("doc_id", 5) == 1, F.lit(False))
+    model = kneser_ney.train(docs, ~held_out)
+    return kneser_ney.kneser_ney_scores(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
     """Place of a vocabulary file of the installed public tokenizers."""
     import public_tokenizers
