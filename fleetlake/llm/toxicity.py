@@ -36,6 +36,8 @@ from fleetlake.llm.common import id_and_text, record_batch, slices, stored
 
 THRESHOLD = 0.3
 MAX_TRAIN_ROWS = 8_000
+#: least log-likelihood ratio (G squared) of a trait; many traits are tried, so it is high
+LEAST_EVIDENCE = 20.0
 
 #: symbols of the character model: 0 anything else, 1-26 letters, 27 other letters
 _SYMBOLS = 28
@@ -264,14 +266,13 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, max_rows: int = MA
         names = list(seen[True].keys() | seen[False].keys())
         yield record_batch(trait_schema, names, [seen[True][t] for t in names], [seen[False][t] for t in names])
 
-    least = max(3, bad // 100)
     ratio = ((F.col("bad") + 0.5) / (bad + 1.0)) / ((F.col("good") + 0.5) / (good + 1.0))
-    share = (F.col("bad") + F.col("good")) / float(bad + good)
-    spread = F.sqrt(share * (1 - share) * (1.0 / bad + 1.0 / good))
+    both = F.col("bad") + F.col("good")
+    part = lambda n, share: F.when(n > 0, n * F.log(n / (both * share))).otherwise(0.0)
+    sure = 2 * (part(F.col("bad"), bad / (bad + good)) + part(F.col("good"), good / (bad + good)))
     kept = (sample.mapInArrow(count, "trait string, bad long, good long")
             .groupBy("trait").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-            .filter((F.col("bad") >= least) & (ratio >= 8.0)
-                    & (F.col("bad") / bad - F.col("good") / good >= 4.0 * spread))
+            .filter((F.col("bad") > 2) & (ratio >= 8.0) & (sure >= LEAST_EVIDENCE))
             .select("trait", F.log(ratio).alias("weight"))
             .orderBy(F.desc("weight"), "trait").limit(20_000))
     model = ToxicityModel(chars, {r["trait"]: r["weight"] for r in kept.collect()})
