@@ -50,8 +50,8 @@ def calendar_columns(col) -> dict[str, Column]:
     c = _c(col)
     return {
         "date_key": date_key(c),
-        "year": F.year(c).cast("int"),
-        "month": F.month(c).cast("int"),
-        "day": F.dayofmonth(c).cast("int"),
-        "hour": F.hour(c).cast("int"),
+        "year": F.year(c),
+        "month": F.month(c),
+        "day": F.dayofmonth(c),
+        "hour": F.hour(c),
     }

@@ -16,9 +16,10 @@ def _c(col) -> Column:
 
 
 def to_number(col, strict: bool = False) -> Column:
-    """String → double; NULL for blanks; NULL (lenient) or error (strict) otherwise."""
+    """String → double ("1e3" is one); NULL for blanks; NULL (lenient) or error (strict) otherwise."""
     raw = F.nullif(F.trim(_c(col)), F.lit(""))
-    parsed = raw.try_cast("double")
+    # the JVM parser also takes a type suffix ("900d"), which is no number here
+    parsed = F.when(~raw.rlike("[dDfF]$"), raw.try_cast("double"))
     if not strict:
         return parsed
     return F.when(raw.isNotNull() & parsed.isNull(),

@@ -1,27 +1,36 @@
-"""Outage flags of the fact (PF10-PF13; findings F9, F10).
+"""Outage state of a reading and the two flags (PF10-PF13; findings F9, F10).
 
-* unavailable: zero power and an outage type present
-* derated: zero power without a type, or positive power with derating > 0
-* NULL power → neither (a NULL condition falls to ``otherwise(False)``)
-The two flags are mutually exclusive.
+A reading is in one of three states.  What it produces decides first, the rest of
+the row second:
+
+    power      outage type   derating   state
+    0          present       any        "out"
+    0          absent        any        "limited"
+    above 0    any           above 0    "limited"
+    anything else, no power reading     "normal"
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+OUT, LIMITED, NORMAL = "out", "limited", "normal"
+
+
+def outage_state(power="power_available", derating="derating", outage_type="unavailability_type") -> Column:
+    produces = F.signum(F.col(power))
+    at_rest = F.nvl2(F.col(outage_type), F.lit(OUT), F.lit(LIMITED))
+    running = F.when(F.signum(F.col(derating)) == 1, LIMITED).otherwise(NORMAL)
+    state = F.create_map(F.lit(0), at_rest, F.lit(1), running)
+    return F.coalesce(F.try_element_at(state, produces.cast("int")), F.lit(NORMAL))
+
 
 def is_unavailable(power="power_available", outage_type="unavailability_type") -> Column:
-    p, t = F.col(power), F.col(outage_type)
-    return F.when((p == 0) & t.isNotNull(), True).otherwise(False)
+    return outage_state(power, power, outage_type) == OUT  # derating doesn't decide this one
 
 
-def is_derated(power="power_available", derating="derating",
-               outage_type="unavailability_type") -> Column:
-    p, d, t = F.col(power), F.col(derating), F.col(outage_type)
-    return (F.when((p == 0) & t.isNull(), True)
-             .when((p > 0) & (d > 0), True)
-             .otherwise(False))
+def is_derated(power="power_available", derating="derating", outage_type="unavailability_type") -> Column:
+    return outage_state(power, derating, outage_type) == LIMITED
 
 
 def downtime_mw(rated="rated_power", power="power_available", unavailable="is_unavailable") -> Column:

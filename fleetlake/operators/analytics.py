@@ -21,39 +21,18 @@ from fleetlake.functions.calendar import floor_to
 from fleetlake.functions.flags import downtime_mw
 from fleetlake.operators.joins import lookup_join
 
-_BCAST = 1_000_000
 
-
-def reactor_capacity(reactors: DataFrame, bridge: DataFrame, models: DataFrame, plants: DataFrame,
-                     max_broadcast_rows: int | None = _BCAST) -> DataFrame:
+def reactor_capacity(reactors: DataFrame, bridge: DataFrame, models: DataFrame, plants: DataFrame) -> DataFrame:
     """reactor_id → rated_power and plant attributes, through the bridge (default mode)."""
-    kw = dict(max_broadcast_rows=max_broadcast_rows)
     out = lookup_join(reactors.select("reactor_id", "plant_id"), bridge.select("reactor_id", "model_id"),
-                      "reactor_id", **kw)
-    out = lookup_join(out, models.select("model_id", "rated_power"), "model_id", **kw)
-    out = lookup_join(out, plants.select("plant_id", "plant", "lat", "lon"), "plant_id", **kw)
-    return out.select("reactor_id", "rated_power", "plant_id", "plant", "lat", "lon")
-
-
-def capacity_from_assets(assets: DataFrame, reactors: DataFrame, plants: DataFrame,
-                         max_broadcast_rows: int = _BCAST) -> DataFrame:
-    """Same result as ``reactor_capacity`` in default mode, without the bridge.
-
-    The default bridge keeps, per reactor, the smallest (model, rated_power,
-    cooling, cooling_source) row and joins on the full keys, so the rated power
-    it leads to is that row's; taking it straight from the same survivor row
-    skips two keyed dimensions and four lookups."""
-    from fleetlake.operators.keys import keep_one_per_key
-    rated = keep_one_per_key(assets.select("reactor", "model", "rated_power", "cooling", "cooling_source"),
-                             ["reactor"]).select("reactor", "rated_power")
-    kw = dict(max_broadcast_rows=max_broadcast_rows)
-    out = lookup_join(reactors.select("reactor_id", "reactor", "plant_id"), rated, "reactor", **kw)
-    out = lookup_join(out, plants.select("plant_id", "plant", "lat", "lon"), "plant_id", max_broadcast_rows=None)
+                      "reactor_id")
+    out = lookup_join(out, models.select("model_id", "rated_power"), "model_id")
+    out = lookup_join(out, plants.select("plant_id", "plant", "lat", "lon"), "plant_id")
     return out.select("reactor_id", "rated_power", "plant_id", "plant", "lat", "lon")
 
 
-def with_capacity(fact: DataFrame, capacity: DataFrame, max_broadcast_rows: int = _BCAST) -> DataFrame:
-    out = lookup_join(fact, capacity, "reactor_id", max_broadcast_rows=max_broadcast_rows)
+def with_capacity(fact: DataFrame, capacity: DataFrame) -> DataFrame:
+    out = lookup_join(fact, capacity, "reactor_id")
     return out.withColumn("downtime_mw", downtime_mw())
 
 
@@ -73,12 +52,14 @@ def kpi_reactor_count(fact: DataFrame) -> DataFrame:
 
 
 def kpi_availability(fc: DataFrame) -> DataFrame:
-    """BI2: fleet availability rate and uptime share."""
+    """BI2: fleet availability rate (ratio of sums and mean of ratios) and uptime share."""
     p, r = _rated_pair()
+    ratio = F.try_divide(F.col("power_available").cast("double"), F.col("rated_power").cast("double"))
     return (fc.agg(p.alias("power_sum"), r.alias("rated_sum"),
+                   F.round(F.avg(ratio), 9).alias("mean_ratio"),
                    F.count_if(~F.col("is_unavailable")).alias("n_up"),
                    F.count(F.lit(1)).alias("n_readings"))
-              .select("power_sum", "rated_sum", "n_readings",
+              .select("power_sum", "rated_sum", "n_readings", "mean_ratio",
                       _rate(F.col("power_sum"), F.col("rated_sum")).alias("availability_rate"),
                       _rate(F.col("n_up"), F.col("n_readings")).alias("uptime_share")))
 
@@ -168,11 +149,37 @@ def yoy_change(log: DataFrame) -> DataFrame:
                                              F.col("prev_total_mw"))))
 
 
+def availability_seasonality(fc: DataFrame) -> DataFrame:
+    """BI9: availability rate by month of the year."""
+    p, r = _rated_pair()
+    return (fc.groupBy(F.month("date_time").alias("month"))
+              .agg(p.alias("power_sum"), r.alias("rated_sum"), F.count(F.lit(1)).alias("n_readings"))
+              .select("month", "n_readings", _rate(F.col("power_sum"), F.col("rated_sum")).alias("availability_rate")))
+
+
+def availability_yoy(fc: DataFrame) -> DataFrame:
+    """BI10: availability rate by year and its change (window over the few years only)."""
+    p, r = _rated_pair()
+    rates = (fc.groupBy(F.year("date_time").alias("year")).agg(p.alias("power_sum"), r.alias("rated_sum"))
+               .select("year", _rate(F.col("power_sum"), F.col("rated_sum")).alias("availability_rate")))
+    before = F.lag("availability_rate").over(Window.orderBy("year"))
+    return rates.select("year", "availability_rate", before.alias("previous_rate"),
+                        (F.col("availability_rate") - before).alias("change"))
+
+
 def asset_slice(fact: DataFrame, reactor_id: int) -> DataFrame:
-    """BI11: one reactor's readings (prunes the reactor_id partition on read)."""
+    """BI11: one reactor's readings (a literal filter: prunes folders and row groups)."""
     return fact.filter(F.col("reactor_id") == F.lit(reactor_id))
 
 
+def worst_asset(fc: DataFrame) -> int | None:
+    """The reactor with most lost MW (one row to the driver)."""
+    row = (fc.groupBy("reactor_id").agg(F.sum("downtime_mw").alias("lost"))
+             .filter(F.col("reactor_id").isNotNull())
+             .orderBy(F.desc("lost"), "reactor_id").first())
+    return row["reactor_id"] if row else None
+
+
 def worst_asset_slice(fc: DataFrame, fact: DataFrame) -> DataFrame:
     """BI11 driven by the data: the readings of the reactor with most lost MW."""
     worst = (fc.groupBy("reactor_id").agg(F.sum("downtime_mw").alias("_d"))

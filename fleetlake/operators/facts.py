@@ -34,18 +34,14 @@ def fill_defaults(df: DataFrame, defaults: dict | None = None) -> DataFrame:
 
 
 def fact_availability(wide: DataFrame, reactors: DataFrame, strict: bool = False,
-                      calendar: DataFrame | None = None, null_safe: bool = False,
-                      max_broadcast_rows: int | None = 2_000_000) -> DataFrame:
+                      calendar: DataFrame | None = None, null_safe: bool = False) -> DataFrame:
     fact = fill_defaults(typed_cells(wide, strict))
     if calendar is not None:
-        fact = lookup_join(fact, calendar.select("date_time", "date_key", "year"), "date_time",
-                           max_broadcast_rows=max_broadcast_rows)
+        fact = lookup_join(fact, calendar.select("date_time", "date_key", "year"), "date_time")
     else:
         fact = fact.withColumns({"date_key": date_key("date_time"),
                                  "year": F.year("date_time").cast("int")})
-    # the reactor dimension decides its own broadcast (keyed: proven hint;
-    # read back from a table: file statistics)
     fact = lookup_join(fact, reactors.select("reactor_id", F.col("reactor").alias("reactor_name")),
-                       "reactor_name", null_safe=null_safe, max_broadcast_rows=None)
+                       "reactor_name", null_safe=null_safe)
     fact = fact.withColumns({"is_unavailable": is_unavailable(), "is_derated": is_derated()})
     return fact.select(*FACT_COLUMNS)

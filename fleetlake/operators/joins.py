@@ -1,11 +1,8 @@
-"""Dimension lookups (J1) with a proven broadcast bound.
+"""Dimension lookups.
 
-A dimension side is hinted for broadcast only after an exact count shows it
-has at most ``max_rows`` rows.  The count is a map-side-combined aggregate over
-the (small, usually checkpointed) dimension; a ``limit(n).count()`` would
-instead gather up to n rows per partition into a single task.  Beyond the
-bound the join is left to Catalyst/AQE: a shuffle join (skew-split at runtime
-by AQE), never a forced broadcast.
+A lookup is declared, not hinted: file statistics at planning time and AQE's
+measured sizes at run time decide between a broadcast and a shuffle join, and AQE
+splits skewed keys of the latter.  Nothing is counted and no job is started here.
 """
 
 from __future__ import annotations
@@ -15,33 +12,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 
-def bounded_count(df: DataFrame, max_rows: int) -> int | None:
-    """The row count if it is at most ``max_rows``, else None."""
-    n = df.count()
-    return n if n <= max_rows else None
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
-    if max_rows and bounded_count(df, max_rows) is not None:
-        return F.broadcast(df)
-    return df
-
-
-def lookup_join(left: DataFrame, dim: DataFrame, on, how: str = "left",
-                null_safe: bool = False, max_broadcast_rows: int | None = 1_000_000) -> DataFrame:
+def lookup_join(left: DataFrame, dim: DataFrame, on, how: str = "left", null_safe: bool = False) -> DataFrame:
     """``left ⟕ dim`` on the ``on`` columns (same names on both sides).
 
-    ``max_broadcast_rows=None`` skips the check: the dimension's own plan
-    decides (a keyed dimension already carries a proven broadcast hint; a
-    table read back has file statistics for Catalyst's size-based choice).
-
     ``null_safe`` matches NULL keys to each other (``<=>``), which the default
     star-schema build uses so that an unknown member gets its own key (D1).
     """
     on = [on] if isinstance(on, str) else list(on)
-    right = maybe_broadcast(dim, max_broadcast_rows)
     if not null_safe:
-        return left.join(right, on, how)
-    renamed = right.select(*[F.col(c).alias(f"_k_{c}") if c in on else F.col(c) for c in right.columns])
+        return left.join(dim, on, how)
+    renamed = dim.select(*[F.col(c).alias(f"_k_{c}") if c in on else F.col(c) for c in dim.columns])
     cond = reduce(lambda a, b: a & b, [left[c].eqNullSafe(renamed[f"_k_{c}"]) for c in on])
     return left.join(renamed, cond, how).drop(*[f"_k_{c}" for c in on])

@@ -15,10 +15,6 @@
   partition order stays key order) — thousands at most, not one per row — so
   they are collected once and inlined as constants (the scheme of
   ``RDD.zipWithIndex``).
-* ``method="window"`` keeps the reference's single-partition
-  ``row_number() over (order by …)``, but only for inputs an exact count
-  proves small (``window_max_rows``); larger inputs take the distributed form,
-  which yields the same ids.
 """
 
 from __future__ import annotations
@@ -60,34 +56,15 @@ def keep_one_per_key(df: DataFrame, keys, order=None) -> DataFrame:
                .select(*df.columns)
 
 
-WINDOW_MAX_ROWS = 1_000_000
-
-
-def surrogate_key(df: DataFrame, order, name: str, method: str = "distributed",
-                  num_partitions: int | None = None, weight: str | None = None,
-                  broadcast_max_rows: int | None = None,
-                  window_max_rows: int = WINDOW_MAX_ROWS) -> DataFrame:
+def surrogate_key(df: DataFrame, order, name: str, num_partitions: int | None = None,
+                  weight: str | None = None) -> DataFrame:
     """Append ``name`` = dense 1..n int over the total order (D3).
 
     With ``weight`` the key is 1 + the sum of the weights of all earlier rows:
     the position a row would have if it were repeated ``weight`` times, which
     is how the reference's fanned-out numbering is reproduced without
-    materialising the fan-out (compat ``dim_reactor``).
-
-    The distributed form learns the exact row count for free (the sum of the
-    per-partition counts); when it is at most ``broadcast_max_rows`` the result
-    carries a broadcast hint, so later lookups need no separate size check."""
+    materialising the fan-out (compat ``dim_reactor``)."""
     cols = total_order(df, order)
-    if method == "window" and df.count() > window_max_rows:
-        method = "distributed"   # one task may only hold a proven-small input
-    if method == "window":
-        w = Window.orderBy(*sort_exprs(cols))
-        if weight is None:
-            return df.withColumn(name, F.row_number().over(w).cast("int"))
-        earlier = F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, -1))
-        return df.withColumn(name, (F.coalesce(earlier, F.lit(0)) + 1).cast("int"))
-    if method != "distributed":
-        raise ValueError(method)
     spark = df.sparkSession
     checkpoint_dir(spark)
     exprs = sort_exprs(cols)
@@ -101,9 +78,7 @@ def surrogate_key(df: DataFrame, order, name: str, method: str = "distributed",
                 .checkpoint(eager=True))
     size = F.lit(1) if weight is None else F.col(weight)
     # one row per range partition, collected once and inlined as constants
-    per_partition = staged.groupBy("_pid").agg(F.sum(size).alias("_n"), F.count(F.lit(1)).alias("_rows")).collect()
-    totals = {r["_pid"]: r["_n"] for r in per_partition}
-    n_rows = sum(r["_rows"] for r in per_partition)
+    totals = {r["_pid"]: r["_n"] for r in staged.groupBy("_pid").agg(F.sum(size).alias("_n")).collect()}
     offsets, running = [], 0
     for pid in range(max(totals, default=-1) + 1):
         offsets.append(running)
@@ -116,7 +91,4 @@ def surrogate_key(df: DataFrame, order, name: str, method: str = "distributed",
         # running weight inside one range partition (AQE-sized, never a whole table)
         inside = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
         local = F.coalesce(F.sum(size).over(inside), F.lit(0))
-    out = staged.select(*df.columns, (offset + local + 1).cast("int").alias(name))
-    if broadcast_max_rows is not None and n_rows <= broadcast_max_rows:
-        out = F.broadcast(out)
-    return out
+    return staged.select(*df.columns, (offset + local + 1).cast("int").alias(name))

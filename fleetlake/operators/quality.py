@@ -34,7 +34,10 @@ def row_count_gate(df: DataFrame, key: str, expected: int | None = None) -> Data
     """One row: rows, distinct keys, expected, and whether the gate passes (DQ3).
 
     Passing needs every key exactly once and, if given, ``expected`` rows."""
-    agg = df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(F.col(key)).alias("n_keys"))
+    # a NULL key is a member of its own (D1), so it is counted as one
+    agg = df.agg(F.count(F.lit(1)).alias("n_rows"),
+                 (F.count_distinct(F.col(key)) + F.coalesce(F.max(F.col(key).isNull().cast("long")), F.lit(0)))
+                 .alias("n_keys"))
     ok = F.col("n_rows") == F.col("n_keys")
     if expected is not None:
         ok = ok & (F.col("n_rows") == F.lit(expected))

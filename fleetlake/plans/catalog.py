@@ -3,27 +3,28 @@
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` runs the Spark implementation on
 the driver's parquet tables; ``ORACLES[name]`` is an independent DuckDB SQL
 answer over the same tables (absent where SQL cannot express the operator:
-NFKC normalisation and the file inventory's modification times).
+the file inventory's modification times).
 Column names and types agree between the two.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetlake.functions import casts
 from fleetlake.functions.calendar import floor_minutes
-from fleetlake.functions.text import (REFERENCE_PAIRS, induce_mojibake, nfkc, repair_reference_order,
-                                      repair_string_columns)
+from fleetlake.functions.text import induce_mojibake, nfkc, repair_reference_order, repair_string_columns
 from fleetlake.operators import analytics, dims, facts, keys, pivot, quality
-from fleetlake.plans import layers, oracle as O
-from fleetlake.plans.star import Star
+from fleetlake.plans import dashboard, layers, oracle as O
+from fleetlake.plans.star import Star, gold
 from fleetlake.schemas import FACT_COLUMNS, READINGS_CSV
 from fleetlake.settings import Settings
-from fleetlake.session import scratch_path
-from fleetlake.sinks.tables import create_database, write_fact
+from fleetlake.session import scratch_database, scratch_path
+from fleetlake.sinks.tables import create_database, drop_tables, overwrite_table, use_database, write_fact
 from fleetlake.sources import fixtures
 from fleetlake.sources.csv import read_csv, write_csv
 from fleetlake.sources.tables import file_inventory
@@ -164,13 +165,14 @@ FROM customer"""
 @register("surrogate_key_scaled", SEGMENT_RANK)
 def q_surrogate_key_scaled(spark, sf):
     c = fixtures.table(spark, sf, "customer")
-    return keys.surrogate_key(c, ["c_mktsegment", "c_acctbal"], "segment_rank", "distributed")
+    return keys.surrogate_key(c, ["c_mktsegment", "c_acctbal"], "segment_rank")
 
 
 @register("surrogate_key_window", SEGMENT_RANK)
 def q_surrogate_key_window(spark, sf):
+    """The window's numbers, over a given number of range partitions and no window over all rows."""
     c = fixtures.table(spark, sf, "customer")
-    return keys.surrogate_key(c, ["c_mktsegment", "c_acctbal"], "segment_rank", "window")
+    return keys.surrogate_key(c, ["c_mktsegment", "c_acctbal"], "segment_rank", num_partitions=16)
 
 
 # --- text repair and data quality -------------------------------------------------
@@ -179,9 +181,22 @@ def _sql_literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-COMPAT_CHAIN = "text"
-for _bad, _good in REFERENCE_PAIRS:
-    COMPAT_CHAIN = f"replace({COMPAT_CHAIN}, {_sql_literal(_bad)}, {_sql_literal(_good)})"
+def _chain(text: str, pairs) -> str:
+    for bad, good in pairs:
+        text = f"replace({text}, {_sql_literal(bad)}, {_sql_literal(good)})"
+    return text
+
+
+# Fixed values, written out apart from the implementation's table so that a wrong
+# pair there can't agree with itself: the ten replacements in their order.
+ORACLE_PAIRS = (("Ã©", "é"), ("Ã¨", "è"), ("Ã´", "ô"), ("Ã¢", "â"), ("Ãª", "ê"),
+                ("Ã«", "ë"), ("Ã§", "ç"), ("Ã", "à"), ("â€™", "'"), ("â€", '"'))
+COMPAT_CHAIN = _chain("text", ORACLE_PAIRS)
+
+# The NFKC forms of the Latin-1 characters that have one.
+LATIN1_NFKC = (("\u00a0", " "), ("¨", " \u0308"), ("ª", "a"), ("¯", " \u0304"), ("²", "2"), ("³", "3"),
+               ("´", " \u0301"), ("µ", "μ"), ("¸", " \u0327"), ("¹", "1"), ("º", "o"),
+               ("¼", "1⁄4"), ("½", "1⁄2"), ("¾", "3⁄4"))
 
 
 @register("text_repair", "SELECT doc_id, text, lang, source, n_chars FROM documents")
@@ -195,15 +210,20 @@ def q_text_repair_compat(spark, sf):
     return repair_string_columns(d, compat=True)
 
 
-@register("text_nfkc")
+@register("text_nfkc", "SELECT doc_id, text FROM documents")
 def q_text_nfkc(spark, sf):
+    """Compatibility characters put in by rule (ligatures, full-width digits, ordinal
+    and superscript forms) normalise back to the text they stand for."""
     d = fixtures.table(spark, sf, "documents")
-    return d.select("doc_id", nfkc("text").alias("text"))
+    odd = F.translate(F.replace(F.replace("text", F.lit("ffi"), F.lit("ﬃ")), F.lit("fi"), F.lit("ﬁ")),
+                      "0123456789aonV", "０１²³４５６７８９ªºⁿⅤ")
+    return d.select("doc_id", nfkc(odd).alias("text"))
 
 
-@register("text_repair_reference_order")
+@register("text_repair_reference_order", O.sql([O.DAMAGED],
+          f"SELECT doc_id, {_chain(f'nfc_normalize({_chain('text', LATIN1_NFKC)})', ORACLE_PAIRS)} AS text FROM damaged"))
 def q_text_repair_reference_order(spark, sf):
-    """The reference's exact order: NFKC, then the ten pairs (F4); NFKC → rows-only."""
+    """The reference's exact order: NFKC, then the ten pairs."""
     d = fixtures.damaged_documents(spark, sf)
     return d.select("doc_id", repair_reference_order("text").alias("text"))
 
@@ -257,14 +277,20 @@ def q_parse_timestamp(spark, sf):
 
 
 @register("lenient_cast", O.sql([O.READINGS], f"""SELECT seq, value,
-  TRY_CAST(NULLIF(trim(value), '') AS DOUBLE) AS value_num, {O.to_int('value')} AS value_int FROM readings"""))
+  TRY_CAST(NULLIF(trim(value), '') AS DOUBLE) AS value_num, {O.to_int('value')} AS value_int
+FROM (SELECT seq, CASE seq % 5 WHEN 0 THEN value || 'd' WHEN 1 THEN value || 'F' WHEN 2 THEN ' ' || value || ' '
+                              ELSE value END AS value FROM readings)"""))
 def q_lenient_cast(spark, sf):
-    r = fixtures.readings(spark, sf)
+    """Plain, padded and suffixed numbers: a type suffix is no number."""
+    suffix = F.col("seq") % 5
+    odd = (F.when(suffix == 0, F.concat("value", F.lit("d"))).when(suffix == 1, F.concat("value", F.lit("F")))
+            .when(suffix == 2, F.concat(F.lit(" "), "value", F.lit(" "))).otherwise(F.col("value")))
+    r = fixtures.readings(spark, sf).withColumn("value", odd)
     return r.select("seq", "value", casts.to_number("value").alias("value_num"),
                     casts.to_int("value").alias("value_int"))
 
 
-@register("silver_readings", O.sql([O.READINGS], """SELECT date_time, trim(reactor_name) AS reactor_name,
+@register("silver_readings", O.sql([O.READINGS], """SELECT date_time, NULLIF(trim(reactor_name), '') AS reactor_name,
   lower(trim(parameter)) AS parameter, NULLIF(trim(value), '') AS value,
   TRY_CAST(NULLIF(trim(value), '') AS DOUBLE) AS value_num, seq FROM readings"""))
 def q_silver_readings(spark, sf):
@@ -276,17 +302,105 @@ def q_silver_readings(spark, sf):
 def q_csv_round_trip(spark, sf):
     orders = fixtures.table(spark, sf, "orders")
     path = scratch_path(spark, "csv-orders")
+    write_csv(orders, path, timestamp_format="yyyy-MM-dd HH:mm:ss.SSSSSS")  # keeps every field of the time
+    return read_csv(spark, path, schema=orders.schema, timestamp_format="yyyy-MM-dd HH:mm:ss.SSSSSS")
+
+
+@register("csv_inferred", """SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, o_orderdate,
+  'int,int,double,string,timestamp' AS kinds FROM orders""")
+def q_csv_inferred(spark, sf):
+    """Types inferred from the text (IO3)."""
+    orders = fixtures.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice",
+                                                        "o_orderpriority", "o_orderdate")
+    path = scratch_path(spark, "csv-inferred")
     write_csv(orders, path)
-    return read_csv(spark, path, schema=orders.schema)
+    found = read_csv(spark, path)
+    kinds = ",".join(k.removesuffix("_ntz") for _, k in found.dtypes)
+    return found.select(F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint"), "o_totalprice",
+                        "o_orderpriority", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"),
+                        F.lit(kinds).alias("kinds"))
+
+
+@register("ddl_round_trip", "SELECT 'nations' AS table_name, count(*) AS n_rows FROM nation")
+def q_ddl_round_trip(spark, sf):
+    """Create and use a database, drop two of three tables; what is left, by its short name (IO9-IO12)."""
+    path = scratch_path(spark, "ddl")
+    name = "ddl_" + path.rsplit("-", 1)[-1]
+    scratch_database(spark, path, name)
+    create_database(spark, name, f"{path}/db")
+    before = spark.catalog.currentDatabase()
+    use_database(spark, name)
+    try:
+        for table, source in (("nations", "nation"), ("regions", "region"), ("legacy", "region")):
+            overwrite_table(fixtures.table(spark, sf, source), table, path=f"{path}/db/{table}")
+        drop_tables(spark, ["regions"])
+        drop_tables(spark, ["legacy", "never_there"])
+        left = [t.name for t in spark.catalog.listTables()]
+        counts = [spark.table(t).agg(F.lit(t).alias("table_name"), F.count("*").alias("n_rows")) for t in left]
+        return reduce(DataFrame.union, counts)
+    finally:
+        use_database(spark, before)
+
+
+@register("residual_report_no_strings", "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_bad_rows FROM lineitem")
+def q_residual_report_no_strings(spark, sf):
+    """A table without string columns has no damage to report (DQ2)."""
+    return quality.residual_report(fixtures.table(spark, sf, "lineitem").select("l_orderkey", "l_quantity"))
+
+
+@register("readings_four_columns", O.sql([O.ASSETS, O.READINGS, O.WIDE.replace("arg_max(value, seq)", "max(value)"),
+                                          O.TYPED, O.DIM_PLANT, O.DIM_REACTOR, O.FACT],
+                                         f"SELECT {O.FACT_COLUMNS} FROM fact"))
+def q_readings_four_columns(spark, sf):
+    """Sources as they really come: readings without ``seq``, columns in another order
+    and one more of them; of equal cells the greatest value wins."""
+    root = scratch_path(spark, "four")
+    tag = root.rsplit("-", 1)[-1]
+    settings = Settings(bronze_db=f"bronze_{tag}", silver_db=f"silver_{tag}", gold_db=f"gold_{tag}",
+                        warehouse=f"{root}/tables")
+    for name in (settings.bronze_db, settings.silver_db, settings.gold_db):
+        scratch_database(spark, root, name)
+    asset_csv, readings_csv = f"{root}/src/assets", f"{root}/src/readings"
+    assets = fixtures.assets(spark, sf)
+    write_csv(assets.select("plant", "reactor", *[c for c in assets.columns if c not in ("plant", "reactor")]), asset_csv)
+    write_csv(fixtures.readings(spark, sf).select("value", "parameter", F.lit("x").alias("remark"), "date_time",
+                                                  "reactor_name"), readings_csv)
+    layers.build_bronze(spark, asset_csv, readings_csv, settings)
+    layers.build_silver(spark, settings)
+    return spark.table(layers.build_gold(spark, settings)["fact_availability"]).select(*FACT_COLUMNS)
+
+
+@register("gate_with_unknown_member", """SELECT count(DISTINCT c_custkey) + 1 AS n_rows,
+  count(DISTINCT c_custkey) + 1 AS n_keys, CAST(NULL AS BIGINT) AS expected, TRUE AS passed
+FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def q_gate_with_unknown_member(spark, sf):
+    """Blank reactor names are one unknown member, which the gate counts as a key (DQ3, D1)."""
+    a = fixtures.assets(spark, sf)
+    blank = a.withColumn("reactor", F.lit("  "))
+    silver = layers.silver_assets(a.unionByName(blank))
+    return quality.row_count_gate(dims.dim_reactor(silver, dims.dim_plant(silver)), "reactor")
+
+
+@register("silver_keys_folded", """SELECT lower(c.c_name) AS reactor_name, count(*) AS n
+FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id GROUP BY 1""")
+def q_silver_keys_folded(spark, sf):
+    """Padded, upper-case, accented and blank names meet their plain form (SV1, IO5, U2)."""
+    r = fixtures.readings(spark, sf)
+    odd = F.concat(F.lit("  "), F.upper(F.translate("reactor_name", "aeo", "àéô")), F.lit(" "))
+    odd = F.when(F.col("seq") % 2 == 0, odd).otherwise(F.col("reactor_name"))
+    silver = layers.silver_readings(r.withColumn("reactor_name", F.coalesce(odd, F.lit("   "))), fold_keys=True)
+    return silver.groupBy("reactor_name").agg(F.count("*").alias("n"))
 
 
 @register("table_round_trip", O.sql(O.STAR, f"SELECT {O.FACT_COLUMNS} FROM fact"))
 def q_table_round_trip(spark, sf):
     fact = Star(spark, sf).fact
     path = scratch_path(spark, "fact")
-    create_database(spark, "fleetlake_scratch", path.rsplit("/", 1)[0] + "/fleetlake_scratch.db")
-    name = "fleetlake_scratch.fact_" + path.rsplit("-", 1)[-1]
-    write_fact(fact, name, path=path)
+    database = "fact_" + path.rsplit("-", 1)[-1]
+    scratch_database(spark, path, database)
+    create_database(spark, database, f"{path}/db")
+    name = f"{database}.fact"
+    write_fact(fact, name, path=f"{path}/db/fact")
     return spark.sql(f"SELECT {', '.join(FACT_COLUMNS)} FROM {name}")   # SQL text over the catalog
 
 
@@ -297,6 +411,8 @@ def q_gold_from_csv(spark, sf):
     tag = root.rsplit("-", 1)[-1]
     settings = Settings(bronze_db=f"bronze_{tag}", silver_db=f"silver_{tag}", gold_db=f"gold_{tag}",
                         warehouse=f"{root}/tables")
+    for name in (settings.bronze_db, settings.silver_db, settings.gold_db):
+        scratch_database(spark, root, name)
     asset_csv, readings_csv = f"{root}/src/assets", f"{root}/src/readings"
     write_csv(fixtures.assets(spark, sf), asset_csv)
     write_csv(fixtures.readings(spark, sf).withColumn("value", induce_mojibake("value")), readings_csv)
@@ -323,6 +439,22 @@ def q_file_inventory(spark, sf):
     return file_inventory(fixtures.table(spark, sf, "events"))
 
 
+@register("file_inventory_by_type", """SELECT event_type, 1 AS n_files, count(*) AS n_rows, TRUE AS has_size,
+  TRUE AS is_new FROM events GROUP BY event_type""")
+def q_file_inventory_by_type(spark, sf):
+    """Path, size, time and rows of several files: one is written for each event type."""
+    path = scratch_path(spark, "inventory")
+    events = fixtures.table(spark, sf, "events")
+    began = F.lit(datetime.now(timezone.utc) - timedelta(minutes=1))
+    events.repartition("event_type").write.partitionBy("event_type").parquet(path)
+    files = file_inventory(spark.read.parquet(path))
+    kind = F.regexp_extract("path", "event_type=([^/]+)/[^/]+$", 1)
+    return (files.groupBy(kind.alias("event_type"))
+            .agg(F.count("*").cast("int").alias("n_files"), F.sum("n_rows").alias("n_rows"),
+                 F.bool_and(F.col("size") > 0).alias("has_size"),
+                 F.bool_and(F.col("modification_time") > began).alias("is_new")))
+
+
 @register("file_row_counts", "SELECT 'events.parquet' AS name, count(*) AS n_rows FROM events")
 def q_file_row_counts(spark, sf):
     """The checkable part of the inventory: rows per source file (IO13)."""
@@ -334,26 +466,28 @@ def q_file_row_counts(spark, sf):
 
 @register("kpi_reactor_count", O.sql(O.STAR, "SELECT count(DISTINCT reactor_id) AS n_reactors FROM fact"))
 def q_kpi_reactor_count(spark, sf):
-    return analytics.kpi_reactor_count(Star(spark, sf).fact)
+    return dashboard.measures(spark, gold(spark, sf))["kpi_reactor_count"]
 
 
 _RATED = ("CAST(sum(CASE WHEN power_available IS NOT NULL AND rated_power IS NOT NULL THEN power_available END) AS BIGINT)",
           "CAST(sum(CASE WHEN power_available IS NOT NULL AND rated_power IS NOT NULL THEN rated_power END) AS BIGINT)")
 
 
-@register("kpi_availability", O.sql(O.STAR_CAPACITY, f"""SELECT power_sum, rated_sum, n_readings,
+@register("kpi_availability", O.sql(O.STAR_CAPACITY, f"""SELECT power_sum, rated_sum, n_readings, mean_ratio,
   CAST(power_sum AS DOUBLE) / NULLIF(CAST(rated_sum AS DOUBLE), 0) AS availability_rate,
   CAST(n_up AS DOUBLE) / NULLIF(CAST(n_readings AS DOUBLE), 0) AS uptime_share
 FROM (SELECT {_RATED[0]} AS power_sum, {_RATED[1]} AS rated_sum,
-             count(*) FILTER (WHERE NOT is_unavailable) AS n_up, count(*) AS n_readings FROM fc)"""))
+             count(*) FILTER (WHERE NOT is_unavailable) AS n_up, count(*) AS n_readings,
+             round(avg(CAST(power_available AS DOUBLE) / NULLIF(CAST(rated_power AS DOUBLE), 0)), 9) AS mean_ratio
+      FROM fc)"""))
 def q_kpi_availability(spark, sf):
-    return analytics.kpi_availability(Star(spark, sf).fact_capacity)
+    return dashboard.measures(spark, gold(spark, sf))["kpi_availability"]
 
 
 @register("power_over_time", O.sql(O.STAR, """SELECT CAST(CAST(date_time AS DATE) AS TIMESTAMP) AS period,
   CAST(sum(power_available) AS BIGINT) AS total_power, count(*) AS n_readings FROM fact GROUP BY 1"""))
 def q_power_over_time(spark, sf):
-    return analytics.power_over_time(Star(spark, sf).fact, "day")
+    return dashboard.measures(spark, gold(spark, sf))["power_over_time"]
 
 
 @register("availability_over_time", O.sql(O.STAR_CAPACITY, f"""SELECT period,
@@ -361,14 +495,14 @@ def q_power_over_time(spark, sf):
 FROM (SELECT CAST(CAST(date_time AS DATE) AS TIMESTAMP) AS period, {_RATED[0]} AS power_sum,
              {_RATED[1]} AS rated_sum FROM fc GROUP BY 1)"""))
 def q_availability_over_time(spark, sf):
-    return analytics.availability_over_time(Star(spark, sf).fact_capacity, "day")
+    return dashboard.measures(spark, gold(spark, sf))["availability_over_time"]
 
 
 @register("downtime_by_year_type", O.sql(O.STAR_CAPACITY, """SELECT year, unavailability_type,
   CAST(sum(downtime_mw) AS BIGINT) AS downtime_mw, count(*) AS n_outages
 FROM fc WHERE is_unavailable GROUP BY year, unavailability_type"""))
 def q_downtime_by_year_type(spark, sf):
-    return analytics.downtime_by_year_type(Star(spark, sf).fact_capacity)
+    return dashboard.measures(spark, gold(spark, sf))["downtime_by_year_type"]
 
 
 @register("downtime_by_year_type_log", O.sql([O.OUTAGE_LOG], """SELECT CAST(year(date_time) AS INTEGER) AS year,
@@ -383,13 +517,13 @@ def q_downtime_by_year_type_log(spark, sf):
 FROM (SELECT unavailability_type, CAST(sum(downtime_mw) AS BIGINT) AS downtime_mw, count(*) AS n_outages
       FROM fc WHERE is_unavailable GROUP BY unavailability_type)"""))
 def q_outage_split(spark, sf):
-    return analytics.outage_split(Star(spark, sf).fact_capacity)
+    return dashboard.measures(spark, gold(spark, sf))["outage_split"]
 
 
 @register("top_plants_downtime", O.sql(O.STAR_CAPACITY, """SELECT plant, CAST(sum(downtime_mw) AS BIGINT) AS downtime_mw
 FROM fc GROUP BY plant ORDER BY downtime_mw DESC, plant ASC NULLS LAST LIMIT 10"""))
 def q_top_plants_downtime(spark, sf):
-    return analytics.top_plants_downtime(Star(spark, sf).fact_capacity, 10)
+    return dashboard.measures(spark, gold(spark, sf))["top_plants_downtime"]
 
 
 @register("plant_map", O.sql(O.STAR_CAPACITY, f"""SELECT plant, lat, lon, downtime_mw,
@@ -397,7 +531,7 @@ def q_top_plants_downtime(spark, sf):
 FROM (SELECT plant, lat, lon, CAST(sum(downtime_mw) AS BIGINT) AS downtime_mw,
              {_RATED[0]} AS power_sum, {_RATED[1]} AS rated_sum FROM fc GROUP BY plant, lat, lon)"""))
 def q_plant_map(spark, sf):
-    return analytics.plant_map(Star(spark, sf).fact_capacity)
+    return dashboard.measures(spark, gold(spark, sf))["plant_map"]
 
 
 @register("mw_over_time_month", O.sql([O.OUTAGE_LOG], """SELECT date_trunc('month', date_time) AS period,
@@ -425,11 +559,43 @@ def q_yoy_change(spark, sf):
   SELECT reactor_id FROM fc WHERE reactor_id IS NOT NULL GROUP BY reactor_id
   ORDER BY sum(downtime_mw) DESC, reactor_id ASC LIMIT 1)"""))
 def q_asset_slice(spark, sf):
-    # both the ranking and the slice read the fact: materialise it once rather
-    # than running the pivot twice (the two branches prune differently, so
-    # Spark cannot reuse the exchange)
-    fc = Star(spark, sf).fact_capacity.checkpoint(eager=True)
-    return analytics.worst_asset_slice(fc, fc.select(*FACT_COLUMNS))
+    return dashboard.measures(spark, gold(spark, sf))["worst_asset_slice"].select(*FACT_COLUMNS)
+
+
+@register("stored_asset_slice", ORACLES["asset_slice"])
+def q_stored_asset_slice(spark, sf):
+    """The same slice by a literal id: the stored fact's files and row groups are pruned."""
+    settings = gold(spark, sf)
+    worst = analytics.worst_asset(dashboard.fact_capacity(spark, settings))
+    return analytics.asset_slice(spark.table(settings.table("gold", "fact_availability")), worst).select(*FACT_COLUMNS)
+
+
+# the events span one month: each reactor's readings move by its own number of months
+SHIFTED = """shifted AS (SELECT *, date_time + to_months(CAST(COALESCE(reactor_id, 0) % 48 AS INTEGER)) AS moved FROM fc)"""
+
+
+def _moved(spark, sf) -> DataFrame:
+    fc = dashboard.fact_capacity(spark, gold(spark, sf))
+    months = F.coalesce(F.col("reactor_id"), F.lit(0)) % 48
+    return fc.withColumn("date_time", F.add_months("date_time", months))
+
+
+@register("availability_seasonality", O.sql([*O.STAR_CAPACITY, SHIFTED], f"""SELECT month, n_readings,
+  CAST(power_sum AS DOUBLE) / NULLIF(CAST(rated_sum AS DOUBLE), 0) AS availability_rate
+FROM (SELECT CAST(month(moved) AS INTEGER) AS month, count(*) AS n_readings, {_RATED[0]} AS power_sum,
+             {_RATED[1]} AS rated_sum FROM shifted GROUP BY 1)"""))
+def q_availability_seasonality(spark, sf):
+    return analytics.availability_seasonality(_moved(spark, sf))
+
+
+@register("availability_yoy", O.sql([*O.STAR_CAPACITY, SHIFTED], f"""SELECT year, availability_rate,
+  lag(availability_rate) OVER (ORDER BY year) AS previous_rate,
+  availability_rate - lag(availability_rate) OVER (ORDER BY year) AS change
+FROM (SELECT CAST(year(moved) AS INTEGER) AS year,
+             CAST({_RATED[0]} AS DOUBLE) / NULLIF(CAST({_RATED[1]} AS DOUBLE), 0) AS availability_rate
+      FROM shifted GROUP BY 1)"""))
+def q_availability_yoy(spark, sf):
+    return analytics.availability_yoy(_moved(spark, sf))
 
 
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,13 +20,18 @@ def gold_star(spark: SparkSession, settings: Settings = Settings()) -> dict[str,
                                        "bridge_reactor_model_cooling")}
 
 
-def measures(spark: SparkSession, settings: Settings = Settings(), grain: str = "day",
-             top_k: int = 10) -> dict[str, DataFrame]:
+def fact_capacity(spark: SparkSession, settings: Settings = Settings()) -> DataFrame:
+    """The fact with rated power and plant, through the bridge."""
     t = gold_star(spark, settings)
-    fact = t["fact_availability"]
     capacity = analytics.reactor_capacity(t["dim_reactor"], t["bridge_reactor_model_cooling"],
-                                          t["dim_model"], t["dim_plant"], max_broadcast_rows=None)
-    fc = analytics.with_capacity(fact, capacity, max_broadcast_rows=settings.broadcast_max_rows)
+                                          t["dim_model"], t["dim_plant"])
+    return analytics.with_capacity(t["fact_availability"], capacity)
+
+
+def measures(spark: SparkSession, settings: Settings = Settings(), grain: str = "day",
+             top_k: int = 10) -> dict[str, DataFrame]:
+    fact = gold_star(spark, settings)["fact_availability"]
+    fc = fact_capacity(spark, settings)
     return {
         "kpi_reactor_count": analytics.kpi_reactor_count(fact),
         "kpi_availability": analytics.kpi_availability(fc),
@@ -36,5 +41,7 @@ def measures(spark: SparkSession, settings: Settings = Settings(), grain: str =
         "outage_split": analytics.outage_split(fc),
         "top_plants_downtime": analytics.top_plants_downtime(fc, top_k),
         "plant_map": analytics.plant_map(fc),
+        "availability_seasonality": analytics.availability_seasonality(fc),
+        "availability_yoy": analytics.availability_yoy(fc),
         "worst_asset_slice": analytics.worst_asset_slice(fc, fact),
     }

@@ -60,7 +60,7 @@ def ingest_csv(spark: SparkSession, path: str, table: str, settings: Settings =
 
     With ``settings.ingest_rebalance`` the scanned rows are rebalanced before
     the (CPU-heavy) repair, so one large unsplittable file is not one task."""
-    raw = read_csv(spark, path, schema, settings.timestamp_format, settings.date_format)
+    raw = read_csv(spark, path, schema, settings.timestamp_format, settings.date_format, optional=("seq",))
     if settings.ingest_rebalance:
         raw = raw.hint("rebalance")
     overwrite_table(bronze_frame(raw, settings, timestamp_cols, date_cols), table, settings)
@@ -85,24 +85,34 @@ def build_bronze(spark: SparkSession, asset_csv: str, readings_csv: str,
 # --- silver -------------------------------------------------------------------------
 
 
-def silver_assets(bronze: DataFrame) -> DataFrame:
-    trimmed = {c: F.nullif(F.trim(c), F.lit("")) for c in ("reactor", "plant", "model", "cooling",
-                                                          "cooling_source")}
+def _text(name: str):
+    """Trimmed text; blank is NULL, on both sides of every lookup."""
+    return F.nullif(F.trim(name), F.lit(""))
+
+
+def _key(name: str, fold: bool):
+    """Key text; ``fold`` also folds case and the accents of Latin letters."""
+    return F.translate(F.lower(_text(name)), "àâäçéèêëîïôöùûüÿ", "aaaceeeeiioouuuy") if fold else _text(name)
+
+
+def silver_assets(bronze: DataFrame, fold_keys: bool = False) -> DataFrame:
+    trimmed = {c: _key(c, fold_keys) for c in ("reactor", "plant")}
+    trimmed |= {c: _text(c) for c in ("model", "cooling", "cooling_source")}
     return bronze.withColumns(trimmed).select(*[f.name for f in schemas.ASSET_LIST.fields])
 
 
-def silver_readings(bronze: DataFrame) -> DataFrame:
-    value = F.nullif(F.trim("value"), F.lit(""))
-    return bronze.select("date_time", F.trim("reactor_name").alias("reactor_name"),
+def silver_readings(bronze: DataFrame, fold_keys: bool = False) -> DataFrame:
+    value = _text("value")
+    return bronze.select("date_time", _key("reactor_name", fold_keys).alias("reactor_name"),
                          F.lower(F.trim("parameter")).alias("parameter"), value.alias("value"),
                          to_number(value).alias("value_num"), "seq")
 
 
 def build_silver(spark: SparkSession, settings: Settings = Settings()) -> None:
     create_database(spark, settings.silver_db, settings.location(settings.silver_db))
-    overwrite_table(silver_assets(spark.table(settings.table("bronze", ASSETS))),
+    overwrite_table(silver_assets(spark.table(settings.table("bronze", ASSETS)), settings.fold_keys),
                     settings.table("silver", ASSETS), settings)
-    overwrite_table(silver_readings(spark.table(settings.table("bronze", READINGS))),
+    overwrite_table(silver_readings(spark.table(settings.table("bronze", READINGS)), settings.fold_keys),
                     settings.table("silver", READINGS), settings)
 
 
@@ -111,31 +121,29 @@ def build_silver(spark: SparkSession, settings: Settings = Settings()) -> None:
 
 def build_gold(spark: SparkSession, settings: Settings = Settings()) -> dict[str, str]:
     g = lambda name: settings.table("gold", name)
-    bcast = settings.broadcast_max_rows
     assets = spark.table(settings.table("silver", ASSETS))
     readings = spark.table(settings.table("silver", READINGS))
 
-    plants = dims.dim_plant(assets, compat=settings.compat, max_broadcast_rows=bcast)
-    reactors = dims.dim_reactor(assets, plants, compat=settings.compat, max_broadcast_rows=bcast)
+    plants = dims.dim_plant(assets, compat=settings.compat)
+    reactors = dims.dim_reactor(assets, plants, compat=settings.compat)
     # gate before the first gold write (F14); keys are already materialised
-    if settings.expected_reactors is not None or not settings.compat:
+    if settings.expected_reactors is not None:
         quality.enforce_row_count(reactors, "reactor", settings.expected_reactors)
 
     create_database(spark, settings.gold_db, settings.location(settings.gold_db))
     overwrite_table(plants, g("dim_plant"), settings)
     overwrite_table(reactors, g("dim_reactor"), settings)
-    overwrite_table(dims.dim_model(assets, max_broadcast_rows=bcast), g("dim_model"), settings)
-    overwrite_table(dims.dim_cooling(assets, max_broadcast_rows=bcast), g("dim_cooling"), settings)
+    overwrite_table(dims.dim_model(assets), g("dim_model"), settings)
+    overwrite_table(dims.dim_cooling(assets), g("dim_cooling"), settings)
     overwrite_table(dims.dim_datetime(readings), g("dim_datetime"), settings)
 
     # consumers read the written keys back (D3)
     reactors, models, coolings = (spark.table(g(n)) for n in ("dim_reactor", "dim_model", "dim_cooling"))
-    overwrite_table(dims.bridge(assets, reactors, models, coolings, max_broadcast_rows=bcast),
+    overwrite_table(dims.bridge(assets, reactors, models, coolings),
                     g("bridge_reactor_model_cooling"), settings)
 
     wide = pivot.long_to_wide(readings)
-    fact = facts.fact_availability(wide, reactors, strict=settings.strict, null_safe=not settings.compat,
-                                   max_broadcast_rows=bcast)
+    fact = facts.fact_availability(wide, reactors, strict=settings.strict, null_safe=not settings.compat)
     write_fact(fact, g("fact_availability"), settings)
     return {name: g(name) for name in GOLD_TABLES}
 

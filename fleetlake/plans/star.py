@@ -1,8 +1,14 @@
-"""Assemble the gold star schema from the fixture views, in memory.
+"""The star schema of the fixture views.
 
-Used by the query catalog and the bench; the persisted version (write, read
-back, D3) is ``plans.layers``.  Each dimension's keys are computed once
-(checkpointed inside ``surrogate_key``) so every consumer sees the same ids.
+``Star`` assembles it lazily for queries about single operators; only the keyed
+dimensions run jobs when they are first used (range bounds, checkpoint and the
+counts of ``surrogate_key``).
+
+``gold`` writes it once for each session and input through ``plans.layers`` and
+returns the settings that name the tables.  Measures read these tables back, as a
+BI tool would: no job runs before their own plan, and file statistics choose the
+joins.  The tables are dropped when the driver's Python ends, and rebuilt when a
+file of the input changes.
 """
 
 from __future__ import annotations
@@ -12,11 +18,15 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlake.operators import analytics, dims, facts, pivot
-from fleetlake.session import checkpoint_dir
+from fleetlake.operators import dims, facts, pivot
+from fleetlake.plans import layers
+from fleetlake.session import checkpoint_dir, scratch_database, scratch_path
 from fleetlake.settings import Settings
+from fleetlake.sinks.tables import create_database, overwrite_table
 from fleetlake.sources import fixtures
 
+_GOLD: dict[tuple, Settings] = {}
+
 
 @dataclass
 class Star:
@@ -26,36 +36,34 @@ class Star:
 
     @cached_property
     def assets(self) -> DataFrame:
-        # read by three consumers (plants, reactors, capacity): materialise the
-        # three-way join once in the shared checkpoint folder instead of
-        # recomputing it for each
+        # read by several consumers: materialise the three-way join once in the
+        # shared checkpoint folder instead of recomputing it for each
         checkpoint_dir(self.spark)
         return fixtures.assets(self.spark, self.sf_dir).checkpoint(eager=True)
 
     @cached_property
     def readings(self) -> DataFrame:
-        return fixtures.readings(self.spark, self.sf_dir, self.settings.broadcast_max_rows)
+        return fixtures.readings(self.spark, self.sf_dir)
 
     @cached_property
     def plants(self) -> DataFrame:
-        return dims.dim_plant(self.assets, max_broadcast_rows=self.settings.broadcast_max_rows)
+        return dims.dim_plant(self.assets)
 
     @cached_property
     def reactors(self) -> DataFrame:
-        return dims.dim_reactor(self.assets, self.plants, max_broadcast_rows=self.settings.broadcast_max_rows)
+        return dims.dim_reactor(self.assets, self.plants)
 
     @cached_property
     def models(self) -> DataFrame:
-        return dims.dim_model(self.assets, max_broadcast_rows=self.settings.broadcast_max_rows)
+        return dims.dim_model(self.assets)
 
     @cached_property
     def coolings(self) -> DataFrame:
-        return dims.dim_cooling(self.assets, max_broadcast_rows=self.settings.broadcast_max_rows)
+        return dims.dim_cooling(self.assets)
 
     @cached_property
     def bridge(self) -> DataFrame:
-        return dims.bridge(self.assets, self.reactors, self.models, self.coolings,
-                           max_broadcast_rows=self.settings.broadcast_max_rows)
+        return dims.bridge(self.assets, self.reactors, self.models, self.coolings)
 
     @cached_property
     def wide(self) -> DataFrame:
@@ -64,14 +72,33 @@ class Star:
     @cached_property
     def fact(self) -> DataFrame:
         return facts.fact_availability(self.wide, self.reactors, strict=self.settings.strict,
-                                       null_safe=not self.settings.compat,
-                                       max_broadcast_rows=self.settings.broadcast_max_rows)
-
-    @cached_property
-    def capacity(self) -> DataFrame:
-        return analytics.capacity_from_assets(self.assets, self.reactors, self.plants,
-                                              self.settings.broadcast_max_rows)
-
-    @cached_property
-    def fact_capacity(self) -> DataFrame:
-        return analytics.with_capacity(self.fact, self.capacity, self.settings.broadcast_max_rows)
+                                       null_safe=not self.settings.compat)
+
+
+def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Length and time of each file that the star reads."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    found = []
+    for name in ("customer", "nation", "part", "events"):
+        path = hadoop.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in fs.listStatus(path):
+            found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return tuple(found)
+
+
+def gold(spark: SparkSession, sf_dir: str) -> Settings:
+    """Settings of the gold tables of ``sf_dir``, written on first use."""
+    key = (spark.sparkContext.applicationId, _stamp(spark, sf_dir))
+    if key not in _GOLD:
+        root = scratch_path(spark, "gold")
+        tag = root.rsplit("-", 1)[-1]
+        settings = Settings(silver_db=f"silver_{tag}", gold_db=f"gold_{tag}", warehouse=f"{root}/tables")
+        for name in (settings.silver_db, settings.gold_db):
+            scratch_database(spark, root, name)
+        create_database(spark, settings.silver_db, settings.location(settings.silver_db))
+        overwrite_table(fixtures.assets(spark, sf_dir), settings.table("silver", layers.ASSETS), settings)
+        overwrite_table(fixtures.readings(spark, sf_dir), settings.table("silver", layers.READINGS), settings)
+        layers.build_gold(spark, settings)
+        _GOLD[key] = settings
+    return _GOLD[key]

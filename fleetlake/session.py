@@ -8,11 +8,17 @@ fallback only when the session has none (local runs).
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+#: scratch folders of this process: path -> (session, databases kept there)
+_SCRATCH: dict[str, tuple] = {}
+
 LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
@@ -24,30 +30,6 @@ LOCAL_CONF = {
 }
 
 
-def cluster_conf(input_bytes: int, executors_cores: int, advisory_mb: int = 256) -> dict[str, str]:
-    """Settings for a cluster run over ``input_bytes`` of input (documentation
-    helper; a cluster's launcher owns its session).
-
-    AQE sizes shuffle partitions from measured bytes, so only the initial
-    partition count scales with the input; skew joins are split at runtime;
-    scan splits stay at 256 MB so one task's input fits executor memory."""
-    advisory = advisory_mb * 1024 * 1024
-    initial = max(executors_cores * 2, -(-input_bytes // advisory))
-    return {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory),
-        "spark.sql.shuffle.partitions": str(initial),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
-    }
-
-
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   driver_memory: str = "16g", extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName("fleetlake")
@@ -82,9 +64,39 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint folder."""
+    """A fresh, unique folder under the shared checkpoint folder; it is removed
+    when the driver's Python ends, or before that by ``discard``."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/fleetlake-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/fleetlake-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    if not _SCRATCH:
+        atexit.register(_discard_all)
+    _SCRATCH[path] = (spark, [])
+    return path
+
+
+def scratch_database(spark: SparkSession, path: str, database: str) -> None:
+    """Drop ``database`` together with the scratch folder that holds its tables."""
+    _SCRATCH[path][1].append(database)
+
+
+def discard(path: str) -> None:
+    """Remove a scratch folder and its databases; nothing may read them any more."""
+    spark, databases = _SCRATCH.pop(path, (None, []))
+    if spark is None:
+        return
+    try:
+        for name in databases:
+            spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # noqa: BLE001 — the session is gone: only a local folder can still be removed
+        if path.startswith(("/", "file:/")):
+            shutil.rmtree(re.sub("^file:/+", "/", path), ignore_errors=True)
+
+
+def _discard_all() -> None:
+    for path in list(_SCRATCH):
+        discard(path)
 
 
 def tz_utc(spark: SparkSession) -> None:
@@ -92,4 +104,4 @@ def tz_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-__all__ = ["build_session", "checkpoint_dir", "scratch_path", "tz_utc"]
+__all__ = ["build_session", "checkpoint_dir", "discard", "scratch_database", "scratch_path", "tz_utc"]

@@ -24,9 +24,8 @@ class Settings:
     expected_reactors: int | None = None
     # NFKC normalisation after repair (U3); off by default
     nfkc: bool = False
-    # dimension lookups are hinted for broadcast only below this many rows,
-    # after a bounded count proves it (see operators.joins)
-    broadcast_max_rows: int = 1_000_000
+    # fold case and accents of the reactor and plant names on both sides (SV1)
+    fold_keys: bool = False
     # rebalance rows right after a CSV scan (AQE REBALANCE): for unsplittable
     # sources (gzip, multi-line) where one file would otherwise be one task
     ingest_rebalance: bool = False

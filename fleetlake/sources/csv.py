@@ -1,6 +1,7 @@
 """CSV ingest (IO1-IO5): header, UTF-8, trimmed fields.
 
-An explicit schema is the default (no inference pass over the data).  With
+An explicit schema is the default (no inference pass over the data); its columns
+are found by the header's names, not by position.  With
 ``schema=None`` Spark infers types; the source's date / timestamp layouts must
 then be given so that they are detected as dates and timestamps rather than
 strings.
@@ -8,8 +9,8 @@ strings.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DataType, DateType, StringType, StructType, TimestampNTZType, TimestampType
 
 
 def csv_options(timestamp_format: str = "M/d/yyyy H:mm", date_format: str = "M/d/yyyy") -> dict:
@@ -27,13 +28,38 @@ def csv_options(timestamp_format: str = "M/d/yyyy H:mm", date_format: str = "M/d
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
              timestamp_format: str = "M/d/yyyy H:mm", date_format: str = "M/d/yyyy",
-             **options) -> DataFrame:
+             optional: tuple[str, ...] = (), **options) -> DataFrame:
+    """CSV rows with columns bound by the **names in the header**.
+
+    With a schema, its columns are picked by name (whatever their order, other
+    columns are left out) and cast; a missing column raises, unless it is listed
+    in ``optional``, in which case it is NULL.  ``schema=None`` infers types."""
     reader = spark.read.format("csv").options(**csv_options(timestamp_format, date_format)).options(**options)
     if schema is None:
-        reader = reader.option("inferSchema", "true").option("preferDate", "true")
-    else:
-        reader = reader.schema(schema)
-    return reader.load(path)
+        return reader.option("inferSchema", "true").option("preferDate", "true").load(path)
+    # the header line is all that this looks at: without inference the values stay text
+    raw = reader.option("inferSchema", "false").load(path)
+    named = {c.strip(): c for c in raw.columns}
+    missing = [f.name for f in schema if f.name not in named and f.name not in optional]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header has {', '.join(raw.columns)}")
+    return raw.select(*[
+        _typed(F.col(f"`{named[f.name]}`"), f.dataType, timestamp_format, date_format).alias(f.name)
+        if f.name in named else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def _typed(text: Column, kind: DataType, timestamp_format: str, date_format: str) -> Column:
+    """A field as its type; text that doesn't parse is NULL (permissive)."""
+    if isinstance(kind, StringType):
+        return text
+    if isinstance(kind, TimestampNTZType):
+        return F.when(F.try_to_timestamp(text, F.lit(timestamp_format)).isNotNull(),
+                      F.to_timestamp_ntz(text, F.lit(timestamp_format)))
+    if isinstance(kind, TimestampType):
+        return F.try_to_timestamp(text, F.lit(timestamp_format))
+    if isinstance(kind, DateType):
+        return F.try_to_date(text, date_format)
+    return text.try_cast(kind)
 
 
 def write_csv(df: DataFrame, path: str, timestamp_format: str = "M/d/yyyy H:mm",

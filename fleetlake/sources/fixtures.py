@@ -73,7 +73,7 @@ def assets(spark: SparkSession, sf_dir: str, coordinate_variants: bool = False)
     )
 
 
-def readings(spark: SparkSession, sf_dir: str, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     names = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"),
                                                     F.col("c_name").alias("reactor_name"))
@@ -87,7 +87,7 @@ def readings(spark: SparkSession, sf_dir: str, max_broadcast_rows: int = 2_000_0
               .otherwise(F.col("props")))
     typed = ev.select(floor_day("ts").alias("date_time"), "user_id",
                       parameter.alias("parameter"), value.alias("value"), F.col("event_id").alias("seq"))
-    return (lookup_join(typed, names, "user_id", max_broadcast_rows=max_broadcast_rows)
+    return (lookup_join(typed, names, "user_id")
             .select("date_time", "reactor_name", "parameter", "value", "seq"))
 
 

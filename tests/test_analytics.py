@@ -1,17 +1,22 @@
 """Properties of the dashboard measures (BI1-BI11) on the sf0.001 star."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
 from fleetlake.operators import analytics
-from fleetlake.plans.star import Star
+from fleetlake.plans import dashboard
+from fleetlake.plans.star import gold
 from fleetlake.sources import fixtures
 from conftest import SF_SMALL
 
 
 @pytest.fixture(scope="module")
 def star(spark):
-    return Star(spark, SF_SMALL)
+    settings = gold(spark, SF_SMALL)
+    return SimpleNamespace(fact=spark.table(settings.table("gold", "fact_availability")),
+                           fact_capacity=dashboard.fact_capacity(spark, settings))
 
 
 def test_downtime_by_type_sums_to_total(star):

@@ -4,7 +4,8 @@ import tempfile
 
 from fleetlake import cli
 from fleetlake.operators import analytics
-from fleetlake.plans.star import Star
+from fleetlake.plans import dashboard
+from fleetlake.plans.star import gold
 from fleetlake.sources import fixtures
 from fleetlake.sources.csv import write_csv
 from conftest import SF_SMALL
@@ -24,8 +25,7 @@ def test_build_then_dashboard(spark):
     assert set(tables) >= {"fact_availability", "dim_reactor", "bridge_reactor_model_cooling"}
 
     board = cli.main(["dashboard", *dbs], spark)
-    star = Star(spark, SF_SMALL)
-    fc = star.fact_capacity
+    fc = dashboard.fact_capacity(spark, gold(spark, SF_SMALL))
     assert rows(board["kpi_availability"]) == rows(analytics.kpi_availability(fc))
     assert rows(board["top_plants_downtime"]) == rows(analytics.top_plants_downtime(fc, 10))
     assert rows(board["outage_split"]) == rows(analytics.outage_split(fc))

@@ -5,24 +5,41 @@ import datetime as dt
 from fleetlake.operators import dims
 from fleetlake.operators.quality import duplicate_keys
 
-# Golden listing of the saved dim_reactor (FIXTURES §B): plant → reactor suffixes
-GOLDEN = [("belleville", "1-2"), ("blayais", "1-4"), ("bugey", "2-5"), ("cattenom", "1-4"),
-          ("chinon", "1-4"), ("chooz", "1-2"), ("civaux", "1-2"), ("cruas", "1-4"),
-          ("dampierre", "1-4"), ("fessenheim", "1-2"), ("flamanville", "1-2"), ("golfech", "1-2"),
-          ("gravelines", "1-6"), ("nogent", "1-2"), ("paluel", "1-4"), ("penly", "1-2"),
-          ("st_alban", "1-2"), ("st_laurent", "1-2"), ("tricastin", "1-4")]
+# The saved listing of reactors (FIXTURES §B), in order
+GOLDEN = [
+    "belleville_1", "belleville_2",
+    "blayais_1", "blayais_2", "blayais_3", "blayais_4",
+    "bugey_2", "bugey_3", "bugey_4", "bugey_5",
+    "cattenom_1", "cattenom_2", "cattenom_3", "cattenom_4",
+    "chinon_1", "chinon_2", "chinon_3", "chinon_4",
+    "chooz_1", "chooz_2",
+    "civaux_1", "civaux_2",
+    "cruas_1", "cruas_2", "cruas_3", "cruas_4",
+    "dampierre_1", "dampierre_2", "dampierre_3", "dampierre_4",
+    "fessenheim_1", "fessenheim_2",
+    "flamanville_1", "flamanville_2",
+    "golfech_1", "golfech_2",
+    "gravelines_1", "gravelines_2", "gravelines_3", "gravelines_4", "gravelines_5", "gravelines_6",
+    "nogent_1", "nogent_2",
+    "paluel_1", "paluel_2", "paluel_3", "paluel_4",
+    "penly_1", "penly_2",
+    "st_alban_1", "st_alban_2",
+    "st_laurent_1", "st_laurent_2",
+    "tricastin_1", "tricastin_2", "tricastin_3", "tricastin_4",
+]
 SCHEMA = ("reactor string, plant string, lat double, lon double, grid_connection date, model string, "
           "rated_power int, cooling string, cooling_source string")
 
 
 def golden_assets(spark, variants=("fessenheim", "flamanville")):
     rows = []
-    for i, (plant, span) in enumerate(GOLDEN):
-        lo, hi = (int(x) for x in span.split("-"))
-        for n in range(lo, hi + 1):
-            lat = 45.0 + i + (0.5 if plant in variants and n % 2 == 0 else 0.0)
-            rows.append((f"{plant}_{n}", plant, lat, 2.0 + i, dt.date(1980, 1, n),
-                         "P4" if n % 2 else "CP1", 1300 if n % 2 else 900, "dry", "river"))
+    plants = sorted({name.rpartition("_")[0] for name in GOLDEN})
+    for name in GOLDEN:
+        plant, _, number = name.rpartition("_")
+        i, n = plants.index(plant), int(number)
+        lat = 45.0 + i + (0.5 if plant in variants and n % 2 == 0 else 0.0)
+        rows.append((name, plant, lat, 2.0 + i, dt.date(1980, 1, n),
+                     "P4" if n % 2 else "CP1", 1300 if n % 2 else 900, "dry", "river"))
     rows.append(("gravelines_1", "gravelines", 50.0, 2.0, dt.date(1980, 1, 1), "CP1", 900, "dry", "sea"))
     return spark.createDataFrame(rows, SCHEMA)
 

@@ -3,9 +3,9 @@
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from fleetlake.operators.keys import keep_one_per_key, surrogate_key
+from fleetlake.operators.keys import keep_one_per_key, sort_exprs, surrogate_key, total_order
 from fleetlake.operators.pivot import long_to_wide, long_to_wide_join_form
 
 T0 = dt.datetime(2015, 1, 1, 0, 30)
@@ -55,22 +55,35 @@ def test_keep_one_per_key_nulls_last(spark):
     assert got == {"k": ("a", 3), "j": (None, 4)}
 
 
+def by_window(df, order):
+    """The ids of one window over all rows, for comparison."""
+    return df.withColumn("id", F.row_number().over(Window.orderBy(*sort_exprs(total_order(df, order)))).cast("int"))
+
+
 def test_distributed_key_equals_window(spark):
     rnd = random.Random(3)
     rows = [(rnd.choice(["x", "y", None]), rnd.randint(0, 50), rnd.random()) for _ in range(3000)]
     df = spark.createDataFrame(rows, "g string, n int, r double")
-    a = surrogate_key(df, ["g", "n"], "id", "distributed", num_partitions=13)
-    b = surrogate_key(df, ["g", "n"], "id", "window")
-    assert a.exceptAll(b).count() == 0
+    a = surrogate_key(df, ["g", "n"], "id", num_partitions=13)
+    assert a.exceptAll(by_window(df, ["g", "n"])).count() == 0
     ids = sorted(r.id for r in a.select("id").collect())
     assert ids == list(range(1, 3001))
 
 
 def test_weighted_key(spark):
     df = spark.createDataFrame([("a", 2), ("b", 1), ("c", 3), ("d", 1)], "k string, w long")
-    for method in ("distributed", "window"):
-        got = {r.k: r.id for r in surrogate_key(df, ["k"], "id", method, num_partitions=3, weight="w").collect()}
-        assert got == {"a": 1, "b": 3, "c": 4, "d": 7}
+    got = {r.k: r.id for r in surrogate_key(df, ["k"], "id", num_partitions=3, weight="w").collect()}
+    assert got == {"a": 1, "b": 3, "c": 4, "d": 7}
+
+
+def test_pivot_without_seq_and_with_ties(spark):
+    rows = [(T0, "a", "power_available", "900"), (T0, "a", "power_available", "0"),
+            (T0, "a", "unavailability_type", "fortuite"), (T1, "b", "power_available", "7")]
+    df = spark.createDataFrame(rows, "date_time timestamp_ntz, reactor_name string, parameter string, value string")
+    for frame in (df, df.withColumn("seq", F.lit(None).cast("long")), df.withColumn("seq", F.lit(3).cast("long"))):
+        for form in (long_to_wide, long_to_wide_join_form):
+            got = {r.reactor_name: (r.power_available, r.unavailability_type) for r in form(frame).collect()}
+            assert got == {"a": ("900", "fortuite"), "b": ("7", None)}
 
 
 def test_distributed_key_with_aqe_coalescing(spark):
@@ -84,7 +97,7 @@ def test_distributed_key_with_aqe_coalescing(spark):
     try:
         a = surrogate_key(df, ["n"], "id")
         n_parts = a.select(F.spark_partition_id().alias("p")).distinct().count()
-        b = surrogate_key(df, ["n"], "id", "window")
+        b = by_window(df, ["n"])
         assert a.exceptAll(b).count() == 0
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
@@ -93,15 +106,6 @@ def test_distributed_key_with_aqe_coalescing(spark):
     assert 1 < n_parts < 50
 
 
-def test_window_form_only_for_proven_small_inputs(spark):
-    df = spark.createDataFrame([(i % 7, i) for i in range(500)], "g int, n int")
-    small = surrogate_key(df, ["g", "n"], "id", "window")
-    guarded = surrogate_key(df, ["g", "n"], "id", "window", window_max_rows=100)
-    assert "Window" in small._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in guarded._jdf.queryExecution().executedPlan().toString()
-    assert small.exceptAll(guarded).count() == 0
-
-
 def test_empty_inputs(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert long_to_wide(empty).count() == 0
