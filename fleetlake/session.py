@@ -94,6 +94,11 @@ def discard(path: str) -> None:
             shutil.rmtree(re.sub("^file:/+", "/", path), ignore_errors=True)
 
 
+def scratch_paths() -> set[str]:
+    """The scratch folders that this process has not yet removed."""
+    return set(_SCRATCH)
+
+
 def _discard_all() -> None:
     for path in list(_SCRATCH):
         discard(path)
@@ -104,4 +109,4 @@ def tz_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-__all__ = ["build_session", "checkpoint_dir", "discard", "scratch_database", "scratch_path", "tz_utc"]
+__all__ = ["build_session", "checkpoint_dir", "discard", "scratch_database", "scratch_path", "scratch_paths", "tz_utc"]
