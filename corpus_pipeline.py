@@ -19,6 +19,7 @@ from fleetlake.llm.line_dedup import line_dedup
 from fleetlake.llm.queries import vocabulary
 from fleetlake.llm.simhash import one_of_each_class
 from fleetlake.llm.toxicity import train, without_toxic
+from fleetlake.session import discard, scratch_paths
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,6 +67,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole table ``documents``."""
     docs = read_table(ready(spark), sf_dir, "documents")
+    older = scratch_paths()
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
+        for path in scratch_paths() - older - {docs.scratch}:
+            discard(path)  # what the stage needed, and its input
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.session import checkpoint_dir, scratch_path
+from fleetlake.session import checkpoint_dir, discard, scratch_path
 
 #: rows handled at once inside a Python task; bounds a worker's memory
 SLICE_ROWS = 256
@@ -60,7 +60,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.scratch = path
+    return found
+
+
+def forget(df: DataFrame) -> None:
+    """Remove the files of a ``stored`` table that nothing reads any more."""
+    discard(df.scratch)
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -77,5 +84,5 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-__all__ = ["ASCII_SPACE", "SLICE_ROWS", "crc_bucket", "id_and_text", "mix64", "read_table",
+__all__ = ["ASCII_SPACE", "SLICE_ROWS", "crc_bucket", "forget", "id_and_text", "mix64", "read_table",
            "ready", "record_batch", "slices", "stored"]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import stored
+from fleetlake.llm.common import forget, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -38,7 +38,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if tuple(state) == mark:
             break
         mark = tuple(state)
-        edges = stored(_small_star(_large_star(edges)), "edges")
+        before, edges = edges, stored(_small_star(_large_star(edges)), "edges")
+        forget(before)
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return roots.union(edges.select("u", "v"))
 

@@ -121,6 +121,28 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+ORACLES["op2_substring_dedup"] = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), windows AS (
+  SELECT doc_id, p, array_to_string(ws[p:p + 12], ' ') AS seq
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS p FROM docs)
+), firsts AS (
+  SELECT seq, min(doc_id) AS first_id FROM windows GROUP BY seq
+), gone AS (
+  SELECT w.doc_id, w.p FROM windows w JOIN firsts f ON w.seq = f.seq WHERE f.first_id < w.doc_id
+), words AS (
+  SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM docs
+), marked AS (
+  SELECT w.doc_id, w.p, w.word,
+         count(g.p) OVER (PARTITION BY w.doc_id ORDER BY w.p ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) > 0 AS out
+  FROM words w LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.p = w.p
+)
+SELECT d.doc_id, len(d.ws) AS n_words, count(*) FILTER (m.out) AS n_removed,
+       sha256(coalesce(string_agg(m.word, ' ' ORDER BY m.p) FILTER (NOT m.out), '')) AS kept_sha256
+FROM docs d LEFT JOIN marked m ON m.doc_id = d.doc_id GROUP BY d.doc_id, d.ws
+"""
+
 ORACLES["op10_line_dedup"] = r"""
 WITH lines AS (
   SELECT doc_id, u.i AS pos, u.line AS line,

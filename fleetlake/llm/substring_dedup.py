@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import id_and_text, slices, stored
+from fleetlake.llm.common import forget, id_and_text, slices, stored
 from fleetlake.llm.words import Words, window_hashes
 
 #: text of a group of documents that one call handles
@@ -228,6 +228,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
 
     seeds = stored(seed_level(rows, seed, window, buckets), "seeds")
     earlier = stored(window_level(rows, seeds, seed, window, buckets), "earlier")
+    forget(seeds)
 
     out = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
                      ("kept_text", pa.string())])
