@@ -358,7 +358,8 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
     texts = id_and_text(docs, id_col, text_col).filter(usable)
     size = texts.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     at_once = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(4 * at_once, -(-size // BUCKET_BYTES))
+    # every pair bucket sends a row to every word bucket, so no more of them than balance needs
+    buckets = max(2 * at_once, -(-size // BUCKET_BYTES))
     folder = _folder(scratch_path(spark, "kneser-ney"))
     hot = frequent_words(texts, buckets)
     return Model(folder, buckets, hot, count_pairs(texts, folder, buckets, hot))
