@@ -40,16 +40,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import id_and_text, mix64, record_batch, slices
+from fleetlake.llm.common import forget, id_and_text, mix64, record_batch, slices, stored
 from fleetlake.llm.words import Words
 from fleetlake.session import scratch_path
 
 #: text whose pairs a bucket holds, about
 BUCKET_BYTES = 16_000_000
 #: pairs gathered before they are sent off
-_GATHER = 1_500_000
+_GATHER = 1_000_000
 #: text scored at once
-_ROUND_CHARS = 8_000_000
+_ROUND_CHARS = 4_000_000
 #: at most so many frequent words are dealt by pair; one document in 64 finds them
 #: (which words these are changes the balance only, not the counts)
 HOT_WORDS = 20_000
@@ -129,10 +129,11 @@ def frequent_words(texts: DataFrame, buckets: int) -> np.ndarray:
 
     some = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(64)) == 0).select("text")
     counts = some.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    share = counts.agg(F.sum("n").alias("all"))
-    top = (counts.crossJoin(F.broadcast(share))  # one row
-           .filter(F.col("n") * (16 * buckets) >= F.col("all"))
-           .orderBy(F.desc("n"), "word").limit(HOT_WORDS).select("word").collect())
+    counts = stored(counts, "frequent")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    top = (counts.filter(F.col("n") * (16 * buckets) >= total)
+           .orderBy(F.desc("n"), "word").limit(HOT_WORDS).collect())
+    forget(counts)
     return np.sort(np.array([r["word"] for r in top], dtype=np.int64).view(np.uint64))
 
 

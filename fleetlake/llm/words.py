@@ -2,7 +2,7 @@
 
 Words are the maximal runs without ASCII white space (``[^\\x20\\x09-\\x0D]+`` on the
 UTF-8 bytes).  A word's hash is a polynomial of its bytes modulo 2^64, taken from
-one running sum over the whole slice and finalised; a window's hash is the same
+one running sum over a block of words and finalised; a window's hash is the same
 over its word hashes.  Both depend on content alone, not on position."""
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from fleetlake.llm.common import mix64
 
 _BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xD6E8FEB86659FD93
+#: bytes hashed at once, or one longer word
+_BLOCK = 1 << 18
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -38,6 +40,13 @@ class Powers:
 _BYTES, _WORDS = Powers(_BYTE_BASE), Powers(_WORD_BASE)
 
 
+def _word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    up, down = _BYTES.get(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=sums[1:])
+    return mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+
+
 class Words:
     """The words of some texts: their places in ``data``, hashes and owners.
 
@@ -57,11 +66,13 @@ class Words:
         self.end = np.nonzero(change == 1)[0]
         if len(self.end) > len(self.start):
             self.end = self.end[-len(self.start):] if len(self.start) else self.end[:0]
-        up, down = _BYTES.get(len(raw) + 1)
-        sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=sums[1:])
-        size = (self.end - self.start).astype(np.uint64)
-        self.hash = mix64((sums[self.end] - sums[self.start]) * down[self.start] + size)
+        self.hash = np.empty(len(self.start), dtype=np.uint64)
+        at = 0
+        while at < len(self.start):  # blocks of whole words keep the sums in the cache
+            stop = max(at + 1, int(np.searchsorted(self.start, self.start[at] + _BLOCK)))
+            low, high = self.start[at], self.end[stop - 1]
+            self.hash[at:stop] = _word_hashes(raw[low:high], self.start[at:stop] - low, self.end[at:stop] - low)
+            at = stop
         begins = np.cumsum([0, *[len(p) + 1 for p in parts]])
         self.first = np.searchsorted(self.start, begins)
 
