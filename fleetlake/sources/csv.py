@@ -16,6 +16,7 @@ from pyspark.sql.types import DataType, DateType, StringType, StructType, Timest
 def csv_options(timestamp_format: str = "M/d/yyyy H:mm", date_format: str = "M/d/yyyy") -> dict:
     return {
         "header": "true",
+        "enforceSchema": "false",  # every file's header must name the same columns in the same order
         "encoding": "UTF-8",
         "ignoreLeadingWhiteSpace": "true",
         "ignoreTrailingWhiteSpace": "true",

@@ -6,7 +6,7 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
-from fleetlake.functions.casts import parse_timestamp, to_int
+from fleetlake.functions.casts import format_timestamp, parse_date, parse_timestamp, to_int, to_number
 from fleetlake.functions.flags import is_derated, is_unavailable
 
 
@@ -86,3 +86,9 @@ def python_rule(text):
 def test_lenient_int_matches_rule(spark, values):
     got = col_values(spark, values, to_int)
     assert got == [python_rule(v) for v in values]
+
+
+def test_type_suffixes_are_no_numbers(spark):
+    df = spark.createDataFrame([("900d",), ("900F",), ("1e3",), (" 900.7 ",), ("-0.9",), ("d",)], "v string")
+    got = [(r.a, r.b) for r in df.select(to_number("v").alias("a"), to_int("v").alias("b")).collect()]
+    assert got == [(None, None), (None, None), (1000.0, 1000), (900.7, 900), (-0.9, 0), (None, None)]

@@ -4,7 +4,11 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
+from pyspark.sql.types import StringType, StructField, StructType
+
 from fleetlake import schemas
+from fleetlake.plans.layers import silver_readings
 from fleetlake.sources.csv import read_csv
 
 LIST_CSV = """reactor,plant,lat,lon,grid_connection,model,rated_power,cooling,cooling_source
@@ -75,3 +79,39 @@ def test_rebalanced_ingest_of_gzip_source(spark):
     ingest_csv(spark, d, "t_bronze_gz.readings", settings, schemas.READINGS_CSV)
     df = spark.table("t_bronze_gz.readings")
     assert df.count() == 2000 and dict(df.dtypes)["date_time"] == "timestamp_ntz"
+
+
+def test_columns_are_found_by_name(spark):
+    text = ("plant,remark,reactor,model,rated_power,lat,lon,cooling,cooling_source,grid_connection\n"
+            "p,x,r_1,P4,900,47.5,2.8,dry,river,10/14/1987\n")
+    df = read_csv(spark, write(text), schemas.ASSET_LIST)
+    assert df.columns == [f.name for f in schemas.ASSET_LIST]
+    assert df.first().asDict() == dict(reactor="r_1", plant="p", lat=47.5, lon=2.8, model="P4", rated_power=900,
+                                       cooling="dry", cooling_source="river", grid_connection=dt.date(1987, 10, 14))
+
+
+def test_missing_columns(spark):
+    path = write("value,date_time,reactor_name,parameter\n900,1/1/2015 0:30,r,power_available\n")
+    with pytest.raises(ValueError, match="seq"):
+        read_csv(spark, path, schemas.READINGS_CSV)
+    row = read_csv(spark, path, schemas.READINGS_CSV, optional=("seq",)).first()
+    assert (row.reactor_name, row.value, row.seq) == ("r", "900", None)
+    with pytest.raises(ValueError, match="parameter"):
+        read_csv(spark, write("date_time,reactor_name,value\n1,2,3\n"), schemas.READINGS_CSV, optional=("seq",))
+
+
+def test_files_with_another_header_are_refused(spark):
+    path = write("a,b\n1,2\n")
+    with open(os.path.join(path, "part2.csv"), "w", encoding="utf-8") as f:
+        f.write("b,a\n3,4\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, path, StructType([StructField("a", StringType()), StructField("b", StringType())])).collect()
+
+
+def test_blank_and_folded_keys(spark):
+    readings = spark.createDataFrame([("  PALUEL_1 ",), ("Pàluel_1",), ("  ",), (None,)], "reactor_name string") \
+        .selectExpr("timestamp_ntz'2015-01-01' AS date_time", "reactor_name", "'x' AS parameter", "' ' AS value", "1L AS seq")
+    plain = [r.reactor_name for r in silver_readings(readings).collect()]
+    assert plain == ["PALUEL_1", "Pàluel_1", None, None]
+    folded = [r.reactor_name for r in silver_readings(readings, fold_keys=True).collect()]
+    assert folded == ["paluel_1", "paluel_1", None, None]
