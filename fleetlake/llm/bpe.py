@@ -36,7 +36,7 @@ from fleetlake.llm.common import id_and_text, record_batch, slices
 #: words of more parts than this are merged with a heap
 LONG_WORD = 200
 #: distinct words that a worker remembers; beyond, it forgets all and starts anew
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 
 _NONE = np.int32(2**31 - 1)
 _PLAIN = re.compile(r"[\x00-\x7eÀ-ÖØ-öø-ÿ]*")

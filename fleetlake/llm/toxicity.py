@@ -187,7 +187,7 @@ class ToxicityModel:
         """Weight of a token as written or as restored, whichever is larger."""
         found = self.seen.get(token)
         if found is None:
-            if len(self.seen) > 400_000:
+            if len(self.seen) > 200_000:
                 self.seen.clear()
             get = self.weights.get
             words = {token.strip(_EDGE), restored(token, self.chars)}
