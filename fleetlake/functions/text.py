@@ -11,10 +11,10 @@ Default repair, per value, all JVM-side:
    exactly, for every script.  ``encode`` would raise on characters outside
    Latin-1, so the guard runs first inside the CASE branch.
 2. *Literal replacements* — otherwise (mixed clean/damaged text, Windows-1252
-   readings such as "â€™"), an ordered chain of ``replace`` calls whose table
-   is generated from a rule: the damaged spelling of each character of the
+   readings such as "â€™"), one pass that replaces the spellings of a table
+   generated from a rule: the damaged spelling of each character of the
    French alphabet and its punctuation under both code pages.  Longer damaged
-   sequences go first.  The chain runs only on values where a one-pass regex
+   sequences go first.  The pass runs only on values where a one-pass regex
    finds a lead character followed by a possible continuation, so correct
    French text ("bâtiment") skips it.
 
@@ -92,6 +92,19 @@ def _replace_chain(col: Column, pairs) -> Column:
     return reduce(lambda acc, p: F.replace(acc, F.lit(p[0]), F.lit(p[1])), pairs, col)
 
 
+def _one_pass(col: Column, pairs) -> Column:
+    """Every damaged spelling replaced in one scan: the text is cut into spellings
+    (longest first), runs without a lead character and single leads, and a map
+    gives the original of each."""
+    originals = dict(reversed(pairs))  # of equal spellings the first pair counts
+    spell = lambda s: "".join(map(_regex_char, s))
+    leads = "".join(sorted({_regex_char(bad[0]) for bad in originals}))
+    spellings = "|".join(map(spell, sorted(originals, key=lambda bad: (-len(bad), bad))))
+    parts = F.regexp_extract_all(col, F.lit(f"(?s){spellings}|[^{leads}]+|."), F.lit(0))
+    table = F.create_map(*[F.lit(x) for pair in sorted(originals.items()) for x in pair])
+    return F.array_join(F.transform(parts, lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+
+
 def induce_mojibake(col) -> Column:
     """Damage text the way a wrong decode does: UTF-8 bytes read as ISO-8859-1."""
     return F.decode(F.encode(_c(col), "UTF-8"), "ISO-8859-1")
@@ -146,8 +159,8 @@ def repair_text(col, compat: bool = False) -> Column:
         # replacing an absent sequence is a no-op: skip values without any lead
         leads = "".join(sorted({_regex_char(bad[0]) for bad, _ in REFERENCE_PAIRS}))
         return F.when(c.rlike(f"[{leads}]"), _replace_chain(c, REFERENCE_PAIRS)).otherwise(c)
-    chain = F.when(c.rlike(_DEFAULT_GATE), _replace_chain(c, _DEFAULT_PAIRS)).otherwise(c)
-    return F.when(c.rlike(_SUSPECT), F.coalesce(round_trip(c), chain)).otherwise(c)
+    mixed = F.when(c.rlike(_DEFAULT_GATE), _one_pass(c, _DEFAULT_PAIRS)).otherwise(c)
+    return F.when(c.rlike(_SUSPECT), F.coalesce(round_trip(c), mixed)).otherwise(c)
 
 
 def _outside_ascii(udf, c: Column) -> Column:
