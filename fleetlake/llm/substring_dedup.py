@@ -6,7 +6,7 @@ length are looked at first, and only what repeats there is extended to the next
 length, until the length asked for is reached or no candidate survives.  On the
 first level not every window is looked at: of the short windows inside each long
 one the smallest hash alone is taken, which equal long windows choose alike, so no
-repeat is lost.
+repeat is lost; on later levels both halves of a window must repeat.
 
 Documents are dealt into groups of about ``GROUP_BYTES`` by a hash of their id.  A
 level works in two shuffles of packed arrays: groups send the distinct hashes of
@@ -39,6 +39,8 @@ from fleetlake.llm.words import Words, window_hashes
 GROUP_BYTES = 2_000_000
 #: text whose candidates a bucket holds, about
 BUCKET_BYTES = 16_000_000
+#: windows of the first level have at most so many words
+FIRST_LENGTH = 7
 #: candidates that a task gathers before it sends them off
 _GATHER = 1_000_000
 _LAST = 2**63 - 1
@@ -159,37 +161,64 @@ def seed_level(docs: DataFrame, seed: int, length: int, buckets: int) -> DataFra
             .groupBy("bucket").applyInArrow(back, _BACK_SQL))
 
 
-def window_level(docs: DataFrame, seeds: DataFrame, seed: int, length: int, buckets: int) -> DataFrame:
-    """``g, h``: windows of each group that a document of another group, smaller
-    than all of this group's holders, holds too."""
+def lengths(window: int) -> list[int]:
+    """Window lengths of the levels: each at most twice the one before, up to ``window``."""
+    out = [window]
+    while out[0] > FIRST_LENGTH:
+        out.insert(0, (out[0] + 1) // 2)
+    return out
+
+
+def _candidates(words: Words, ids: np.ndarray, known: np.ndarray, shorter: int | None, length: int,
+                first: bool) -> np.ndarray:
+    """Starts of the windows of ``length`` words whose shorter windows all repeat, as far
+    as the level before looked at them; ``known`` has the hashes that repeat elsewhere."""
+    _, whole = window_hashes(words.hash, words.first, length)
+    if shorter is None or not len(whole):
+        return np.nonzero(whole)[0]
+    if first:  # of the short windows in each long one, the chosen one was looked at
+        short, at, _ = chosen_seeds(words, shorter, length)
+        mine = np.unique(at[whole])
+        here = _shared(short[mine], ids[_owners(words)[mine]])
+        return np.nonzero(whole & _member(short[at], np.sort(np.concatenate([known, here]))))[0]
+    short, _ = window_hashes(words.hash, words.first, shorter)
+    repeats = _member(short, known)
+    return np.nonzero(whole & repeats[:len(whole)] & repeats[length - shorter:][:len(whole)])[0]
+
+
+def window_level(docs: DataFrame, found: DataFrame, shorter: int | None, length: int, buckets: int,
+                 first: bool, last: bool) -> DataFrame:
+    """``g, h``: windows of each group that repeat.  On the last level only those that a
+    document of another group, smaller than all of this group's holders, holds too."""
 
     def send(key, left: pa.Table, right: pa.Table) -> pa.Table:
         words = Words(left["text"].to_pylist())
         ids = np.array(left["doc_id"].to_pylist(), dtype=np.int64)
-        short, at, whole = chosen_seeds(words, seed, length)
-        owner = _owners(words)
-        if not whole.any():
-            return _SENT.empty_table()
-        mine = np.unique(at[whole])
-        known = np.sort(np.concatenate([_cat(right["h"], np.uint64), _shared(short[mine], ids[owner[mine]])]))
+        start = _candidates(words, ids, np.sort(_cat(right["h"], np.uint64)), shorter, length, first)
         h, _ = window_hashes(words.hash, words.first, length)
-        start = np.nonzero(whole & _member(short[at], known))[0]
-        h, doc = h[start], ids[owner[start]]
+        h, doc = h[start], ids[_owners(words)[start]]
         order = np.lexsort((doc, h))
         h, doc = h[order], doc[order]
-        new = first_in_groups(h)
-        h, doc = h[new], doc[new]
-        g = np.full(len(h), key[0].as_py(), dtype=np.int32)
-        return pa.Table.from_batches([_to_buckets(h, g, doc, buckets)], schema=_SENT)
+        at = np.nonzero(first_in_groups(h))[0] if len(h) else np.zeros(0, dtype=np.int64)
+        end = np.concatenate([at[1:], [len(h)]]).astype(np.int64) - 1 if len(at) else at
+        # the smallest holder; before the last level, whether there are several
+        lo = doc[at] if last else (doc[at] != doc[end]).astype(np.int64)
+        g = np.full(len(at), key[0].as_py(), dtype=np.int32)
+        return pa.Table.from_batches([_to_buckets(h[at], g, lo, buckets)], schema=_SENT)
 
     def back(table: pa.Table) -> pa.Table:
         h, g, lo = _cat(table["h"], np.uint64), _cat(table["g"], np.int32), _cat(table["lo"], np.int64)
         order = np.lexsort((lo, h))
-        h, g = h[order], g[order]
-        later = ~first_in_groups(h)
-        return _to_groups(h[later], g[later])
+        h, g, lo = h[order], g[order], lo[order]
+        new = first_in_groups(h)
+        if last:
+            return _to_groups(h[~new], g[~new])
+        at = np.nonzero(new)[0]
+        size = np.diff(np.concatenate([at, [len(h)]]))
+        keep = np.repeat((size > 1) | (np.maximum.reduceat(lo, at) > 0), size)
+        return _to_groups(h[keep], g[keep])
 
-    return (docs.groupBy("g").cogroup(seeds.groupBy("g")).applyInArrow(send, _SENT_SQL)
+    return (docs.groupBy("g").cogroup(found.groupBy("g")).applyInArrow(send, _SENT_SQL)
             .groupBy("bucket").applyInArrow(back, _BACK_SQL))
 
 
@@ -224,11 +253,22 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     at_once = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(4 * at_once, -(-total // BUCKET_BYTES))
     rows = rows.withColumn("g", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int"))
-    seed = (window + 1) // 2
-
-    seeds = stored(seed_level(rows, seed, window, buckets), "seeds")
-    earlier = stored(window_level(rows, seeds, seed, window, buckets), "earlier")
-    forget(seeds)
+    levels = lengths(window)
+    nothing = docs.sparkSession.createDataFrame([], _BACK_SQL)
+
+    found, shorter = nothing, None
+    if len(levels) > 1:
+        shorter = levels[0]
+        found = stored(seed_level(rows, shorter, levels[1], buckets), "seeds")
+    for k, length in enumerate(levels[1:] or levels):
+        last = length == window
+        longer = stored(window_level(rows, found, shorter, length, buckets, k == 0, last), "windows")
+        if found is not nothing:
+            forget(found)
+        found, shorter = longer, length
+        if not last and found.isEmpty():
+            break  # no candidate survives; what ``found`` is then, is empty as it should be
+    earlier = found
 
     out = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
                      ("kept_text", pa.string())])

@@ -145,6 +145,17 @@ def test_remove_repeats(odd_docs, odd, no_docs, monkeypatch):
     assert substring_dedup.remove_repeats(no_docs).count() == 0
 
 
+def test_levels_double():
+    assert substring_dedup.lengths(13) == [7, 13] and substring_dedup.lengths(5) == [5]
+    assert substring_dedup.lengths(100) == [7, 13, 25, 50, 100]
+
+
+@pytest.mark.parametrize("window, size", [(14, 2_000), (30, 2_000), (60, 20_000), (61, 10**9), (500, 5_000)])
+def test_remove_repeats_long_windows(odd_docs, odd, monkeypatch, window, size):
+    monkeypatch.setattr(substring_dedup, "GROUP_BYTES", size)
+    same(substring_dedup.remove_repeats(odd_docs, window).collect(), brute.remove_repeats(odd, window))
+
+
 @pytest.mark.parametrize("window", [2, 5])
 def test_remove_repeats_short_windows(spark, window):
     rng = random.Random(window)
