@@ -8,7 +8,7 @@ first level not every window is looked at: of the short windows inside each long
 one the smallest hash alone is taken, which equal long windows choose alike, so no
 repeat is lost; on later levels both halves of a window must repeat.
 
-Documents are dealt into groups of about ``GROUP_BYTES`` by a hash of their id.  A
+Rows are dealt into groups of about ``GROUP_BYTES`` by a hash of id and text.  A
 level works in two shuffles of packed arrays: groups send the distinct hashes of
 their candidates to hash buckets, buckets send back to each group which of them
 other groups hold as well (last level: which of them an earlier document holds).
@@ -211,10 +211,11 @@ def window_level(docs: DataFrame, found: DataFrame, shorter: int | None, length:
         order = np.lexsort((lo, h))
         h, g, lo = h[order], g[order], lo[order]
         new = first_in_groups(h)
-        if last:
-            return _to_groups(h[~new], g[~new])
         at = np.nonzero(new)[0]
         size = np.diff(np.concatenate([at, [len(h)]]))
+        if last:  # rows of one id may lie in several groups
+            later = lo > np.repeat(lo[at], size)
+            return _to_groups(h[later], g[later])
         keep = np.repeat((size > 1) | (np.maximum.reduceat(lo, at) > 0), size)
         return _to_groups(h[keep], g[keep])
 
@@ -252,7 +253,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     groups = max(1, -(-total // GROUP_BYTES))
     at_once = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(4 * at_once, -(-total // BUCKET_BYTES))
-    rows = rows.withColumn("g", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int"))
+    rows = rows.withColumn("g", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int"))
     levels = lengths(window)
     nothing = docs.sparkSession.createDataFrame([], _BACK_SQL)
 
