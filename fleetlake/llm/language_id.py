@@ -32,8 +32,9 @@ HIDDEN = 10
 MAX_TRAIN_ROWS = 4_000
 WINDOWS = 3
 MAX_LANGS = 200
-#: stretches read side by side
-_COLUMNS = 4_096
+#: stretches read side by side: few enough for the cache, and for products so small
+#: that numpy's library doesn't spread them over threads beside Spark's own tasks
+_COLUMNS = 512
 
 _ASCII_LETTER = re.compile(r"[A-Za-z]")
 _ANY_LETTER = re.compile(r"[^\W\d_]")
@@ -129,32 +130,30 @@ class Network:
         return [*self.ahead.params(), *self.back.params(), self.v, self.b]
 
     def positions(self, bytes_: np.ndarray, real: np.ndarray, keep: bool = False):
-        """Probabilities (L, T * B) at every position of bytes (T, B)."""
+        """Probabilities (T, L, B) at every position of bytes (T, B)."""
         a, cache_a = self.ahead.forward(bytes_, real, keep)
         b, cache_b = self.back.forward(bytes_[::-1], real[::-1], keep)
-        both = np.concatenate([a, b[::-1]], axis=1).transpose(1, 0, 2).reshape(2 * self.ahead.hidden, -1)
-        out = self.v @ both
+        both = np.concatenate([a, b[::-1]], axis=1)
+        out = np.matmul(self.v, both)
         out += self.b
-        out -= out.max(axis=0)
+        out -= out.max(axis=1, keepdims=True)
         np.exp(out, out=out)
-        out /= out.sum(axis=0)
+        out /= out.sum(axis=1, keepdims=True)
         return out, (both, cache_a, cache_b)
 
     def gradients(self, bytes_: np.ndarray, real: np.ndarray, label: np.ndarray) -> tuple[float, list[np.ndarray]]:
-        steps, width = bytes_.shape
         p, (both, cache_a, cache_b) = self.positions(bytes_, real, keep=True)
-        target = np.zeros_like(p)
-        at = np.tile(label, steps)
-        target[at, np.arange(len(at))] = 1.0
-        weight = (_IS_LETTER[bytes_] * real).reshape(-1)
+        each, h = np.arange(len(label)), self.ahead.hidden
+        weight = _IS_LETTER[bytes_] * real
         weight /= max(1.0, weight.sum())
-        loss = -float((np.log(p[at, np.arange(len(at))] + 1e-9) * weight).sum())
-        d = (p - target) * weight
-        d_both = (self.v.T @ d).reshape(2 * self.ahead.hidden, steps, width).transpose(1, 0, 2)
-        h = self.ahead.hidden
+        loss = -float((np.log(p[:, label, each] + 1e-9) * weight).sum())
+        d = p  # less 1 for the label: the gradient of the softmax's input
+        d[:, label, each] -= 1.0
+        d *= weight[:, None]
+        d_both = np.matmul(self.v.T, d)
         grads = [*self.ahead.backward(bytes_, real, cache_a, d_both[:, :h]),
                  *self.back.backward(bytes_[::-1], real[::-1], cache_b, d_both[::-1, h:]),
-                 d @ both.T, d.sum(axis=1, keepdims=True)]
+                 np.matmul(d, both.transpose(0, 2, 1)).sum(axis=0), d.sum(axis=(0, 2))[:, None]]
         return loss, grads
 
     def fit(self, stretches: list[bytes], labels: list[int], epochs: int = 6, batch: int = 256,
@@ -199,7 +198,7 @@ class Network:
             real = (np.arange(STEP)[:, None] < ends[None, at:at + _COLUMNS]).astype(np.float32)
             p, _ = self.positions(part, real)
             weight = _IS_LETTER[part] * real
-            p = (p.reshape(len(self.langs), STEP, -1) * weight).sum(axis=1)
+            p = (p * weight[:, None]).sum(axis=0)
             np.add.at(sums, owner[at:at + _COLUMNS], np.concatenate([p, weight.sum(axis=0)[None]]).T)
         return sums[:, :-1] / np.maximum(sums[:, -1:], 1.0)
 
