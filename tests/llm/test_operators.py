@@ -7,7 +7,7 @@ import zlib
 import brute
 import numpy as np
 import pytest
-from conftest import SCHEMA, as_docs, make_words
+from llm_tables import SCHEMA, as_docs, make_words, no_docs, odd, odd_docs  # noqa: F401 - fixtures
 from pyspark.sql import functions as F
 
 from fleetlake.llm import (

@@ -5,7 +5,7 @@ import random
 import brute
 import numpy as np
 import pytest
-from conftest import make_words, odd_rows
+from llm_tables import make_words, odd_rows
 from pyspark.sql import functions as F
 from test_operators import toxic_table
 
