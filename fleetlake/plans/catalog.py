@@ -44,6 +44,11 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+def _gold(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A written gold table of ``sf``."""
+    return spark.table(gold(spark, sf).table("gold", name))
+
+
 WIDE_COLUMNS = "date_time, reactor_name, power_available, derating, unavailability_type, " \
                "unavailability_cause, additional_info"
 
@@ -69,13 +74,14 @@ def q_fact_availability(spark, sf):
 @register("fact_availability_calendar_join", O.sql(O.STAR, f"SELECT {O.FACT_COLUMNS} FROM fact"))
 def q_fact_calendar_join(spark, sf):
     s = Star(spark, sf)
-    return facts.fact_availability(s.wide, s.reactors, calendar=dims.dim_datetime(s.readings), null_safe=True)
+    return facts.fact_availability(s.wide, _gold(spark, sf, "dim_reactor"),
+                                   calendar=dims.dim_datetime(s.readings), null_safe=True)
 
 
 @register("outage_flags", O.sql(O.STAR, """SELECT is_unavailable, is_derated, count(*) AS n_readings
 FROM fact GROUP BY is_unavailable, is_derated"""))
 def q_outage_flags(spark, sf):
-    return (Star(spark, sf).fact.groupBy("is_unavailable", "is_derated")
+    return (_gold(spark, sf, "fact_availability").groupBy("is_unavailable", "is_derated")
             .agg(F.count(F.lit(1)).alias("n_readings")))
 
 
@@ -144,7 +150,8 @@ def q_dim_datetime(spark, sf):
 @register("bridge", O.sql([O.ASSETS, O.DIM_PLANT, O.DIM_REACTOR, O.DIM_MODEL, O.DIM_COOLING, O.BRIDGE],
                           "SELECT reactor_id, model_id, cooling_id FROM bridge"))
 def q_bridge(spark, sf):
-    return Star(spark, sf).bridge
+    # built from the written dimensions, as the gold layer does
+    return dims.bridge(fixtures.assets(spark, sf), *[_gold(spark, sf, t) for t in ("dim_reactor", "dim_model", "dim_cooling")])
 
 
 @register("bridge_fanout", O.sql([O.ASSETS, O.DIM_PLANT, O.DIM_REACTOR, O.DIM_MODEL, O.DIM_COOLING,
@@ -152,8 +159,7 @@ def q_bridge(spark, sf):
   GREATEST(count(DISTINCT model_id), 1) AS model_rows, GREATEST(count(DISTINCT cooling_id), 1) AS cooling_rows,
   count(*) AS bridge_rows FROM bridge GROUP BY reactor_id"""))
 def q_bridge_fanout(spark, sf):
-    s = Star(spark, sf)
-    return dims.bridge_fanout(s.assets, s.reactors)
+    return dims.bridge_fanout(fixtures.assets(spark, sf), _gold(spark, sf, "dim_reactor"))
 
 
 SEGMENT_RANK = """SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
@@ -262,7 +268,7 @@ def q_plant_conflicts(spark, sf):
   count(DISTINCT reactor) AS n_keys, CAST(NULL AS BIGINT) AS expected,
   count(*) = count(DISTINCT reactor) AS passed FROM dim_reactor"""))
 def q_row_count_gate(spark, sf):
-    return quality.row_count_gate(Star(spark, sf).reactors, "reactor")
+    return quality.row_count_gate(_gold(spark, sf, "dim_reactor"), "reactor")
 
 
 # --- casts, sources and sinks ------------------------------------------------------
@@ -394,7 +400,7 @@ def q_silver_keys_folded(spark, sf):
 
 @register("table_round_trip", O.sql(O.STAR, f"SELECT {O.FACT_COLUMNS} FROM fact"))
 def q_table_round_trip(spark, sf):
-    fact = Star(spark, sf).fact
+    fact = _gold(spark, sf, "fact_availability")
     path = scratch_path(spark, "fact")
     database = "fact_" + path.rsplit("-", 1)[-1]
     scratch_database(spark, path, database)
