@@ -51,10 +51,14 @@ _COST_LETTER, _COST_DROP, _COST_SHORT, _COST_KEEP = 1.0, 1.5, 0.3, 6.0
 _LONGEST = 40
 
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "@$|+(") + "«»“”‘’…–—"
+#: the same without symbols that may stand for a letter
+_OUTER = "".join(c for c in _EDGE if c not in LOOKS_LIKE)
 _HELD = re.compile(r"([^\W\d_])\1\1")
-_MIXED = re.compile(r"[^\W\d_][\W\d_]+[^\W\d_]|[@$|+(\d][^\W\d_]{2}|[^\W\d_]{2}[@$|+\d]$")
-_LETTERS = re.compile(r"[^\W\d_]")
-_APART = re.compile(r"(?<![^\s])(?:[^\W_][ \t.\-_*]{1,3}){3,}[^\W_](?![^\W_])")
+_INNER = re.compile(r"[^\W\d_][\W\d_]+[^\W\d_]")
+_LETTER = re.compile(r"[^\W\d_]")
+_LIKE = "[" + re.escape("".join(LOOKS_LIKE)) + "]"
+_LIKES = re.compile(_LIKE)
+_APART = re.compile(rf"(?<![^\s])(?:(?:[^\W_]|{_LIKE})[ \t.\-_*]{{1,3}}){{3,}}(?:[^\W_]|{_LIKE})(?![^\W_])")
 _GAP = re.compile(r"[ \t.\-_*]+")
 
 
@@ -138,19 +142,27 @@ def char_counts(docs: DataFrame) -> np.ndarray:
     return counts
 
 
+def suspicious(core: str) -> bool:
+    """A letter, and a look-alike, a letter held down or letters set apart."""
+    return bool(_LETTER.search(core) and (_LIKES.search(core) or _HELD.search(core) or _INNER.search(core)))
+
+
 def restored(token: str, chars: CharModel) -> str:
-    """The word a lower-case token stands for."""
-    core = token.strip(_EDGE)
-    if core.isalpha() and not _HELD.search(core):
-        return core
+    """The word a lower-case token stands for, look-alikes at its edges included."""
+    core = token.strip(_OUTER)
+    return chars.decode(core) if len(core) <= _LONGEST and suspicious(core) else token.strip(_EDGE)
+
+
+def readings(token: str, chars: CharModel) -> set[str]:
+    """The words a lower-case token may stand for: as written, and as restored with
+    the symbols at its edges as letters or as ornaments."""
+    bare = token.strip(_EDGE)
+    if bare.isalpha() and not _HELD.search(bare) and bare == token.strip(_OUTER):
+        return {bare}
+    core = bare
     for edge in ("$$$", "@@@", "+++", "|||"):  # ornaments, not letters
         core = core.strip(edge[0]) if core.startswith(edge) or core.endswith(edge) else core
-    core = core.strip(_EDGE)
-    letters = len(_LETTERS.findall(core))
-    if len(core) <= _LONGEST and letters >= 2 and 2 * letters >= len(core) and (
-            _MIXED.search(core) or _HELD.search(core)):
-        return chars.decode(core)
-    return core
+    return {bare, restored(token, chars), restored(core.strip(_EDGE), chars)}
 
 
 def spaced(text: str) -> list[str]:
@@ -178,20 +190,18 @@ class ToxicityModel:
         self.seen: dict[str, float] = {}
 
     def words(self, text: str) -> set[str]:
-        """Distinct restored words."""
+        """Distinct words as written and as restored."""
         low = text.lower()
-        both = {*low.split(), *spaced(low)}
-        return {restored(t, self.chars) for t in both} | {t.strip(_EDGE) for t in both}
+        return {w for t in {*low.split(), *spaced(low)} for w in readings(t, self.chars)}
 
     def weight(self, token: str) -> float:
-        """Weight of a token as written or as restored, whichever is larger."""
+        """Largest weight of a token's readings."""
         found = self.seen.get(token)
         if found is None:
             if len(self.seen) > 200_000:
                 self.seen.clear()
             get = self.weights.get
-            words = {token.strip(_EDGE), restored(token, self.chars)}
-            found = self.seen[token] = max((get(t, 0.0) for w in words for t in traits(w)), default=0.0)
+            found = self.seen[token] = max(get(t, 0.0) for w in readings(token, self.chars) for t in traits(w))
         return found
 
     def sums(self, text: str) -> list[float]:

@@ -298,6 +298,22 @@ def test_disguised_words(spark, model, disguise):
     assert caught >= 19 and wrong == 0
 
 
+LEET = str.maketrans("aegiostlb", "439105718")
+
+
+@pytest.mark.parametrize("disguise", [
+    lambda w: w.translate(LEET), lambda w: w.replace("i", "!"), lambda w: w.replace("i", "!") + "!!",
+    lambda w: " ".join(w.replace("i", "!")), lambda w: " ".join(w.translate(LEET)),
+    lambda w: w.replace("s", "$$$").replace("o", "000"), lambda w: f"({w.translate(LEET)}),"])
+@pytest.mark.parametrize("insult", INSULTS)
+def test_one_disguised_word(model, insult, disguise):
+    rng = random.Random(11)
+    words = make_words(rng, 30)
+    assert model.score(" ".join(words)) < toxicity.THRESHOLD
+    words.insert(rng.randrange(30), disguise(insult))
+    assert model.score(" ".join(words)) >= toxicity.THRESHOLD
+
+
 def test_toxicity_odd_rows(spark, model, odd_docs, odd, no_docs):
     found = toxicity.toxicity_scores(odd_docs, model).collect()
     assert len(found) == len(odd) and all(0.0 <= r["score"] < toxicity.THRESHOLD for r in found)
