@@ -47,8 +47,8 @@ LOOKS_LIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6":
 #: channel costs (negative log probabilities): symbol for a letter, symbol dropped,
 #: held letter shortened, symbol kept
 _COST_LETTER, _COST_DROP, _COST_SHORT, _COST_KEEP = 1.0, 1.5, 0.3, 6.0
-#: longer tokens are data (keys, addresses), not disguised words
-_LONGEST = 40
+#: symbols that are decoded at once; longer tokens and runs are read in windows
+_WINDOW = 40
 
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "@$|+(") + "«»“”‘’…–—"
 #: the same without symbols that may stand for a letter
@@ -60,6 +60,8 @@ _LIKE = "[" + re.escape("".join(LOOKS_LIKE)) + "]"
 _LIKES = re.compile(_LIKE)
 _APART = re.compile(rf"(?<![^\s])(?:(?:[^\W_]|{_LIKE})[ \t.\-_*]{{1,3}}){{3,}}(?:[^\W_]|{_LIKE})(?![^\W_])")
 _GAP = re.compile(r"[ \t.\-_*]+")
+_LONG_HELD = re.compile(r"(.)\1{3,}")
+_PIECE = re.compile(rf"(?:[^\W_]|{_LIKE})+")
 
 
 def _table() -> bytes:
@@ -78,6 +80,23 @@ def _symbol(char: str) -> int:
     return ord(char) - 96 if "a" <= char <= "z" else 27 if char.isalpha() else 0
 
 
+def lattice(token: str):
+    """What each run of one symbol may stand for, with the channel's costs."""
+    for char, run in groupby(token):
+        held = len(list(run))
+        if char.isalpha():
+            choices = [(char * held, 0.0 if held < 3 else _COST_KEEP / 2)]
+            if held > 1:
+                choices += [(char, _COST_SHORT)] + ([(char * 2, _COST_SHORT)] if held > 2 else [])
+        else:
+            choices = [("", _COST_DROP), (char * held, _COST_KEEP)]
+            for letter in LOOKS_LIKE.get(char, ""):
+                choices.append((letter, _COST_LETTER))
+                if held > 1:
+                    choices.append((letter * 2, _COST_LETTER))
+        yield choices
+
+
 class CharModel:
     """Smoothed character 4-gram model from counts by code."""
 
@@ -93,18 +112,7 @@ class CharModel:
     def decode(self, token: str) -> str:
         """Best reading of a token by Viterbi over its lattice."""
         states = {(0, 0, 0): (0.0, "")}
-        for char, run in groupby(token):
-            held = len(list(run))
-            if char.isalpha():
-                choices = [(char * held, 0.0 if held < 3 else _COST_KEEP / 2)]
-                if held > 1:
-                    choices += [(char, _COST_SHORT)] + ([(char * 2, _COST_SHORT)] if held > 2 else [])
-            else:
-                choices = [("", _COST_DROP), (char * held, _COST_KEEP)]
-                for letter in LOOKS_LIKE.get(char, ""):
-                    choices.append((letter, _COST_LETTER))
-                    if held > 1:
-                        choices.append((letter * 2, _COST_LETTER))
+        for choices in lattice(token):
             after: dict[tuple, tuple] = {}
             for context, (cost, read) in states.items():
                 for out, price in choices:
@@ -147,32 +155,53 @@ def suspicious(core: str) -> bool:
     return bool(_LETTER.search(core) and (_LIKES.search(core) or _HELD.search(core) or _INNER.search(core)))
 
 
-def restored(token: str, chars: CharModel) -> str:
+def restored(token: str, chars: CharModel | ToxicityModel) -> str:
     """The word a lower-case token stands for, look-alikes at its edges included."""
     core = token.strip(_OUTER)
-    return chars.decode(core) if len(core) <= _LONGEST and suspicious(core) else token.strip(_EDGE)
+    return chars.decode(core) if suspicious(core) else token.strip(_EDGE)
 
 
-def readings(token: str, chars: CharModel) -> set[str]:
+def readings(token: str, chars: CharModel | ToxicityModel) -> set[str]:
     """The words a lower-case token may stand for: as written, and as restored with
     the symbols at its edges as letters or as ornaments."""
     bare = token.strip(_EDGE)
     if bare.isalpha() and not _HELD.search(bare) and bare == token.strip(_OUTER):
         return {bare}
-    core = bare
+    if len(token) > _WINDOW:
+        token = shortened(token).strip(_OUTER)
+        if len(token) > _WINDOW:
+            return {bare}.union(*(readings(t, chars) for t in windows(token)))
+    core = token.strip(_EDGE)
     for edge in ("$$$", "@@@", "+++", "|||"):  # ornaments, not letters
         core = core.strip(edge[0]) if core.startswith(edge) or core.endswith(edge) else core
     return {bare, restored(token, chars), restored(core.strip(_EDGE), chars)}
 
 
-def spaced(text: str) -> list[str]:
-    """Words whose letters are set apart, each with all its endings (the letters of
-    a neighbouring one-letter word may stand before it)."""
+def shortened(text: str) -> str:
+    """Three of each symbol held longer: the lattice reads them alike."""
+    return _LONG_HELD.sub(r"\1\1\1", text)
+
+
+def windows(token: str) -> list[str]:
+    """Parts of a long token: its pieces between other symbols, as far as they fit a
+    window, and the windows that overlap from the start of each piece or, in a long
+    piece, from every half window."""
+    out = set()
+    for m in _PIECE.finditer(token):
+        if len(m[0]) <= _WINDOW:
+            out.add(m[0])
+        out |= {token[i:i + _WINDOW] for i in range(m.start(), m.end(), _WINDOW // 2)}
+    return sorted(out) or [token[:_WINDOW]]
+
+
+def runs(text: str) -> list[list[str]]:
+    """Each run of letters set apart as the words that may begin at its letters (one
+    window from each; a neighbouring one-letter word may stand before a word)."""
     out = []
     for m in _APART.finditer(text):
-        word = _GAP.sub("", m[0])
-        if len(set(word)) > 1 and len(word) <= _LONGEST:
-            out += [word[i:] for i in range(max(1, len(word) - 3))]
+        word = shortened(_GAP.sub("", m[0]))
+        if len(set(word)) > 1:
+            out.append([word[i:i + _WINDOW] for i in range(max(1, len(word) - 3))])
     return out
 
 
@@ -188,11 +217,34 @@ class ToxicityModel:
                  fit: np.ndarray | None = None, prior: float = 0.0):
         self.chars, self.weights, self.fit, self.prior = chars, weights or {}, fit, prior
         self.seen: dict[str, float] = {}
+        self.bodies = {t.removeprefix("=") for t in self.weights}
+        self.begun = {t[:n] for t in self.bodies for n in range(len(t) + 1)}
+
+    def reaches(self, token: str) -> bool:
+        """Some reading of the token begins like a trait with a weight."""
+        reads = {""}
+        for choices in lattice(token):
+            after = set()
+            for read in reads:
+                for out, _ in choices:
+                    now = read + out
+                    if any(now[:n] in self.bodies for n in range(len(read) + 1, len(now) + 1)):
+                        return True
+                    if now in self.begun:
+                        after.add(now)
+            reads = after
+            if not reads:
+                break
+        return False
+
+    def decode(self, token: str) -> str:
+        """The best reading; tokens of which no reading could weigh stay as they are."""
+        return self.chars.decode(token) if self.reaches(token) else token
 
     def words(self, text: str) -> set[str]:
         """Distinct words as written and as restored."""
         low = text.lower()
-        return {w for t in {*low.split(), *spaced(low)} for w in readings(t, self.chars)}
+        return {w for t in {*low.split(), *(x for run in runs(low) for x in run)} for w in readings(t, self.chars)}
 
     def weight(self, token: str) -> float:
         """Largest weight of a token's readings."""
@@ -201,7 +253,7 @@ class ToxicityModel:
             if len(self.seen) > 200_000:
                 self.seen.clear()
             get = self.weights.get
-            found = self.seen[token] = max(get(t, 0.0) for w in readings(token, self.chars) for t in traits(w))
+            found = self.seen[token] = max(get(t, 0.0) for w in readings(token, self) for t in traits(w))
         return found
 
     def sums(self, text: str) -> list[float]:
@@ -210,8 +262,14 @@ class ToxicityModel:
         tokens = low.split()
         weigh = self.weight
         hits = [w for w in map(weigh, tokens) if w > 0.0]
-        apart = [weigh(t) for t in spaced(low)]
-        hits += [max(apart)] if apart and max(apart) > 0.0 else []
+        for run in runs(low):
+            last = -4
+            for at, w in enumerate(map(weigh, run)):
+                if w > 0.0 and at - last < 4:  # beginnings have 4 letters: the same word
+                    hits[-1] = max(hits[-1], w)
+                elif w > 0.0:
+                    hits.append(w)
+                last = at if w > 0.0 else last
         return [1.0, max(hits, default=0.0), math.log1p(sum(hits)), math.log1p(len(hits)),
                 math.sqrt(len(hits) / max(1, len(tokens)))]
 

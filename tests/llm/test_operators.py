@@ -314,6 +314,24 @@ def test_one_disguised_word(model, insult, disguise):
     assert model.score(" ".join(words)) >= toxicity.THRESHOLD
 
 
+@pytest.mark.parametrize("long", [
+    lambda w: " ".join("youareandyouwillalwaysbeandeverybodyknows" + w), lambda w: w + w[-1] * 60,
+    lambda w: " ".join(w + "andyouwillalwaysbeoneasfarasanybodyknows"),
+    lambda w: w[:2] + w[2] * 60 + w[3:], lambda w: "/".join([*["word"] * 12, w.translate(LEET)]),
+    lambda w: " ".join("you" * 20 + w.translate(LEET))])
+@pytest.mark.parametrize("insult", INSULTS)
+def test_long_disguise(model, insult, long):
+    words = make_words(random.Random(12), 30)
+    words.insert(9, long(insult))
+    assert model.score(" ".join(words)) >= toxicity.THRESHOLD
+
+
+def test_spaced_words_count(model):
+    one, two = (model.sums("so " + "; ".join([" ".join("idiot")] * n)) for n in (1, 2))
+    assert (one[3], two[3]) == pytest.approx((np.log1p(1), np.log1p(2)))
+    assert model.sums(" ".join("idiotscumbagidiot"))[3] == pytest.approx(np.log1p(3))
+
+
 def test_toxicity_odd_rows(spark, model, odd_docs, odd, no_docs):
     found = toxicity.toxicity_scores(odd_docs, model).collect()
     assert len(found) == len(odd) and all(0.0 <= r["score"] < toxicity.THRESHOLD for r in found)
