@@ -8,10 +8,13 @@ share, so that the last shards are not left short.  A group of at least a fair s
 shard of its own first, so one huge group doesn't leave other shards empty.
 
 The order is not collected.  The driver sees a bounded summary: the summed
-sizes of 4,096 ranges of the hash, and then only of those ranges, ever finer,
-that a cut can fall into for any capacity still in question.  When these are
-single groups, the greedy check on the summary equals the check on all groups,
-and the capacity is exact.  DataFrame functions only.
+sizes of 4,096 ranges of the hash, and finer ones of ranges that the cuts of one
+capacity may fall into.  A fill with cuts at known ends of ranges, and one that
+runs to the end of the range it stops in, bound the true fill; ranges are refined
+until both agree whether the probed capacity fits.  When the summary has grown to
+its limit the finer ranges are forgotten and the probe goes on from the first cuts to the last, so the
+driver's share doesn't grow with the groups, and the capacity is exact.
+DataFrame functions only.
 
 Defined cases: a null text counts as the empty text (size = the overhead, crc32
 0); repeated rows are rows of their own in the same group; a null id takes a
@@ -28,7 +31,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _HEX = 3          # hex digits of the first summary: 4,096 ranges
-_FINER = 2        # further digits of each refinement
+_WIDTH = 16       # ranges refined at either end of what is open for a cut
+_MOST = 100_000   # ranges at which finer ones are forgotten
 _SLOT_ROWS = 200_000  # rows numbered by one task, about
 
 
@@ -36,74 +40,74 @@ class _Summary:
     """Ordered items (hash prefix, size, single) and the greedy fill over them."""
 
     def __init__(self, items: list[tuple[str, int, bool]]):
-        self.items = sorted(items)
-        self.ends = [0, *accumulate(size for _, size, _ in self.items)]
-
-    def cuts(self, capacity: int, shards: int, at: int = 0) -> list[int] | None:
-        """Index of the first item of each further shard when item ``at`` starts
-        the first one, or None if the shards don't suffice."""
-        found = []
-        while at < len(self.items):
-            end = bisect_right(self.ends, self.ends[at] + capacity) - 1
-            if end == at or len(found) == shards:
-                return None
-            found.append(end)
-            at = end
-        return found[:-1]
-
-    def smallest(self, low: int, shards: int) -> int:
-        """Smallest feasible capacity from ``low`` on, by binary search."""
-        high = max(low, self.ends[-1])
+        self.items = items
+        self.ends = [0, *accumulate(size for _, size, _ in items)]
+
+    def upto(self, at: int, capacity: int) -> int:
+        """Last item boundary that a shard from boundary ``at`` on reaches."""
+        return bisect_right(self.ends, self.ends[at] + capacity) - 1
+
+    def exact(self, at: int, capacity: int, end: int) -> bool:
+        """No group inside item ``end`` could be added to the shard."""
+        return end == len(self.items) or self.items[end][2] or self.ends[end] == self.ends[at] + capacity
+
+    def fill(self, capacity: int, shards: int) -> list[tuple[int, int, int]]:
+        """For each shard the earliest and the latest boundary at which the greedy
+        fill may end it, and the last item that may hold this cut."""
+        found, early, late = [], 0, 0
+        for _ in range(shards):
+            early, end = self.upto(early, capacity), self.upto(late, capacity)
+            late = end if self.exact(late, capacity, end) else end + 1
+            found.append((early, late, end))
+        return found
+
+    def smallest(self, low: int, high: int, shards: int, sure: bool) -> int:
+        """Smallest capacity from ``low`` to ``high`` that fits for sure, or may fit."""
         while low < high:
             mid = (low + high) // 2
-            if self.cuts(mid, shards) is None:
+            if self.fill(mid, shards)[-1][0 if sure else 1] < len(self.items):
                 low = mid + 1
             else:
                 high = mid
         return low
 
-    def balanced(self, capacity: int, shards: int) -> list[int]:
+    def opened(self, fill: list[tuple[int, int, int]]) -> list[int]:
+        """Items to refine, in the order of the cuts: those at either end of what is
+        open for a cut."""
+        out: dict[int, None] = {}
+        for early, late, end in fill:
+            if early == late:
+                continue
+            held = range(early, min(end + 1, len(self.items)))
+            near = held if len(held) <= 2 * _WIDTH else [*held[:_WIDTH], *held[-_WIDTH:]]
+            out.update(dict.fromkeys(i for i in near if not self.items[i][2]))
+        return list(out)
+
+    def balanced(self, capacity: int, shards: int) -> tuple[list[int], list[int]]:
         """Cuts under the same capacity, each as near to its even share as the
-        capacity and the rest allow; the greedy cut is the latest allowed one."""
-        found, at = [], 0
+        capacity and the rest allow (the greedy cut is the latest allowed one), and
+        the items to refine before these are exact."""
+        n = len(self.items)
+        back = _Summary(self.items[::-1])
+        fill = back.fill(capacity, shards - 1)  # from the end: the earliest cuts whose rest fits
+        opened = [n - 1 - i for i in back.opened(fill)]
+        nearest = []
         for shard in range(1, shards):
-            latest = bisect_right(self.ends, self.ends[at] + capacity) - 1
             even = self.ends[-1] * shard / shards
             near = bisect_right(self.ends, even) - 1
-            if near < len(self.items) and even - self.ends[near] > self.ends[near + 1] - even:
+            if near < n and self.ends[near] < even and not self.items[near][2]:
+                opened.append(near)
+            elif near < n and even - self.ends[near] > self.ends[near + 1] - even:
                 near += 1
-            low, high = min(max(near, at), latest), latest
-            while low < high:  # the earliest cut that leaves a rest which still fits
-                mid = (low + high) // 2
-                if self.cuts(capacity, shards - shard, mid) is None:
-                    low = mid + 1
-                else:
-                    high = mid
-            at = low
+            nearest.append(near)
+        found, at = [], 0
+        for shard in range(1, shards if not opened else 0):
+            latest, wanted = self.upto(at, capacity), max(nearest[shard - 1], at, n - fill[shards - shard - 1][0])
+            if wanted > latest and not self.exact(at, capacity, latest):
+                return [], [latest]
+            at = min(wanted, latest)
             found.append(at)
-        return [x for x in found if x < len(self.items)]
-
-    def in_question(self, low: int, high: int, shards: int) -> list[tuple[str, str]]:
-        """At most ``shards`` prefix ranges (first, last) in which a cut lies for some
-        capacity from ``low`` to ``high`` and which are not yet all single groups."""
-        spans: list[list[int]] = []
-        left = 0
-        for shard in range(1, shards):
-            left = max(left, bisect_right(self.ends, self.ends[left] + low) - 1)
-            right = min(bisect_right(self.ends, shard * high), len(self.items))
-            if left >= right:
-                continue
-            if spans and left <= spans[-1][1]:
-                spans[-1][1] = max(spans[-1][1], right)
-            else:
-                spans.append([left, right])
-        return [(self.items[a][0], self.items[b - 1][0]) for a, b in spans
-                if not all(single for _, _, single in self.items[a:b])]
-
-
-def _within(sha: Column, spans: list[tuple[str, str]]) -> Column:
-    """``sha`` begins with a prefix from first to last of one of the spans."""
-    return reduce(lambda a, b: a | b, [(sha >= first) & (sha < last + "g") for first, last in spans])
+        return [x for x in found if x < n], list(dict.fromkeys(opened))
 
 
 def _summed(groups: DataFrame, digits: int) -> list[tuple[str, int, bool]]:
@@ -113,21 +117,58 @@ def _summed(groups: DataFrame, digits: int) -> list[tuple[str, int, bool]]:
     return [(r["prefix"], r["size"], r["n"] == 1) for r in rows.toLocalIterator()]
 
 
+class _Ranges:
+    """The summary of ``groups`` that the driver holds."""
+
+    def __init__(self, groups: DataFrame):
+        self.groups = groups
+        self.first = self.now = _Summary(sorted(_summed(groups, _HEX)))
+        self.wide = True
+
+    def refine(self, opened: list[int]) -> None:
+        if self.wide and len(self.now.items) + 16 * len(opened) > _MOST:
+            self.now, self.wide = self.first, False  # from here on, as far as there is room
+            return
+        chosen = set(opened if self.wide else opened[:max(1, (_MOST - len(self.now.items)) // 32)])
+        by_digits: dict[int, list[str]] = {}
+        for i in chosen:
+            by_digits.setdefault(len(self.now.items[i][0]), []).append(self.now.items[i][0])
+        items = [x for i, x in enumerate(self.now.items) if i not in chosen]
+        for digits, prefixes in by_digits.items():
+            items += _summed(self.groups.filter(F.substring("sha", 1, digits).isin(prefixes)), digits + 1)
+        self.now = _Summary(sorted(items))
+
+    def decided(self) -> None:
+        """The next probe starts afresh if this one had to forget."""
+        if not self.wide:
+            self.now, self.wide = self.first, True
+
+
 def minimax_cuts(groups: DataFrame, shards: int, total: int, largest: int) -> tuple[int, list[str]]:
     """Smallest capacity and the hash prefix at which each further shard starts,
     for ``groups`` (sha, size) in the order of sha."""
-    digits = _HEX
-    items = _summed(groups, digits)
+    ranges = _Ranges(groups)
+    low, high = max(-(-total // shards), largest), max(total, largest)
+    while True:
+        high = ranges.now.smallest(low, high, shards, sure=True)
+        low = ranges.now.smallest(low, high, shards, sure=False)
+        if low == high:
+            break
+        mid = (low + high) // 2
+        while low <= mid < high:
+            fill = ranges.now.fill(mid, shards)
+            if fill[-1][0] == len(ranges.now.items):
+                high = mid
+            elif fill[-1][1] < len(ranges.now.items):
+                low = mid + 1
+            else:
+                ranges.refine(ranges.now.opened(fill))
+        ranges.decided()
     while True:
-        summary = _Summary(items)
-        low = max(-(-total // shards), largest)
-        high = summary.smallest(low, shards)
-        spans = summary.in_question(low, high, shards)
-        if not spans:
-            return high, [summary.items[i][0] for i in summary.balanced(high, shards)]
-        digits += _FINER
-        finer = _summed(groups.filter(_within(F.col("sha"), spans)), digits)
-        items = [x for x in items if not any(a <= x[0] <= b for a, b in spans)] + finer
+        cuts, opened = ranges.now.balanced(high, shards)
+        if not opened:
+            return high, [ranges.now.items[i][0] for i in cuts]
+        ranges.refine(opened)
 
 
 def minimax_shards(docs: DataFrame, n_shards: int, overhead: int = 16, id_col: str = "doc_id",

@@ -1,5 +1,6 @@
 """Operators against plain Python versions, on odd rows and on empty tables."""
 
+import bisect
 import hashlib
 import random
 import zlib
@@ -261,6 +262,33 @@ def test_benchmark_matches(spark, odd, no_docs, block_bytes):
     assert decontaminate.benchmark_matches(no_docs, bench).count() == 0
 
 
+def test_driver_summary_is_bounded(spark, monkeypatch):
+    """Groups of some tenths of a share leave the capacity above the fair share."""
+    rng = random.Random(2)
+    rows = [(hashlib.sha256(f"2-{i}".encode()).hexdigest(), rng.randint(500, 1500)) for i in range(60_000)]
+    share = sum(s for _, s in rows) // 40
+    for i, part in enumerate([0.3, 0.5, 0.6, 0.7, 0.8]):
+        rows[i] = (rows[i][0], int(part * share))
+    rows.sort()
+    held, summed = [], sharding._summed
+    monkeypatch.setattr(sharding, "_summed", lambda *a: held.append(summed(*a)) or held[-1])
+    sizes = [s for _, s in rows]
+    groups = spark.createDataFrame(rows, "sha string, size long").coalesce(2).cache()
+    capacity, starts = sharding.minimax_cuts(groups, 40, sum(sizes), max(sizes))
+    assert max(map(len, held)) <= 20_000
+
+    def cuts(limit):
+        n, left = 1, limit
+        for s in sizes:
+            n, left = (n, left - s) if s <= left else (n + 1, limit - s)
+        return n
+
+    assert cuts(capacity) <= 40 < cuts(capacity - 1)
+    shas = [s for s, _ in rows]
+    at = [0, *(bisect.bisect_left(shas, s) for s in starts), len(rows)]
+    assert max(sum(sizes[a:b]) for a, b in zip(at, at[1:])) == capacity
+
+
 # -- toxicity ---------------------------------------------------------------------
 
 INSULTS = ["idiot", "moron", "worthless", "scumbag"]
