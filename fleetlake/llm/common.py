@@ -14,6 +14,9 @@ SLICE_ROWS = 256
 #: ... and so does their text (a single longer text is a slice of its own)
 SLICE_CHARS = 2_000_000
 
+#: least size of a scratch file, as far as that leaves work for all cores
+FILE_BYTES = 32 << 20
+
 #: the ASCII white space of the contracts, [\x20\x09-\x0D]
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
@@ -54,12 +57,22 @@ def record_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
         [pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def in_files(df: DataFrame, n_bytes: int) -> DataFrame:
+    """``df`` in partitions of at least ``FILE_BYTES`` as far as every core keeps
+    two of them; many small partitions join without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(2 * cores, min(-(-n_bytes // FILE_BYTES), 1 << 30)))
+
+
+def stored(df: DataFrame, name: str, n_bytes: int | None = None) -> DataFrame:
     """``df`` written under the shared checkpoint folder and read back: cuts the
-    lineage, and its rows survive lost executors."""
+    lineage, and its rows survive lost executors.
+
+    With ``n_bytes``, about what is written, the files are sized by bytes instead
+    of one for each of the plan's partitions."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df if n_bytes is None else in_files(df, n_bytes)).write.parquet(path)
     found = spark.read.schema(df.schema).parquet(path)
     found.scratch = path
     return found
@@ -70,6 +83,11 @@ def forget(df: DataFrame) -> None:
     discard(df.scratch)
 
 
+def scanned_bytes(df: DataFrame) -> int:
+    """Bytes of the plan's inputs by Spark's own statistics; no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def ready(spark: SparkSession) -> SparkSession:
     checkpoint_dir(spark)
     return spark
@@ -84,5 +102,5 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-__all__ = ["ASCII_SPACE", "SLICE_ROWS", "crc_bucket", "forget", "id_and_text", "mix64", "read_table",
-           "ready", "record_batch", "slices", "stored"]
+__all__ = ["ASCII_SPACE", "FILE_BYTES", "SLICE_ROWS", "crc_bucket", "forget", "id_and_text", "in_files", "mix64",
+           "read_table", "ready", "record_batch", "scanned_bytes", "slices", "stored"]

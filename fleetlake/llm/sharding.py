@@ -8,8 +8,9 @@ share, so that the last shards are not left short.  A group of at least a fair s
 shard of its own first, so one huge group doesn't leave other shards empty.
 
 The order is not collected.  The driver sees a bounded summary: the summed
-sizes of 4,096 ranges of the hash, and finer ones of ranges that the cuts of one
-capacity may fall into.  A fill with cuts at known ends of ranges, and one that
+sizes of 4,096 ranges of the hash, and finer ones of ranges that the cuts of some
+capacities between the bounds may fall into; one job refines them all, whatever their
+lengths.  A fill with cuts at known ends of ranges, and one that
 runs to the end of the range it stops in, bound the true fill; ranges are refined
 until both agree whether the probed capacity fits.  When the summary has grown to
 its limit the finer ranges are forgotten and the probe goes on from the first cuts to the last, so the
@@ -30,8 +31,11 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetlake.llm.common import scanned_bytes, stored
+
 _HEX = 3          # hex digits of the first summary: 4,096 ranges
 _WIDTH = 16       # ranges refined at either end of what is open for a cut
+_ROUND = 1_250    # ranges refined by one job, unless one capacity alone opens more
 _MOST = 100_000   # ranges at which finer ones are forgotten
 _SLOT_ROWS = 200_000  # rows numbered by one task, about
 
@@ -110,11 +114,19 @@ class _Summary:
         return [x for x in found if x < n], list(dict.fromkeys(opened))
 
 
-def _summed(groups: DataFrame, digits: int) -> list[tuple[str, int, bool]]:
-    rows = (groups.groupBy(F.substring("sha", 1, digits).alias("prefix"))
-            .agg(F.sum("size").alias("size"), F.count("*").alias("n"), F.min("sha").alias("sha"))
+def _summed(groups: DataFrame, prefixes: list[str]) -> list[tuple[str, int, bool]]:
+    """The ranges one digit finer than ``prefixes``, of any lengths, in one job.
+    Their number is bounded by ``_MOST``, so they are collected at once."""
+    by_digits: dict[int, list[str]] = {}
+    for prefix in prefixes:
+        by_digits.setdefault(len(prefix), []).append(prefix)
+    finer = F.coalesce(*[
+        F.when(F.substring("sha", 1, digits).isin(held), F.substring("sha", 1, digits + 1))
+        for digits, held in sorted(by_digits.items())])
+    rows = (groups.select(finer.alias("prefix"), "sha", "size").filter(F.col("prefix").isNotNull())
+            .groupBy("prefix").agg(F.sum("size").alias("size"), F.count("*").alias("n"), F.min("sha").alias("sha"))
             .select("size", "n", F.when(F.col("n") == 1, F.col("sha")).otherwise(F.col("prefix")).alias("prefix")))
-    return [(r["prefix"], r["size"], r["n"] == 1) for r in rows.toLocalIterator()]
+    return [(r["prefix"], r["size"], r["n"] == 1) for r in rows.collect()]
 
 
 class _Ranges:
@@ -122,7 +134,7 @@ class _Ranges:
 
     def __init__(self, groups: DataFrame):
         self.groups = groups
-        self.first = self.now = _Summary(sorted(_summed(groups, _HEX)))
+        self.first = self.now = _Summary(sorted(_summed(groups, [f"{i:0{_HEX - 1}x}" for i in range(16 ** (_HEX - 1))])))
         self.wide = True
 
     def refine(self, opened: list[int]) -> None:
@@ -130,14 +142,23 @@ class _Ranges:
             self.now, self.wide = self.first, False  # from here on, as far as there is room
             return
         chosen = set(opened if self.wide else opened[:max(1, (_MOST - len(self.now.items)) // 32)])
-        by_digits: dict[int, list[str]] = {}
-        for i in chosen:
-            by_digits.setdefault(len(self.now.items[i][0]), []).append(self.now.items[i][0])
         items = [x for i, x in enumerate(self.now.items) if i not in chosen]
-        for digits, prefixes in by_digits.items():
-            items += _summed(self.groups.filter(F.substring("sha", 1, digits).isin(prefixes)), digits + 1)
+        items += _summed(self.groups, [self.now.items[i][0] for i in sorted(chosen)])
         self.now = _Summary(sorted(items))
 
+    def around(self, low: int, high: int, shards: int) -> list[int]:
+        """Items that keep capacities spread over the bracket undecided, those of its
+        middle first, as many as there is room for."""
+        wanted: dict[int, None] = {}
+        for step in (4, 2, 6, 1, 7, 3, 5):
+            opened = self.now.opened(self.now.fill(low + (high - low) * step // 8, shards))
+            if wanted and len(wanted) + len(opened) > _ROUND:
+                break
+            wanted.update(dict.fromkeys(opened))
+            if not self.wide:
+                break
+        return list(wanted)
+
     def decided(self) -> None:
         """The next probe starts afresh if this one had to forget."""
         if not self.wide:
@@ -154,6 +175,11 @@ def minimax_cuts(groups: DataFrame, shards: int, total: int, largest: int) -> tu
         low = ranges.now.smallest(low, high, shards, sure=False)
         if low == high:
             break
+        if ranges.wide:
+            opened = ranges.around(low, high, shards)  # one job narrows the bracket from several capacities
+            if opened:
+                ranges.refine(opened)
+                continue
         mid = (low + high) // 2
         while low <= mid < high:
             fill = ranges.now.fill(mid, shards)
@@ -181,8 +207,11 @@ def minimax_shards(docs: DataFrame, n_shards: int, overhead: int = 16, id_col: s
     rows = docs.select(
         docs[id_col].cast("long").alias("doc_id"),
         (F.length(data) + overhead).cast("long").alias("size"),
-        F.crc32(data).alias("text_crc32"), F.sha2(data, 256).alias("sha")).checkpoint()
-    groups = rows.groupBy("sha").agg(F.sum("size").alias("size"), F.count("*").alias("n")).checkpoint()
+        F.crc32(data).alias("text_crc32"), F.sha2(data, 256).alias("sha"))
+    # a row of 90 bytes for each document: no more than a tenth of the text
+    n_bytes = scanned_bytes(docs.select(text_col)) // 10
+    rows = stored(rows, "sized", n_bytes)
+    groups = stored(rows.groupBy("sha").agg(F.sum("size").alias("size"), F.count("*").alias("n")), "groups", n_bytes)
 
     whole = groups.agg(F.sum("size"), F.sum("n")).first()
     total, n_rows = whole[0] or 0, whole[1] or 0

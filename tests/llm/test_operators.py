@@ -504,3 +504,33 @@ def test_language_id(spark, odd_docs, odd, no_docs):
 
 def test_schema_has_clashing_names():
     assert {"kept_text", "g", "h"} <= {c.split()[0] for c in SCHEMA.split(", ")}
+
+
+def test_sharding_needs_few_jobs_on_many_partitions(spark):
+    """One job a refinement, however many partitions a shuffle has."""
+    rng = random.Random(8)
+    rows = [(i, f"text {i} " * rng.randint(1, 40)) for i in range(4000)] + [(9000 + i, "one text " * 30) for i in range(700)]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "211")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.sparkContext.setJobGroup("few-jobs", "sharding")
+    try:
+        found = sharding.minimax_shards(as_docs(spark, rows), 40).collect()
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-jobs"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    check_shards(found, rows, 40)
+    assert jobs <= 60
+    alone = max({r["text_sha256"] for r in found}, key=lambda h: sum(r["size"] for r in found if r["text_sha256"] == h))
+    sizes = {}
+    for r in found:
+        if r["text_sha256"] != alone:
+            sizes[r["text_sha256"]] = sizes.get(r["text_sha256"], 0) + r["size"]
+    ordered = [sizes[h] for h in sorted(sizes)]
+    sums = {}
+    for r in found:
+        if r["text_sha256"] != alone:
+            sums[r["shard"]] = sums.get(r["shard"], 0) + r["size"]
+    assert max(sums.values()) <= brute.smallest_capacity(ordered, 39)
