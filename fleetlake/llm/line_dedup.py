@@ -8,7 +8,7 @@ Skew: the count goes through (hash, document) first, so a line that a third of
 all documents hold is combined on the map side and spread over partitions; the
 join that brings the verdict back carries 40-byte rows and no text, and AQE can
 split it.  The hashed lines are written once to the shared folder, as both read
-them.  Text is shuffled once, for the reassembly.
+them, in files sized by bytes.  Text is shuffled once, for the reassembly.
 
 Defined cases: a null or empty text is one empty line; rows with equal ids are
 one document when documents are counted, each row is reassembled from its own
@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import ASCII_SPACE, stored
+from fleetlake.llm.common import ASCII_SPACE, scanned_bytes, stored
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LAST = 2**63 - 1
@@ -48,6 +48,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A key of at least ``min_chars`` code points found in at least ``min_docs``
     documents keeps its lines only in the smallest document that holds it."""
     text = F.coalesce(F.col(text_col), F.lit(""))
+    n_bytes = scanned_bytes(docs.select(text_col))  # the hashed lines take about as much, or less
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("doc"),
         F.coalesce(docs[id_col].cast("long"), F.lit(_LAST)).alias("id"),
@@ -58,12 +59,12 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"),
     ).select("id", "text_hash", "pos", line_key(F.col("line")).alias("key"))
     lines = stored(lines.filter(F.length("key") >= min_chars).select(
-        "id", "text_hash", "pos", F.unhex(F.md5("key")).alias("key")), "lines")
+        "id", "text_hash", "pos", F.unhex(F.md5("key")).alias("key")), "lines", n_bytes)
 
     holders = lines.groupBy("key", "id").agg(F.lit(1).alias("one"))
     # written before it is joined: AQE splits a hot key only between two plain exchanges
     repeated = stored(holders.groupBy("key").agg(F.count("*").alias("n_docs"), F.min("id").alias("first_id"))
-                      .filter(F.col("n_docs") >= min_docs).select("key", "first_id"), "repeated")
+                      .filter(F.col("n_docs") >= min_docs).select("key", "first_id"), "repeated", n_bytes // 4)
     dropped = (lines.join(repeated, "key").filter(F.col("id") != F.col("first_id"))
                .groupBy("id", "text_hash").agg(F.collect_set("pos").alias("gone")))
 
