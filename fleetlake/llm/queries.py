@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fleetlake.llm.bpe import bpe_digest
 from fleetlake.llm.common import crc_bucket, read_table, ready
 from fleetlake.llm.decontaminate import benchmark_matches
-from fleetlake.llm import kneser_ney, language_id
+from fleetlake.llm import kneser_ney, language_id, merkle
 from fleetlake.llm.line_dedup import line_dedup
 from fleetlake.llm.piecewise import piecewise_fingerprints
 from fleetlake.llm.sharding import minimax_shards
@@ -121,6 +121,77 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@_query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and folded root of every document; every seventh id by crc32 is
+    tampered with (one more character claimed) before its root is folded."""
+    docs = read_table(ready(spark), sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    tampered = F.when((crc_bucket("doc_id", 7) == 0) & F.col("n_chars").isNotNull(), merkle.leaf(
+        F.col("doc_id"), F.col("source"), F.col("lang"), more.cast("decimal(20,0)"), F.col("text")))
+    found = merkle.merkle_proofs(docs, carry={"tampered": tampered})
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return (found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+                         merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
+ORACLES["op13_merkle_manifest"] = r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang, n_chars,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         coalesce(strlen(text) || ':' || text, '-') AS tail FROM documents
+), leaves AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+         CASE WHEN n_chars IS NOT NULL AND xor(4294967295::BIGINT,
+                   list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+                     lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+                   lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384::BIGINT)
+                                     ELSE a // 2 END)) % 7 = 0
+              THEN sha256(head || strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1) || tail) END AS tampered
+  FROM fields
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS spot,
+         count(*) OVER (PARTITION BY lang) AS n FROM leaves
+), nodes(lang, level, spot, n, hash) AS (
+  SELECT lang, 0, spot, n, leaf FROM placed
+  UNION ALL
+  SELECT lang, level + 1, spot // 2, (n + 1) // 2, sha256(string_agg(hash, '' ORDER BY spot)) FROM nodes WHERE n > 1
+  GROUP BY lang, level, spot // 2, n
+), subroots AS (
+  SELECT lang, hash AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS spot, count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+), tops(level, spot, n, hash) AS (
+  SELECT 0, spot, n, subroot FROM subroots
+  UNION ALL
+  SELECT level + 1, spot // 2, (n + 1) // 2, sha256(string_agg(hash, '' ORDER BY spot)) FROM tops WHERE n > 1
+  GROUP BY level, spot // 2, n
+), folds(doc, lang, spot, n, level, top, acc, proof) AS (
+  SELECT row_number() OVER (ORDER BY lang NULLS FIRST, spot), lang, spot, n, 0, FALSE, coalesce(tampered, leaf), ''
+  FROM placed
+  UNION ALL
+  SELECT f.doc, f.lang,
+         CASE WHEN f.n > 1 THEN f.spot // 2 ELSE s.spot END, CASE WHEN f.n > 1 THEN (f.n + 1) // 2 ELSE s.n END,
+         CASE WHEN f.n > 1 THEN f.level + 1 ELSE 0 END, f.n = 1 OR f.top,
+         CASE WHEN f.n = 1 THEN f.acc WHEN f.spot % 2 = 1 THEN sha256(coalesce(b.hash, t.hash) || f.acc)
+              ELSE sha256(f.acc || coalesce(b.hash, t.hash, '')) END,
+         f.proof || CASE WHEN f.n = 1 THEN '' ELSE coalesce(b.hash, t.hash, '') END
+  FROM folds f
+  LEFT JOIN nodes b ON NOT f.top AND b.lang IS NOT DISTINCT FROM f.lang AND b.level = f.level AND b.spot = xor(f.spot, 1)
+  LEFT JOIN tops t ON f.top AND t.level = f.level AND t.spot = xor(f.spot, 1)
+  LEFT JOIN subroots s ON s.lang IS NOT DISTINCT FROM f.lang
+  WHERE f.n > 1 OR NOT f.top
+), numbered AS (
+  SELECT *, row_number() OVER (ORDER BY lang NULLS FIRST, spot) AS doc FROM placed
+)
+SELECT p.doc_id, p.leaf, s.subroot, r.hash AS root, sha256(f.proof) AS proof_sha256, f.acc AS folded_root,
+       f.acc = r.hash AS verified
+FROM numbered p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang
+JOIN folds f ON f.doc = p.doc AND f.top AND f.n = 1
+CROSS JOIN (SELECT hash FROM tops WHERE n = 1) r
+"""
+
 ORACLES["op2_substring_dedup"] = r"""
 WITH docs AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
