@@ -16,7 +16,9 @@ from fleetlake.llm.piecewise import piecewise_fingerprints
 from fleetlake.llm.sharding import minimax_shards
 from fleetlake.llm.simhash import simhash_classes
 from fleetlake.llm.substring_dedup import remove_repeats
+from fleetlake.llm.token_files import read_token_files, write_token_files
 from fleetlake.llm.toxicity import THRESHOLD, toxicity_scores, train
+from fleetlake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -121,6 +123,15 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@_query
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents written in files with Elias-Fano boundaries and read back."""
+    docs = read_table(ready(spark), sf_dir, "documents").select("doc_id", "text")
+    root = scratch_path(spark, "token-files")
+    write_token_files(docs, root, vocabulary("byte_bpe_50k.json"))
+    return read_token_files(spark, root)
+
+
 @_query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, proof and folded root of every document; every seventh id by crc32 is
