@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -30,7 +31,6 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -48,10 +48,14 @@ LONG_TEXT = 1 << 20    # characters from which pieces are taken in portions
 _MAGIC = b"EFTOKENS"
 _FOOTER = struct.Struct("<QQQqQQB7x8s")  # ids, documents, null ids, first id, places of both sequences, id bytes, magic
 
-# Fixed value: how byte-level tokenizers split a text before merging.
-_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-# characters outside ASCII, Latin, Greek, Cyrillic, common punctuation and Han, and odd controls
-_UNSURE = regex.compile(r"[^\t\n\r\x20-\x7e -ɏΑ-ΡΣ-ωА-я‐-‧一-龥]")
+# Fixed value: how byte-level tokenizers split a text before merging, for the characters
+# below, among which a letter is what ``re`` calls a word character.
+_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+# anything but ASCII without odd controls, Latin without raised and broken digits, Greek,
+# Cyrillic, Han and common punctuation
+_UNSURE = re.compile("[^\t\n\r\x20-\x7e\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f\u0391-\u03a1\u03a3-\u03c9"
+                     "\u0410-\u044f\u2010-\u2027\u2030-\u205e\u4e00-\u9fa5]")
+_WORD = re.compile(r" [^\W\d_]+")
 
 _MANIFEST = "pid int, seq int, path string, n_docs long, n_ids long"
 _ROWS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
@@ -80,23 +84,48 @@ class Encoder:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.kind).tobytes() for e in found]
 
-    def _joined(self, pieces: list[str]) -> bytes:
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of pieces of a space and letters, which stay apart in one text."""
+        found = self.tokenizer.encode("".join(words), add_special_tokens=False)
+        ends = np.flatnonzero(np.diff(np.array(found.word_ids, dtype=np.int64), append=-1)) + 1
+        data, at = np.array(found.ids, dtype=self.kind).tobytes(), (ends * self.kind.itemsize).tolist()
+        return [data[a:b] for a, b in zip([0, *at], at)]
+
+    def _learn(self, new: list[str]) -> None:
+        words = [p for p in new if _WORD.fullmatch(p)]
+        for i in range(0, len(words), 10_000):
+            part = words[i:i + 10_000]
+            self.pieces.update(zip(part, self._words(part), strict=True))
+        others = [p for p in new if p not in self.pieces]
+        self.pieces.update(zip(others, self._ids(others)))
+
+    def _joined(self, texts: list[list[str]]) -> list[bytes]:
+        """Texts as pieces → ids.  When enough pieces are known, new ones are forgotten
+        again: the frequent ones came early."""
         known = self.pieces
-        new = list({p for p in pieces if p not in known})
+        new = list(set().union(*texts).difference(known))
         if new:
-            if len(known) + len(new) > PIECES:
-                known.clear()
-                new = list(set(pieces))
-            known.update(zip(new, self._ids(new)))
-        return b"".join(map(known.__getitem__, pieces))
-
-    def encode(self, text: str) -> bytes:
-        if not self.by_pieces or _UNSURE.search(text) or any(s in text for s in self.special):
-            return self._ids([text])[0]
-        if len(text) < LONG_TEXT:
-            return self._joined(_SPLIT.findall(text))
-        matches = (m.group() for m in _SPLIT.finditer(text))
-        return b"".join(self._joined(part) for part in iter(lambda: list(islice(matches, 100_000)), []))
+            self._learn(new)
+        found = [b"".join(map(known.__getitem__, pieces)) for pieces in texts]
+        if len(known) > PIECES:
+            for piece in new:
+                del known[piece]
+        return found
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        found: list[bytes | None] = [None] * len(texts)
+        short = []
+        for i, text in enumerate(texts):
+            if not self.by_pieces or _UNSURE.search(text) or any(s in text for s in self.special):
+                found[i] = self._ids([text])[0]
+            elif len(text) < LONG_TEXT:
+                short.append(i)
+            else:
+                matches = (m.group() for m in _SPLIT.finditer(text))
+                found[i] = b"".join(self._joined([part])[0] for part in iter(lambda: list(islice(matches, 100_000)), []))
+        for i, ids in zip(short, self._joined([_SPLIT.findall(texts[i]) for i in short])):
+            found[i] = ids
+        return found
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -205,10 +234,10 @@ def write_token_files(docs: DataFrame, root: str, tokenizer_path: str, end_id: i
         tool, out, done, files = encoder(tokenizer_path), None, [], 0
         end = np.array([end_id], dtype=tool.kind).tobytes()
         for pids, ids, texts in slices(batches, ("pid", "doc_id", "text")):
-            for pid, doc_id, text in zip(pids, ids, texts):
+            for pid, doc_id, tokens in zip(pids, ids, tool.encode(texts)):
                 if out is None:
                     out, files = _Writer(root, pid, files, tool.kind), files + 1
-                out.add(doc_id, tool.encode(text) + end)
+                out.add(doc_id, tokens + end)
                 if out.full():
                     done.append(out.close())
                     out = None
@@ -219,7 +248,7 @@ def write_token_files(docs: DataFrame, root: str, tokenizer_path: str, end_id: i
 
     files = rows.mapInArrow(write, _MANIFEST)
     # a row a file; sums over blocks of 1,024 partitions, then inside each
-    files = stored(files, "token-files", 0).withColumn("block", F.shiftright("pid", 10))
+    files = stored(files.repartition(1 + n // 4096), "token-files").withColumn("block", F.shiftright("pid", 10))
     all_before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy("block").orderBy("pid", "seq").rowsBetween(Window.unboundedPreceding, -1)
     blocks = files.groupBy("block").agg(F.sum("n_ids").alias("n")).select(
