@@ -84,8 +84,11 @@ def forget(df: DataFrame) -> None:
 
 
 def scanned_bytes(df: DataFrame) -> int:
-    """Bytes of the plan's inputs by Spark's own statistics; no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Bytes of the plan by Spark's own statistics; no job runs.
+
+    Rows without statistics (an RDD's) count as a usual split for each partition."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else df.rdd.getNumPartitions() << 27
 
 
 def ready(spark: SparkSession) -> SparkSession:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.llm.bpe import bpe_digest
 from fleetlake.llm.common import crc_bucket, read_table, ready
+from fleetlake.llm.conversation_repair import damaged, repair_conversations
 from fleetlake.llm.decontaminate import benchmark_matches
 from fleetlake.llm import kneser_ney, language_id, merkle
 from fleetlake.llm.line_dedup import line_dedup
@@ -132,6 +133,13 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, root)
 
 
+@_query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after damage by checksum."""
+    rows = read_table(ready(spark), sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair_conversations(damaged(rows), rows.select("conv_id"))
+
+
 @_query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, proof and folded root of every document; every seventh id by crc32 is
