@@ -11,7 +11,8 @@ the full keys in either mode; its fan-out is reported as counts (F2).
 Where the reference's choice was arbitrary (which duplicate survives, ties in
 the id order) a total order is imposed so results are reproducible.
 
-Surrogate ids come from ``keys.surrogate_key`` (dense, ordered, distributed).
+Surrogate ids come from ``keys.surrogate_key`` (dense, ordered, distributed), or from
+another ``number`` function, as ``registry.Registry.number`` for ids that stay.
 """
 
 from __future__ import annotations
@@ -23,21 +24,21 @@ from fleetlake.operators.joins import lookup_join
 from fleetlake.operators.keys import distinct_rows, keep_one_per_key, surrogate_key
 
 
-def dim_plant(assets: DataFrame, compat: bool = False) -> DataFrame:
+def dim_plant(assets: DataFrame, compat: bool = False, number=surrogate_key) -> DataFrame:
     cols = ["plant", "lat", "lon"]
     base = (distinct_rows(assets, cols) if compat
             else keep_one_per_key(assets.select(*cols), ["plant"], ["lat", "lon"]))
-    return surrogate_key(base, cols, "plant_id") \
+    return number(base, cols, "plant_id") \
         .select(*cols, "plant_id")
 
 
-def dim_reactor(assets: DataFrame, plants: DataFrame, compat: bool = False) -> DataFrame:
+def dim_reactor(assets: DataFrame, plants: DataFrame, compat: bool = False, number=surrogate_key) -> DataFrame:
     reactors = keep_one_per_key(assets.select("reactor", "plant", "grid_connection"), ["reactor"])
     if not compat:
         joined = lookup_join(reactors, plants.select("plant", "plant_id"), "plant",
                              null_safe=True)
-        keyed = surrogate_key(joined.select("reactor", "plant_id", "grid_connection"),
-                              ["reactor", "plant_id", "grid_connection"], "reactor_id")
+        keyed = number(joined.select("reactor", "plant_id", "grid_connection"),
+                       ["reactor", "plant_id", "grid_connection"], "reactor_id")
         return keyed.select("reactor_id", "reactor", "plant_id", "grid_connection")
     # Reference shape (F1): joining on plant alone gives a reactor one row per
     # coordinate row of its plant; rows were numbered, then one per reactor
@@ -54,15 +55,15 @@ def dim_reactor(assets: DataFrame, plants: DataFrame, compat: bool = False) -> D
     return keyed.select("reactor_id", "reactor", "plant_id", "grid_connection")
 
 
-def dim_model(assets: DataFrame) -> DataFrame:
+def dim_model(assets: DataFrame, number=surrogate_key) -> DataFrame:
     base = distinct_rows(assets, ["model", "rated_power"])
-    return surrogate_key(base, ["model", "rated_power"], "model_id") \
+    return number(base, ["model", "rated_power"], "model_id") \
         .select("model_id", "model", "rated_power")
 
 
-def dim_cooling(assets: DataFrame) -> DataFrame:
+def dim_cooling(assets: DataFrame, number=surrogate_key) -> DataFrame:
     base = distinct_rows(assets, ["cooling", "cooling_source"])
-    return surrogate_key(base, ["cooling", "cooling_source"], "cooling_id") \
+    return number(base, ["cooling", "cooling_source"], "cooling_id") \
         .select("cooling_id", "cooling", "cooling_source")
 
 

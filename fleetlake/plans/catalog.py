@@ -1,5 +1,7 @@
 """Registered queries: one per operator family of SURVEY §2 / §7.3.
 
+Queries about publishing, refreshing and ingesting are in ``catalog_store``.
+
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` runs the Spark implementation on
 the driver's parquet tables; ``ORACLES[name]`` is an independent DuckDB SQL
 answer over the same tables (absent where SQL cannot express the operator:
@@ -9,7 +11,6 @@ Column names and types agree between the two.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 from functools import reduce
 
@@ -19,7 +20,8 @@ from fleetlake.functions import casts
 from fleetlake.functions.calendar import floor_minutes
 from fleetlake.functions.text import induce_mojibake, nfkc, repair_reference_order, repair_string_columns
 from fleetlake.operators import analytics, dims, facts, keys, pivot, quality
-from fleetlake.plans import dashboard, layers, oracle as O
+from fleetlake.plans import catalog_store, dashboard, layers, oracle as O
+from fleetlake.plans.registered import ORACLES, QUERIES, register
 from fleetlake.plans.star import Star, gold
 from fleetlake.schemas import FACT_COLUMNS, READINGS_CSV
 from fleetlake.settings import Settings
@@ -30,20 +32,6 @@ from fleetlake.sources.csv import read_csv, write_csv
 from fleetlake.sources.tables import file_inventory
 from fleetlake.streaming.ingest import ingest_available
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, oracle: str | None = None):
-    def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return fn
-    return deco
-
-
 def _gold(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A written gold table of ``sf``."""
     return spark.table(gold(spark, sf).table("gold", name))
@@ -604,6 +592,9 @@ def q_availability_yoy(spark, sf):
     return analytics.availability_yoy(_moved(spark, sf))
 
 
+__all__ = ["ORACLES", "QUERIES", "catalog_store", "entry_query"]
+
+
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: the gold availability fact."""
     return q_fact_availability(spark, sf_dir)

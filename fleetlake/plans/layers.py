@@ -20,7 +20,10 @@ from fleetlake import schemas
 from fleetlake.functions.casts import parse_date, parse_timestamp, to_number
 from fleetlake.functions.text import repair_string_columns
 from fleetlake.operators import dims, facts, pivot, quality
+from fleetlake.operators.keys import surrogate_key
+from fleetlake.operators.registry import Registry
 from fleetlake.settings import Settings
+from fleetlake.sinks import releases
 from fleetlake.sinks.tables import create_database, overwrite_table, write_fact
 from fleetlake.sources.csv import read_csv
 
@@ -124,8 +127,11 @@ def build_gold(spark: SparkSession, settings: Settings = Settings()) -> dict[str
     assets = spark.table(settings.table("silver", ASSETS))
     readings = spark.table(settings.table("silver", READINGS))
 
-    plants = dims.dim_plant(assets, compat=settings.compat)
-    reactors = dims.dim_reactor(assets, plants, compat=settings.compat)
+    if settings.registry_db and settings.compat:
+        raise ValueError("registered ids and the reference's positions exclude each other")
+    number = Registry(spark, settings).number if settings.registry_db else surrogate_key
+    plants = dims.dim_plant(assets, compat=settings.compat, number=number)
+    reactors = dims.dim_reactor(assets, plants, compat=settings.compat, number=number)
     # gate before the first gold write (F14); keys are already materialised
     if settings.expected_reactors is not None:
         quality.enforce_row_count(reactors, "reactor", settings.expected_reactors)
@@ -133,8 +139,8 @@ def build_gold(spark: SparkSession, settings: Settings = Settings()) -> dict[str
     create_database(spark, settings.gold_db, settings.location(settings.gold_db))
     overwrite_table(plants, g("dim_plant"), settings)
     overwrite_table(reactors, g("dim_reactor"), settings)
-    overwrite_table(dims.dim_model(assets), g("dim_model"), settings)
-    overwrite_table(dims.dim_cooling(assets), g("dim_cooling"), settings)
+    overwrite_table(dims.dim_model(assets, number), g("dim_model"), settings)
+    overwrite_table(dims.dim_cooling(assets, number), g("dim_cooling"), settings)
     overwrite_table(dims.dim_datetime(readings), g("dim_datetime"), settings)
 
     # consumers read the written keys back (D3)
@@ -148,6 +154,15 @@ def build_gold(spark: SparkSession, settings: Settings = Settings()) -> dict[str
     return {name: g(name) for name in GOLD_TABLES}
 
 
+def release_gold(spark: SparkSession, settings: Settings = Settings()) -> Settings:
+    """Build the gold tables aside and publish them in one step; returns the settings of
+    the build.  A build that fails leaves the published tables as they are."""
+    build = releases.begin(spark, settings)
+    build_gold(spark, build)
+    releases.publish(spark, settings, build, GOLD_TABLES)
+    return build
+
+
 def run_layers(spark: SparkSession, asset_csv: str, readings_csv: str,
                  settings: Settings = Settings()) -> dict[str, str]:
     report = build_bronze(spark, asset_csv, readings_csv, settings)

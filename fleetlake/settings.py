@@ -29,6 +29,9 @@ class Settings:
     # rebalance rows right after a CSV scan (AQE REBALANCE): for unsplittable
     # sources (gzip, multi-line) where one file would otherwise be one task
     ingest_rebalance: bool = False
+    # database of the key registries: dimension ids then stay from build to build;
+    # None = every build numbers its members anew
+    registry_db: str | None = None
     # root folder for table data (external tables); None = the session warehouse
     warehouse: str | None = None
     # fact layout: partition folders + clustering inside them.  The reference

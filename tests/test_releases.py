@@ -1,0 +1,98 @@
+"""Publishing gold builds: readers see one build, a failed one changes nothing."""
+
+import pytest
+
+from fleetlake.plans import catalog_store as store, layers
+from fleetlake.sinks import releases
+from fleetlake.sources import fixtures
+
+
+@pytest.fixture()
+def settings(spark):
+    return store.scratch_settings(spark, "release-test")
+
+
+def table(spark, settings, values, name="t"):
+    df = spark.createDataFrame([(v,) for v in values], "x int")
+    df.write.option("path", settings.location(settings.table("gold", name))).saveAsTable(settings.table("gold", name))
+
+
+def values(spark, settings, name="t"):
+    return sorted(r[0] for r in spark.table(settings.table("gold", name)).collect())
+
+
+def build(spark, settings, numbers, names=("t", "u")):
+    made = releases.begin(spark, settings)
+    for n in names:
+        table(spark, made, numbers, n)
+    return made
+
+
+def test_nothing_is_published_at_first(spark, settings):
+    assert releases.current(spark, settings) is None
+    with pytest.raises(LookupError):
+        releases.published(spark, settings)
+    made = build(spark, settings, [1])
+    assert releases.current(spark, settings) is None  # written, not published
+    releases.publish(spark, settings, made, ["t", "u"])
+    assert releases.published(spark, settings).gold_db == made.gold_db
+
+
+def test_readers_see_one_build(spark, settings):
+    releases.publish(spark, settings, build(spark, settings, [1]), ["t", "u"])
+    held = releases.published(spark, settings)
+    second = build(spark, settings, [2, 3])
+    assert values(spark, settings) == [1] and values(spark, settings, "u") == [1]
+    releases.publish(spark, settings, second, ["t", "u"])
+    assert values(spark, held) == [1] and values(spark, held, "u") == [1]
+    assert values(spark, settings) == values(spark, releases.published(spark, settings)) == [2, 3]
+
+
+def test_incomplete_builds_are_refused(spark, settings):
+    releases.publish(spark, settings, build(spark, settings, [1]), ["t", "u"])
+    with pytest.raises(ValueError, match="lacks u"):
+        releases.publish(spark, settings, build(spark, settings, [2], ["t"]), ["t", "u"])
+    assert values(spark, settings) == [1]
+
+
+def test_views_follow_after_an_interrupted_publish(spark, settings, monkeypatch):
+    """The pointer is the commit; the views catch up when asked."""
+    releases.publish(spark, settings, build(spark, settings, [1]), ["t", "u"])
+    second = build(spark, settings, [2])
+    monkeypatch.setattr(releases, "point_views", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        releases.publish(spark, settings, second, ["t", "u"])
+    monkeypatch.undo()
+    assert values(spark, releases.published(spark, settings)) == [2]
+    releases.point_views(spark, settings, ["t", "u"])
+    assert values(spark, settings) == [2]
+
+
+def test_retire_keeps_the_newest_and_the_current(spark, settings):
+    made = []
+    for n in range(4):
+        made.append(build(spark, settings, [n]))
+        releases.publish(spark, settings, made[-1], ["t", "u"])
+    left_over = build(spark, settings, [9])  # never published
+    gone = releases.retire(spark, settings, keep=2)
+    assert set(gone) == {made[0].gold_db, made[1].gold_db, left_over.gold_db}
+    assert releases.builds(spark, settings) == [made[2].gold_db, made[3].gold_db]
+    assert values(spark, settings) == [3]
+    assert releases.retire(spark, settings, keep=0) == [made[2].gold_db]  # never the current one
+    assert values(spark, settings) == [3]
+
+
+def test_a_build_that_fails_is_not_seen(spark, settings, monkeypatch):
+    """Whichever step of the build fails."""
+    sf = "/root/testdata/sf0.001"
+    store._silver(spark, settings, fixtures.assets(spark, sf), fixtures.readings(spark, sf))
+    first = layers.release_gold(spark, settings)
+    count = spark.table(settings.table("gold", "fact_availability")).count()
+    for step in ("overwrite_table", "write_fact"):
+        monkeypatch.setattr(layers, step, lambda *a, **k: (_ for _ in ()).throw(RuntimeError(step)))
+        with pytest.raises(RuntimeError):
+            layers.release_gold(spark, settings)
+        monkeypatch.undo()
+        assert releases.current(spark, settings) == first.gold_db
+        assert spark.table(settings.table("gold", "fact_availability")).count() == count
+    assert len(releases.retire(spark, settings, keep=1)) == 2
