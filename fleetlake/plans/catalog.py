@@ -425,7 +425,7 @@ def q_bronze_stream_ingest(spark, sf):
     write_csv(landed, f"{root}/landing")
     ingest_available(spark, f"{root}/landing", READINGS_CSV, f"{root}/bronze", f"{root}/checkpoint",
                      timestamp_cols=("date_time",))
-    return spark.read.parquet(f"{root}/bronze")
+    return spark.read.parquet(f"{root}/bronze").drop("batch")
 
 
 @register("file_inventory")

@@ -1,7 +1,7 @@
 """Bronze → silver → gold as Spark jobs.
 
-* bronze: CSV → parsed timestamps → text repair of every string column in one
-  projection → overwrite table; then the residual-damage report.
+* bronze: CSV → bad records set apart → parsed timestamps → text repair of every string
+  column in one projection → overwrite table; then the residual-damage report.
 * silver (reconstructed from the reference's prose): trimmed keys, lower-case closed tag
   domain, blank → NULL, typed numeric value beside the string value.
 * gold: dimensions with deterministic keys, written and **read back** before
@@ -14,6 +14,8 @@ Every step is a DataFrame function; the drivers only sequence writes.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetlake import schemas
@@ -25,10 +27,11 @@ from fleetlake.operators.registry import Registry
 from fleetlake.settings import Settings
 from fleetlake.sinks import releases
 from fleetlake.sinks.tables import create_database, overwrite_table, write_fact
-from fleetlake.sources.csv import read_csv
+from fleetlake.sources.csv import FAILED, REJECTS, count_rejects, good_rows, read_csv, read_csv_checked, rejected_rows
 
 ASSETS = "assets"
 READINGS = "readings"
+CAST_FAILURES = "cast_failures"  # counts of each layer's casts, beside its tables
 GOLD_TABLES = ("dim_plant", "dim_reactor", "dim_model", "dim_cooling", "dim_datetime",
                "bridge_reactor_model_cooling", "fact_availability")
 
@@ -57,16 +60,46 @@ def bronze_frame(raw: DataFrame, settings: Settings, timestamp_cols=(), date_col
     return repair_string_columns(parsed, compat=settings.compat, normalize=settings.nfkc)
 
 
+def bronze_casts(raw: DataFrame, settings: Settings, timestamp_cols=(), date_cols=()) -> dict:
+    """Text and parsed value of the columns that ``bronze_frame`` parses."""
+    kinds = dict(raw.dtypes)
+    parsed = [(c, _wall_clock(raw, c, settings.with_(strict=False))) for c in timestamp_cols if kinds.get(c) == "string"]
+    parsed += [(c, _calendar_date(raw, c, settings.with_(strict=False))) for c in date_cols if kinds.get(c) == "string"]
+    return {c: (F.col(c), value) for c, value in parsed}
+
+
 def ingest_csv(spark: SparkSession, path: str, table: str, settings: Settings = Settings(),
-               schema=None, timestamp_cols=("date_time",), date_cols=()) -> None:
+               schema=None, timestamp_cols=("date_time",), date_cols=()) -> DataFrame:
     """One CSV source → bronze table; ``schema=None`` infers column types.
 
-    With ``settings.ingest_rebalance`` the scanned rows are rebalanced before
-    the (CPU-heavy) repair, so one large unsplittable file is not one task."""
-    raw = read_csv(spark, path, schema, settings.timestamp_format, settings.date_format, optional=("seq",))
+    With a schema each file is bound by its own header, and records that can't be read
+    go to ``<table>_rejects``.  Returns the counts of casts that failed, which are
+    taken while the table is written.  With ``settings.ingest_rebalance`` the scanned
+    rows are rebalanced before the (CPU-heavy) repair, so one large unsplittable file
+    is not one task."""
+    if schema is None:
+        raw = read_csv(spark, path, None, settings.timestamp_format, settings.date_format)
+        checked, rejected, casts = None, None, {}
+    else:
+        checked = read_csv_checked(spark, path, schema, settings.timestamp_format, settings.date_format,
+                                   optional=("seq",), reject_unparsable=settings.reject_unparsable,
+                                   mixed_headers=settings.mixed_headers)
+        raw, rejected = count_rejects(checked)
+        # a typed field that failed is named in the row's list
+        casts = {f.name: (F.coalesce(F.col(f.name).cast("string"), F.when(F.array_contains(FAILED, f.name), "?")),
+                          F.col(f.name)) for f in schema if f.dataType.simpleString() != "string"}
+    casts |= bronze_casts(raw, settings, timestamp_cols, date_cols)
+    raw, seen = quality.observe_casts(raw, casts, table) if casts else (raw, None)
     if settings.ingest_rebalance:
         raw = raw.hint("rebalance")
-    overwrite_table(bronze_frame(raw, settings, timestamp_cols, date_cols), table, settings)
+    rows = raw if checked is None else good_rows(raw)
+    overwrite_table(bronze_frame(rows, settings, timestamp_cols, date_cols), table, settings)
+    if checked is not None:
+        # the files are read again only if there is something to set apart
+        rejects = rejected_rows(checked) if rejected.get["n"] else spark.createDataFrame([], REJECTS)
+        overwrite_table(rejects, f"{table}_rejects", settings)
+    name = table.rsplit(".", 1)[-1]
+    return quality.cast_report(spark, {name: seen} if seen else {}, {name: list(casts)})
 
 
 def build_bronze(spark: SparkSession, asset_csv: str, readings_csv: str,
@@ -75,16 +108,25 @@ def build_bronze(spark: SparkSession, asset_csv: str, readings_csv: str,
 
     ``extra_sources`` (name → path) are ingested with inferred schemas, their
     ``date_time`` parsed and strings repaired, like the reference's third
-    source, which nothing downstream reads (F13)."""
+    source, which nothing downstream reads (F13).  ``cast_failures`` in the bronze
+    database has the counts of casts that failed; ``bronze_report`` the damage left
+    in all of the tables."""
     create_database(spark, settings.bronze_db, settings.location(settings.bronze_db))
-    ingest_csv(spark, asset_csv, settings.table("bronze", ASSETS), settings, schemas.ASSET_LIST_CSV,
-               timestamp_cols=(), date_cols=("grid_connection",))
-    ingest_csv(spark, readings_csv, settings.table("bronze", READINGS), settings, schemas.READINGS_CSV)
+    counts = [ingest_csv(spark, asset_csv, settings.table("bronze", ASSETS), settings, schemas.ASSET_LIST_CSV,
+                         timestamp_cols=(), date_cols=("grid_connection",)),
+              ingest_csv(spark, readings_csv, settings.table("bronze", READINGS), settings, schemas.READINGS_CSV)]
     for name, path in (extra_sources or {}).items():
-        ingest_csv(spark, path, settings.table("bronze", name), settings)
+        counts.append(ingest_csv(spark, path, settings.table("bronze", name), settings))
+    overwrite_table(reduce(DataFrame.unionByName, counts), settings.table("bronze", CAST_FAILURES), settings)
     return quality.residual_report(spark.table(settings.table("bronze", READINGS)), compat=settings.compat)
 
 
+def bronze_report(spark: SparkSession, settings: Settings = Settings(), extra_sources=()) -> DataFrame:
+    """Damage markers left in every column of every bronze table (DQ1)."""
+    names = [ASSETS, READINGS, *extra_sources]
+    return quality.residual_reports({n: spark.table(settings.table("bronze", n)) for n in names}, settings.compat)
+
+
 # --- silver -------------------------------------------------------------------------
 
 
@@ -115,8 +157,13 @@ def build_silver(spark: SparkSession, settings: Settings = Settings()) -> None:
     create_database(spark, settings.silver_db, settings.location(settings.silver_db))
     overwrite_table(silver_assets(spark.table(settings.table("bronze", ASSETS)), settings.fold_keys),
                     settings.table("silver", ASSETS), settings)
-    overwrite_table(silver_readings(spark.table(settings.table("bronze", READINGS)), settings.fold_keys),
-                    settings.table("silver", READINGS), settings)
+    readings = silver_readings(spark.table(settings.table("bronze", READINGS)), settings.fold_keys)
+    # text parameters have no number: only values that should be one are counted
+    number = F.when(F.col("parameter").isin(*schemas.NUMERIC_PARAMETERS), F.col("value"))
+    readings, seen = quality.observe_casts(readings, {"value_num": (number, F.col("value_num"))}, READINGS)
+    overwrite_table(readings, settings.table("silver", READINGS), settings)
+    overwrite_table(quality.cast_report(spark, {READINGS: seen}, {READINGS: ["value_num"]}),
+                    settings.table("silver", CAST_FAILURES), settings)
 
 
 # --- gold ---------------------------------------------------------------------------

@@ -65,6 +65,9 @@ FACT_COLUMNS = [f.name for f in FACT.fields]
 PARAMETERS = ("power_available", "derating", "unavailability_type",
               "unavailability_cause", "additional_info")
 
+# those whose value is a number
+NUMERIC_PARAMETERS = ("power_available", "derating")
+
 # outage types (planned, forced) — fixed values
 PLANNED = "planifiée"
 FORCED = "fortuite"

@@ -26,6 +26,11 @@ class Settings:
     nfkc: bool = False
     # fold case and accents of the reactor and plant names on both sides (SV1)
     fold_keys: bool = False
+    # reject CSV records with a field that doesn't parse; otherwise the field is NULL and
+    # counted (a record with too many or too few fields is always rejected)
+    reject_unparsable: bool = False
+    # bind each CSV file by its own header; False saves a scan of lines where all have the same
+    mixed_headers: bool = True
     # rebalance rows right after a CSV scan (AQE REBALANCE): for unsplittable
     # sources (gzip, multi-line) where one file would otherwise be one task
     ingest_rebalance: bool = False
