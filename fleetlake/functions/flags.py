@@ -17,20 +17,20 @@ from pyspark.sql import Column, functions as F
 OUT, LIMITED, NORMAL = "out", "limited", "normal"
 
 
-def outage_state(power="power_available", derating="derating", outage_type="unavailability_type") -> Column:
-    produces = F.signum(F.col(power))
-    at_rest = F.nvl2(F.col(outage_type), F.lit(OUT), F.lit(LIMITED))
-    running = F.when(F.signum(F.col(derating)) == 1, LIMITED).otherwise(NORMAL)
-    state = F.create_map(F.lit(0), at_rest, F.lit(1), running)
-    return F.coalesce(F.try_element_at(state, produces.cast("int")), F.lit(NORMAL))
-
-
 def is_unavailable(power="power_available", outage_type="unavailability_type") -> Column:
-    return outage_state(power, power, outage_type) == OUT  # derating doesn't decide this one
+    """Nothing is produced and an outage says why."""
+    return F.when((F.col(power) == 0) & F.col(outage_type).isNotNull(), True).otherwise(False)
 
 
 def is_derated(power="power_available", derating="derating", outage_type="unavailability_type") -> Column:
-    return outage_state(power, derating, outage_type) == LIMITED
+    """Nothing is produced without an outage, or less than could be."""
+    return (F.when(F.col(power) == 0, F.col(outage_type).isNull())
+             .when((F.col(power) > 0) & (F.col(derating) > 0), True).otherwise(False))
+
+
+def outage_state(power="power_available", derating="derating", outage_type="unavailability_type") -> Column:
+    return (F.when(is_unavailable(power, outage_type), OUT)
+             .when(is_derated(power, derating, outage_type), LIMITED).otherwise(NORMAL))
 
 
 def downtime_mw(rated="rated_power", power="power_available", unavailable="is_unavailable") -> Column:

@@ -201,6 +201,20 @@ def repair_reference_order(col) -> Column:
     return _outside_ascii(_nfkc_then_reference_pairs, _c(col))
 
 
+def fold_key(col) -> Column:
+    """Key text without case and accents, for joins and groups (SV1).
+
+    The rule is Spark's ``UNICODE_CI_AI`` collation: whatever it holds equal to a letter
+    a-z, composed or not, in any case and with any accent, becomes that letter.  The
+    result is a plain string, so keys that fold alike are equal, shuffle alike and have
+    one spelling.  Text in ASCII, the usual key, is only lower-cased."""
+    c = _c(col)
+    loose = reduce(lambda text, letter: F.replace(text, F.lit(letter), F.lit(letter)),
+                   "abcdefghijklmnopqrstuvwxyz", F.collate(c, "UNICODE_CI_AI"))
+    folded = F.lower(F.collate(loose, "UTF8_BINARY"))
+    return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(folded)
+
+
 def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from fleetlake.functions.calendar import floor_to
 from fleetlake.functions.flags import downtime_mw
 from fleetlake.operators.joins import lookup_join
+from fleetlake.schemas import FORCED, PLANNED
 
 
 def reactor_capacity(reactors: DataFrame, bridge: DataFrame, models: DataFrame, plants: DataFrame) -> DataFrame:
@@ -79,6 +80,50 @@ def availability_over_time(fc: DataFrame, grain: str = "day") -> DataFrame:
               .select("period", _rate(F.col("power_sum"), F.col("rated_sum")).alias("availability_rate")))
 
 
+#: grains of the dashboard's time axis, the finest first
+GRAINS = ("hour", "day", "month", "year")
+
+
+def time_hierarchy(fc: DataFrame) -> DataFrame:
+    """BI3, BI4, BI9 at every grain in one pass: ``level, period, n_readings, total_power,
+    availability_rate``.
+
+    The fact is aggregated by hour; grouping sets then roll the hours up, so the rows
+    that are repeated for each level are hours, not readings."""
+    p, r = _rated_pair()
+    hourly = fc.groupBy(floor_to("date_time", "hour").alias("hour")).agg(
+        F.count(F.lit(1)).alias("n_readings"), F.sum("power_available").cast("bigint").alias("total_power"),
+        p.alias("power_sum"), r.alias("rated_sum"))
+    levels = hourly.withColumns({g: floor_to("hour", g) for g in GRAINS[1:]})
+    sums = levels.groupingSets([[g] for g in GRAINS], *GRAINS).agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in ("n_readings", "total_power", "power_sum", "rated_sum")],
+        *[F.grouping(g).alias(f"no_{g}") for g in GRAINS])
+    level, period = F.lit(None).cast("string"), F.lit(None).cast("timestamp_ntz")
+    for g in GRAINS:
+        level = F.when(F.col(f"no_{g}") == 0, g).otherwise(level)
+        period = F.when(F.col(f"no_{g}") == 0, F.col(g)).otherwise(period)
+    return sums.select(level.alias("level"), period.alias("period"), "n_readings", "total_power",
+                       _rate(F.col("power_sum"), F.col("rated_sum")).alias("availability_rate"))
+
+
+def downtime_pivot(fc: DataFrame, types=(PLANNED, FORCED)) -> DataFrame:
+    """BI5 as the dashboard's table: a row a year, a column of lost MW for each outage
+    type and one for any other; the list of types is closed, so one aggregation does."""
+    lost = F.col("downtime_mw")
+    columns = [F.sum(F.when(F.col("unavailability_type") == t, lost)).cast("bigint").alias(t) for t in types]
+    other = F.sum(F.when(~F.col("unavailability_type").isin(*types), lost)).cast("bigint").alias("other")
+    return fc.filter(F.col("is_unavailable")).groupBy("year").agg(*columns, other, F.sum(lost).cast("bigint").alias("total"))
+
+
+def plant_slice(fact: DataFrame, reactors: DataFrame, plant_id: int) -> DataFrame:
+    """BI11 over the fact as the reference stores it, in folders by year and reactor: the
+    reactors of one plant choose the folders at run time (dynamic partition pruning)."""
+    chosen = reactors.filter(F.col("plant_id") == plant_id).select("reactor_id", "reactor")
+    return (fact.join(chosen, "reactor_id").groupBy("reactor_id", "reactor", "year")
+            .agg(F.count(F.lit(1)).alias("n_readings"), F.sum("power_available").cast("bigint").alias("total_power"),
+                 F.count_if("is_unavailable").alias("n_unavailable")))
+
+
 def downtime_by_year_type(fc: DataFrame) -> DataFrame:
     """BI5: lost MW by year and outage type (unavailable readings)."""
     return (fc.filter(F.col("is_unavailable"))

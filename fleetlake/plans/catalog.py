@@ -204,6 +204,20 @@ def q_text_repair_compat(spark, sf):
     return repair_string_columns(d, compat=True)
 
 
+# Damage beside a character that no single-byte page holds, so that the text can't be read
+# back as a whole; the oracle writes the spellings of the French letters out by its own rule.
+FRENCH_SIGNS = "’‘“”–—…€" "«»°\u00a0" "àâäçéèêëîïôöùûüÿæœÀÂÄÇÉÈÊËÎÏÔÖÙÛÜŸÆŒ"
+MIXED_CHAIN = _chain("text", [(c.encode().decode("latin-1"), c) for c in FRENCH_SIGNS])
+
+
+@register("text_repair_mixed", O.sql([O.DAMAGED], f"SELECT doc_id, {MIXED_CHAIN} || ' → ' AS text FROM damaged"))
+def q_text_repair_mixed(spark, sf):
+    """Damaged text that also holds a character beyond the code pages: replaced spelling
+    by spelling (U4, the branch without a round trip); other letters stay damaged."""
+    d = fixtures.damaged_documents(spark, sf).select("doc_id", F.concat("text", F.lit(" → ")).alias("text"))
+    return repair_string_columns(d)
+
+
 @register("text_nfkc", "SELECT doc_id, text FROM documents")
 def q_text_nfkc(spark, sf):
     """Compatibility characters put in by rule (ligatures, full-width digits, ordinal
@@ -375,6 +389,24 @@ def q_gate_with_unknown_member(spark, sf):
     return quality.row_count_gate(dims.dim_reactor(silver, dims.dim_plant(silver)), "reactor")
 
 
+# every one of these is a spelling of the plain letter: case, accents, marks of their own
+ODD_LETTERS = ("a", "á", "À", "a\u0301", "Å"), ("e", "é", "È", "e\u0302", "ẽ"), ("o", "ô", "Ö", "o\u0308", "ø"), ("n", "ñ", "Ñ", "n\u0303", "Ń")
+
+
+@register("silver_keys_any_accent", """SELECT lower(c.c_name) AS reactor_name, count(*) AS n
+FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id GROUP BY 1""")
+def q_silver_keys_any_accent(spark, sf):
+    """Names whose letters have any case and accent, also as marks of their own (SV1)."""
+    r = fixtures.readings(spark, sf)
+    odd = F.col("reactor_name")
+    for plain, *spellings in ODD_LETTERS:
+        to = reduce(lambda c, i: c.when(F.col("seq") % 5 == i, spellings[i]), range(1, len(spellings)),
+                    F.when(F.col("seq") % 5 == 0, spellings[0])).otherwise(plain)
+        odd = F.replace(odd, F.lit(plain), to)
+    silver = layers.silver_readings(r.withColumn("reactor_name", odd), fold_keys=True)
+    return silver.groupBy("reactor_name").agg(F.count("*").alias("n"))
+
+
 @register("silver_keys_folded", """SELECT lower(c.c_name) AS reactor_name, count(*) AS n
 FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id GROUP BY 1""")
 def q_silver_keys_folded(spark, sf):
@@ -595,6 +627,53 @@ def q_availability_yoy(spark, sf):
 __all__ = ["ORACLES", "QUERIES", "catalog_store", "entry_query"]
 
 
+@register("time_hierarchy", O.sql([*O.STAR_CAPACITY, """spread AS (
+  SELECT *, date_time + to_months(CAST(COALESCE(reactor_id, 0) % 30 AS INTEGER))
+         + to_hours(CAST(COALESCE(reactor_id, 0) % 24 AS INTEGER)) AS moved FROM fc)"""], " UNION ALL ".join(f"""
+SELECT '{g}' AS level, period, n_readings, total_power,
+  CAST(power_sum AS DOUBLE) / NULLIF(CAST(rated_sum AS DOUBLE), 0) AS availability_rate
+FROM (SELECT date_trunc('{g}', moved) AS period, count(*) AS n_readings, CAST(sum(power_available) AS BIGINT) AS total_power,
+             {_RATED[0]} AS power_sum, {_RATED[1]} AS rated_sum FROM spread GROUP BY 1)""" for g in analytics.GRAINS)))
+def q_time_hierarchy(spark, sf):
+    """All grains of the time axis in one pass over the fact (BI3, BI4, BI9)."""
+    fc = dashboard.fact_capacity(spark, gold(spark, sf))
+    away = F.coalesce(F.col("reactor_id"), F.lit(0))
+    moved = F.add_months("date_time", away % 30) + F.make_dt_interval(hours=away % 24)
+    return analytics.time_hierarchy(fc.withColumn("date_time", moved))
+
+
+@register("downtime_pivot", O.sql(O.STAR_CAPACITY, """SELECT year,
+  CAST(sum(downtime_mw) FILTER (unavailability_type = 'planifiée') AS BIGINT) AS "planifiée",
+  CAST(sum(downtime_mw) FILTER (unavailability_type = 'fortuite') AS BIGINT) AS fortuite,
+  CAST(sum(downtime_mw) FILTER (unavailability_type NOT IN ('planifiée', 'fortuite')) AS BIGINT) AS other,
+  CAST(sum(downtime_mw) AS BIGINT) AS total FROM fc WHERE is_unavailable GROUP BY year"""))
+def q_downtime_pivot(spark, sf):
+    return analytics.downtime_pivot(dashboard.fact_capacity(spark, gold(spark, sf)))
+
+
+def stored_by_reactor(spark, sf) -> str:
+    """The fact in the reference's layout, folders by year and reactor; the table's name."""
+    path = scratch_path(spark, "by-reactor")
+    database = "by_reactor_" + path.rsplit("-", 1)[-1]
+    scratch_database(spark, path, database)
+    create_database(spark, database, f"{path}/db")
+    settings = Settings(fact_partitions=("year", "reactor_id"), fact_cluster_by=())
+    write_fact(_gold(spark, sf, "fact_availability"), f"{database}.fact", settings, path=f"{path}/db/fact")
+    return f"{database}.fact"
+
+
+PLANT_SLICED = 3
+
+
+@register("plant_slice_by_reactor_folders", O.sql(O.STAR, f"""SELECT f.reactor_id, d.reactor, f.year, count(*) AS n_readings,
+  CAST(sum(f.power_available) AS BIGINT) AS total_power, count(*) FILTER (f.is_unavailable) AS n_unavailable
+FROM fact f JOIN dim_reactor d ON d.reactor_id = f.reactor_id WHERE d.plant_id = {PLANT_SLICED}
+GROUP BY f.reactor_id, d.reactor, f.year"""))
+def q_plant_slice_by_reactor_folders(spark, sf):
+    """One plant's reactors in the (year, reactor_id) layout: only their folders are read (IO7, BI11)."""
+    return analytics.plant_slice(spark.table(stored_by_reactor(spark, sf)), _gold(spark, sf, "dim_reactor"), PLANT_SLICED)
+
+
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: the gold availability fact."""
     return q_fact_availability(spark, sf_dir)

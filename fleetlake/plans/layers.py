@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetlake import schemas
 from fleetlake.functions.casts import parse_date, parse_timestamp, to_number
-from fleetlake.functions.text import repair_string_columns
+from fleetlake.functions.text import fold_key, repair_string_columns
 from fleetlake.operators import dims, facts, pivot, quality
 from fleetlake.operators.keys import surrogate_key
 from fleetlake.operators.registry import Registry
@@ -136,8 +136,8 @@ def _text(name: str):
 
 
 def _key(name: str, fold: bool):
-    """Key text; ``fold`` also folds case and the accents of Latin letters."""
-    return F.translate(F.lower(_text(name)), "àâäçéèêëîïôöùûüÿ", "aaaceeeeiioouuuy") if fold else _text(name)
+    """Key text; ``fold`` also folds case and accents."""
+    return fold_key(_text(name)) if fold else _text(name)
 
 
 def silver_assets(bronze: DataFrame, fold_keys: bool = False) -> DataFrame:
