@@ -1,26 +1,31 @@
-"""Interpolated modified Kneser-Ney model of word pairs, counted in Spark.
-
-Counting is two shuffles of packed arrays.  Tasks gather the distinct word pairs
-of many documents and send them, with counts, to buckets of the first word; pairs
-of very frequent first words are dealt by the pair instead, so no bucket holds all
-followers of one word.  A bucket sums its pairs, writes them as sorted hash arrays
-and sends the sums of each word on to buckets of words, which write the word
-table: tokens, distinct left neighbours, and as a context its total and its pairs
-seen once, twice and more often.  The arrays grow with the corpus and never pass
-through the driver, which gets one row of totals (counts of counts).
+"""Interpolated modified Kneser-Ney n-gram model, counted in Spark (``order`` words, 2 by default).
+
+Counting works on packed arrays.  Tasks gather the distinct n-grams of many documents
+and send them, with counts, to buckets of their context (the words before the last);
+n-grams of very frequent contexts are dealt by the n-gram instead, so no bucket holds
+all followers of one context.  A bucket sums its n-grams and writes them as a sorted
+hash array.  Its distinct n-grams, shortened by their first word, are the rows of the
+next lower order, whose counts are numbers of distinct words before; so it goes down to
+pairs.  What a bucket knows of words and contexts (tokens, distinct left neighbours; a
+context's total and its n-grams seen once, twice and more often) leaves it as plain
+rows, which Spark sums by key with partial sums in every task, and which are written as
+sorted arrays in buckets sized by the number of keys.  The arrays grow with the corpus
+and never pass through the driver, which gets one row of totals (counts of counts).
 
 The arrays are files in the shared folder of ``spark.checkpoint.dir``; scoring
-tasks map them into memory and search them for the sorted distinct pairs of some
-documents at a time.  Mapping needs that folder to be mounted at every worker.
+tasks map them into memory, a bounded number at a time, and search them for the sorted
+distinct n-grams of some documents.  Mapping needs that folder to be mounted at every
+worker.
 
-Probability of word w after v (V known words and one unknown, N1+ distinct
-neighbours):
+Probability of word w after context v, v' without its first word, for counts c of
+the highest order and numbers of distinct left neighbours below it (V known words and
+one unknown, N1+ distinct neighbours):
 
-    P(w|v) = max(c(v w) - D(c), 0) / c(v)  +  (D1 n1 + D2 n2 + D3 n3) / c(v) * P(w)
+    P(w|v) = max(c(v w) - D(c), 0) / c(v)  +  (D1 n1 + D2 n2 + D3 n3) / c(v) * P(w|v')
     P(w)   = max(N1+(. w) - D(N1+), 0) / N1+(. .)  +  gamma / (V + 1)
 
-with discounts from the counts of counts of each order.  Texts begin after a begin
-mark and close with an end token, which counts as a token.
+with discounts from the counts of counts of each order.  Texts begin after begin
+marks and close with an end token, which counts as a token.
 
 Defined cases: a null or empty text is the end token alone; rows are counted and
 scored one by one, so repeated rows count as often as they occur; a null id trains;
@@ -33,6 +38,8 @@ from __future__ import annotations
 import mmap
 import os
 import uuid
+from collections import OrderedDict
+from functools import reduce
 from urllib.parse import unquote, urlparse
 
 import numpy as np
@@ -44,28 +51,44 @@ from fleetlake.llm.common import forget, id_and_text, mix64, record_batch, slice
 from fleetlake.llm.words import Words
 from fleetlake.session import scratch_path
 
-#: text whose pairs a bucket holds, about
+#: text whose n-grams a bucket holds, about
 BUCKET_BYTES = 16_000_000
-#: pairs gathered before they are sent off
+#: n-grams gathered before they are sent off
 _GATHER = 1_000_000
 #: text scored at once
 _ROUND_CHARS = 4_000_000
-#: at most so many frequent words are dealt by pair; one document in 64 finds them
-#: (which words these are changes the balance only, not the counts)
+#: at most so many frequent contexts are dealt by n-gram; one document in 64 finds them
+#: (which these are changes the balance only, not the counts)
 HOT_WORDS = 20_000
 
 _BEGIN, _END = np.uint64(0x5BD1E995A4093822), np.uint64(0x27D4EB2F165667C5)
-_PAIR_SQL = "bucket int, first binary, runs binary, second binary, n binary"
-_WORD_SQL = "bucket int, word binary, sums binary, totals array<long>"
-_WORD = pa.schema([("bucket", pa.int32()), ("word", pa.binary()), ("sums", pa.binary()),
-                   ("totals", pa.list_(pa.int64()))])
-#: sums of a word: tokens, left neighbours, total as context, pairs seen 1, 2, 3+ times
-_SUMS = 6
-
-
-def tokens(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """First and second word of every pair: begin mark and words, words and end."""
-    return np.insert(words.hash, words.first[:-1], _BEGIN), np.insert(words.hash, words.first[1:], _END)
+_GRAM_SQL = "bucket int, first binary, runs binary, second binary, n binary, below binary"
+_SUMS = [f"s{i}" for i in range(6)]
+_FLAT = pa.schema([("kind", pa.int32()), ("key", pa.int64()), *[(c, pa.int64()) for c in _SUMS]])
+_FLAT_SQL = "kind int, key long, " + ", ".join(f"{c} long" for c in _SUMS)
+_MIXED = pa.schema([*_FLAT, ("bucket", pa.int32()), *[(c, pa.binary()) for c in ("first", "runs", "second", "n", "below")]])
+#: kinds of flat rows: 1 words (tokens, left neighbours, then as context: total, pairs seen
+#: 1, 2, 3+ times), k > 2 contexts of order k (the last four), -k the totals of order k
+_WORD = 1
+#: bytes of a table's bucket, about, and of one of its rows
+TABLE_BYTES, _KEY_BYTES = 8 << 20, 40
+#: files that a worker holds mapped
+MAPS = 1_000
+
+
+def grams(words: Words, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The tokens (words and ends) and, for 1 to order - 1 words before them, the hash of
+    these words; begin marks stand before a text."""
+    at = np.insert(words.hash, words.first[1:], _END)
+    begin = words.first[:-1] + np.arange(len(words.first) - 1)
+    since = np.arange(len(at)) - np.repeat(begin, np.diff(np.append(begin, len(at))))  # place within the text
+    contexts: list[np.ndarray] = []
+    for k in range(1, order):
+        before = np.full(len(at), _BEGIN, dtype=np.uint64)
+        reach = np.nonzero(since >= k)[0]
+        before[reach] = at[reach - k]
+        contexts.append(pair_hash(before, contexts[-1]) if contexts else before)
+    return at, contexts
 
 
 def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -117,24 +140,28 @@ def _file(folder: str, kind: str, bucket: int) -> str:
     return f"{folder}/{kind}-{bucket % 64:02d}/{bucket}"
 
 
-def frequent_words(texts: DataFrame, buckets: int) -> np.ndarray:
-    """Sorted hashes of words that make up a sixteenth of a bucket or more in one
-    document of 64; at most ``HOT_WORDS``."""
-    schema = pa.schema([("word", pa.int64()), ("n", pa.int64())])
+def frequent_contexts(texts: DataFrame, order: int, buckets: int) -> dict[int, np.ndarray]:
+    """For each order, sorted hashes of contexts that make up a sixteenth of a bucket or
+    more in one document of 64; at most ``HOT_WORDS``."""
+    schema = pa.schema([("level", pa.int32()), ("context", pa.int64()), ("n", pa.int64())])
 
     def count(batches):
         for (found,) in slices(batches, ("text",)):
-            word, n = np.unique(tokens(Words(found, lower=True))[0], return_counts=True)
-            yield record_batch(schema, word.view(np.int64), n.astype(np.int64))
+            for k, contexts in enumerate(grams(Words(found, lower=True), order)[1], 2):
+                context, n = np.unique(contexts, return_counts=True)
+                yield record_batch(schema, np.full(len(n), k, np.int32), context.view(np.int64), n.astype(np.int64))
 
     some = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(64)) == 0).select("text")
-    counts = some.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = stored(counts, "frequent")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    top = (counts.filter(F.col("n") * (16 * buckets) >= total)
-           .orderBy(F.desc("n"), "word").limit(HOT_WORDS).collect())
+    counts = some.mapInArrow(count, "level int, context long, n long").groupBy("level", "context").agg(F.sum("n").alias("n"))
+    counts = stored(counts, "frequent", 0)
+    total = (counts.agg(F.sum("n")).first()[0] or 0) // (order - 1)
+    hot = {}
+    for k in range(2, order + 1):
+        top = (counts.filter((F.col("level") == k) & (F.col("n") * (16 * buckets) >= total))
+               .orderBy(F.desc("n"), "context").limit(HOT_WORDS).collect())
+        hot[k] = np.sort(np.array([r["context"] for r in top], dtype=np.int64).view(np.uint64))
     forget(counts)
-    return np.sort(np.array([r["word"] for r in top], dtype=np.int64).view(np.uint64))
+    return hot
 
 
 def _summed(order_keys: tuple, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,109 +170,171 @@ def _summed(order_keys: tuple, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return at, np.add.reduceat(values, at, axis=0) if len(at) else values[:0]
 
 
-def count_pairs(texts: DataFrame, folder: str, buckets: int, hot: np.ndarray) -> dict[str, int]:
-    """Count, write the arrays under ``folder`` and return the totals."""
-    sent_hot = texts.sparkSession.sparkContext.broadcast(hot)
+def _packed(rows: tuple, level: int, hot: np.ndarray, buckets: int) -> list[list]:
+    """Rows for the buckets: their distinct n-grams by context, with counts.
+
+    ``rows`` are contexts, words, counts and, from 3 words on, an array with a row of
+    shorter contexts for each n-gram."""
+    a, b, n, below = rows
+    bucket = pair_bucket(a, b, hot, buckets)
+    order = np.lexsort((b, a, bucket))
+    a, b, n, bucket, below = a[order], b[order], n[order], bucket[order], below[order]
+    at, n = _summed((bucket, a, b), n)
+    a, b, bucket, below = a[at], b[at], bucket[at], below[at]
+    cut = _starts(bucket)
+    out: list[list] = [[] for _ in range(6)]
+    for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(a)]):
+        run = _starts(a[s:e])
+        for column, x in zip(out, (int(bucket[s]), a[s:e][run].tobytes(), _lengths(run, e - s).astype(np.uint32).tobytes(),
+                                   b[s:e].tobytes(), n[s:e].astype(np.uint32).tobytes(), below[s:e][run].tobytes())):
+            column.append(x)
+    return out
+
 
+def _unpacked(table: pa.Table, level: int) -> tuple:
+    """The n-grams of a bucket in order, equal ones summed: contexts, words, counts and the
+    shorter contexts of each."""
+    join = lambda name, dtype: np.frombuffer(b"".join(table[name].to_pylist()), dtype=dtype)
+    runs = join("runs", np.uint32)
+    a = np.repeat(join("first", np.uint64), runs)
+    below = np.repeat(join("below", np.uint64).reshape(len(runs), level - 2), runs, axis=0)
+    b, n = join("second", np.uint64), join("n", np.uint32).astype(np.int64)
+    order = np.lexsort((b, a))
+    a, b, n, below = a[order], b[order], n[order], below[order]
+    at, n = _summed((a, b), n)
+    return a[at], b[at], n, below[at]
+
+
+def _flat(kind: int, keys: np.ndarray, **sums: np.ndarray) -> pa.RecordBatch:
+    n = len(keys)
+    zero = np.zeros(n, dtype=np.int64)
+    return record_batch(_FLAT, np.full(n, kind, np.int32), keys.view(np.int64), *[sums.get(c, zero) for c in _SUMS])
+
+
+def _by_key(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    order = np.argsort(keys, kind="stable")
+    at, sums = _summed((keys[order],), np.stack(values, axis=1)[order])
+    return keys[order][at], list(sums.T.astype(np.int64))
+
+
+def _sums_of(level: int, top: bool, folder: str, bucket: int, grams_: tuple) -> list[pa.RecordBatch]:
+    """Write a bucket's n-grams; rows of what it knows of words, contexts and totals."""
+    a, b, n, _ = grams_
+    h = pair_hash(a, b)
+    by_hash = np.argsort(h)
+    once = n[by_hash] == 1
+    h, more = h[by_hash], n[by_hash][~once]
+    _write(_file(folder, f"grams{level}", bucket), np.array([once.sum(), len(more)], dtype=np.int64), h[once], h[~once], more)
+    out = []
+    as_first, (total, n1, n2, n3) = _by_key(a, n, n == 1, n == 2, n > 2)
+    out.append(_flat(_WORD if level == 2 else level, as_first, s2=total, s3=n1, s4=n2, s5=n3))
+    if level == 2 or top:  # tokens are counted by the highest order, left neighbours by the pairs
+        words, (tokens, left) = _by_key(b, n if top else np.zeros_like(n), np.full_like(n, level == 2))
+        out.append(_flat(_WORD, words, s0=tokens, s1=left))
+    counts = np.array([(n == k).sum() for k in (1, 2, 3, 4)], dtype=np.int64)[:, None]
+    out.append(_flat(-level, np.zeros(1, np.int64), **{f"s{i}": c for i, c in enumerate(counts)}))
+    return out
+
+
+def _gathered(order: int, buckets: int, hot: np.ndarray):
+    """Texts → rows for the buckets of the highest order."""
     def send(batches):
-        firsts, seconds, size = [], [], 0
+        parts, size = [], 0
 
         def packed():
-            a, b = np.concatenate(firsts), np.concatenate(seconds)
-            bucket = pair_bucket(a, b, sent_hot.value, buckets)
-            order = np.lexsort((b, a, bucket))
-            a, b, bucket = a[order], b[order], bucket[order]
-            at = _starts(bucket, a, b)
-            n = _lengths(at, len(a)).astype(np.uint32)
-            a, b, bucket = a[at], b[at], bucket[at]
-            cut = _starts(bucket)
-            rows = ([], [], [], [], [])
-            for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(a)]):
-                run = _starts(a[s:e])
-                for out, x in zip(rows, (int(bucket[s]), a[s:e][run].tobytes(),
-                                         _lengths(run, e - s).astype(np.uint32).tobytes(),
-                                         b[s:e].tobytes(), n[s:e].tobytes())):
-                    out.append(x)
+            a, b, below = (np.concatenate(x) for x in zip(*parts))
             return pa.RecordBatch.from_arrays(
-                [pa.array(rows[0], pa.int32()), *[pa.array(r, pa.binary()) for r in rows[1:]]],
-                names=["bucket", "first", "runs", "second", "n"])
+                [pa.array(c, pa.int32() if i == 0 else pa.binary())
+                 for i, c in enumerate(_packed((a, b, np.ones(len(a), np.int64), below), order, hot, buckets))],
+                names=["bucket", "first", "runs", "second", "n", "below"])
 
         for (found,) in slices(batches, ("text",)):
-            a, b = tokens(Words(found, lower=True))
-            firsts.append(a)
-            seconds.append(b)
-            size += len(a)
+            at, contexts = grams(Words(found, lower=True), order)
+            parts.append((contexts[-1], at, np.stack(contexts[:-1], axis=1) if order > 2 else np.zeros((len(at), 0), np.uint64)))
+            size += len(at)
             if size > _GATHER:
                 yield packed()
-                firsts, seconds, size = [], [], 0
+                parts, size = [], 0
         if size:
             yield packed()
-
-    def words_of(h: np.ndarray, sums: np.ndarray, totals: list[int], own: int) -> pa.Table:
-        """Rows to the buckets of the words; the totals go with one of them."""
-        bucket = _bucket(h, buckets)
-        cut = _starts(bucket)
-        ends = [*cut[1:].tolist(), len(h)]
-        rows = [(int(bucket[s]), h[s:e].tobytes(), sums[s:e].tobytes(), None)
-                for s, e in zip(cut.tolist(), ends)]
-        rows.append((own, b"", b"", totals))
-        return pa.table([pa.array(c, type=f.type) for c, f in zip(zip(*rows), _WORD)], schema=_WORD)
-
-    def sum_pairs(key, table):
-        own = key[0].as_py()
-        join = lambda name, dtype: np.frombuffer(b"".join(table[name].to_pylist()), dtype=dtype)
-        a = np.repeat(join("first", np.uint64), join("runs", np.uint32))
-        b, n = join("second", np.uint64), join("n", np.uint32).astype(np.int64)
-        order = np.lexsort((b, a))
-        a, b, n = a[order], b[order], n[order]
-        at, n = _summed((a, b), n)
-        a, b = a[at], b[at]
-        h = pair_hash(a, b)
-        by_hash = np.argsort(h)
-        once = n[by_hash] == 1
-        h = h[by_hash]
-        more = n[by_hash][~once]
-        _write(_file(folder, "pairs", own), np.array([once.sum(), len(more)], dtype=np.int64),
-               h[once], h[~once], more)
-        # each word's sums: as a second word, then as a context
-        order = np.argsort(b, kind="stable")
-        at, as_second = _summed((b[order],), np.stack([n[order], np.ones_like(n)], axis=1))
-        seconds = b[order][at]
-        at, as_first = _summed((a,), np.stack([n, n == 1, n == 2, n > 2], axis=1).astype(np.int64))
-        h = np.concatenate([seconds, a[at]])
-        sums = np.zeros((len(h), _SUMS), dtype=np.int64)
-        sums[:len(seconds), :2] = as_second
-        sums[len(seconds):, 2:] = as_first
-        order = np.argsort(h, kind="stable")
-        at, sums = _summed((h[order],), sums[order])
-        return words_of(h[order][at], sums, [int((n == k).sum()) for k in (1, 2, 3, 4)], own)
-
-    def sum_words(key, table):
-        own = key[0].as_py()
-        h = np.frombuffer(b"".join(table["word"].to_pylist()), dtype=np.uint64)
-        sums = np.frombuffer(b"".join(table["sums"].to_pylist()), dtype=np.int64).reshape(-1, _SUMS)
-        order = np.argsort(h, kind="stable")
-        at, sums = _summed((h[order],), sums[order])
-        h = h[order][at]
-        _write(_file(folder, "words", own), np.array([len(h)], dtype=np.int64), h,
-               sums[:, 0], sums[:, 2], *[sums[:, k].astype(np.uint32) for k in (1, 3, 4, 5)])
-        pairs = np.sum([t for t in table["totals"].to_pylist() if t] or [[0] * 4], axis=0)
-        left = sums[:, 1]
-        real = sums[:, 0] > 0  # the begin mark is no token
-        row = [int(real.sum()), int(sums[:, 0].sum()), int(left.sum()),
-               *[int((left == k).sum()) for k in (1, 2, 3, 4)], int((left > 2).sum()),
-               *[int(x) for x in pairs]]
-        return pa.table([pa.array([row], type=pa.list_(pa.int64()))], names=["totals"])
-
-    for kind in ("pairs", "words"):
+    return send
+
+
+def count_grams(texts: DataFrame, folder: str, order: int, buckets: int, hot: dict[int, np.ndarray]) -> DataFrame:
+    """Count all orders, write the n-grams under ``folder`` and return the sums by key."""
+    sc = texts.sparkSession.sparkContext
+    sent = sc.broadcast(hot)  # at most HOT_WORDS hashes for each order
+    rows = texts.select("text").mapInArrow(lambda batches: _gathered(order, buckets, sent.value[order])(batches), _GRAM_SQL)
+
+    def summed(level: int, shorter: bool):
+        def sums(key, table):
+            found = _unpacked(table, level)
+            flat = pa.Table.from_batches(_sums_of(level, level == order, folder, key[0].as_py(), found), _FLAT)
+            if not shorter:
+                return flat
+            # each n-gram once, as a left neighbour of the one without its first word
+            a, b, n, below = found
+            down = _packed((below[:, -1], b, np.ones_like(n), below[:, :-1]), level - 1, sent.value[level - 1], buckets)
+            rest = list(_MIXED)[len(_FLAT):]
+            flat = [*flat.columns, *[pa.nulls(flat.num_rows, f.type) for f in rest]]
+            own = [pa.array([0] * len(down[0]), pa.int32()), *[pa.nulls(len(down[0]), f.type) for f in list(_FLAT)[1:]],
+                   *[pa.array(c, f.type) for c, f in zip(down, rest)]]
+            return pa.concat_tables([pa.Table.from_arrays(flat, schema=_MIXED), pa.Table.from_arrays(own, schema=_MIXED)])
+        return sums
+
+    flat = []
+    for level in range(order, 1, -1):
+        for k in range(64):
+            os.makedirs(f"{folder}/grams{level}-{k:02d}", exist_ok=True)
+        groups = rows.groupBy("bucket")
+        if level == 2:
+            flat.append(groups.applyInArrow(summed(level, False), _FLAT_SQL))
+        else:
+            mixed = stored(groups.applyInArrow(summed(level, True), f"{_FLAT_SQL}, {_GRAM_SQL}"), f"order-{level}")
+            flat.append(mixed.filter("kind <> 0").select(*_FLAT.names))
+            rows = mixed.filter("kind = 0").select("bucket", "first", "runs", "second", "n", "below")
+    return reduce(DataFrame.unionByName, flat).groupBy("kind", "key").agg(*[F.sum(c).alias(c) for c in _SUMS])
+
+
+def write_tables(sums: DataFrame, folder: str, order: int) -> dict[int, int]:
+    """Sorted arrays of words and of the contexts of each higher order; returns the number
+    of buckets of each, which follows from the number of its keys."""
+    counts = {r["kind"]: r["n"] for r in sums.filter("kind > 0").groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    buckets = {}
+
+    def written(kind: int):
+        def write(key, table):
+            table = table.sort_by("order")
+            column = lambda name, dtype: table[name].to_numpy().astype(dtype)
+            _write(_file(folder, f"table{kind}", key[0].as_py()), np.array([table.num_rows], dtype=np.int64),
+                   table["key"].to_numpy().view(np.uint64), column("s0", np.int64), column("s2", np.int64),
+                   *[column(c, np.uint32) for c in ("s1", "s3", "s4", "s5")])
+            return pa.table({"n": pa.array([table.num_rows], pa.int64())})
+        return write
+
+    for kind in [_WORD, *range(3, order + 1)]:
+        n = buckets[kind] = max(1, -(-counts.get(kind, 0) * _KEY_BYTES // TABLE_BYTES))
         for k in range(64):
-            os.makedirs(f"{folder}/{kind}-{k:02d}", exist_ok=True)
-    names = ["V", "N", "types", "u1", "u2", "u3", "u4", "u3up", "b1", "b2", "b3", "b4"]
-    found = (texts.select("text").mapInArrow(send, _PAIR_SQL)
-             .groupBy("bucket").applyInArrow(sum_pairs, _WORD_SQL)
-             .groupBy("bucket").applyInArrow(sum_words, "totals array<long>")
-             .agg(*[F.sum(F.col("totals")[i]).alias(k) for i, k in enumerate(names)]).first())
-    return {k: int(found[k] or 0) for k in names}
+            os.makedirs(f"{folder}/table{kind}-{k:02d}", exist_ok=True)
+
+        high = F.shiftrightunsigned("key", 32)
+        rows = sums.filter(F.col("kind") == kind).select(
+            F.shiftright(high * n, 32).cast("int").alias("bucket"),
+            F.col("key").bitwiseXOR(F.lit(-2**63)).alias("order"), "key", *_SUMS)  # signed order of unsigned keys
+        rows.groupBy("bucket").applyInArrow(written(kind), "n long").agg(F.sum("n")).first()
+    return buckets
+
+
+def totals_of(sums: DataFrame, order: int) -> dict:
+    """V, N, counts of counts of each order and of the words' left neighbours."""
+    left, word = F.col("s1"), F.col("kind") == _WORD
+    row = sums.agg(F.count_if(word & (F.col("s0") > 0)).alias("V"), F.sum(F.when(word, F.col("s0"))).alias("N"),
+                   F.sum(F.when(word, left)).alias("types"),
+                   *[F.count_if(word & (left == k)).alias(f"u{k}") for k in (1, 2, 3, 4)],
+                   F.count_if(word & (left > 2)).alias("u3up"),
+                   *[F.sum(F.when(F.col("kind") == -k, F.col(f"s{i}"))).alias(f"b{k}_{i + 1}")
+                     for k in range(2, order + 1) for i in range(4)]).first()
+    return {k: int(v or 0) for k, v in row.asDict().items()}
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
@@ -260,30 +349,34 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
 class Model:
     """Mapped arrays and totals; looks up and scores in a worker."""
 
-    def __init__(self, folder: str, buckets: int, hot: np.ndarray, totals: dict[str, int]):
-        self.folder, self.buckets, self.hot, self.totals = folder, buckets, hot, totals
+    def __init__(self, folder: str, order: int, buckets: int, tables: dict[int, int], hot: dict[int, np.ndarray], totals: dict):
+        self.folder, self.order, self.buckets, self.tables = folder, order, buckets, tables
+        self.hot, self.totals = hot, totals
         t = totals
-        self.d_pair = discounts(t["b1"], t["b2"], t["b3"], t["b4"])
+        self.d_gram = {k: discounts(*[t[f"b{k}_{i}"] for i in (1, 2, 3, 4)]) for k in range(2, order + 1)}
         self.d_word = discounts(t["u1"], t["u2"], t["u3"], t["u4"])
-        types = max(1, t["types"])
-        self.gamma = (self.d_word[1] * t["u1"] + self.d_word[2] * t["u2"] + self.d_word[3] * t["u3up"]) / types
-        self.types = types
-        self.maps: dict[tuple[str, int], mmap.mmap | bytes] = {}
+        self.types = max(1, t["types"])
+        self.gamma = (self.d_word[1] * t["u1"] + self.d_word[2] * t["u2"] + self.d_word[3] * t["u3up"]) / self.types
+        self.maps: OrderedDict[tuple[str, int], mmap.mmap | bytes] = OrderedDict()
 
     def __getstate__(self):
-        return {**self.__dict__, "maps": {}}
+        return {**self.__dict__, "maps": OrderedDict()}
 
     def mapped(self, kind: str, bucket: int):
+        """The file's bytes; the ``MAPS`` used last stay mapped."""
         found = self.maps.get((kind, bucket))
         if found is None:
             path = _file(self.folder, kind, bucket)
-            if not os.path.exists(path):  # no pair or word fell into it
+            if not os.path.exists(path):  # nothing fell into it
                 found = b"\0" * 16
             else:
                 with open(path, "rb") as f:
-                    # the mapping alone stays open, so the number of files is no limit
                     found = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, trackfd=False)
             self.maps[kind, bucket] = found
+            if len(self.maps) > MAPS:
+                self.maps.popitem(last=False)  # unmapped when no array looks at it any more
+        else:
+            self.maps.move_to_end((kind, bucket))
         return found
 
     @staticmethod
@@ -293,13 +386,13 @@ class Model:
         at = np.minimum(np.searchsorted(known, x), len(known) - 1)
         return at, known[at] == x
 
-    def word_sums(self, h: np.ndarray) -> np.ndarray:
+    def key_sums(self, kind: int, h: np.ndarray) -> np.ndarray:
         """Sums (tokens, context total, left neighbours, n1, n2, n3) of sorted hashes."""
-        out = np.zeros((len(h), _SUMS), dtype=np.float64)
-        bucket = _bucket(h, self.buckets)
+        out = np.zeros((len(h), len(_SUMS)), dtype=np.float64)
+        bucket = _bucket(h, self.tables[kind])
         cut = _starts(bucket)
         for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(h)]):
-            data = self.mapped("words", int(bucket[s]))
+            data = self.mapped(f"table{kind}", int(bucket[s]))
             n = int(np.frombuffer(data, np.int64, 1)[0])
             if not n:
                 continue
@@ -311,14 +404,15 @@ class Model:
                 out[rows, 2 + k] = np.frombuffer(data, np.uint32, n, 8 + 24 * n + 4 * n * k)[at]
         return out
 
-    def pair_counts(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        bucket, h = pair_bucket(a, b, self.hot, self.buckets), pair_hash(a, b)
+    def gram_counts(self, level: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Counts of the n-grams of a context and a word."""
+        bucket, h = pair_bucket(a, b, self.hot[level], self.buckets), pair_hash(a, b)
         order = np.lexsort((h, bucket))
         bucket, h = bucket[order], h[order]
         found = np.zeros(len(h), dtype=np.float64)
         cut = _starts(bucket)
         for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(h)]):
-            data = self.mapped("pairs", int(bucket[s]))
+            data = self.mapped(f"grams{level}", int(bucket[s]))
             once, more = np.frombuffer(data, np.int64, 2).tolist()
             x = h[s:e]
             _, hit = self._find(np.frombuffer(data, np.uint64, once, 16), x)
@@ -330,40 +424,55 @@ class Model:
         out[order] = found
         return out
 
+    def unigram(self, left: np.ndarray) -> np.ndarray:
+        """P(w) of words with so many left neighbours."""
+        return (np.maximum(left - self.d_word[np.minimum(left, 3).astype(int)], 0.0) / self.types
+                + (self.gamma if self.totals["types"] else 1.0) / (self.totals["V"] + 1))
+
+    def step(self, level: int, n: np.ndarray, context: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """P of one order from counts, the contexts' sums and P of the order below."""
+        d, total = self.d_gram[level], context[:, 1]
+        rest = np.where(total > 0, context[:, 3:] @ d[1:] / np.maximum(total, 1), 1.0)
+        return np.maximum(n - d[np.minimum(n, 3).astype(int)], 0.0) / np.maximum(total, 1) + rest * lower
+
     def score(self, texts: list[str]) -> tuple[np.ndarray, ...]:
         """Tokens, known tokens, base score and score of each text."""
         words, t = Words(texts, lower=True), self.totals
-        known, where = np.unique(np.concatenate([words.hash, [_BEGIN, _END]]), return_inverse=True)
-        first, own = words.first, where[:-2]
-        a, b = np.insert(own, first[:-1], where[-2]), np.insert(own, first[1:], where[-1])
-        sums = self.word_sums(known)
-        count, total, left = sums[:, 0], sums[:, 1], sums[:, 2]
+        tokens, contexts = grams(words, self.order)
+        known, where = np.unique(np.concatenate([tokens, [_BEGIN, _END]]), return_inverse=True)
+        sums, token = self.key_sums(_WORD, known), where[:-2]
+        count = sums[:, 0]
         base = np.log10((count + 0.5) / (t["N"] + 0.5 * (t["V"] + 1)))
-        single = (np.maximum(left - self.d_word[np.minimum(left, 3).astype(int)], 0.0) / self.types
-                  + (self.gamma if t["types"] else 1.0) / (t["V"] + 1))
-        rest = np.where(total > 0, sums[:, 3:] @ self.d_pair[1:] / np.maximum(total, 1), 1.0)
-        code, which = np.unique(a.astype(np.int64) * len(known) + b, return_inverse=True)
-        pa_, pb = code // len(known), code % len(known)
-        n = self.pair_counts(known[pa_], known[pb])
-        d = self.d_pair[np.minimum(n, 3).astype(int)]
-        p = np.maximum(n - d, 0.0) / np.maximum(total[pa_], 1) + rest[pa_] * single[pb]
-        each = np.log10(p)[which]
-        begin = first[:-1] + np.arange(len(texts))
-        return (np.diff(first) + 1, np.add.reduceat((count > 0)[b].astype(np.int64), begin),
-                np.add.reduceat(base[b], begin), np.add.reduceat(each, begin))
-
-
-def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Model of the rows for which ``usable`` (a condition on ``doc_id``) holds."""
+        p = self.unigram(sums[:, 2])[token]
+        for level, context in enumerate(contexts, 2):
+            if level == 2:
+                held, held_sums = known, sums
+                of = np.searchsorted(known, context)  # begin marks and words are all there
+            else:
+                held, of = np.unique(context, return_inverse=True)
+                held_sums = self.key_sums(level, held)
+            code, first, which = np.unique(of.astype(np.int64) * len(known) + token, return_index=True, return_inverse=True)
+            n = self.gram_counts(level, context[first], tokens[first])
+            p = self.step(level, n[which], held_sums[of], p)
+        begin = words.first[:-1] + np.arange(len(texts))
+        return (np.diff(words.first) + 1, np.add.reduceat((count > 0)[token].astype(np.int64), begin),
+                np.add.reduceat(base[token], begin), np.add.reduceat(np.log10(p), begin))
+
+
+def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2) -> Model:
+    """Model of the rows for which ``usable`` (a condition on ``doc_id``) holds, over
+    n-grams of ``order`` (2 or more) words."""
     spark: SparkSession = docs.sparkSession
     texts = id_and_text(docs, id_col, text_col).filter(usable)
     size = texts.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
-    at_once = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # every pair bucket sends a row to every word bucket, so no more of them than balance needs
-    buckets = max(2 * at_once, -(-size // BUCKET_BYTES))
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     folder = _folder(scratch_path(spark, "kneser-ney"))
-    hot = frequent_words(texts, buckets)
-    return Model(folder, buckets, hot, count_pairs(texts, folder, buckets, hot))
+    hot = frequent_contexts(texts, order, buckets)
+    # written once, as totals and tables both read them
+    sums = stored(count_grams(texts, folder, order, buckets, hot), "word-sums", size // 8)
+    model = Model(folder, order, buckets, write_tables(sums, folder, order), hot, totals_of(sums, order))
+    forget(sums)
+    return model
 
 
 def kneser_ney_scores(docs: DataFrame, model: Model, id_col: str = "doc_id",

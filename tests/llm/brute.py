@@ -95,35 +95,54 @@ def edit_distance(a, b, anywhere=False):
     return min(prev) if anywhere else prev[-1]
 
 
-def kneser_ney(rows, trains, discounts):
-    """(tokens, known, N, base, score) of each row."""
+def modified_discounts(counts):
+    """Chen and Goodman's discounts for counts of 1, 2 and 3 or more, from how many
+    n-grams occur 1, 2, 3 and 4 times; fixed ones where they aren't defined."""
+    n = [sum(c == k for c in counts) for k in range(5)]
+    if not n[1] or not n[2]:
+        return [0.0, 0.5, 1.0, 1.5]
+    y = n[1] / (n[1] + 2 * n[2])
+    found = [0.0]
+    for k in (1, 2, 3):
+        d = k - (k + 1) * y * n[k + 1] / n[k] if n[k] else k / 2
+        found.append(min(max(d, 0.05), k))
+    return found
+
+
+def kneser_ney(rows, trains, order=2):
+    """(tokens, known, N, base, score) of each row, by counting n-grams as tuples."""
     from math import log10
 
     tok = [words(low(t or "")) + ["</s>"] for _, t in rows]
-    uni, bi = Counter(), Counter()
-    for (i, _), w in zip(rows, tok):
+    padded = [["<s>"] * (order - 1) + w for w in tok]
+    uni, counts = Counter(), {k: Counter() for k in range(1, order + 1)}
+    for (i, _), w, p in zip(rows, tok, padded):
         if trains(i):
             uni.update(w)
-            bi.update(zip(["<s>", *w[:-1]], w))
+            counts[order].update(tuple(p[j:j + order]) for j in range(len(w)))
+    for k in range(order - 1, 0, -1):  # distinct words before
+        counts[k].update(gram[1:] for gram in counts[k + 1])
     n, v = sum(uni.values()), len(uni)
-    ctx, left = defaultdict(lambda: [0] * 4), Counter()
-    for (a, b), c in bi.items():
-        ctx[a][0] += c
-        ctx[a][min(c, 3)] += 1
-        left[b] += 1
-    counts = lambda x: discounts(*[Counter(x.values())[k] for k in (1, 2, 3, 4)])
-    d, e, types = counts(bi), counts(left), max(1, len(bi))
-    gamma = sum(e[min(c, 3)] for c in left.values()) / types if bi else 1.0
+    d = {k: modified_discounts(counts[k].values()) for k in counts}
+    follow = {k: defaultdict(list) for k in counts}
+    for k in counts:
+        for gram, c in counts[k].items():
+            follow[k][gram[:-1]].append(c)
+
+    def probability(gram):
+        k = len(gram)
+        lower = probability(gram[1:]) if k > 1 else 1 / (v + 1)
+        seen = follow[k].get(gram[:-1])
+        if not seen:
+            return lower
+        own = counts[k][gram]
+        kept = max(own - d[k][min(own, 3)], 0)
+        return (kept + sum(d[k][min(c, 3)] for c in seen) * lower) / sum(seen)
+
     out = []
-    for w in tok:
-        base = score = 0.0
-        for a, b in zip(["<s>", *w[:-1]], w):
-            base += log10((uni[b] + 0.5) / (n + 0.5 * (v + 1)))
-            p = max(left[b] - e[min(left[b], 3)], 0) / types + gamma / (v + 1)
-            if a in ctx:
-                c = ctx[a]
-                p = max(bi[a, b] - d[min(bi[a, b], 3)], 0) / c[0] + sum(d[k] * c[k] for k in (1, 2, 3)) / c[0] * p
-            score += log10(p)
+    for w, p in zip(tok, padded):
+        base = sum(log10((uni[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w)
+        score = sum(log10(probability(tuple(p[j:j + order]))) for j in range(len(w)))
         out.append((len(w), sum(uni[x] > 0 for x in w), n, base, score))
     return out
 

@@ -373,27 +373,28 @@ def test_toxicity_odd_rows(spark, model, odd_docs, odd, no_docs):
 # -- language model ---------------------------------------------------------------
 
 
-@pytest.mark.parametrize("hot", [0, 20_000])
-def test_kneser_ney(odd_docs, odd, no_docs, hot, monkeypatch):
+@pytest.mark.parametrize("hot, order", [(0, 2), (20_000, 2), (20_000, 3), (0, 4)])
+def test_kneser_ney(odd_docs, odd, no_docs, hot, order, monkeypatch):
     monkeypatch.setattr(kneser_ney, "HOT_WORDS", hot)
     trains = lambda i: i is None or zlib.crc32(str(i).encode()) % 5 != 1
-    model = kneser_ney.train(odd_docs, F.coalesce(crc_bucket("doc_id", 5) != 1, F.lit(True)))
+    model = kneser_ney.train(odd_docs, F.coalesce(crc_bucket("doc_id", 5) != 1, F.lit(True)), order=order)
     found = kneser_ney.kneser_ney_scores(odd_docs, model).collect()
-    want = brute.kneser_ney(odd, trains, kneser_ney.discounts)
-    order = lambda r: key((r[0], *r[1:4], round(r[4], 6)))
-    got = sorted((tuple(r)[:6] for r in found), key=order)
-    wanted = sorted(((i, *w) for (i, _), w in zip(odd, want)), key=order)
+    want = brute.kneser_ney(odd, trains, order)
+    by = lambda r: key((r[0], *r[1:4], round(r[4], 6)))
+    got = sorted((tuple(r)[:6] for r in found), key=by)
+    wanted = sorted(((i, *w) for (i, _), w in zip(odd, want)), key=by)
     assert [g[:4] for g in got] == [w[:4] for w in wanted]
     for g, w in zip(got, wanted):
         assert g[4:] == pytest.approx(w[4:], rel=1e-9)
     assert kneser_ney.kneser_ney_scores(no_docs, model).count() == 0
 
 
-def test_probabilities_sum_to_one(spark):
+@pytest.mark.parametrize("order", [2, 3])
+def test_probabilities_sum_to_one(spark, order):
     rows = [(i, t) for i, t in enumerate(["a b a c", "b b", "a c d", "a b"])]
-    model = kneser_ney.train(as_docs(spark, rows), F.lit(True))
+    model = kneser_ney.train(as_docs(spark, rows), F.lit(True), order=order)
     assert model.totals["V"] == 5
-    for context in ["", "a", "b", "never"]:
+    for context in ["", "a", "b", "never", "a b", "b a", "a c"]:
         before = prefix(model, context)
         total = 10 ** (model.score([context])[3][0] - before)  # the text ends here
         for word in ["a", "b", "c", "d", "unseen"]:
@@ -405,16 +406,31 @@ def prefix(model, text):
     """log10 probability of the words of a text without its end token."""
     if not text.strip():
         return 0.0
-    words, end = kneser_ney.Words([text], lower=True), np.array([kneser_ney._END])
-    known = np.unique(np.concatenate([words.hash, end]))
-    last = words.hash[-1:]
-    n = model.pair_counts(last, end)
-    sums = dict(zip(known.tolist(), model.word_sums(known)))
-    ctx, tok = sums[int(last[0])], sums[int(end[0])]
-    single = (max(tok[2] - model.d_word[min(int(tok[2]), 3)], 0) / model.types + model.gamma / (model.totals["V"] + 1))
-    rest = ctx[3:] @ model.d_pair[1:] / ctx[1] if ctx[1] else 1.0
-    p = max(n[0] - model.d_pair[min(int(n[0]), 3)], 0) / max(ctx[1], 1) + rest * single
-    return model.score([text])[3][0] - np.log10(p)
+    tokens, contexts = kneser_ney.grams(kneser_ney.Words([text], lower=True), model.order)
+    end, p = tokens[-1:], model.unigram(model.key_sums(1, tokens[-1:])[:, 2])
+    for level, context in enumerate(contexts, 2):
+        sums = model.key_sums(1 if level == 2 else level, context[-1:])
+        p = model.step(level, model.gram_counts(level, context[-1:], end), sums, p)
+    return model.score([text])[3][0] - np.log10(p[0])
+
+
+def test_many_small_files_and_few_mappings(spark, tmp_path, monkeypatch):
+    """100,000 buckets, of which a worker may hold 1,000 mapped."""
+    monkeypatch.setattr(kneser_ney, "MAPS", 1_000)
+    rng = random.Random(6)
+    rows = [(i, " ".join(make_words(rng, 150))) for i in range(40)]
+    docs = as_docs(spark, rows).coalesce(1)
+    few = kneser_ney.train(docs, F.lit(True))
+    folder = str(tmp_path / "many")
+    hot = {2: np.zeros(0, dtype=np.uint64)}
+    texts = docs.select("doc_id", "text")
+    monkeypatch.setattr(kneser_ney, "TABLE_BYTES", 40)  # a word a bucket, about
+    sums = kneser_ney.count_grams(texts, folder, 2, 100_000, hot).cache()
+    many = kneser_ney.Model(folder, 2, 100_000, kneser_ney.write_tables(sums, folder, 2), hot, kneser_ney.totals_of(sums, 2))
+    found = [many.score([t]) for _, t in rows]
+    assert len(many.maps) == 1_000 and many.tables[1] > 1_000
+    for got, (_, t) in zip(found, rows):
+        assert [x[0] for x in got] == pytest.approx([x[0] for x in few.score([t])], rel=1e-12)
 
 
 # -- tokenizer --------------------------------------------------------------------
