@@ -9,11 +9,13 @@ distance, the bits of one Python integer standing for the item's characters.
 
 The items are read in blocks of at most ``block_bytes`` of text; each block is
 broadcast and held against all documents, so the size broadcast has a bound that
-doesn't depend on the benchmark or the corpus.
+doesn't depend on the benchmark or the corpus; documents are read once for each block.
 
 Defined cases: a null or empty text matches nothing; an empty item matches
-nothing; an item of fewer than ``min_chars`` compared characters must equal the
-whole document (a short answer occurs everywhere); repeated documents or items
+nothing; an item of fewer than ``min_chars`` compared characters is found
+without edits, from word boundary to word boundary, if it has ``min_words`` words, else
+it must equal the whole document (a short answer occurs everywhere); a null item id is
+reported as null; repeated documents or items
 are matched one by one; empty tables give an empty result or all documents; other
 columns are ignored or passed through.
 """
@@ -35,6 +37,7 @@ from fleetlake.llm.common import id_and_text, record_batch, slices
 
 ERROR_RATE = 0.08
 MIN_CHARS = 30
+MIN_WORDS = 4
 BLOCK_BYTES = 8_000_000
 
 _GAPS = re.compile(r"[\W_]+")
@@ -80,12 +83,15 @@ def myers_best(masks: dict[str, int], length: int, window: str) -> tuple[int, in
 class Matcher:
     """The items of one block and the automaton of their pieces."""
 
-    def __init__(self, items: list[tuple[int, str]], error_rate: float, min_chars: int):
+    def __init__(self, items: list[tuple[int | None, str]], error_rate: float, min_chars: int, min_words: int = MIN_WORDS):
         self.items, self.whole = [], defaultdict(list)
         places = defaultdict(list)
         for item_id, text in items:
             if len(text) < min_chars:
-                if text:
+                if text.count(" ") + 1 >= min_words:  # budget -1: as it is, between boundaries
+                    places[text].append((len(self.items), len(text)))
+                    self.items.append((item_id, text, -1, {}))
+                elif text:
                     self.whole[text].append(item_id)
                 continue
             budget = int(len(text) * error_rate)
@@ -112,6 +118,10 @@ class Matcher:
                     starts[item].add(end + 1 - offset)
         for item, at in sorted(starts.items()):
             item_id, pattern, budget, masks = self.items[item]
+            if budget < 0:
+                ends = [s + len(pattern) for s in sorted(at) if self._apart(text, s, s + len(pattern))]
+                found += [(item_id, 0, ends[0])] if ends else []
+                continue
             best = (budget + 1, 0)
             for low, high in self._windows(sorted(at), len(pattern), budget):
                 low = max(low, 0)
@@ -125,6 +135,10 @@ class Matcher:
                 found.append((item_id, *best))
         return found
 
+    @staticmethod
+    def _apart(text: str, start: int, end: int) -> bool:
+        return (not start or text[start - 1] == " ") and (end == len(text) or text[end] == " ")
+
     @staticmethod
     def _windows(starts: list[int], length: int, budget: int) -> list[tuple[int, int]]:
         """Parts of the text that hold any occurrence at these starts; starts that
@@ -139,11 +153,11 @@ class Matcher:
         return [(a, b) for a, b in out]
 
 
-def _matcher(block: Broadcast, name: str, error_rate: float, min_chars: int) -> Matcher:
+def _matcher(block: Broadcast, name: str, error_rate: float, min_chars: int, min_words: int) -> Matcher:
     """One automaton for each worker process and block."""
     if name not in _MATCHERS:
         _MATCHERS.clear()
-        _MATCHERS[name] = Matcher(block.value, error_rate, min_chars)
+        _MATCHERS[name] = Matcher(block.value, error_rate, min_chars, min_words)
     return _MATCHERS[name]
 
 
@@ -155,12 +169,12 @@ def item_blocks(items: DataFrame, block_bytes: int, id_col: str, text_col: str):
     n = max(1, -(-total // block_bytes))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
     for k in range(n):
-        yield sorted((r["item_id"] if r["item_id"] is not None else -1, compared(r["text"]))
-                     for r in rows.filter(block == k).toLocalIterator())
+        found = [(r["item_id"], compared(r["text"])) for r in rows.filter(block == k).collect()]
+        yield sorted(found, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
 
 
 def benchmark_matches(docs: DataFrame, items: DataFrame, error_rate: float = ERROR_RATE,
-                      min_chars: int = MIN_CHARS, block_bytes: int = BLOCK_BYTES,
+                      min_chars: int = MIN_CHARS, block_bytes: int = BLOCK_BYTES, min_words: int = MIN_WORDS,
                       id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
                       item_text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, distance, end_char`` of each item found in a document;
@@ -174,7 +188,7 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, error_rate: float = ERR
         sent = sc.broadcast(block)
 
         def run(batches, sent=sent, name=uuid.uuid4().hex):
-            matcher = _matcher(sent, name, error_rate, min_chars)
+            matcher = _matcher(sent, name, error_rate, min_chars, min_words)
             for ids, found in slices(batches):
                 rows = [(i, *m) for i, t in zip(ids, found, strict=True) for m in matcher.matches(t)]
                 yield record_batch(schema, *(zip(*rows, strict=True) if rows else ([], [], [], [])))
@@ -184,7 +198,7 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, error_rate: float = ERR
 
 
 def without_benchmark(docs: DataFrame, items: DataFrame, error_rate: float = ERROR_RATE,
-                      min_chars: int = MIN_CHARS, block_bytes: int = BLOCK_BYTES,
+                      min_chars: int = MIN_CHARS, block_bytes: int = BLOCK_BYTES, min_words: int = MIN_WORDS,
                       text_col: str = "text", item_id_col: str = "item_id",
                       item_text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no item is found, with all their columns."""
@@ -194,7 +208,7 @@ def without_benchmark(docs: DataFrame, items: DataFrame, error_rate: float = ERR
         sent = sc.broadcast(block)
 
         def run(batches, sent=sent, name=uuid.uuid4().hex):
-            matcher = _matcher(sent, name, error_rate, min_chars)
+            matcher = _matcher(sent, name, error_rate, min_chars, min_words)
             for batch in batches:
                 clean = [not matcher.matches(t.as_py()) for t in batch.column(at)]
                 yield batch.filter(pa.array(clean, type=pa.bool_()))
