@@ -24,14 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import id_and_text, record_batch, slices
+from fleetlake.llm.common import forget, id_and_text, record_batch, slices, stored
 
 #: bytes that the network reads from a fresh state
 STEP = 64
 HIDDEN = 10
 MAX_TRAIN_ROWS = 4_000
 WINDOWS = 3
-MAX_LANGS = 200
 #: stretches read side by side: few enough for the cache, and for products so small
 #: that numpy's library doesn't spread them over threads beside Spark's own tasks
 _COLUMNS = 512
@@ -215,19 +214,21 @@ def training_rows(docs: DataFrame, usable: Column, max_rows: int, lang_col: str,
     rows = docs.filter(usable & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
         F.xxhash64(F.col(text_col)).alias("h"))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    if not counts:
+    # a language needs a row of the sample, so the sample's bound is the only one
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_rows)
+    counts = stored(counts, "langs", 0)
+    n_langs = counts.count()
+    if not n_langs:
         return [], []
-    each = max(1, max_rows // len(counts))
-    share = F.lit(0)
-    for r in counts:
-        share = F.when(F.col("lang") == r["lang"], F.lit(min(1 << 30, -(-each * (1 << 30) // r["count"])))).otherwise(share)
-    chosen = rows.filter(F.pmod("h", F.lit(1 << 30)) < share)
-    # only stretches leave the executors: from the beginning, the middle and the end
+    share = F.least(F.ceil(F.lit(float(max(1, max_rows // n_langs) * (1 << 30))) / F.col("n")), F.lit(1 << 30))
+    chosen = rows.join(counts.select("lang", share.alias("share")), "lang").filter(F.pmod("h", F.lit(1 << 30)) < F.col("share"))
+    # only stretches leave the executors: from the beginning, the middle and the end; copies
+    # of a text are reduced to one before
     size = F.char_length("text")
     part = F.array(*[F.substring("text", F.greatest(F.lit(1), (size * k / WINDOWS).cast("int")), F.lit(STEP))
                      for k in range(WINDOWS)])
-    found = chosen.select("lang", "h", part.alias("part")).orderBy("lang", "h").collect()
+    found = chosen.groupBy("lang", "h").agg(F.min(part).alias("part")).orderBy("lang", "h").collect()
+    forget(counts)
     langs = sorted({r["lang"] for r in found})
     place = {x: i for i, x in enumerate(langs)}
     pairs = [(place[r["lang"]], s.encode()[:STEP]) for r in found for s in dict.fromkeys(r["part"]) if s]
