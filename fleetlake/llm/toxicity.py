@@ -47,7 +47,8 @@ LOOKS_LIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6":
 #: channel costs (negative log probabilities): symbol for a letter, symbol dropped,
 #: held letter shortened, symbol kept
 _COST_LETTER, _COST_DROP, _COST_SHORT, _COST_KEEP = 1.0, 1.5, 0.3, 6.0
-#: symbols that are decoded at once; longer tokens and runs are read in windows
+#: longer tokens are decoded whole and, as runs of letters set apart are, in windows of so
+#: many symbols, since a word may begin at any of their pieces
 _WINDOW = 40
 
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "@$|+(") + "«»“”‘’…–—"
@@ -97,6 +98,14 @@ def lattice(token: str):
         yield choices
 
 
+def _read(link: tuple | None) -> str:
+    parts = []
+    while link is not None:
+        link, out = link
+        parts.append(out)
+    return "".join(reversed(parts))
+
+
 class CharModel:
     """Smoothed character 4-gram model from counts by code."""
 
@@ -110,11 +119,12 @@ class CharModel:
         self.cost = (-np.log(p)).astype(np.float32)
 
     def decode(self, token: str) -> str:
-        """Best reading of a token by Viterbi over its lattice."""
-        states = {(0, 0, 0): (0.0, "")}
+        """Best reading of a token by Viterbi over its lattice, in linear time: a state
+        holds a link to the reading before it."""
+        states: dict[tuple, tuple] = {(0, 0, 0): (0.0, None)}
         for choices in lattice(token):
             after: dict[tuple, tuple] = {}
-            for context, (cost, read) in states.items():
+            for context, (cost, link) in states.items():
                 for out, price in choices:
                     total, now = cost + price, context
                     for c in out:
@@ -122,10 +132,11 @@ class CharModel:
                         total += float(self.cost[now + (s,)])
                         now = (now[1], now[2], s)
                     if now not in after or total < after[now][0]:
-                        after[now] = (total, read + out)
+                        after[now] = (total, (link, out))
             states = after
-        return min((cost + float(self.cost[context + (0,)]), read)
-                   for context, (cost, read) in states.items())[1]
+        ends = [(cost + float(self.cost[context + (0,)]), link) for context, (cost, link) in states.items()]
+        least = min(cost for cost, _ in ends)
+        return min(_read(link) for cost, link in ends if cost == least)
 
 
 def char_counts(docs: DataFrame) -> np.ndarray:
@@ -170,7 +181,7 @@ def readings(token: str, chars: CharModel | ToxicityModel) -> set[str]:
     if len(token) > _WINDOW:
         token = shortened(token).strip(_OUTER)
         if len(token) > _WINDOW:
-            return {bare}.union(*(readings(t, chars) for t in windows(token)))
+            return {bare, restored(token, chars)}.union(*(readings(t, chars) for t in windows(token)))
     core = token.strip(_EDGE)
     for edge in ("$$$", "@@@", "+++", "|||"):  # ornaments, not letters
         core = core.strip(edge[0]) if core.startswith(edge) or core.endswith(edge) else core
@@ -341,8 +352,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, max_rows: int = MA
     kept = (sample.mapInArrow(count, "trait string, bad long, good long")
             .groupBy("trait").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
             .filter((F.col("bad") > 2) & (ratio >= 8.0) & (sure >= LEAST_EVIDENCE))
-            .select("trait", F.log(ratio).alias("weight"))
-            .orderBy(F.desc("weight"), "trait").limit(20_000))
+            .select("trait", F.log(ratio).alias("weight")))  # as many as the sample's words give
     model = ToxicityModel(chars, {r["trait"]: r["weight"] for r in kept.collect()})
 
     sums_schema = pa.schema([("toxic", pa.int32()), ("x", pa.list_(pa.float64()))])
