@@ -12,12 +12,12 @@ Fingerprints are compared where block sizes are equal or twice each other:
 pairs at once.  The best compatible signature pair counts, weighed down where a
 signature is too short to tell.
 
-The next document is found without a global sort of the table on one task: ids
-are cut at approximate quantiles, each range sees its own rows in order plus the
+The next document is found without a global sort of the table on one task: the order
+is cut at quantiles of a bounded sample, each range sees its own rows in order plus the
 first row of the following range.
 
 Defined cases: a null text is the empty text (fingerprint ``3::``, alike to an
-empty text only); equal ids are ordered by text; null ids come first; the last
+empty text only); equal ids are ordered by a hash of their text; null ids come first; the last
 row's next is the first row, a single row's next is itself; an empty table gives
 an empty result; other columns are ignored.
 """
@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 from fleetlake.llm.common import id_and_text, mix64, record_batch, slices
 
 WINDOW = 7
+#: rows of the sample that bounds a range, about
+SAMPLED = 64
 #: a signature fits one 64-bit word of the distance
 MOST_PIECES = 64
 _SMALLEST = 3
@@ -161,21 +163,36 @@ def likeness(left: list[str], right: list[str]) -> np.ndarray:
     return out
 
 
+def order_key(ids, hashes) -> np.ndarray:
+    """Ids (null first) and hashes as byte strings of the same order."""
+    held = np.array([i is not None for i in ids]) if not isinstance(ids, np.ndarray) else np.ones(len(ids), bool)
+    low = np.uint64(1 << 63)
+    out = np.zeros((len(held), 17), dtype=np.uint8)
+    out[:, 0] = held + 1
+    for at, column in ((1, np.array([i or 0 for i in ids], dtype=np.int64) if not isinstance(ids, np.ndarray) else ids), (9, hashes)):
+        big = (np.asarray(column, dtype=np.int64).view(np.uint64) ^ low).astype(">u8")
+        out[:, at:at + 8] = np.ascontiguousarray(big).view(np.uint8).reshape(-1, 8)
+    return out.view("S17")[:, 0]
+
+
 def with_next(docs: DataFrame, ranges: int) -> DataFrame:
     """Rows ``part, last, doc_id, text`` to be read in this order within a part: the
     part's rows by id, at its end (``last`` > 0) the first row of what follows."""
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
-    marks = rows.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)] or [0.5],
-                                         100 * ranges)).first()[0] or []
-    marks = np.array(sorted(set(marks)), dtype=np.int64)
+    # bounds are places in the whole order, so rows of one id, or without one, are split
+    # as others are; they come from a sample of at most about SAMPLED rows a range
+    keys = rows.select("doc_id", "h")
+    n = rows.select("doc_id").count()
+    some = F.pmod(F.xxhash64("doc_id", "h", F.lit(1)), F.lit(max(1, n // (SAMPLED * ranges)))) == 0
+    sample = np.sort(order_key(*zip(*[(r["doc_id"], r["h"]) for r in keys.filter(some).collect()] or [(None, 0)])))
+    marks = np.unique(sample[[len(sample) * i // ranges for i in range(1, ranges)]])
 
     @F.pandas_udf("int")
-    def part(ids: pd.Series) -> pd.Series:
-        known = ids.notna().to_numpy()
-        found = np.searchsorted(marks, ids.fillna(0).to_numpy(dtype=np.int64), side="right")
-        return pd.Series(np.where(known, found, 0).astype(np.int32))
+    def part(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        known = [None if pd.isna(i) else int(i) for i in ids] if ids.hasnans else ids.to_numpy()
+        return pd.Series(np.searchsorted(marks, order_key(known, hashes.to_numpy()), side="right").astype(np.int32))
 
-    rows = rows.withColumn("part", part("doc_id"))
+    rows = rows.withColumn("part", part("doc_id", "h"))
     # the first row of each part: a map-side combined minimum of id and hash
     rank = F.struct(F.col("doc_id").isNotNull().alias("has_id"), "doc_id", "h")
     firsts = [r for r in rows.groupBy("part").agg(F.min(rank).alias("r")).select("part", "r.*").collect()]
