@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from fleetlake.llm.common import ASCII_SPACE, scanned_bytes, stored
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_LAST = 2**63 - 1
 
 
 def line_key(line: Column) -> Column:
@@ -49,29 +48,30 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     documents keeps its lines only in the smallest document that holds it."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     n_bytes = scanned_bytes(docs.select(text_col))  # the hashed lines take about as much, or less
+    # null ids sort last, after every id
+    ident = [docs[id_col].isNull().alias("no_id"), F.coalesce(docs[id_col].cast("long"), F.lit(0)).alias("id")]
+    whole_id = F.struct("no_id", "id")
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("doc"),
-        F.coalesce(docs[id_col].cast("long"), F.lit(_LAST)).alias("id"),
-        F.xxhash64(text).alias("text_hash"))
+        *ident, F.xxhash64(text).alias("text_hash"))
     lines = docs.select(
-        F.coalesce(docs[id_col].cast("long"), F.lit(_LAST)).alias("id"),
-        F.xxhash64(text).alias("text_hash"),
+        *ident, F.xxhash64(text).alias("text_hash"),
         F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"),
-    ).select("id", "text_hash", "pos", line_key(F.col("line")).alias("key"))
+    ).select("no_id", "id", "text_hash", "pos", line_key(F.col("line")).alias("key"))
     lines = stored(lines.filter(F.length("key") >= min_chars).select(
-        "id", "text_hash", "pos", F.unhex(F.md5("key")).alias("key")), "lines", n_bytes)
+        "no_id", "id", "text_hash", "pos", F.unhex(F.md5("key")).alias("key")), "lines", n_bytes)
 
-    holders = lines.groupBy("key", "id").agg(F.lit(1).alias("one"))
+    holders = lines.groupBy("key", "no_id", "id").agg(F.lit(1).alias("one"))
     # written before it is joined: AQE splits a hot key only between two plain exchanges
-    repeated = stored(holders.groupBy("key").agg(F.count("*").alias("n_docs"), F.min("id").alias("first_id"))
+    repeated = stored(holders.groupBy("key").agg(F.count("*").alias("n_docs"), F.min(whole_id).alias("first_id"))
                       .filter(F.col("n_docs") >= min_docs).select("key", "first_id"), "repeated", n_bytes // 4)
-    dropped = (lines.join(repeated, "key").filter(F.col("id") != F.col("first_id"))
-               .groupBy("id", "text_hash").agg(F.collect_set("pos").alias("gone")))
+    dropped = (lines.join(repeated, "key").filter(whole_id != F.col("first_id"))
+               .groupBy("no_id", "id", "text_hash").agg(F.collect_set("pos").alias("gone")))
 
     parts = F.split(F.coalesce(F.col("doc")[text_col], F.lit("")), "\n", -1)
     # array_except is one hash pass, so a document of very many lines stays linear
     kept = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("gone"))
-    return (rows.join(dropped, ["id", "text_hash"], "left")
+    return (rows.join(dropped, ["no_id", "id", "text_hash"], "left")
             .select("doc", "gone", parts.alias("parts"))
             .select(
                 "doc", F.size("parts").cast("long").alias("n_lines"),

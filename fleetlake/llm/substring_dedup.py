@@ -15,11 +15,13 @@ other groups hold as well (last level: which of them an earlier document holds).
 A window that a third of all documents share is thus sent once for each group and
 not for each document; what repeats inside a group the group sees by itself.
 
-Windows are compared by 64-bit hashes of their words.
+Windows are compared by 64-bit hashes of their words.  Among n different windows about
+n * n / 2^65 pairs agree by chance (none is expected up to some 10^9 windows); such a
+window counts only if a shorter one inside it repeats as well, which is a second hash.
 
 Defined cases: a null or empty text has no words; rows with equal ids are one
 document (no row removes words of another one) and each keeps its own words; null
-ids are one document that sorts last; a text of fewer words than a window loses
+ids, and the largest possible one, are one document that sorts last; a text of fewer words than a window loses
 nothing; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -248,7 +250,8 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     """``doc_id, n_words, n_removed, kept_text``: every text without the words
     covered by a window of ``window`` words that a smaller id holds as well; kept
     words are joined by one space."""
-    rows = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(_LAST)))
+    rows = id_and_text(docs, id_col, text_col).select(
+        F.coalesce("doc_id", F.lit(_LAST)).alias("doc_id"), "text", F.col("doc_id").alias("own_id"))
     total = rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     groups = max(1, -(-total // GROUP_BYTES))
     at_once = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -287,7 +290,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
             if n_removed[i]:
                 own = compress(own, (~gone[first[i]:first[i + 1]]).tolist())
             kept.append(b" ".join(own).decode("utf-8", "surrogatepass"))
-        return pa.table([pa.array([None if x == _LAST else x for x in found], type=pa.int64()),
+        return pa.table([left["own_id"].combine_chunks(),
                          pa.array(np.diff(words.first), type=pa.int64()),
                          pa.array(n_removed, type=pa.int64()), pa.array(kept, type=pa.string())], schema=out)
 
