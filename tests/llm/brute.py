@@ -157,3 +157,108 @@ def smallest_capacity(sizes, shards):
             now += x
         low_, high = (low_, mid) if used <= shards else (mid + 1, high)
     return low_
+
+
+# -- piecewise hashing, one byte at a time ----------------------------------------------
+
+_M32, _M64 = 2**32 - 1, 2**64 - 1
+
+
+def _trigger(data, at):
+    h = 0
+    for back in range(7):
+        if at >= back:
+            h += (data[at - back] + 1) * pow(0x01000193, back, 2**32)
+    h &= _M32
+    h = (h ^ h >> 15) * 0x2C1B3C6D & _M32
+    return (h ^ h >> 13) + 1 & _M32
+
+
+def _piece_letter(piece):
+    h = sum((byte + 1) * pow(0x9E3779B97F4A7C15, k, 2**64) for k, byte in enumerate(piece)) + len(piece) & _M64
+    h = (h ^ h >> 33) * 0xFF51AFD7ED558CCD & _M64
+    h = (h ^ h >> 33) * 0xC4CEB9FE1A85EC53 & _M64
+    h ^= h >> 33
+    return "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"[h >> 58]
+
+
+def ctph(data):
+    """Fingerprint of bytes: the smallest block with fewer than 64 piece ends."""
+    triggers = [_trigger(data, i) for i in range(len(data))]
+    block = 3
+    while data and sum(t % block == 0 for t in triggers) >= 64:
+        block *= 2
+    signatures = []
+    for size in (block, 2 * block):
+        cuts = [0] + [i + 1 for i, t in enumerate(triggers) if t % size == 0]
+        cuts += [len(data)] if cuts[-1] < len(data) else []
+        signatures.append("".join(_piece_letter(data[a:b]) for a, b in zip(cuts, cuts[1:])))
+    return f"{block}:{signatures[0]}:{signatures[1]}"
+
+
+def ctph_likeness(x, y):
+    if x == y:
+        return 1.0
+    (bx, *sx), (by, *sy) = x.split(":"), y.split(":")
+    sides = {int(bx) * (k + 1): s for k, s in enumerate(sx)}, {int(by) * (k + 1): s for k, s in enumerate(sy)}
+    best = 0.0
+    for block in sides[0].keys() & sides[1].keys():
+        p, q = sides[0][block], sides[1][block]
+        if p and q:
+            alike = 1 - edit_distance(p, q) / max(len(p), len(q))
+            best = max(best, alike * min(1, min(len(p), len(q)) / 4))
+    return best
+
+
+# -- readings of a token, all of them -----------------------------------------------------
+
+
+def all_readings(token, lattice, cost, symbol):
+    """Least cost of each text that a path through the lattice spells."""
+    paths = [("", 0.0)]
+    for choices in lattice(token):
+        paths = [(text + out, price + own) for text, price in paths for out, own in choices]
+    found = {}
+    for text, price in paths:
+        context = (0, 0, 0)
+        for c in text:
+            price += float(cost[context + (symbol(c),)])
+            context = (*context[1:], symbol(c))
+        price += float(cost[context + (0,)])
+        found[text] = min(found.get(text, price), price)
+    return found
+
+
+# -- the gated network, one unit at a time --------------------------------------------------
+
+
+def _gru_states(net, text):
+    from math import exp, tanh
+
+    h, states, state = net.hidden, [], [0.0] * net.hidden
+    for byte in text:
+        dot = lambda row: sum(float(net.u[row, k]) * state[k] for k in range(h))  # noqa: E731,B023
+        z = [1 / (1 + exp(-(float(net.x[i, byte]) + dot(i)))) for i in range(h)]
+        r = [1 / (1 + exp(-(float(net.x[h + i, byte]) + dot(h + i)))) for i in range(h)]
+        new = [tanh(float(net.x[2 * h + i, byte]) + r[i] * (dot(2 * h + i) + float(net.c[i, 0]))) for i in range(h)]
+        state = [z[i] * state[i] + (1 - z[i]) * new[i] for i in range(h)]
+        states.append(state)
+    return states
+
+
+def gru_document(net, text, step):
+    """Mean probabilities over a text's letters (bytes of letters), read in stretches."""
+    from math import exp
+
+    total, n = [0.0] * len(net.langs), 0
+    for at in range(0, len(text), step):
+        part = text[at:at + step]
+        ahead, back = _gru_states(net.ahead, part), _gru_states(net.back, part[::-1])[::-1]
+        for byte, a, b in zip(part, ahead, back):
+            if not (65 <= byte <= 90 or 97 <= byte <= 122 or byte >= 128):
+                continue
+            out = [sum(float(net.v[k, i]) * x for i, x in enumerate(a + b)) + float(net.b[k, 0]) for k in range(len(net.langs))]
+            e = [exp(x - max(out)) for x in out]
+            total = [t + x / sum(e) for t, x in zip(total, e)]
+            n += 1
+    return [t / max(n, 1) for t in total]

@@ -550,3 +550,142 @@ def test_sharding_needs_few_jobs_on_many_partitions(spark):
         if r["text_sha256"] != alone:
             sums[r["shard"]] = sums.get(r["shard"], 0) + r["size"]
     assert max(sums.values()) <= brute.smallest_capacity(ordered, 39)
+
+
+# -- plain versions of what has no SQL form -------------------------------------------
+
+
+def test_fingerprint_plainly():
+    """Piece ends and characters one by one, over every block size from the smallest."""
+    rng = random.Random(21)
+    texts = ["", "a", "abc", "x" * 900, "\n" * 50, "é" * 300, " ".join(make_words(rng, 30)), " ".join(make_words(rng, 3000))]
+    texts += ["".join(rng.choices("ab \n", k=rng.randint(1, 400))) for _ in range(40)]
+    for text in texts:
+        assert piecewise.fingerprint(text.encode()) == brute.ctph(text.encode()), text[:40]
+
+
+def test_likeness_plainly():
+    rng = random.Random(22)
+    base = " ".join(make_words(rng, 800))
+    prints = ["3::"] + [brute.ctph(t.encode()) for t in (
+        base, base[:len(base) // 2], base + base, base.replace("ba", "ko"), base[500:], "short one", "short two", " ".join(make_words(rng, 800)))]
+    pairs = [(a, b) for a in prints for b in prints]
+    got = piecewise.likeness([a for a, _ in pairs], [b for _, b in pairs])
+    assert got.tolist() == pytest.approx([brute.ctph_likeness(a, b) for a, b in pairs])
+
+
+def test_piecewise_on_one_id(spark):
+    """A third of the rows on one id and as many without one: every row has its successor
+    in the order of id and hash, and no range holds them all."""
+    rng = random.Random(23)
+    rows = [(7 if i % 3 == 0 else None if i % 3 == 1 else 100 + i, f"text {i} " + " ".join(make_words(rng, 20))) for i in range(900)]
+    docs = as_docs(spark, rows)
+    found = piecewise.piecewise_fingerprints(docs).collect()
+    hashes = {r["text"]: r["h"] for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, hashes[r[1]]))
+    want = []
+    for k, (i, text) in enumerate(rows):
+        after, half = rows[(k + 1) % len(rows)][1], len(text) // 2
+        want.append((i, hashlib.sha256((text[:len(text) - half] + after[:half]).encode()).hexdigest()))
+    same([(r["doc_id"], r["edited_sha256"]) for r in found], want)
+    sizes = [r["count"] for r in piecewise.with_next(docs.select("doc_id", "text"), 16).groupBy("part").count().collect()]
+    assert len(sizes) >= 12 and max(sizes) < 200
+
+
+def test_order_key():
+    rng = random.Random(24)
+    ids = [None, None, -2**63, 2**63 - 1, -1, 0, 1] + [rng.randint(-2**63, 2**63 - 1) for _ in range(60)]
+    hashes = [rng.choice([0, -2**63, 2**63 - 1, rng.randint(-9, 9)]) for _ in ids]
+    order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, hashes[i]))
+    keys = piecewise.order_key(ids, np.array(hashes))
+    assert (keys[order][:-1] <= keys[order][1:]).all()
+
+
+def test_decoder_tries_all_readings():
+    """Viterbi's reading costs what the cheapest of all paths does."""
+    counts = toxicity.np.zeros(28**4, dtype=np.int64)
+    rng = random.Random(25)
+    chars = toxicity.CharModel(counts)
+    data = [toxicity._symbol(c) for c in "   ".join(["idiot", "stupid", "trash", "hello", "good"] * 20)]
+    for k in range(len(data) - 3):
+        counts[((data[k] * 28 + data[k + 1]) * 28 + data[k + 2]) * 28 + data[k + 3]] += 1
+    chars = toxicity.CharModel(counts)
+    tokens = ["1d10t", "!d!ot", "$tup1d", "iiidiot", "7r45h", "a", "0", "h3lloooo"]
+    tokens += ["".join(rng.choices("ab10!$t", k=rng.randint(1, 6))) for _ in range(60)]
+    for token in tokens:
+        costs = brute.all_readings(token, toxicity.lattice, chars.cost, toxicity._symbol)
+        read = chars.decode(token)
+        assert costs[read] == pytest.approx(min(costs.values()), rel=1e-6), token
+
+
+def test_long_tokens_are_decoded_whole_in_linear_time():
+    chars = toxicity.CharModel(np.ones(28**4, dtype=np.int64))
+    token = "ab1" * 20_000
+    assert len(chars.decode(token)) <= 2 * len(token)
+    assert toxicity.restored("x1" * 60, chars) in toxicity.readings("x1" * 60, chars)
+
+
+def test_network_plainly():
+    """Every position by the gates' formulas, one at a time, in double precision."""
+    rng = np.random.default_rng(3)
+    net = language_id.Network(["a", "b", "c"], hidden=3)
+    for p in net.params():
+        p += rng.standard_normal(p.shape).astype(np.float32) * 0.2
+    texts = [b"Some words, 12 of them.", "ñandú été".encode() * 20, b"x", b"A" * 64, b"B" * 65]
+    got = net.documents(texts)
+    for text, row in zip(texts, got):
+        assert row == pytest.approx(brute.gru_document(net, text, language_id.STEP), abs=1e-5)
+
+
+def test_language_sample_counts_a_text_once(spark):
+    rows = [(i, "the same text again", "en") for i in range(500)] + [(1000 + i, f"ein anderer satz {i}", "de") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, pairs = language_id.training_rows(docs, F.lit(True), 4000, "lang", "text")
+    assert langs == ["de", "en"]
+    assert [sum(i == k for k, _ in pairs) > 0 for i in (0, 1)] == [True, True]
+    assert sum(i == 1 for i, _ in pairs) <= language_id.WINDOWS
+
+
+def test_more_languages_than_rows_asked_for(spark):
+    rows = [(i, f"word{i} text", f"l{i % 300:03d}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, _ = language_id.training_rows(docs, F.lit(True), 1000, "lang", "text")
+    assert len(langs) == 300
+
+
+def test_short_benchmark_items(spark):
+    """Under the length at which edits are allowed: as they are, between word boundaries."""
+    items = [(1, "what is two plus two"), (2, "Paris"), (None, "who wrote it then, exactly?"), (4, "a b c d")]
+    rows = [(1, "Quiz. What is two plus TWO? Four."), (2, "somewhat is two plus two"), (3, "What is two plus twofold"),
+            (4, "We went to Paris."), (5, "paris"), (6, "Say who wrote it then exactly and why"), (7, "xa b c d"), (8, "a b c d e")]
+    docs = as_docs(spark, rows)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.benchmark_matches(docs, bench).select("doc_id", "item_id", "distance").collect()
+    same(found, [(1, 1, 0), (5, 2, 0), (6, None, 0), (8, 4, 0)])
+    left = decontaminate.without_benchmark(docs, bench)
+    assert sorted(r["doc_id"] for r in left.collect()) == [2, 3, 4, 7]
+
+
+def test_items_inside_very_long_documents(spark):
+    """The plain distance over a whole long text, also at its ends."""
+    rng = random.Random(27)
+    item = " ".join(make_words(rng, 14))
+    filler = [" ".join(make_words(rng, 2500)) for _ in range(4)]
+    rows = [(1, filler[0] + " " + mutate(rng, item, 2)), (2, mutate(rng, item, 1) + " " + filler[1]),
+            (3, filler[2] + " " + item + " " + filler[2]), (4, filler[3])]
+    bench = spark.createDataFrame([(9, item)], "item_id long, text string")
+    budget = int(len(decontaminate.compared(item)) * decontaminate.ERROR_RATE)
+    found = {r["doc_id"]: r["distance"] for r in decontaminate.benchmark_matches(as_docs(spark, rows), bench).collect()}
+    want = {i: brute.edit_distance(decontaminate.compared(item), decontaminate.compared(t), anywhere=True) for i, t in rows}
+    assert found == {i: d for i, d in want.items() if d <= budget} and set(found) == {1, 2, 3}
+
+
+def test_largest_and_missing_ids(spark):
+    """The largest id comes back as itself, beside rows without one."""
+    last, line = 2**63 - 1, "a line that is long enough"
+    words = " ".join(make_words(random.Random(28), 20))
+    rows = [(last, f"{line}\n{words}"), (None, f"{line}\n{words}"), (5, "own"), (last - 1, line)]
+    docs = as_docs(spark, rows)
+    same(line_dedup.line_dedup(docs).select("doc.doc_id", "n_dropped").collect(), [(last, 1), (None, 2), (5, 0), (last - 1, 0)])
+    found = substring_dedup.remove_repeats(docs).select("doc_id", "n_words").collect()
+    same(found, [(last, 26), (None, 26), (5, 1), (last - 1, 6)])
