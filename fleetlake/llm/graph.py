@@ -26,19 +26,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(lows.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(links: DataFrame, a: str = "a", b: str = "b", n_bytes: int | None = None) -> DataFrame:
     """``node, root`` for every node that has a link; root is the smallest node of
-    its component.  Self links and repeated links are allowed."""
+    its component.  Self links and repeated links are allowed.  ``n_bytes``, about what
+    the edges take, sizes the files they are written in."""
     edges = stored(
         links.filter(F.col(a) != F.col(b))
-        .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
+        .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges", n_bytes)
     mark = None
     while True:
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(state) == mark:
             break
         mark = tuple(state)
-        before, edges = edges, stored(_small_star(_large_star(edges)), "edges")
+        before, edges = edges, stored(_small_star(_large_star(edges)), "edges", n_bytes)
         forget(before)
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return roots.union(edges.select("u", "v"))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import id_and_text, record_batch, slices, stored
+from fleetlake.llm.common import id_and_text, record_batch, scanned_bytes, slices, stored
 from fleetlake.llm.graph import components
 
 _SEED = 42
@@ -83,7 +83,7 @@ def _rest_flips(couples: tuple[int, int]) -> list[int]:
     return [0, *[m - (1 << 64) if m >> 63 else m for m in bits]]
 
 
-def links(fps: DataFrame, max_bits: int = 2, list_bound: int = 32) -> DataFrame:
+def links(fps: DataFrame, max_bits: int = 2, list_bound: int = 32, n_bytes: int | None = None) -> DataFrame:
     """``a, b``: linked pairs of different fingerprints; together they connect
     every two fingerprints that differ in at most ``max_bits`` bits."""
     if max_bits != 2:
@@ -93,7 +93,7 @@ def links(fps: DataFrame, max_bits: int = 2, list_bound: int = 32) -> DataFrame:
         for k, (i, j) in enumerate(_COUPLES)])
     index = fps.select("fp", F.explode(lists).alias("l")).select("fp", "l.c", "l.bytes")
     sizes = index.groupBy("c", "bytes").agg(F.count("*").alias("n"))
-    index = stored(index.join(sizes.filter("n > 1"), ["c", "bytes"]), "index")
+    index = stored(index.join(sizes.filter("n > 1"), ["c", "bytes"]), "index", n_bytes)
 
     short = index.filter(F.col("n") <= list_bound)
     x, y = short.select("c", "bytes", F.col("fp").alias("a")), short.select("c", "bytes", F.col("fp").alias("b"))
@@ -120,11 +120,12 @@ def simhash_classes(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col
                     text_col: str = "text") -> DataFrame:
     """``doc_id, text_hash, fp, root, component_id`` of every row: ``root`` is the
     smallest fingerprint of its class, ``component_id`` the smallest id."""
-    marked = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    fps = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
-    roots = components(links(fps, max_bits)).select(F.col("node").alias("fp"), "root")
+    n_bytes = scanned_bytes(docs.select(text_col))  # more than any of the tables takes
+    marked = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints", n_bytes)
+    fps = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct", n_bytes)
+    roots = components(links(fps, max_bits, n_bytes=n_bytes), n_bytes=n_bytes).select(F.col("node").alias("fp"), "root")
     rooted = stored(fps.join(roots, "fp", "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")), "rooted")
+        "fp", "first_id", F.coalesce("root", "fp").alias("root")), "rooted", n_bytes)
     first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = rooted.join(first, "root").select("fp", "root", "component_id")
     return marked.join(classes, "fp").select(

@@ -263,10 +263,10 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     found, shorter = nothing, None
     if len(levels) > 1:
         shorter = levels[0]
-        found = stored(seed_level(rows, shorter, levels[1], buckets), "seeds")
+        found = stored(seed_level(rows, shorter, levels[1], buckets), "seeds", total)
     for k, length in enumerate(levels[1:] or levels):
         last = length == window
-        longer = stored(window_level(rows, found, shorter, length, buckets, k == 0, last), "windows")
+        longer = stored(window_level(rows, found, shorter, length, buckets, k == 0, last), "windows", total)
         if found is not nothing:
             forget(found)
         found, shorter = longer, length
