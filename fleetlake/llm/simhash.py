@@ -121,7 +121,7 @@ def simhash_classes(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col
     """``doc_id, text_hash, fp, root, component_id`` of every row: ``root`` is the
     smallest fingerprint of its class, ``component_id`` the smallest id."""
     n_bytes = scanned_bytes(docs.select(text_col))  # more than any of the tables takes
-    marked = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints", n_bytes)
+    marked = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints", 8 * n_bytes)  # the text is read: many tasks
     fps = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct", n_bytes)
     roots = components(links(fps, max_bits, n_bytes=n_bytes), n_bytes=n_bytes).select(F.col("node").alias("fp"), "root")
     rooted = stored(fps.join(roots, "fp", "left").select(
