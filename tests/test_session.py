@@ -1,5 +1,6 @@
 """Session helpers: the shared checkpoint folder and scratch space."""
 
+import tempfile
 import os
 from types import SimpleNamespace
 
@@ -21,7 +22,7 @@ def test_checkpoint_dir_is_set_once(spark):
 
 
 def test_local_sessions_get_a_folder():
-    assert checkpoint_dir(fake("local[8]")).startswith("/tmp")
+    assert checkpoint_dir(fake("local[8]")).startswith(tempfile.gettempdir())
 
 
 @pytest.mark.parametrize("master", ["yarn", "k8s://x", "local-cluster[3,2,1024]", "spark://x:7077"])
