@@ -25,6 +25,7 @@ through an Arrow-batched pandas UDF; Spark has no built-in normaliser.
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
 
 import pandas as pd
@@ -201,18 +202,34 @@ def repair_reference_order(col) -> Column:
     return _outside_ascii(_nfkc_then_reference_pairs, _c(col))
 
 
+def _accented() -> dict[str, str]:
+    """Composed lower-case Latin letters → the letter a-z below their accents."""
+    found = {}
+    for code in range(0xE0, 0x180):
+        parts = unicodedata.normalize("NFD", chr(code))
+        if len(parts) > 1 and "a" <= parts[0] <= "z":
+            found[chr(code)] = parts[0]
+    return found
+
+
+_ACCENTED = _accented()
+
+
 def fold_key(col) -> Column:
     """Key text without case and accents, for joins and groups (SV1).
 
     The rule is Spark's ``UNICODE_CI_AI`` collation: whatever it holds equal to a letter
     a-z, composed or not, in any case and with any accent, becomes that letter.  The
     result is a plain string, so keys that fold alike are equal, shuffle alike and have
-    one spelling.  Text in ASCII, the usual key, is only lower-cased."""
+    one spelling.  Text in ASCII, the usual key, is only lower-cased, and text whose
+    accents are composed Latin letters takes one ``translate``."""
     c = _c(col)
+    ascii_only = lambda text: F.octet_length(text) == F.char_length(text)
+    plain = F.translate(F.lower(c), "".join(_ACCENTED), "".join(_ACCENTED.values()))
     loose = reduce(lambda text, letter: F.replace(text, F.lit(letter), F.lit(letter)),
                    "abcdefghijklmnopqrstuvwxyz", F.collate(c, "UNICODE_CI_AI"))
     folded = F.lower(F.collate(loose, "UTF8_BINARY"))
-    return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(folded)
+    return F.when(ascii_only(c), F.lower(c)).when(ascii_only(plain), plain).otherwise(folded)
 
 
 def string_columns(df: DataFrame) -> list[str]:
