@@ -15,9 +15,14 @@ other groups hold as well (last level: which of them an earlier document holds).
 A window that a third of all documents share is thus sent once for each group and
 not for each document; what repeats inside a group the group sees by itself.
 
-Windows are compared by 64-bit hashes of their words.  Among n different windows about
-n * n / 2^65 pairs agree by chance (none is expected up to some 10^9 windows); such a
-window counts only if a shorter one inside it repeats as well, which is a second hash.
+Shorter windows are compared by 64-bit hashes of their words: one that agrees by chance
+is a needless candidate and changes no result.  Windows of the length asked for, which
+decide, are compared by 96 bits, two independent hashes: among n different ones about
+n * n / 2^97 pairs agree by chance, at 100 TB (some 1.5 * 10^13 windows) 0.0014 in all.
+
+Rows that agree in id and text are reduced to one before the levels and multiplied at the
+end, so no group grows with the copies of a row; where no row repeats, which the job that
+measures the text also finds, there is nothing to reduce.
 
 Defined cases: a null or empty text has no words; rows with equal ids are one
 document (no row removes words of another one) and each keeps its own words; null
@@ -34,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import forget, id_and_text, slices, stored
+from fleetlake.llm.common import forget, id_and_text, mix64, slices, stored
 from fleetlake.llm.words import Words, window_hashes
 
 #: text of a group of documents that one call handles
@@ -47,10 +52,15 @@ FIRST_LENGTH = 7
 _GATHER = 1_000_000
 _LAST = 2**63 - 1
 
-_SENT = pa.schema([("bucket", pa.int32()), ("g", pa.binary()), ("h", pa.binary()), ("lo", pa.binary())])
-_SENT_SQL = "bucket int, g binary, h binary, lo binary"
-_BACK = pa.schema([("g", pa.int32()), ("h", pa.binary())])
-_BACK_SQL = "g int, h binary"
+#: equal rows that one task writes at the end, about
+_COPIES = 4096
+
+_SENT = pa.schema([("bucket", pa.int32()), ("g", pa.binary()), ("h", pa.binary()), ("c", pa.binary()),
+                   ("lo", pa.binary())])
+_SENT_SQL = "bucket int, g binary, h binary, c binary, lo binary"
+_BACK = pa.schema([("g", pa.int32()), ("h", pa.binary()), ("c", pa.binary())])
+_BACK_SQL = "g int, h binary, c binary"
+_OTHER = np.uint64(0xA0761D6478BD642F)
 
 
 def _cat(column: pa.ChunkedArray, dtype) -> np.ndarray:
@@ -65,7 +75,14 @@ def first_in_groups(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
-def _to_buckets(h: np.ndarray, g: np.ndarray, lo: np.ndarray | None, buckets: int) -> pa.RecordBatch:
+def window_checks(words: Words, length: int) -> np.ndarray:
+    """A second hash, of 32 bits, of the windows that ``window_hashes`` gives."""
+    h, _ = window_hashes(mix64(words.hash ^ _OTHER), words.first, length)
+    return (h >> np.uint64(32)).astype(np.uint32)
+
+
+def _to_buckets(h: np.ndarray, g: np.ndarray, c: np.ndarray | None, lo: np.ndarray | None,
+                buckets: int) -> pa.RecordBatch:
     """One row for each bucket with packed arrays; ``h`` is sorted."""
     bucket = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
     at = np.nonzero(first_in_groups(bucket))[0] if len(h) else np.zeros(0, dtype=np.int64)
@@ -75,19 +92,21 @@ def _to_buckets(h: np.ndarray, g: np.ndarray, lo: np.ndarray | None, buckets: in
         pa.array(bucket[at], type=pa.int32()),
         pa.array([g[a:b].tobytes() for a, b in cut], type=pa.binary()),
         pa.array([h[a:b].tobytes() for a, b in cut], type=pa.binary()),
+        pa.array([b"" if c is None else c[a:b].tobytes() for a, b in cut], type=pa.binary()),
         pa.array([b"" if lo is None else lo[a:b].tobytes() for a, b in cut], type=pa.binary()),
     ], schema=_SENT)
 
 
-def _to_groups(h: np.ndarray, g: np.ndarray) -> pa.Table:
+def _to_groups(h: np.ndarray, g: np.ndarray, c: np.ndarray | None = None) -> pa.Table:
     """One row for each group with its hashes packed."""
     order = np.argsort(g, kind="stable")
     h, g = h[order], g[order]
+    c = np.zeros(0, dtype=np.uint32) if c is None else c[order]
     at = np.nonzero(first_in_groups(g))[0] if len(g) else np.zeros(0, dtype=np.int64)
-    ends = [*at[1:].tolist(), len(g)]
+    cut = list(zip(at.tolist(), [*at[1:].tolist(), len(g)]))
     return pa.table([pa.array(g[at], type=pa.int32()),
-                     pa.array([h[a:b].tobytes() for a, b in zip(at.tolist(), ends)], type=pa.binary())],
-                    schema=_BACK)
+                     pa.array([h[a:b].tobytes() for a, b in cut], type=pa.binary()),
+                     pa.array([c[a:b].tobytes() for a, b in cut], type=pa.binary())], schema=_BACK)
 
 
 def chosen_seeds(words: Words, seed: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,6 +141,30 @@ def _member(x: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
 
 
+def member_pairs(h: np.ndarray, c: np.ndarray, known_h: np.ndarray, known_c: np.ndarray) -> np.ndarray:
+    """Which pairs ``h, c`` are among the known ones, in any order."""
+    found = np.zeros(len(h), dtype=bool)
+    order = np.argsort(known_h, kind="stable")
+    known_h, known_c = known_h[order], known_c[order]
+    left = np.arange(len(h))
+    at = np.searchsorted(known_h, h)
+    while len(left):  # one round, and one more for each further pair with the same ``h``
+        same = at < len(known_h)
+        same[same] = known_h[at[same]] == h[left[same]]
+        left, at = left[same], at[same]
+        found[left] |= known_c[at] == c[left]
+        at = at + 1
+    return found
+
+
+def smallest_holder(h: np.ndarray, c: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of the windows by hashes and holder, the first place of each window in
+    it, and for each place the smallest holder of its window."""
+    order = np.lexsort((doc, c, h))
+    at = np.nonzero(first_in_groups(h[order], c[order]))[0] if len(h) else np.zeros(0, dtype=np.int64)
+    return order, at, np.repeat(doc[order][at], np.diff(np.concatenate([at, [len(h)]])))
+
+
 def seed_level(docs: DataFrame, seed: int, length: int, buckets: int) -> DataFrame:
     """``g, h``: chosen short windows of each group that other groups hold too."""
 
@@ -133,7 +176,7 @@ def seed_level(docs: DataFrame, seed: int, length: int, buckets: int) -> DataFra
             order = np.lexsort((g, h))
             h, g = h[order], g[order]
             new = first_in_groups(h, g)
-            return _to_buckets(h[new], g[new], None, buckets)
+            return _to_buckets(h[new], g[new], None, None, buckets)
 
         for group, texts in slices(batches, ("g", "text")):
             words = Words(texts)
@@ -199,25 +242,30 @@ def window_level(docs: DataFrame, found: DataFrame, shorter: int | None, length:
         start = _candidates(words, ids, np.sort(_cat(right["h"], np.uint64)), shorter, length, first)
         h, _ = window_hashes(words.hash, words.first, length)
         h, doc = h[start], ids[_owners(words)[start]]
-        order = np.lexsort((doc, h))
-        h, doc = h[order], doc[order]
-        at = np.nonzero(first_in_groups(h))[0] if len(h) else np.zeros(0, dtype=np.int64)
-        end = np.concatenate([at[1:], [len(h)]]).astype(np.int64) - 1 if len(at) else at
-        # the smallest holder; before the last level, whether there are several
-        lo = doc[at] if last else (doc[at] != doc[end]).astype(np.int64)
-        g = np.full(len(at), key[0].as_py(), dtype=np.int32)
-        return pa.Table.from_batches([_to_buckets(h[at], g, lo, buckets)], schema=_SENT)
+        if last:
+            c = window_checks(words, length)[start]
+            order, at, lo = smallest_holder(h, c, doc)
+            h, c, lo = h[order[at]], c[order[at]], lo[at]
+        else:  # whether there are several holders
+            order = np.lexsort((doc, h))
+            h, doc, c = h[order], doc[order], None
+            at = np.nonzero(first_in_groups(h))[0] if len(h) else np.zeros(0, dtype=np.int64)
+            end = np.concatenate([at[1:], [len(h)]]).astype(np.int64) - 1 if len(at) else at
+            h, lo = h[at], (doc[at] != doc[end]).astype(np.int64)
+        g = np.full(len(h), key[0].as_py(), dtype=np.int32)
+        return pa.Table.from_batches([_to_buckets(h, g, c, lo, buckets)], schema=_SENT)
 
     def back(table: pa.Table) -> pa.Table:
         h, g, lo = _cat(table["h"], np.uint64), _cat(table["g"], np.int32), _cat(table["lo"], np.int64)
+        if last:  # rows of one id may lie in several groups
+            c = _cat(table["c"], np.uint32)
+            order, _, smallest = smallest_holder(h, c, lo)
+            later = order[lo[order] > smallest]
+            return _to_groups(h[later], g[later], c[later])
         order = np.lexsort((lo, h))
         h, g, lo = h[order], g[order], lo[order]
-        new = first_in_groups(h)
-        at = np.nonzero(new)[0]
+        at = np.nonzero(first_in_groups(h))[0]
         size = np.diff(np.concatenate([at, [len(h)]]))
-        if last:  # rows of one id may lie in several groups
-            later = lo > np.repeat(lo[at], size)
-            return _to_groups(h[later], g[later])
         keep = np.repeat((size > 1) | (np.maximum.reduceat(lo, at) > 0), size)
         return _to_groups(h[keep], g[keep])
 
@@ -225,21 +273,19 @@ def window_level(docs: DataFrame, found: DataFrame, shorter: int | None, length:
             .groupBy("bucket").applyInArrow(back, _BACK_SQL))
 
 
-def covered(words: Words, ids: np.ndarray, elsewhere: np.ndarray, length: int) -> np.ndarray:
+def covered(words: Words, ids: np.ndarray, elsewhere: tuple[np.ndarray, np.ndarray], length: int) -> np.ndarray:
     """Marks the words that a removed window covers: one that an earlier document
-    holds, in another group (``elsewhere``, sorted) or in this one."""
+    holds, in another group (``elsewhere``, both hashes) or in this one."""
     h, whole = window_hashes(words.hash, words.first, length)
     hit = np.zeros(len(words.hash) + 1, dtype=np.int32)
     start = np.nonzero(whole)[0]
     if len(start):
         h, doc = h[start], ids[_owners(words)[start]]
-        order = np.lexsort((doc, h))
-        sh, sd = h[order], doc[order]
-        at = np.nonzero(first_in_groups(sh))[0]
-        smallest = np.repeat(sd[at], np.diff(np.concatenate([at, [len(sh)]])))
+        c = window_checks(words, length)[start]
+        order, _, smallest = smallest_holder(h, c, doc)
         gone = np.empty(len(h), dtype=bool)
-        gone[order] = sd > smallest
-        gone |= _member(h, elsewhere)
+        gone[order] = doc[order] > smallest
+        gone |= member_pairs(h, c, *elsewhere)
         np.add.at(hit, start[gone], 1)
         np.add.at(hit, start[gone] + length, -1)
     return np.cumsum(hit[:-1]) > 0
@@ -252,7 +298,14 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     words are joined by one space."""
     rows = id_and_text(docs, id_col, text_col).select(
         F.coalesce("doc_id", F.lit(_LAST)).alias("doc_id"), "text", F.col("doc_id").alias("own_id"))
-    total = rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    alike = rows.groupBy(F.xxhash64("own_id", F.col("own_id").isNull(), "text").alias("row")).agg(
+        F.sum(F.octet_length("text") + 1).alias("size"), F.count("*").alias("n"))
+    found = alike.agg(F.sum("size").alias("total"), F.max("n").alias("most")).first()
+    total, repeated = found["total"] or 0, (found["most"] or 0) > 1
+    if repeated:
+        rows = stored(rows.groupBy("doc_id", "own_id", "text").agg(F.count("*").alias("n")), "rows", total)
+    else:
+        rows = rows.withColumn("n", F.lit(1).cast("long"))
     groups = max(1, -(-total // GROUP_BYTES))
     at_once = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(4 * at_once, -(-total // BUCKET_BYTES))
@@ -275,12 +328,13 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     earlier = found
 
     out = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
-                     ("kept_text", pa.string())])
+                     ("kept_text", pa.string()), ("n", pa.int64())])
 
     def keep(left: pa.Table, right: pa.Table) -> pa.Table:
         texts, found = left["text"].to_pylist(), left["doc_id"].to_pylist()
         words = Words(texts)
-        gone = covered(words, np.array(found, dtype=np.int64), np.sort(_cat(right["h"], np.uint64)), window)
+        elsewhere = _cat(right["h"], np.uint64), _cat(right["c"], np.uint32)
+        gone = covered(words, np.array(found, dtype=np.int64), elsewhere, window)
         first = words.first.tolist()
         lost = np.concatenate([[0], np.cumsum(gone)])
         n_removed = (lost[words.first[1:]] - lost[words.first[:-1]]).tolist()
@@ -292,10 +346,20 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
             kept.append(b" ".join(own).decode("utf-8", "surrogatepass"))
         return pa.table([left["own_id"].combine_chunks(),
                          pa.array(np.diff(words.first), type=pa.int64()),
-                         pa.array(n_removed, type=pa.int64()), pa.array(kept, type=pa.string())], schema=out)
+                         pa.array(n_removed, type=pa.int64()), pa.array(kept, type=pa.string()),
+                         left["n"].combine_chunks()], schema=out)
+
+    done = (rows.groupBy("g").cogroup(earlier.groupBy("g"))
+            .applyInArrow(keep, "doc_id long, n_words long, n_removed long, kept_text string, n long"))
+    return _multiplied(done) if repeated else done.drop("n")
+
 
-    return (rows.groupBy("g").cogroup(earlier.groupBy("g"))
-            .applyInArrow(keep, "doc_id long, n_words long, n_removed long, kept_text string"))
+def _multiplied(rows: DataFrame) -> DataFrame:
+    """Every row ``n`` times; the copies of a row are dealt to tasks in parts."""
+    parts = rows.withColumn("part", F.explode(F.expr(f"sequence(0L, (n - 1) div {_COPIES})")))
+    parts = parts.repartition(F.xxhash64("doc_id", "kept_text"), "part")
+    copies = F.least(F.lit(_COPIES), F.col("n") - F.col("part") * _COPIES)
+    return parts.withColumn("copy", F.explode(F.sequence(F.lit(1), copies.cast("int")))).drop("n", "part", "copy")
 
 
 __all__ = ["remove_repeats"]

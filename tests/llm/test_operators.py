@@ -165,6 +165,45 @@ def test_remove_repeats_short_windows(spark, window):
     same(substring_dedup.remove_repeats(as_docs(spark, rows), window).collect(), brute.remove_repeats(rows, window))
 
 
+@pytest.mark.parametrize("size", [2_000, 10**9])
+def test_remove_repeats_of_copied_rows(spark, odd, monkeypatch, size):
+    """A third of all rows agree in id and text, others in the id alone; each is its own row."""
+    monkeypatch.setattr(substring_dedup, "GROUP_BYTES", size)
+    monkeypatch.setattr(substring_dedup, "_COPIES", 7)
+    rows = odd + [(4, odd[3][1])] * 40 + [(None, None)] * 30 + [(None, odd[3][1])] * 8 + [(6, odd[3][1] + " six")] * 7
+    same(substring_dedup.remove_repeats(as_docs(spark, rows)).collect(), brute.remove_repeats(rows))
+
+
+def test_windows_with_one_hash_are_told_apart(monkeypatch):
+    """Where the first hash has three bits, the second one decides."""
+    whole = substring_dedup.window_hashes
+    second = substring_dedup.window_checks
+
+    def weak(hashes, first, length):
+        h, inside = whole(hashes, first, length)
+        return h & np.uint64(7), inside
+
+    rng = random.Random(31)
+    rows = [(i, " ".join(rng.choices("abc", k=rng.randint(0, 40)))) for i in range(80)]
+    w = substring_dedup.Words([t for _, t in rows])
+    checks = second(w, 5)
+    monkeypatch.setattr(substring_dedup, "window_hashes", weak)
+    monkeypatch.setattr(substring_dedup, "window_checks", lambda words, length: checks)
+    none = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint32)
+    gone = substring_dedup.covered(w, np.arange(80), none, 5)
+    lost = [int(gone[a:b].sum()) for a, b in zip(w.first[:-1], w.first[1:])]
+    assert lost == [n for _, _, n, _ in brute.remove_repeats(rows, 5)] and sum(lost)
+
+
+def test_member_pairs():
+    rng = np.random.default_rng(5)
+    for known, asked in [(0, 9), (9, 0), (40, 300), (300, 40)]:
+        h, c = rng.integers(0, 9, asked).astype(np.uint64), rng.integers(0, 9, asked).astype(np.uint32)
+        kh, kc = rng.integers(0, 9, known).astype(np.uint64), rng.integers(0, 9, known).astype(np.uint32)
+        pairs = set(zip(kh.tolist(), kc.tolist()))
+        assert substring_dedup.member_pairs(h, c, kh, kc).tolist() == [x in pairs for x in zip(h.tolist(), c.tolist())]
+
+
 # -- piecewise hashing ------------------------------------------------------------
 
 
