@@ -19,6 +19,8 @@ Shorter windows are compared by 64-bit hashes of their words: one that agrees by
 is a needless candidate and changes no result.  Windows of the length asked for, which
 decide, are compared by 96 bits, two independent hashes: among n different ones about
 n * n / 2^97 pairs agree by chance, at 100 TB (some 1.5 * 10^13 windows) 0.0014 in all.
+A group is told its windows by the first hash alone; it holds some 3 * 10^5 of them, so
+that at 100 TB about 0.1 pairs in all could be taken for each other there.
 
 Rows that agree in id and text are reduced to one before the levels and multiplied at the
 end, so no group grows with the copies of a row; where no row repeats, which the job that
@@ -58,13 +60,23 @@ _COPIES = 4096
 _SENT = pa.schema([("bucket", pa.int32()), ("g", pa.binary()), ("h", pa.binary()), ("c", pa.binary()),
                    ("lo", pa.binary())])
 _SENT_SQL = "bucket int, g binary, h binary, c binary, lo binary"
-_BACK = pa.schema([("g", pa.int32()), ("h", pa.binary()), ("c", pa.binary())])
-_BACK_SQL = "g int, h binary, c binary"
+_BACK = pa.schema([("g", pa.int32()), ("h", pa.binary())])
+_BACK_SQL = "g int, h binary"
 _OTHER = np.uint64(0xA0761D6478BD642F)
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """The bytes of all numbers by significance: sorted or small ones then compress well."""
+    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+
+
 def _cat(column: pa.ChunkedArray, dtype) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=dtype)
+    """The numbers of all rows of a packed column."""
+    width = np.dtype(dtype).itemsize
+    planes = [np.frombuffer(b, dtype=np.uint8).reshape(width, -1) for b in column.to_pylist()]
+    if not planes:
+        return np.zeros(0, dtype=dtype)
+    return np.ascontiguousarray(np.concatenate(planes, axis=1).T).reshape(-1).view(dtype)
 
 
 def first_in_groups(*keys: np.ndarray) -> np.ndarray:
@@ -90,23 +102,21 @@ def _to_buckets(h: np.ndarray, g: np.ndarray, c: np.ndarray | None, lo: np.ndarr
     cut = [(a, b) for a, b in zip(at.tolist(), ends)]
     return pa.RecordBatch.from_arrays([
         pa.array(bucket[at], type=pa.int32()),
-        pa.array([g[a:b].tobytes() for a, b in cut], type=pa.binary()),
-        pa.array([h[a:b].tobytes() for a, b in cut], type=pa.binary()),
+        pa.array([_packed(g[a:b]) for a, b in cut], type=pa.binary()),
+        pa.array([_packed(h[a:b]) for a, b in cut], type=pa.binary()),
         pa.array([b"" if c is None else c[a:b].tobytes() for a, b in cut], type=pa.binary()),
-        pa.array([b"" if lo is None else lo[a:b].tobytes() for a, b in cut], type=pa.binary()),
+        pa.array([b"" if lo is None else _packed(lo[a:b]) for a, b in cut], type=pa.binary()),
     ], schema=_SENT)
 
 
-def _to_groups(h: np.ndarray, g: np.ndarray, c: np.ndarray | None = None) -> pa.Table:
+def _to_groups(h: np.ndarray, g: np.ndarray) -> pa.Table:
     """One row for each group with its hashes packed."""
     order = np.argsort(g, kind="stable")
     h, g = h[order], g[order]
-    c = np.zeros(0, dtype=np.uint32) if c is None else c[order]
     at = np.nonzero(first_in_groups(g))[0] if len(g) else np.zeros(0, dtype=np.int64)
     cut = list(zip(at.tolist(), [*at[1:].tolist(), len(g)]))
     return pa.table([pa.array(g[at], type=pa.int32()),
-                     pa.array([h[a:b].tobytes() for a, b in cut], type=pa.binary()),
-                     pa.array([c[a:b].tobytes() for a, b in cut], type=pa.binary())], schema=_BACK)
+                     pa.array([_packed(h[a:b]) for a, b in cut], type=pa.binary())], schema=_BACK)
 
 
 def chosen_seeds(words: Words, seed: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -141,22 +151,6 @@ def _member(x: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
 
 
-def member_pairs(h: np.ndarray, c: np.ndarray, known_h: np.ndarray, known_c: np.ndarray) -> np.ndarray:
-    """Which pairs ``h, c`` are among the known ones, in any order."""
-    found = np.zeros(len(h), dtype=bool)
-    order = np.argsort(known_h, kind="stable")
-    known_h, known_c = known_h[order], known_c[order]
-    left = np.arange(len(h))
-    at = np.searchsorted(known_h, h)
-    while len(left):  # one round, and one more for each further pair with the same ``h``
-        same = at < len(known_h)
-        same[same] = known_h[at[same]] == h[left[same]]
-        left, at = left[same], at[same]
-        found[left] |= known_c[at] == c[left]
-        at = at + 1
-    return found
-
-
 def smallest_holder(h: np.ndarray, c: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The order of the windows by hashes and holder, the first place of each window in
     it, and for each place the smallest holder of its window."""
@@ -258,10 +252,10 @@ def window_level(docs: DataFrame, found: DataFrame, shorter: int | None, length:
     def back(table: pa.Table) -> pa.Table:
         h, g, lo = _cat(table["h"], np.uint64), _cat(table["g"], np.int32), _cat(table["lo"], np.int64)
         if last:  # rows of one id may lie in several groups
-            c = _cat(table["c"], np.uint32)
+            c = np.frombuffer(b"".join(table["c"].to_pylist()), dtype=np.uint32)
             order, _, smallest = smallest_holder(h, c, lo)
             later = order[lo[order] > smallest]
-            return _to_groups(h[later], g[later], c[later])
+            return _to_groups(h[later], g[later])
         order = np.lexsort((lo, h))
         h, g, lo = h[order], g[order], lo[order]
         at = np.nonzero(first_in_groups(h))[0]
@@ -273,9 +267,9 @@ def window_level(docs: DataFrame, found: DataFrame, shorter: int | None, length:
             .groupBy("bucket").applyInArrow(back, _BACK_SQL))
 
 
-def covered(words: Words, ids: np.ndarray, elsewhere: tuple[np.ndarray, np.ndarray], length: int) -> np.ndarray:
+def covered(words: Words, ids: np.ndarray, elsewhere: np.ndarray, length: int) -> np.ndarray:
     """Marks the words that a removed window covers: one that an earlier document
-    holds, in another group (``elsewhere``, both hashes) or in this one."""
+    holds, in another group (``elsewhere``, sorted) or in this one."""
     h, whole = window_hashes(words.hash, words.first, length)
     hit = np.zeros(len(words.hash) + 1, dtype=np.int32)
     start = np.nonzero(whole)[0]
@@ -285,7 +279,7 @@ def covered(words: Words, ids: np.ndarray, elsewhere: tuple[np.ndarray, np.ndarr
         order, _, smallest = smallest_holder(h, c, doc)
         gone = np.empty(len(h), dtype=bool)
         gone[order] = doc[order] > smallest
-        gone |= member_pairs(h, c, *elsewhere)
+        gone |= _member(h, elsewhere)
         np.add.at(hit, start[gone], 1)
         np.add.at(hit, start[gone] + length, -1)
     return np.cumsum(hit[:-1]) > 0
@@ -333,8 +327,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     def keep(left: pa.Table, right: pa.Table) -> pa.Table:
         texts, found = left["text"].to_pylist(), left["doc_id"].to_pylist()
         words = Words(texts)
-        elsewhere = _cat(right["h"], np.uint64), _cat(right["c"], np.uint32)
-        gone = covered(words, np.array(found, dtype=np.int64), elsewhere, window)
+        gone = covered(words, np.array(found, dtype=np.int64), np.sort(_cat(right["h"], np.uint64)), window)
         first = words.first.tolist()
         lost = np.concatenate([[0], np.cumsum(gone)])
         n_removed = (lost[words.first[1:]] - lost[words.first[:-1]]).tolist()

@@ -7,6 +7,7 @@ import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_tables import SCHEMA, as_docs, make_words, no_docs, odd, odd_docs  # noqa: F401 - fixtures
 from pyspark.sql import functions as F
@@ -189,19 +190,18 @@ def test_windows_with_one_hash_are_told_apart(monkeypatch):
     checks = second(w, 5)
     monkeypatch.setattr(substring_dedup, "window_hashes", weak)
     monkeypatch.setattr(substring_dedup, "window_checks", lambda words, length: checks)
-    none = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint32)
-    gone = substring_dedup.covered(w, np.arange(80), none, 5)
+    gone = substring_dedup.covered(w, np.arange(80), np.zeros(0, dtype=np.uint64), 5)
     lost = [int(gone[a:b].sum()) for a, b in zip(w.first[:-1], w.first[1:])]
     assert lost == [n for _, _, n, _ in brute.remove_repeats(rows, 5)] and sum(lost)
 
 
-def test_member_pairs():
+def test_packed_numbers_come_back():
     rng = np.random.default_rng(5)
-    for known, asked in [(0, 9), (9, 0), (40, 300), (300, 40)]:
-        h, c = rng.integers(0, 9, asked).astype(np.uint64), rng.integers(0, 9, asked).astype(np.uint32)
-        kh, kc = rng.integers(0, 9, known).astype(np.uint64), rng.integers(0, 9, known).astype(np.uint32)
-        pairs = set(zip(kh.tolist(), kc.tolist()))
-        assert substring_dedup.member_pairs(h, c, kh, kc).tolist() == [x in pairs for x in zip(h.tolist(), c.tolist())]
+    for dtype in (np.uint64, np.int64, np.int32):
+        parts = [rng.integers(0, 2**31, n).astype(dtype) for n in (0, 1, 5, 300)]
+        column = pa.chunked_array([pa.array([substring_dedup._packed(x) for x in parts], type=pa.binary())])
+        assert substring_dedup._cat(column, dtype).tolist() == np.concatenate(parts).tolist()
+    assert not len(substring_dedup._cat(pa.chunked_array([], type=pa.binary()), np.int64))
 
 
 # -- piecewise hashing ------------------------------------------------------------
