@@ -171,8 +171,11 @@ def merkle_proofs(docs: DataFrame, fields: tuple[str, ...] = ("doc_id", "source"
     n_bytes = scanned_bytes(docs.select(*fields)) // 8
     rows = stored(rows, "merkle-leaves", n_bytes)
     carried = [F.col(f"carry_{name}").alias(name) for name in (carry or {})]
-    nodes = rows.select("key", "hash", "id", F.struct("id", F.col("hash").alias("leaf"), *carried).alias("item"))
-    found = _tree(nodes, ["id", "hash"], "merkle-order", n_bytes, _groups_tree)
+    # equal leaves are ordered by their place in the written table, so that many of them
+    # are dealt to many range partitions
+    nodes = rows.select("key", "hash", "id", F.monotonically_increasing_id().alias("place"),
+                        F.struct("id", F.col("hash").alias("leaf"), *carried).alias("item"))
+    found = _tree(nodes, ["id", "hash", "place"], "merkle-order", n_bytes, _groups_tree)
     return found.select("item.*", "subroot", "root", "path")
 
 

@@ -38,6 +38,7 @@ _WIDTH = 16       # ranges refined at either end of what is open for a cut
 _ROUND = 1_250    # ranges refined by one job, unless one capacity alone opens more
 _MOST = 100_000   # ranges at which finer ones are forgotten
 _SLOT_ROWS = 200_000  # rows numbered by one task, about
+_EQUAL_ROWS = 4096      # equal rows numbered together
 
 
 class _Summary:
@@ -210,8 +211,11 @@ def minimax_shards(docs: DataFrame, n_shards: int, overhead: int = 16, id_col: s
         F.crc32(data).alias("text_crc32"), F.sha2(data, 256).alias("sha"))
     # a row of 90 bytes for each document: no more than a tenth of the text
     n_bytes = scanned_bytes(docs.select(text_col)) // 10
-    rows = stored(rows, "sized", n_bytes)
-    groups = stored(rows.groupBy("sha").agg(F.sum("size").alias("size"), F.count("*").alias("n")), "groups", n_bytes)
+    # rows that agree in id and text are one row with their number
+    rows = stored(rows.groupBy("doc_id", "sha").agg(
+        F.first("size").alias("size"), F.first("text_crc32").alias("text_crc32"), F.count("*").alias("n")), "sized", n_bytes)
+    groups = stored(rows.groupBy("sha").agg(F.sum(F.col("size") * F.col("n")).alias("size"), F.sum("n").alias("n")),
+                    "groups", n_bytes)
 
     whole = groups.agg(F.sum("size"), F.sum("n")).first()
     total, n_rows = whole[0] or 0, whole[1] or 0
@@ -231,20 +235,24 @@ def minimax_shards(docs: DataFrame, n_shards: int, overhead: int = 16, id_col: s
     for k, sha in enumerate(alone):
         shard = F.when(F.col("sha") == sha, F.lit(n_shards - 1 - k)).otherwise(shard)
 
-    # slots: rows are dealt to cells within their shard by a hash of the row, so a
-    # group of a third of all rows is numbered by many tasks
+    # slots: rows, and parts of many equal ones, are dealt to cells within their shard by
+    # a hash, so a group of a third of all rows is numbered by many tasks
     cells = max(1, -(-n_rows // (_SLOT_ROWS * n_shards)), 8 if n_rows > 20_000 else 1)
-    placed = rows.select("doc_id", "size", "text_crc32", F.col("sha").alias("text_sha256"),
-                         shard.cast("int").alias("shard"),
-                         F.pmod(F.xxhash64("doc_id", "sha"), F.lit(cells)).cast("int").alias("cell"))
-    counts = placed.groupBy("shard", "cell").agg(F.count("*").alias("n"))
+    parts = rows.select("*", F.explode(F.expr(f"sequence(0L, (n - 1) div {_EQUAL_ROWS})")).alias("part"))
+    placed = parts.select("doc_id", "size", "text_crc32", F.col("sha").alias("text_sha256"), "part",
+                          F.least(F.lit(_EQUAL_ROWS), F.col("n") - F.col("part") * _EQUAL_ROWS).alias("n"),
+                          shard.cast("int").alias("shard"),
+                          F.pmod(F.xxhash64("doc_id", "sha", "part"), F.lit(cells)).cast("int").alias("cell"))
+    counts = placed.groupBy("shard", "cell").agg(F.sum("n").alias("n"))
     before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     starts_at = counts.select("shard", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy("shard", "cell").orderBy("doc_id", "text_sha256")
-    numbered = placed.withColumn("k", F.row_number().over(within))
+    within = (Window.partitionBy("shard", "cell").orderBy("doc_id", "text_sha256", "part")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    numbered = placed.withColumn("k", F.coalesce(F.sum("n").over(within), F.lit(0)))
+    first = F.col("base") + F.col("k")
     return (numbered.join(starts_at, ["shard", "cell"])
             .select("doc_id", "size", "text_crc32", "text_sha256", "shard",
-                    (F.col("base") + F.col("k") - 1).cast("long").alias("slot")))
+                    F.explode(F.sequence(first, first + F.col("n") - 1)).alias("slot")))
 
 
 __all__ = ["minimax_cuts", "minimax_shards"]

@@ -83,6 +83,15 @@ def test_smallest_capacity(spark, n, shards):
     assert len(sums) <= shards and max(sums) <= capacity
 
 
+def test_equal_rows_are_numbered_in_parts(spark, odd, monkeypatch):
+    monkeypatch.setattr(sharding, "_EQUAL_ROWS", 16)
+    rows = odd + [(None, None)] * 50 + [(4, odd[3][1])] * 33 + [(4, "")] * 16 + [(i, "") for i in range(40)]
+    found = sharding.minimax_shards(as_docs(spark, rows), 6).collect()
+    check_shards(found, rows, 6)
+    size = lambda t: len((t or "").encode("utf-8", "surrogatepass")) + 16
+    same([(r["doc_id"], r["size"]) for r in found], [(i, size(t)) for i, t in rows])
+
+
 def test_huge_group_has_its_own_shard(spark):
     rows = [(i, "same text " * 50) for i in range(300)] + [(1000 + i, f"text {i} " * 9) for i in range(600)]
     found = sharding.minimax_shards(as_docs(spark, rows), 10).collect()
