@@ -14,7 +14,9 @@ signature is too short to tell.
 
 The next document is found without a global sort of the table on one task: the order
 is cut at quantiles of a bounded sample, each range sees its own rows in order plus the
-first row of the following range.
+first row of the following range.  Rows that agree in id and text are reduced to one with
+their number first: the last copy is followed by the next row, all others by a copy, so
+two rows stand for them, and the results are multiplied at the end.
 
 Defined cases: a null text is the empty text (fingerprint ``3::``, alike to an
 empty text only); equal ids are ordered by a hash of their text; null ids come first; the last
@@ -32,7 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import id_and_text, mix64, record_batch, slices
+from fleetlake.llm.common import id_and_text, mix64, record_batch, slices, stored
+from fleetlake.llm.copies import measured, multiplied, reduced
 
 WINDOW = 7
 #: rows of the sample that bounds a range, about
@@ -176,9 +179,10 @@ def order_key(ids, hashes) -> np.ndarray:
 
 
 def with_next(docs: DataFrame, ranges: int) -> DataFrame:
-    """Rows ``part, last, doc_id, text`` to be read in this order within a part: the
-    part's rows by id, at its end (``last`` > 0) the first row of what follows."""
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    """Rows ``part, last`` and those of ``docs`` (doc_id, text, others) with ``h`` to be
+    read in the order of part, last, id and ``h``: the part's rows by id, at its end
+    (``last`` > 0) the first row of what follows."""
+    rows = docs.select("*", F.xxhash64("text").alias("h"))
     # bounds are places in the whole order, so rows of one id, or without one, are split
     # as others are; they come from a sample of at most about SAMPLED rows a range
     keys = rows.select("doc_id", "h")
@@ -201,13 +205,13 @@ def with_next(docs: DataFrame, ranges: int) -> DataFrame:
     for k, r in enumerate(firsts):  # the part before this one, the last part for the first
         heads.append((firsts[k - 1]["part"], r["doc_id"], r["h"]))
     if not heads:
-        return rows.select("part", F.lit(0).alias("last"), "doc_id", "text", "h")
+        return rows.select("part", F.lit(0).alias("last"), *docs.columns, "h")
     spark = docs.sparkSession
     head = spark.createDataFrame(heads, "to int, head_id long, head_h long")
     extra = (rows.join(F.broadcast(head), F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("h") == F.col("head_h")))
-             .groupBy("to").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
-             .select(F.col("to").alias("part"), F.lit(1).alias("last"), "doc_id", "text", F.lit(0).cast("long").alias("h")))
-    return rows.select("part", F.lit(0).alias("last"), "doc_id", "text", "h").unionByName(extra)
+             .groupBy("to").agg(*[F.first(c).alias(c) for c in docs.columns])
+             .select(F.col("to").alias("part"), F.lit(1).alias("last"), *docs.columns, F.lit(0).cast("long").alias("h")))
+    return rows.select("part", F.lit(0).alias("last"), *docs.columns, "h").unionByName(extra)
 
 
 def edited(text: str, following: str) -> str:
@@ -221,40 +225,49 @@ def piecewise_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     near_edited, near_next`` of every row and the row that follows it by id."""
     spark = docs.sparkSession
     ranges = min(10_000, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    rows = (with_next(id_and_text(docs, id_col, text_col), ranges)
+    rows = id_and_text(docs, id_col, text_col)
+    total, repeated = measured(rows)
+    if repeated:
+        rows = stored(reduced(rows), "rows", total)
+        rows = rows.withColumn("n", F.explode(F.expr("if(n > 1, array(n - 1, 1L), array(n))")))
+    else:
+        rows = rows.withColumn("n", F.lit(1).cast("long"))
+    rows = (with_next(rows, ranges)
             .repartitionByRange(ranges, "part").sortWithinPartitions("part", "last", "doc_id", "h"))
     schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
                         ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
-                        ("near_edited", pa.float64()), ("near_next", pa.float64())])
+                        ("near_edited", pa.float64()), ("near_next", pa.float64()), ("n", pa.int64())])
 
-    def digest(ids: list, texts: list, prints: list) -> pa.RecordBatch:
+    def digest(ids: list, ns: list, texts: list, prints: list) -> pa.RecordBatch:
         """Rows of all but the last text, each with the one after it."""
         changed = [edited(a, b).encode("utf-8", "surrogatepass") for a, b in zip(texts, texts[1:])]
         own, after = prints[:-1], [fingerprint(c) for c in changed]
         return record_batch(schema, ids[:-1], [len(t) for t in texts[:-1]],
                             [hashlib.sha256(c).hexdigest() for c in changed], own, after,
-                            likeness(own, after), likeness(own, prints[1:]))
+                            likeness(own, after), likeness(own, prints[1:]), ns[:-1])
 
     def run(batches):
-        held = None  # the last row seen: part, id, text, fingerprint
-        for parts, lasts, ids, texts in slices(batches, ("part", "last", "doc_id", "text")):
+        held = None  # the last row seen: part, id, number, text, fingerprint
+        for parts, lasts, ids, ns, texts in slices(batches, ("part", "last", "doc_id", "n", "text")):
             prints = [fingerprint(t.encode("utf-8", "surrogatepass")) for t in texts]
             if held is not None:
                 parts, lasts = [held[0], *parts], [0, *lasts]
-                ids, texts, prints = [held[1], *ids], [held[2], *texts], [held[3], *prints]
+                ids, ns = [held[1], *ids], [held[2], *ns]
+                texts, prints = [held[3], *texts], [held[4], *prints]
             held, at = None, 0
             for i, last in enumerate(lasts):
                 if last:
-                    yield digest(ids[at:i + 1], texts[at:i + 1], prints[at:i + 1])
+                    yield digest(ids[at:i + 1], ns[at:i + 1], texts[at:i + 1], prints[at:i + 1])
                     at = i + 1
             if at < len(ids):
                 if len(ids) - at > 1:
-                    yield digest(ids[at:], texts[at:], prints[at:])
-                held = (parts[-1], ids[-1], texts[-1], prints[-1])
+                    yield digest(ids[at:], ns[at:], texts[at:], prints[at:])
+                held = (parts[-1], ids[-1], ns[-1], texts[-1], prints[-1])
 
-    return rows.select("part", "last", "doc_id", "text").mapInArrow(
+    done = rows.select("part", "last", "doc_id", "n", "text").mapInArrow(
         run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
-             "edited_fingerprint string, near_edited double, near_next double")
+             "edited_fingerprint string, near_edited double, near_next double, n long")
+    return multiplied(done, "doc_id", "edited_sha256") if repeated else done.drop("n")
 
 
 __all__ = ["distances", "edited", "fingerprint", "likeness", "piecewise_fingerprints"]

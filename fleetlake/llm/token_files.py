@@ -16,7 +16,7 @@ depend on a library's Unicode version, or with a special token's text, are encod
 
 Defined cases: a null text is the empty text and holds the end id alone; null ids come
 first; equal ids are ordered by a hash of their text; equal rows are documents of their
-own; an empty table gives no file and an empty result; further columns are left out.
+own, dealt to tasks in shares of ``COPIES`` that are encoded once each; an empty table gives no file and an empty result; further columns are left out.
 """
 
 from __future__ import annotations
@@ -36,12 +36,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetlake.llm.common import id_and_text, record_batch, scanned_bytes, slices, stored
+from fleetlake.llm.copies import in_parts, measured, reduced
 from fleetlake.llm.elias_fano import EliasFano
 from fleetlake.llm.ranges import range_count
 
 FILE_IDS = 64 << 20    # bytes of ids in a file, unless one document has more
 FILE_DOCS = 1 << 18    # documents in a file
 READ_IDS = 1 << 20     # ids read at once, or one longer document
+COPIES = 4             # equal rows encoded once and written together: no range gets more than so many times its share
 PIECES = 400_000       # pieces a worker remembers
 LONG_TEXT = 1 << 20    # characters from which pieces are taken in portions
 
@@ -224,23 +226,30 @@ def write_token_files(docs: DataFrame, root: str, tokenizer_path: str, end_id: i
 
     Each document's ids are followed by ``end_id``.  ``root`` is a folder in any store
     that pyarrow opens at the workers and Spark at the driver."""
-    rows = id_and_text(docs, id_col, text_col).withColumn("tie", F.xxhash64("text"))
-    order = [F.col("doc_id").asc_nulls_first(), "tie"]
+    rows = id_and_text(docs, id_col, text_col)
+    _, repeated = measured(rows)
+    if repeated:
+        rows = in_parts(reduced(rows), COPIES)
+    else:
+        rows = rows.withColumns({"n": F.lit(1).cast("long"), "part": F.lit(0).cast("long")})
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    order = [F.col("doc_id").asc_nulls_first(), "tie", "part"]
     n = range_count(rows, 2 * scanned_bytes(docs.select(id_col, text_col)))
     rows = (rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
-            .select(F.spark_partition_id().alias("pid"), "doc_id", "text"))
+            .select(F.spark_partition_id().alias("pid"), "doc_id", "n", "text"))
 
     def write(batches):
         tool, out, done, files = encoder(tokenizer_path), None, [], 0
         end = np.array([end_id], dtype=tool.kind).tobytes()
-        for pids, ids, texts in slices(batches, ("pid", "doc_id", "text")):
-            for pid, doc_id, tokens in zip(pids, ids, tool.encode(texts)):
-                if out is None:
-                    out, files = _Writer(root, pid, files, tool.kind), files + 1
-                out.add(doc_id, tokens + end)
-                if out.full():
-                    done.append(out.close())
-                    out = None
+        for pids, ids, copies, texts in slices(batches, ("pid", "doc_id", "n", "text")):
+            for pid, doc_id, n_copies, tokens in zip(pids, ids, copies, tool.encode(texts)):
+                for _ in range(n_copies):
+                    if out is None:
+                        out, files = _Writer(root, pid, files, tool.kind), files + 1
+                    out.add(doc_id, tokens + end)
+                    if out.full():
+                        done.append(out.close())
+                        out = None
         if out is not None:
             done.append(out.close())
         if done:

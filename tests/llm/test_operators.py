@@ -13,7 +13,7 @@ from llm_tables import SCHEMA, as_docs, make_words, no_docs, odd, odd_docs  # no
 from pyspark.sql import functions as F
 
 from fleetlake.llm import (
-    bpe, decontaminate, kneser_ney, language_id, line_dedup, piecewise, sharding, simhash,
+    bpe, copies, decontaminate, kneser_ney, language_id, line_dedup, piecewise, sharding, simhash,
     substring_dedup, toxicity,
 )
 from fleetlake.llm.common import crc_bucket
@@ -640,6 +640,45 @@ def test_piecewise_on_one_id(spark):
     assert len(sizes) >= 12 and max(sizes) < 200
 
 
+def test_piecewise_on_one_row(spark):
+    """A third of the rows are one row and as many the same without an id: all copies but
+    the last are followed by a copy, and no range gets them all."""
+    rng = random.Random(31)
+    hot = "hot row " + " ".join(make_words(rng, 60))
+    rows = [(7 if i % 3 == 0 else None, hot) if i % 3 < 2 else (100 + i // 6, f"row {i // 2}") for i in range(1200)]
+    found = piecewise.piecewise_fingerprints(as_docs(spark, rows)).collect()
+    hashes = {r["text"]: r["h"] for r in as_docs(spark, rows).select("text", F.xxhash64("text").alias("h")).collect()}
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, hashes[r[1]]))
+    want = []
+    for k, (i, text) in enumerate(rows):
+        after, half = rows[(k + 1) % len(rows)][1], len(text) // 2
+        near = piecewise.likeness([brute.ctph(text.encode())], [brute.ctph(after.encode())])[0]
+        want.append((i, hashlib.sha256((text[:len(text) - half] + after[:half]).encode()).hexdigest(), near))
+    same([(r["doc_id"], r["edited_sha256"], r["near_next"]) for r in found], want)
+
+
+@pytest.mark.parametrize("n", [1, 2, 5])
+def test_piecewise_single_row(spark, n):
+    """One row, or copies of one row, follow themselves."""
+    found = piecewise.piecewise_fingerprints(as_docs(spark, [(3, "abcdefg")] * n)).collect()
+    want = hashlib.sha256(b"abcd" + b"abc").hexdigest()
+    assert [(r["doc_id"], r["n_chars"], r["edited_sha256"], r["near_next"]) for r in found] == [(3, 7, want, 1.0)] * n
+
+
+def test_copies(spark):
+    """Equal rows are found, reduced, dealt in shares and multiplied again."""
+    rows = [(1, "a")] * 9000 + [(None, "a")] * 3 + [(1, ""), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert copies.measured(docs) == (sum(len(t) + 1 for _, t in rows), True)
+    assert copies.measured(docs.distinct())[1] is False
+    assert copies.measured(docs.filter("false")) == (0, False)
+    shares = copies.in_parts(copies.reduced(docs), 16).collect()
+    assert max(r["n"] for r in shares) == 16 and min(r["n"] for r in shares) == 1
+    assert sum(r["n"] for r in shares) == len(rows) and len(shares) == -(-9000 // 16) + 3
+    back = copies.multiplied(copies.reduced(docs), "doc_id", "text")
+    same(back.collect(), rows)
+
+
 def test_order_key():
     rng = random.Random(24)
     ids = [None, None, -2**63, 2**63 - 1, -1, 0, 1] + [rng.randint(-2**63, 2**63 - 1) for _ in range(60)]

@@ -117,6 +117,17 @@ def test_small_files(spark, library, tmp_path, monkeypatch):
     assert one.ids(0, one.n_ids)[bounds[1:] - 1].tolist() == [2] * one.n_docs  # every document ends with the end id
 
 
+def test_equal_rows(spark, library, tmp_path):
+    """A third of the rows are one row and as many the same without an id: their ids lie
+    in order, and they are dealt to many tasks."""
+    rng = random.Random(6)
+    rows = [(7 if i % 3 == 0 else None, "a row of many copies") if i % 3 < 2 else (rng.randint(0, 14), f"text {i}")
+            for i in range(3000)]
+    manifest = check(as_docs(spark, rows), rows, str(tmp_path / "copies"), library, spark)
+    sizes = [r["n_docs"] for r in manifest.collect()]
+    assert sum(sizes) == 3000 and len(sizes) >= 12 and max(sizes) < 500
+
+
 def test_writer_rolls_over(tmp_path, monkeypatch, library):
     monkeypatch.setattr(token_files, "FILE_DOCS", 3)
     made, out = [], None
