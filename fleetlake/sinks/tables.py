@@ -6,7 +6,9 @@
   write tasks from measured shuffle sizes and splits a partition value that
   holds a large share of the rows over several tasks, so one hot reactor does
   not become one straggler task or one huge file, while each task still
-  writes few partition folders.
+  writes few partition folders.  The table is created empty and filled after
+  that: Spark then adds the partitions that were written, where a table made
+  and filled in one step lists every folder anew.
 * ``overwrite_clustered``: partition folders only on low-cardinality columns
   (``year``), rows range-partitioned and sorted by the cluster columns
   (``reactor_id, date_time``) inside each folder.  File count follows data
@@ -51,12 +53,13 @@ def overwrite_table(df: DataFrame, name: str, settings: Settings = Settings(),
 def overwrite_partitioned(df: DataFrame, name: str, partition_cols, settings: Settings = Settings(),
                           path: str | None = None) -> None:
     cols = list(partition_cols)
-    balanced = df.hint("rebalance", *cols)
-    w = balanced.write.format(settings.table_format).mode("overwrite").partitionBy(*cols)
+    w = df.limit(0).write.format(settings.table_format).mode("overwrite").partitionBy(*cols)
     path = path or settings.location(name)
     if path:
         w = w.option("path", path)
     w.saveAsTable(name)
+    balanced = df.hint("rebalance", *cols).select(*df.sparkSession.table(name).columns)
+    balanced.write.insertInto(name)
 
 
 def overwrite_clustered(df: DataFrame, name: str, partition_cols=("year",),

@@ -27,6 +27,26 @@ def test_reference_layout_partition_folders(spark):
     assert sorted(back.columns) == sorted(df.columns)
 
 
+def test_written_folders_are_not_listed_anew(spark):
+    root = tempfile.mkdtemp(prefix="fleetlake-sink-")
+    create_database(spark, "t_sink")
+    df = spark.range(400).selectExpr("CAST(nullif(id % 200, 0) AS INT) AS reactor_id", "CAST(id AS INT) AS power_available", "2015 AS year")
+    sc = spark.sparkContext
+    sc.setJobGroup("t_sink_many", "")
+    try:
+        overwrite_partitioned(df, "t_sink.many", ("year", "reactor_id"), path=f"{root}/many")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    status = sc.statusTracker()
+    stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup("t_sink_many") for s in status.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages) < 200  # a listing has a task for each of the 200 folders
+    assert len([d for d in os.listdir(f"{root}/many/year=2015") if d.startswith("reactor_id=")]) == 200
+    back = spark.table("t_sink.many").select(*df.columns)
+    assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+    overwrite_partitioned(df.filter("reactor_id = 3"), "t_sink.many", ("year", "reactor_id"), path=f"{root}/many")
+    assert os.listdir(f"{root}/many/year=2015") == ["reactor_id=3"] and spark.table("t_sink.many").count() == 2
+
+
 def test_clustered_layout_round_trip(spark):
     root = tempfile.mkdtemp(prefix="fleetlake-sink-")
     create_database(spark, "t_sink")
