@@ -115,6 +115,12 @@ def downtime_pivot(fc: DataFrame, types=(PLANNED, FORCED)) -> DataFrame:
     return fc.filter(F.col("is_unavailable")).groupBy("year").agg(*columns, other, F.sum(lost).cast("bigint").alias("total"))
 
 
+def plant_folders(fact: DataFrame, reactors: DataFrame, plant_id: int) -> DataFrame:
+    """Years and reactors of one plant that have rows in the fact: the folders of its slice."""
+    chosen = reactors.filter(F.col("plant_id") == plant_id).select("reactor_id")
+    return fact.join(chosen, "reactor_id", "left_semi").select("year", "reactor_id").distinct()
+
+
 def plant_slice(fact: DataFrame, reactors: DataFrame, plant_id: int) -> DataFrame:
     """BI11 over the fact as the reference stores it, in folders by year and reactor: the
     reactors of one plant choose the folders at run time (dynamic partition pruning)."""

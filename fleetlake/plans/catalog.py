@@ -26,7 +26,7 @@ from fleetlake.plans.star import Star, gold
 from fleetlake.schemas import FACT_COLUMNS, READINGS_CSV
 from fleetlake.settings import Settings
 from fleetlake.session import scratch_database, scratch_path
-from fleetlake.sinks.tables import create_database, drop_tables, overwrite_table, use_database, write_fact
+from fleetlake.sinks.tables import create_database, drop_tables, overwrite_table, read_folders, use_database, write_fact
 from fleetlake.sources import fixtures
 from fleetlake.sources.csv import read_csv, write_csv
 from fleetlake.sources.tables import file_inventory
@@ -670,8 +670,10 @@ PLANT_SLICED = 3
 FROM fact f JOIN dim_reactor d ON d.reactor_id = f.reactor_id WHERE d.plant_id = {PLANT_SLICED}
 GROUP BY f.reactor_id, d.reactor, f.year"""))
 def q_plant_slice_by_reactor_folders(spark, sf):
-    """One plant's reactors in the (year, reactor_id) layout: only their folders are read (IO7, BI11)."""
-    return analytics.plant_slice(spark.table(stored_by_reactor(spark, sf)), _gold(spark, sf, "dim_reactor"), PLANT_SLICED)
+    """One plant's reactors in the (year, reactor_id) layout: only their folders are listed and read (IO7, BI11)."""
+    stored, reactors = stored_by_reactor(spark, sf), _gold(spark, sf, "dim_reactor")
+    folders = analytics.plant_folders(_gold(spark, sf, "fact_availability"), reactors, PLANT_SLICED)
+    return analytics.plant_slice(read_folders(spark, stored, folders), reactors, PLANT_SLICED)
 
 
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:

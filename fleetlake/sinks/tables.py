@@ -7,8 +7,12 @@
   holds a large share of the rows over several tasks, so one hot reactor does
   not become one straggler task or one huge file, while each task still
   writes few partition folders.  The table is created empty and filled after
-  that: Spark then adds the partitions that were written, where a table made
-  and filled in one step lists every folder anew.
+  that: a table made and filled in one step lists every folder anew.  A
+  metastore is told the partitions that were written; the in-memory catalog
+  would keep each in the driver, so there the table's readers list the folders.
+* ``read_folders``: the rows of chosen partition folders.  Only these are
+  listed, where a table without static filters has all of them, with their
+  files, listed into the driver.
 * ``overwrite_clustered``: partition folders only on low-cardinality columns
   (``year``), rows range-partitioned and sorted by the cluster columns
   (``reactor_id, date_time``) inside each folder.  File count follows data
@@ -21,10 +25,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetlake.settings import Settings
 
+TRACKED = "spark.sql.hive.manageFilesourcePartitions"  # of tables made while it is true the catalog keeps the partitions
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
@@ -53,13 +61,49 @@ def overwrite_table(df: DataFrame, name: str, settings: Settings = Settings(),
 def overwrite_partitioned(df: DataFrame, name: str, partition_cols, settings: Settings = Settings(),
                           path: str | None = None) -> None:
     cols = list(partition_cols)
+    spark = df.sparkSession
     w = df.limit(0).write.format(settings.table_format).mode("overwrite").partitionBy(*cols)
     path = path or settings.location(name)
     if path:
         w = w.option("path", path)
-    w.saveAsTable(name)
-    balanced = df.hint("rebalance", *cols).select(*df.sparkSession.table(name).columns)
-    balanced.write.insertInto(name)
+    balanced = df.hint("rebalance", *cols)
+    if spark.conf.get("spark.sql.catalogImplementation") == "hive":
+        w.saveAsTable(name)
+        balanced.select(*spark.table(name).columns).write.insertInto(name)
+        return
+    tracked = spark.conf.get(TRACKED)
+    spark.conf.set(TRACKED, "false")
+    try:
+        w.saveAsTable(name)
+    finally:
+        spark.conf.set(TRACKED, tracked)
+    balanced.write.format(settings.table_format).mode("append").partitionBy(*cols).save(table_path(spark, name))
+
+
+def table_path(spark: SparkSession, name: str) -> str:
+    """The folder of a table, from the catalog alone."""
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    section = next(i for i, r in enumerate(about) if r["col_name"] == "# Detailed Table Information")
+    return next(r["data_type"] for r in about[section:] if r["col_name"] == "Location")
+
+
+def read_folders(spark: SparkSession, name: str, folders: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Rows of a partitioned table in some of its folders: one row of ``folders`` has the
+    values of all partition columns, which are integers, of one folder that exists."""
+    columns = spark.catalog.listColumns(name)
+    parts = [c for c in columns if c.isPartition]
+    if sorted(c.name for c in parts) != sorted(folders.columns):
+        raise ValueError(f"{name} has folders by {[c.name for c in parts]}, not by {folders.columns}")
+    if other := [c.name for c in parts if c.dataType not in INTEGERS]:
+        raise ValueError(f"folders are chosen by integers; {name} has {other}")
+    schema = ", ".join(f"`{c.name}` {c.dataType}" for c in columns)
+    root = table_path(spark, name)
+    # names only, and of the chosen folders only
+    level = [F.concat(F.lit(f"{c.name}="), F.coalesce(F.col(c.name).cast("string"), F.lit(NO_VALUE))) for c in parts]
+    paths = [f"{root}/{r[0]}" for r in folders.distinct().select(F.concat_ws("/", *level)).toLocalIterator()]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.format(settings.table_format).schema(schema).option("basePath", root).load(paths)
 
 
 def overwrite_clustered(df: DataFrame, name: str, partition_cols=("year",),

@@ -62,6 +62,36 @@ def test_only_the_plants_folders_are_read(spark):
     assert {r["reactor_id"] for r in df.collect()} <= mine
 
 
+def small_tables(spark, root, reactors):
+    """Tables of one customer, part and view event for each reactor, on 5 plants."""
+    ids = spark.range(reactors)
+    spark.range(5).selectExpr("CAST(id AS INT) AS n_nationkey", "concat('NATION_', id) AS n_name", "0 AS n_regionkey").write.parquet(f"{root}/nation.parquet")
+    ids.selectExpr("id AS c_custkey", "concat('Customer#', id) AS c_name", "CAST(id % 5 AS INT) AS c_nationkey",
+                   "CAST(0 AS DOUBLE) AS c_acctbal", "'BUILDING' AS c_mktsegment").write.parquet(f"{root}/customer.parquet")
+    ids.selectExpr("id AS p_partkey", "'p' AS p_name", "'b' AS p_brand", "'t' AS p_type", "1 AS p_size",
+                   "CAST(0 AS DOUBLE) AS p_retailprice").write.parquet(f"{root}/part.parquet")
+    ids.selectExpr("id AS event_id", "TIMESTAMP_NTZ'2024-01-01 01:00:00' AS ts", "id AS user_id", "'view' AS event_type",
+                   "CAST(20 + id AS DOUBLE) AS value", "'' AS props").write.parquet(f"{root}/events.parquet")
+
+
+def test_slice_lists_only_the_plants_folders(spark, tmp_path):
+    small_tables(spark, tmp_path, 300)
+    sf = f"file://{tmp_path}"
+    gold(spark, sf)
+    sc = spark.sparkContext
+    sc.setJobGroup("t_slice_folders", "")
+    try:
+        found = catalog.QUERIES["plant_slice_by_reactor_folders"](spark, sf).collect()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    status = sc.statusTracker()
+    stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup("t_slice_folders") for s in status.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) < 100  # 60 of the 300 folders are the plant's; a listing has a task for each
+    # the third plant by name
+    assert {(r["reactor"], r["year"], r["n_readings"], r["total_power"], r["n_unavailable"]) for r in found} == \
+        {(f"Customer#{i}", 2024, 1, 20 + i, 0) for i in range(2, 300, 5)}
+
+
 @pytest.mark.parametrize("text, folded", [
     ("Ñandú", "nandu"), ("ñandú", "nandu"), ("PÀLUEL_1", "paluel_1"), ("plain", "plain"), ("MiXeD 7", "mixed 7"),
     ("Åse Øst", "ase ost"), ("Œuvre Straße", "œuvre straße"), ("", ""), (None, None), ("Ελλάδα 漢", "ελλάδα 漢")])

@@ -4,8 +4,10 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
+
 from fleetlake.settings import Settings
-from fleetlake.sinks.tables import create_database, drop_tables, overwrite_partitioned, use_database, write_fact
+from fleetlake.sinks.tables import create_database, drop_tables, overwrite_partitioned, read_folders, use_database, write_fact
 
 
 def sample(spark):
@@ -47,6 +49,41 @@ def test_written_folders_are_not_listed_anew(spark):
     assert os.listdir(f"{root}/many/year=2015") == ["reactor_id=3"] and spark.table("t_sink.many").count() == 2
 
 
+def test_only_chosen_folders_are_listed(spark):
+    root = tempfile.mkdtemp(prefix="fleetlake-sink-")
+    create_database(spark, "t_sink")
+    df = spark.range(400).selectExpr("CAST(nullif(id % 200, 0) AS INT) AS reactor_id", "CAST(id AS INT) AS power_available",
+                                     "IF(id < 200, 2015, NULL) AS year")
+    overwrite_partitioned(df, "t_sink.chosen", ("year", "reactor_id"), path=f"{root}/chosen")
+    with pytest.raises(Exception, match="SHOW PARTITIONS"):  # the driver's own catalog keeps no folders
+        spark.sql("SHOW PARTITIONS t_sink.chosen")
+    mine = df.filter("reactor_id % 5 = 3 OR reactor_id IS NULL")
+    sc = spark.sparkContext
+    sc.setJobGroup("t_sink_chosen", "")
+    try:
+        back = read_folders(spark, "t_sink.chosen", mine.select("reactor_id", "year"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    status = sc.statusTracker()
+    stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup("t_sink_chosen") for s in status.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages) <= 82  # a listing has a task for each folder
+    assert len(back.inputFiles()) == 82 and back.dtypes[1:] == [("year", "int"), ("reactor_id", "int")]
+    back = back.select(*df.columns)
+    assert back.exceptAll(mine).count() == 0 and mine.exceptAll(back).count() == 0
+    none = read_folders(spark, "t_sink.chosen", mine.select("reactor_id", "year").filter("false"))
+    assert none.count() == 0 and none.columns == spark.table("t_sink.chosen").columns
+    with pytest.raises(ValueError, match="has folders by"):
+        read_folders(spark, "t_sink.chosen", mine.select("reactor_id"))
+
+
+def test_folders_are_chosen_by_integers(spark):
+    root = tempfile.mkdtemp(prefix="fleetlake-sink-")
+    create_database(spark, "t_sink")
+    overwrite_partitioned(spark.createDataFrame([(1, "a b")], "n int, kind string"), "t_sink.kinds", ("kind",), path=f"{root}/kinds")
+    with pytest.raises(ValueError, match="kind"):
+        read_folders(spark, "t_sink.kinds", spark.table("t_sink.kinds").select("kind"))
+
+
 def test_clustered_layout_round_trip(spark):
     root = tempfile.mkdtemp(prefix="fleetlake-sink-")
     create_database(spark, "t_sink")
