@@ -657,7 +657,7 @@ def stored_by_reactor(spark, sf) -> str:
     database = "by_reactor_" + path.rsplit("-", 1)[-1]
     scratch_database(spark, path, database)
     create_database(spark, database, f"{path}/db")
-    settings = Settings(fact_partitions=("year", "reactor_id"), fact_cluster_by=())
+    settings = Settings(fact_partitions=("year", "reactor_id"), fact_cluster_by=(), checksum_files=False)
     write_fact(_gold(spark, sf, "fact_availability"), f"{database}.fact", settings, path=f"{path}/db/fact")
     return f"{database}.fact"
 

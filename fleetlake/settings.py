@@ -45,6 +45,9 @@ class Settings:
     # fact_partitions=("year", "reactor_id") to reproduce it.
     fact_partitions: tuple[str, ...] = field(default=("year",))
     fact_cluster_by: tuple[str, ...] = field(default=("reactor_id", "date_time"))
+    # on a local disk Hadoop puts a .crc file beside each file; False saves them in the
+    # folders of a partitioned overwrite, for a scratch table of many small files
+    checksum_files: bool = True
 
     def with_(self, **kw) -> "Settings":
         return replace(self, **kw)

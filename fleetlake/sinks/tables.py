@@ -32,6 +32,8 @@ from fleetlake.settings import Settings
 TRACKED = "spark.sql.hive.manageFilesourcePartitions"  # of tables made while it is true the catalog keeps the partitions
 INTEGERS = ("tinyint", "smallint", "int", "bigint")
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+# Hadoop's local file system without .crc files; other file systems don't read these options
+NO_CHECKSUM_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -77,7 +79,10 @@ def overwrite_partitioned(df: DataFrame, name: str, partition_cols, settings: Se
         w.saveAsTable(name)
     finally:
         spark.conf.set(TRACKED, tracked)
-    balanced.write.format(settings.table_format).mode("append").partitionBy(*cols).save(table_path(spark, name))
+    filled = balanced.write.format(settings.table_format).mode("append").partitionBy(*cols)
+    if not settings.checksum_files:
+        filled = filled.options(**NO_CHECKSUM_FILES)
+    filled.save(table_path(spark, name))
 
 
 def table_path(spark: SparkSession, name: str) -> str:

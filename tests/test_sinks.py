@@ -84,6 +84,21 @@ def test_folders_are_chosen_by_integers(spark):
         read_folders(spark, "t_sink.kinds", spark.table("t_sink.kinds").select("kind"))
 
 
+def test_scratch_folders_without_checksum_files(spark):
+    root = tempfile.mkdtemp(prefix="fleetlake-sink-")
+    create_database(spark, "t_sink")
+    df = sample(spark)
+    layout = Settings(fact_partitions=("year", "reactor_id"), fact_cluster_by=())
+    files = {}
+    for name, settings in (("with", layout), ("without", layout.with_(checksum_files=False))):
+        write_fact(df, f"t_sink.crc_{name}", settings, path=f"{root}/{name}")
+        files[name] = [f for d, _, found in os.walk(f"{root}/{name}/year=2015") for f in found]
+        back = spark.table(f"t_sink.crc_{name}").select(*df.columns)
+        assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+    assert len(files["without"]) == 5 and not any(f.endswith(".crc") for f in files["without"])
+    assert len(files["with"]) == 10 and sum(f.endswith(".crc") for f in files["with"]) == 5
+
+
 def test_clustered_layout_round_trip(spark):
     root = tempfile.mkdtemp(prefix="fleetlake-sink-")
     create_database(spark, "t_sink")
